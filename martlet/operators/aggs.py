@@ -169,12 +169,14 @@ def sum_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = N
 
 
 def histogram(df: DataFrame, col: str, bins: int = 70) -> DataFrame:
-    """Equal-width histogram counts. The range is a one-row aggregate;
-    ``width_bucket`` then assigns bins in one pass (max goes to the last bin)."""
+    """Equal-width histogram counts. The range is a one-row aggregate
+    attached to every row; the bin is ``floor((x - lo) / (hi - lo) * bins) + 1``
+    with the maximum in the last bin, so one pass and one small shuffle."""
     rng = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
     j = with_scalars(df.select(col).where(F.col(col).isNotNull()), rng)
-    b = F.least(F.expr(f"width_bucket({col}, _lo, _hi + 0.0, {bins})"), F.lit(bins))
-    b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(b)
+    width = F.col("_hi") - F.col("_lo")
+    raw = F.floor((F.col(col) - F.col("_lo")) / width * bins) + 1
+    b = F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
     return (j.withColumn("bin", b.cast("int"))
             .groupBy("bin").agg(F.count(F.lit(1)).alias("n"),
                                 F.min("_lo").alias("range_lo"), F.max("_hi").alias("range_hi")))
