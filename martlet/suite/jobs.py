@@ -64,3 +64,171 @@ def assigned_manager(spark, sf_dir):
 
 
 __all__ = ["F"]
+
+
+# ---------------------------------------------------------------- K11 K12 directory, catalogue
+
+from martlet.plans import directory as dirs  # noqa: E402
+from martlet.plans import pulse  # noqa: E402
+from martlet.suite.sqlbits import ASOF, lts  # noqa: E402
+
+_FB = dirs.Fallback()
+_DIRECTORY = f"""
+  select c.company_id, c.inn, c.name, coalesce(u.user_email, '{_FB.email}') as manager_email,
+    coalesce(u.user_fio, '{_FB.name}') as manager_name, c.con_flag,
+    array_to_string(list_sort(list_distinct(list(case when p.value = '' then '{_FB.phone}' else p.value end))), ', ')
+      as manager_phones
+  from (select company_id, inn, name, case when postpay_flg or deposit_flg then 'postpay' else 'another' end as con_flag
+        from v_company) c
+  left join (select distinct cm.company_id, cm.user_id, u.firstname || ' ' || u.lastname as user_fio, u.email as user_email
+             from v_company_manager cm join v_user u on u.id = cm.user_id where cm.deleted_at is null) u using (company_id)
+  left join v_phone p on p.user_id = u.user_id
+  group by all"""
+_DIR_VIEWS = ("v_company", "v_company_manager", "v_user", "v_phone")
+
+
+@register("manager_directory", with_views("select * from dir", *_DIR_VIEWS, extra=[("dir", _DIRECTORY)]))
+def manager_directory(spark, sf):
+    v = lambda n: view(spark, sf, n)
+    return dirs.manager_directory(v("v_company"), v("v_company_manager"), v("v_user"), v("v_phone"))
+
+
+@register("offer_catalogue", with_views("""
+select o.id as offer_id, o.name, o.retailer_sku, o.category, p.last_price, p.price_dt
+from v_offer o left join (select offer_id, arg_max(price, dt) filter (where price is not null) as last_price,
+  max(dt) as price_dt from v_offer_price group by offer_id) p on p.offer_id = o.id
+where o.deleted_at is null and o.published = 1 and o.status = 1""", "v_offer", "v_offer_price"))
+def offer_catalogue(spark, sf):
+    return dirs.offer_catalogue(view(spark, sf, "v_offer"), view(spark, sf, "v_offer_price"))
+
+
+# ---------------------------------------------------------------- K2 - K6 pulses
+
+NEW_ORDERS = pulse.PulseConfig("pulse_b", retailer_ids=(3,), window_days=14)
+NEXT_DAY = pulse.PulseConfig("next_day", retailer_ids=(4, 6), states=("complete", "shipped"))
+BIG_AND = pulse.PulseConfig("pulse_a", retailer_ids=(5,), window_days=30, window_basis="completed",
+                            line_rule=("and", 50000, 50000), trigger="7 minutes")
+BIG_OR = pulse.PulseConfig("pulse_b", retailer_ids=(7,), window_days=30, window_basis="completed",
+                           line_rule=("or", 100000, 200000), trigger="7 minutes")
+OVER_LIMIT = pulse.PulseConfig("pulse_a", retailer_ids=(2, 8), window_days=60, window_basis="completed")
+HOURLY = pulse.PulseConfig("hourly", retailer_ids=(1,), states=("complete", "shipped", "canceled"))
+HOURLY_AS_OF = "2000-01-10 00:30:00"  # a Monday just after midnight: 49 h look-back
+
+_PULSE_VIEWS = ("v_shipment", "v_delivery_window", "v_company_order", "v_line_item", "v_offer", "v_ledger") + _DIR_VIEWS
+
+
+def _cand_sql(cfg, slot=True):
+    win = (f"{ld('w.starts_at')} >= {ASOF_DATE} - {cfg.window_days}" if slot
+           else f"s.completed_at > {ASOF} - interval {cfg.window_days} day")
+    rets = ", ".join(str(r) for r in cfg.retailer_ids)
+    states = ", ".join(f"'{x}'" for x in cfg.states)
+    names = ", ".join(f"'{x}'" for x in (cfg.ledger_names or (cfg.process_name,)))
+    return f"""
+  select s.*, w.starts_at as slot_start, w.ends_at as slot_end, co.company_id, {lts('s.completed_at')} as completed_local,
+    {lts('w.ends_at')} as slot_end_local
+  from v_shipment s join v_delivery_window w on w.id = s.shipment_id join v_company_order co using (order_id)
+  where s.retailer_id in ({rets}) and s.shipment_state in ({states}) and {win}
+    and not exists (select 1 from v_ledger g where g.shipment_number = s.shipment_number and g.process_name in ({names}))"""
+
+
+@register("pulse_new_orders", with_views(f"""
+select distinct c.completed_local, c.slot_end_local, c.shipment_number, li.quantity, li.price, o.name as offer_name,
+  coalesce(d.manager_email, '{_FB.email}') as manager_email, coalesce(d.manager_phones, '{_FB.phone}') as manager_phones,
+  coalesce(d.manager_name, '{_FB.name}') as manager_name
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id left join dir d on d.company_id = c.company_id""",
+                                         *_PULSE_VIEWS, extra=[("dir", _DIRECTORY), ("c", _cand_sql(NEW_ORDERS))]))
+def pulse_new_orders(spark, sf):
+    return pulse.new_orders(pulse.Sources.fixture(spark, sf), NEW_ORDERS)
+
+
+@register("ledger_rows", with_views(f"""
+select distinct c.shipment_number, 'pulse_b' as process_name, {ASOF} as shipment_logged_at
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id""", *_PULSE_VIEWS, extra=[("c", _cand_sql(NEW_ORDERS))]))
+def ledger_rows(spark, sf):
+    report = pulse.new_orders(pulse.Sources.fixture(spark, sf), NEW_ORDERS)
+    return pulse.ledger_rows(report, NEW_ORDERS)
+
+
+_NEXT_DAY_SQL = f"""
+  select distinct s.shipment_number, {lts('s.completed_at')} as completed_local, {lts('w.starts_at')} as slot_start_local,
+    o.name as offer_name, li.quantity, s.payment_method_name, s.total_weight
+  from v_shipment s join v_delivery_window w on w.id = s.shipment_id
+  join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null
+  join v_offer o on o.id = li.offer_id
+  left join v_company_order co on co.order_id = s.order_id
+  left join (select distinct company_id, con_flag from dir) d on d.company_id = co.company_id
+  where s.retailer_id in (4, 6) and s.shipment_state in ('complete', 'shipped')
+    and cast(w.starts_at as date) = {ASOF_DATE} + 3
+    and s.order_id not in (select order_id from v_locked_order where export_lock_state = 'locked')
+    and (s.payment_state in ('paid', 'overpaid') or s.payment_method_id in (4, 11, 12, 20)
+         or s.order_id in (select order_id from bal) or d.con_flag = 'postpay')"""
+_BAL_SQL = """
+  select order_id from (
+    select order_id, case when count(distinct payment_total) over (partition by order_id) > 1
+      then sum(payment_total) over (partition by order_id) else payment_total end as paid,
+      sum(total) over (partition by order_id) as sum_total
+    from v_shipment where retailer_id in (4, 6) and shipment_state in ('complete', 'shipped')
+      and payment_state = 'balance_due') t
+  where sum_total - paid <= 1000"""
+_ND_EXTRA = [("dir", _DIRECTORY), ("bal", _BAL_SQL), ("nd", _NEXT_DAY_SQL)]
+
+
+@register("pulse_next_day", with_views("select * from nd", *_PULSE_VIEWS, "v_locked_order", extra=_ND_EXTRA))
+def pulse_next_day(spark, sf):
+    return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY)
+
+
+@register("pulse_consignees", with_views("""
+select shipment_number, count(*) as n_lines, sum(quantity) as quantity from nd
+where payment_method_name = 'invoice' or total_weight > 80000 group by shipment_number""",
+                                         *_PULSE_VIEWS, "v_locked_order", extra=_ND_EXTRA))
+def pulse_consignees(spark, sf):
+    return pulse.consignees(pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY))
+
+
+def _big_sql(cfg):
+    mode, lmin, tmin = cfg.line_rule
+    op = "and" if mode == "and" else "or"
+    return f"""
+select c.shipment_number, c.company_id, li.offer_id, li.price, li.quantity, li.price * li.quantity as sku_total,
+  c.total, c.completed_local
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+where c.payment_state not in ('not_paid', 'failed') and (li.price * li.quantity >= {lmin} {op} c.total >= {tmin})"""
+
+
+@register("pulse_big_orders_and", with_views(_big_sql(BIG_AND), *_PULSE_VIEWS,
+                                             extra=[("c", _cand_sql(BIG_AND, slot=False))]))
+def pulse_big_orders_and(spark, sf):
+    return pulse.big_orders(pulse.Sources.fixture(spark, sf), BIG_AND)
+
+
+@register("pulse_big_orders_or", with_views(_big_sql(BIG_OR), *_PULSE_VIEWS,
+                                            extra=[("c", _cand_sql(BIG_OR, slot=False))]))
+def pulse_big_orders_or(spark, sf):
+    return pulse.big_orders(pulse.Sources.fixture(spark, sf), BIG_OR)
+
+
+@register("pulse_over_limit", with_views("""
+select c.shipment_number, o.retailer_sku, li.quantity, lim.max_qty, c.completed_local
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id join v_offer_limit lim on lim.retailer_sku = o.retailer_sku
+where c.payment_state not in ('not_paid', 'failed') and lim.max_qty is not null and li.quantity > lim.max_qty""",
+                                         *_PULSE_VIEWS, "v_offer_limit", extra=[("c", _cand_sql(OVER_LIMIT, slot=False))]))
+def pulse_over_limit(spark, sf):
+    return pulse.over_limit(pulse.Sources.fixture(spark, sf), OVER_LIMIT)
+
+
+@register("pulse_hourly", with_views(f"""
+select distinct s.shipment_number, s.shipment_state, {lts('s.completed_at')} as completed_local, o.name as offer_name,
+  li.quantity, li.price, coalesce(d.manager_email, '{_FB.email}') as manager_email,
+  coalesce(d.manager_name, '{_FB.name}') as manager_name
+from v_shipment s left join v_company_order co using (order_id)
+join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id left join dir d on d.company_id = co.company_id
+where s.retailer_id in (1) and s.shipment_state in ('complete', 'shipped', 'canceled')
+  and s.completed_at > timestamp '{HOURLY_AS_OF}' - interval 49 hour and s.completed_at <= timestamp '{HOURLY_AS_OF}'""",
+                                     *_PULSE_VIEWS, extra=[("dir", _DIRECTORY)]))
+def pulse_hourly(spark, sf):
+    return pulse.hourly(pulse.Sources.fixture(spark, sf), HOURLY, as_of=HOURLY_AS_OF)
