@@ -232,3 +232,170 @@ where s.retailer_id in (1) and s.shipment_state in ('complete', 'shipped', 'canc
                                      *_PULSE_VIEWS, extra=[("dir", _DIRECTORY)]))
 def pulse_hourly(spark, sf):
     return pulse.hourly(pulse.Sources.fixture(spark, sf), HOURLY, as_of=HOURLY_AS_OF)
+
+
+# ---------------------------------------------------------------- K7 weekly statistics
+
+from martlet.plans import audience as aud  # noqa: E402
+from martlet.plans import seller as sel  # noqa: E402
+from martlet.plans import weekly  # noqa: E402
+
+EXCLUDED_CATEGORIES = ("PROMO%",)
+_EXCL_SQL = """select distinct li.shipment_id from v_line_item li join v_offer o on o.id = li.offer_id
+  where li.deleted_at is null and o.category like 'PROMO%'"""
+
+
+def _weekly_parts(spark, sf):
+    v = lambda n: view(spark, sf, n)
+    ship, li, offers = v("v_shipment"), v("v_line_item"), v("v_offer")
+    return ship, li, offers, weekly.excluded_shipments(li, offers, EXCLUDED_CATEGORIES)
+
+
+@register("store_month_stats", with_views(f"""
+select strftime({month(ld('shipped_at'))}, '%Y-%m') as month, store_id, count(distinct order_id) as n_orders,
+  count(distinct case when payment_method_name = 'invoice' then order_id end) as n_invoice_orders,
+  sum(total) as revenue, avg(total) as avg_check,
+  avg(case when payment_method_name = 'invoice' then total end) as avg_invoice_check,
+  count(distinct case when total_weight > 80000 then order_id end) as n_heavy_orders,
+  count(distinct case when total_weight > 80000 and payment_method_name = 'invoice' then order_id end) as n_heavy_invoice_orders
+from v_shipment s
+where shipment_state = 'shipped' and b2b_measure in (1, 2) and retailer_id in (2, 3)
+  and shipped_at > timestamp '1995-01-01 00:00:00'
+  and shipment_id not in (select shipment_id from excl)
+group by all""", "v_shipment", "v_line_item", "v_offer", extra=[("excl", _EXCL_SQL)]))
+def store_month_stats(spark, sf):
+    ship, _li, _o, excl = _weekly_parts(spark, sf)
+    return weekly.store_month_stats(ship, excl, retailer_ids=(2, 3))
+
+
+_WEEK_LINES = f"""
+  select s.store_id, s.shipment_id, cast(date_trunc('week', {ld('s.shipped_at')}) as date) as week,
+    li.offer_id, li.quantity, li.price, li.vat_rate
+  from v_shipment s join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null
+  where s.shipment_state = 'shipped' and s.b2b_measure in (1, 2)
+    and cast(date_trunc('week', {ld('s.shipped_at')}) as date) = cast(date_trunc('week', {ASOF}) as date) - 7
+    and s.shipment_id not in (select shipment_id from excl)"""
+
+
+@register("sku_week_stats", with_views("""
+select strftime(week, '%Y-%m-%d') as week, store_id, o.retailer_sku, o.name as product_name,
+  sum(wl.quantity) as quantity, sum((1 - wl.vat_rate / 100) * wl.price * wl.quantity) as net_amount
+from wl join v_offer o on o.id = wl.offer_id group by all""",
+                                       "v_shipment", "v_line_item", "v_offer",
+                                       extra=[("excl", _EXCL_SQL), ("wl", _WEEK_LINES)]))
+def sku_week_stats(spark, sf):
+    ship, li, offers, excl = _weekly_parts(spark, sf)
+    return weekly.sku_week_stats(ship, li, offers, excl)
+
+
+@register("category_week_stats", with_views("""
+select strftime(week, '%Y-%m-%d') as week, o.category, sum(quantity) as quantity,
+  sum((1 - wl.vat_rate / 100) * wl.price * wl.quantity) as net_amount, count(distinct wl.shipment_id) as n_shipments
+from wl join v_offer o on o.id = wl.offer_id group by all""",
+                                            "v_shipment", "v_line_item", "v_offer",
+                                            extra=[("excl", _EXCL_SQL), ("wl", _WEEK_LINES)]))
+def category_week_stats(spark, sf):
+    ship, li, offers, excl = _weekly_parts(spark, sf)
+    return weekly.category_week_stats(ship, li, offers, excl)
+
+
+# ---------------------------------------------------------------- K8 audience, K9 popular retailers
+
+AUDIENCE = aud.AudienceSpec(start="1995-01-01", end="1999-12-31", funnel_as_of="2024-02-01 00:00:00",
+                            min_orders_period=2, min_month_orders=1, major_shop_size="supermarket", n_users=40)
+FILTERS = aud.AudienceSpec(start="1996-01-01", end="1998-12-31", funnel_as_of="2024-02-01 00:00:00",
+                           platforms=("WEB",), only_b2b=True, retailer_names=("Retailer_2", "retailer_4"),
+                           cancellations="without", min_orders_period=2, min_addresses=2,
+                           major_shop_size="supermarket")
+
+_USER_SHIP = """
+  select user_id, platform, count(distinct order_id) as orders_period, count(distinct store_id) as address_count,
+    max(completed_at) as last_order_ts, max(cast(b2b_measure > 0 as integer)) as is_b2b,
+    list_sort(list_distinct(list(shipment_state))) as shipment_states,
+    list_sort(list_distinct(list('retailer_' || cast(retailer_id as varchar)))) as retailer_names,
+    avg(case when retailer_id % 3 = 0 then 1.0 else 0.0 end) as major_share
+  from v_shipment where cast(completed_at as date) between date '{start}' and date '{end}' and user_id is not null {where}
+  group by user_id, platform"""
+
+
+@register("dynamic_filters", with_views(f"""
+select * from us where list_has_any(retailer_names, ['retailer_2', 'retailer_4'])
+  and not list_contains(shipment_states, 'canceled') and orders_period >= 2 and address_count >= 2""",
+                                        "v_shipment", extra=[("us", _USER_SHIP.format(
+                                            start="1996-01-01", end="1998-12-31",
+                                            where="and lower(platform) in ('web') and b2b_measure > 0"))]))
+def dynamic_filters(spark, sf):
+    return aud.user_shipments(view(spark, sf, "v_shipment"), FILTERS)
+
+
+_AUD_CTES = [
+    ("us", _USER_SHIP.format(start="1995-01-01", end="1999-12-31", where="") + " having count(distinct order_id) >= 2"),
+    ("fu", """select user_id, case when max(order_seq) > 7 then '>7 orders' else '1-7 orders' end as new_or_old,
+       case when floor(datediff('day', min(completed_at), max(completed_at)) / 31.0) < 1 and datediff('month', min(completed_at), max(completed_at)) < 1 then 'under 1 month'
+            when datediff('month', min(completed_at), max(completed_at)) < 3 then '1-3 months'
+            when datediff('month', min(completed_at), max(completed_at)) < 6 then '3-6 months'
+            when datediff('month', min(completed_at), max(completed_at)) < 12 then '6-12 months' else '12+ months' end as use_duration
+     from (select user_id, order_seq, completed_at from v_funnel_web union all
+           select user_id, order_seq, completed_at from v_funnel_app) u
+     where completed_at between timestamp '2024-02-01 00:00:00' - interval 1 year and timestamp '2024-02-01 00:00:00'
+     group by user_id"""),
+    ("sb", """select user_id, case when p = 0 and b = 0 then 'no sberid' when p = 1 and b = 0 then 'sberid not linked'
+       when b = 1 then 'sberid linked' end as sberid_use
+     from (select user_id, coalesce(max(1) filter (where provider = 'plan'), 0) as p,
+             coalesce(max(1) filter (where provider = 'bank'), 0) as b from v_user_auth group by user_id) t"""),
+    ("ph", "select user_id, arg_max(value, (created_at, value)) as phone_number from v_phone group by user_id"),
+    ("em", """select id as user_id, firstname as first_name, lastname as last_name,
+       case when coalesce(email, '') not like '%@temp.temp%' then email else pending_email end as user_email
+     from v_user where coalesce(email, '') not like '%corp.example%' and coalesce(pending_email, '') not like '%corp.example%'"""),
+    ("mo", f"""select user_id, min(n) as min_month_orders from (
+       select user_id, {month('completed_at')} as m, count(distinct order_id) as n from v_shipment
+       where cast(completed_at as date) between date '1995-01-01' and date '1999-12-31' group by all) t
+     group by user_id having min(n) >= 1"""),
+]
+
+
+@register("audience_extract", with_views(f"""
+select us.user_id, us.platform, em.first_name, em.last_name, ph.phone_number, em.user_email, us.is_b2b,
+  us.orders_period, us.address_count, mo.min_month_orders, fu.new_or_old, fu.use_duration, sb.sberid_use,
+  us.shipment_states, us.retailer_names, us.major_share
+from us join fu using (user_id) join sb using (user_id) join ph using (user_id) join em using (user_id)
+join mo using (user_id)
+where us.major_share >= 0.5
+order by us.user_id, us.platform limit 40""", "v_shipment", "v_funnel_web", "v_funnel_app", "v_user_auth", "v_phone",
+                                         "v_user", extra=_AUD_CTES))
+def audience_extract(spark, sf):
+    return aud.audience_extract(spark, sf, AUDIENCE)
+
+
+@register("popular_retailers", with_views(f"""
+select upper('retailer_' || cast(retailer_id as varchar)) as retailer, count(distinct order_id) as n_orders
+from v_shipment where completed_at > {ASOF} - interval 1 month and completed_at <= {ASOF}
+group by all order by n_orders desc, retailer limit 100""", "v_shipment"))
+def popular_retailers(spark, sf):
+    from martlet.session import AS_OF
+    return aud.top_retailers(view(spark, sf, "v_shipment"), AS_OF, k=100)
+
+
+# ---------------------------------------------------------------- K10 seller GMV
+
+_SELLER_MONTHLY = """
+  select seller_id, dt_month, count(distinct item_id) as cnt_items, sum(amount) as gmv from v_seller_month
+  where dt_month between date '1996-01-01' and date '1998-12-01'
+    and item_id in (select id from v_offer where deleted_at is null and published = 1)
+  group by seller_id, dt_month having sum(amount) > 1000"""
+
+
+@register("seller_gmv", with_views(f"""
+select gmv_group, n_sellers,
+  round_even(cast(100.0 * n_sellers / sum(n_sellers) over () as decimal(38, 10)), 2)::double as pct_of_total,
+  cast(list_position({sel.GMV_LABELS!r}, gmv_group) as integer) as label_rank
+from (select {"case " + " ".join(
+    (f"when average_gmv >= {lo} and average_gmv < {hi} then '{lab}'" if hi != float("inf") else f"when average_gmv >= {lo} then '{lab}'")
+    for lo, hi, lab in zip(sel.GMV_EDGES, sel.GMV_EDGES[1:], sel.GMV_LABELS)) + " end"} as gmv_group, count(*) as n_sellers
+  from (select seller_id, coalesce(sum(gmv) / nullif(count(*) filter (where gmv <> 0), 0), 0) as average_gmv
+        from m group by seller_id) a group by 1) t""", "v_seller_month", "v_offer", extra=[("m", _SELLER_MONTHLY)]))
+def seller_gmv(spark, sf):
+    v = lambda n: view(spark, sf, n)
+    active = v("v_offer").where(F.col("deleted_at").isNull() & (F.col("published") == 1)).select(F.col("id").alias("item_id"))
+    monthly = sel.monthly_gmv(v("v_seller_month"), active, "1996-01-01", "1998-12-01")
+    return sel.seller_groups(monthly)
