@@ -1 +1,123 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks (section 2.1). Inputs are written by
+Spark from the given tables into a fresh folder under the shared checkpoint
+folder, then read back through the operator under test."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martlet.plans import pulse
+from martlet.suite import jobs
+from martlet.sources import io
+from martlet.sources.views import view, with_views
+from martlet.suite.registry import register
+
+
+def V(spark, sf, name):
+    return view(spark, sf, name)
+
+
+@register("reference_clean", with_views("""
+select distinct retailer_sku, cast(max_qty as integer) as max_qty from v_offer_limit
+where retailer_sku is not null and max_qty is not null""", "v_offer_limit"))
+def reference_clean(spark, sf):
+    path = io.scratch_path(spark, "offer-limits")
+    lim = V(spark, sf, "v_offer_limit")
+    # The sheet as users keep it: every row twice, numbers as text.
+    io.write_report(lim.unionAll(lim).select("retailer_sku", F.col("max_qty").cast("string").alias("max_qty")),
+                    path, fmt="csv")
+    return io.read_reference(spark, path, [("retailer_sku", "string"), ("max_qty", "int")],
+                             required=["retailer_sku", "max_qty"])
+
+
+def _with_preamble(batches):
+    """Per output file: a junk line and the header before the data lines."""
+    first = True
+    for pdf in batches:
+        if first and len(pdf):
+            head = pd.DataFrame({"value": ["exported by the sheet tool", "c_custkey,c_name,c_acctbal"]})
+            pdf = pd.concat([head, pdf], ignore_index=True)
+            first = False
+        yield pdf
+
+
+@register("csv_skiprows")
+def csv_skiprows(spark, sf):
+    """S4 (rows-only): CSV files with a junk first line, then the header."""
+    path = io.scratch_path(spark, "csv-skip")
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
+                                 F.col("c_acctbal").cast("string")).alias("value"))
+    lines.repartition(3).mapInPandas(_with_preamble, "value string").write.mode("overwrite").text(path)
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                           T.StructField("c_acctbal", T.DoubleType())])
+    out = io.read_csv_skip(spark, path, schema, skip_rows=1, header=True)
+    return out.withColumnRenamed("c_name", "name").drop("c_acctbal")
+
+
+@register("sink_roundtrip", with_views("""
+select shipment_id, shipment_number, total, shipped_at from v_shipment""", "v_shipment"))
+def sink_roundtrip(spark, sf):
+    path = io.scratch_path(spark, "report")
+    s = V(spark, sf, "v_shipment").select("shipment_id", "shipment_number", "total", "shipped_at")
+    io.write_report(s, path)
+    return spark.read.parquet(path)
+
+
+@register("split_manifest", with_views("""
+select shipment_number, count(*) as n_rows from v_line_item li join v_shipment s using (shipment_id)
+where s.retailer_id = 3 and li.deleted_at is null group by shipment_number""", "v_line_item", "v_shipment"))
+def split_manifest(spark, sf):
+    path = io.scratch_path(spark, "split")
+    li = V(spark, sf, "v_line_item").where(F.col("deleted_at").isNull())
+    s = V(spark, sf, "v_shipment").where(F.col("retailer_id") == 3).select("shipment_id", "shipment_number")
+    io.write_split(li.join(s, "shipment_id").select("shipment_number", "offer_id", "quantity"),
+                   "shipment_number", path)
+    return spark.read.parquet(path).groupBy("shipment_number").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("chunk_index", """
+select o_orderkey, cast(floor((row_number() over (order by o_orderdate, o_orderkey) - 1) / 1000) as bigint) as chunk
+from orders""")
+def chunk_index(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderdate")
+    return io.with_chunk_index(o, ["o_orderdate", "o_orderkey"], 1000).select("o_orderkey", "chunk")
+
+
+@register("full_refresh")
+def full_refresh(spark, sf):
+    """S8 (rows-only): stage, validate, swap."""
+    from martlet.plans.mart import manager_gmv
+    base = io.scratch_path(spark, "mart")
+    return io.refresh(manager_gmv(spark, sf), f"{base}/prod", f"{base}/stage", required=["assigned_manager_id"])
+
+
+@register("delivery_manifest", with_views(f"""
+select recipient, list_sort(list_distinct(list(report))) as reports, count(distinct item) as n_items from (
+  select manager_email as recipient, shipment_number as item, 'new_orders' as report from no
+  union all select manager_email, shipment_number, 'big_orders' from big) t group by recipient""",
+                                          *jobs._PULSE_VIEWS,
+                                          extra=[("dir", jobs._DIRECTORY),
+                                                 ("c", jobs._cand_sql(
+                                                     jobs.NEW_ORDERS)),
+                                                 ("no", """select distinct c.shipment_number,
+                                                    coalesce(d.manager_email, 'support@example.org') as manager_email
+                                                    from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+                                                    join v_offer o on o.id = li.offer_id left join dir d on d.company_id = c.company_id"""),
+                                                 ("c2", jobs._cand_sql(
+                                                     jobs.BIG_AND, slot=False)),
+                                                 ("big", """select distinct c2.shipment_number,
+                                                    coalesce(d.manager_email, 'support@example.org') as manager_email
+                                                    from c2 join v_line_item li on li.shipment_id = c2.shipment_id and li.deleted_at is null
+                                                    left join dir d on d.company_id = c2.company_id
+                                                    where c2.payment_state not in ('not_paid', 'failed')
+                                                      and li.price * li.quantity >= 50000 and c2.total >= 50000""")]))
+def delivery_manifest(spark, sf):
+    src = pulse.Sources.fixture(spark, sf)
+    new = pulse.new_orders(src, jobs.NEW_ORDERS)
+    big = pulse.big_orders(src, jobs.BIG_AND)
+    d = src.directory.select("company_id", "manager_email")
+    big = big.join(d, "company_id", "left").fillna({"manager_email": jobs.NEW_ORDERS.fallback.email})
+    return io.manifest({"new_orders": new, "big_orders": big}, "manager_email", "shipment_number")
