@@ -399,3 +399,56 @@ def seller_gmv(spark, sf):
     active = v("v_offer").where(F.col("deleted_at").isNull() & (F.col("published") == 1)).select(F.col("id").alias("item_id"))
     monthly = sel.monthly_gmv(v("v_seller_month"), active, "1996-01-01", "1998-12-01")
     return sel.seller_groups(monthly)
+
+
+# ---------------------------------------------------------------- K13 - K15
+
+from martlet.plans import history  # noqa: E402
+
+
+@register("source_ready", f"""
+select source, max_date, coalesce(max_date >= {ASOF_DATE} - 1, false) as ready from (
+  select 'orders' as source, max(cast(o_orderdate as date)) as max_date from orders
+  union all select 'lineitem', max(cast(l_shipdate as date)) from lineitem
+  union all select 'events', max(cast(ts as date)) from events) t""")
+def source_ready(spark, sf):
+    t = lambda n: spark.read.parquet(f"{sf}/{n}.parquet")
+    from martlet.session import AS_OF
+    return history.source_ready({"orders": (t("orders"), "o_orderdate"), "lineitem": (t("lineitem"), "l_shipdate"),
+                                 "events": (t("events"), "ts")}, AS_OF)
+
+
+_SNAP = """select o_custkey, cast(o_orderdate as date) as snapshot_date, max(o_orderpriority) as value
+  from orders group by all"""
+
+
+@register("scd2_build", with_views("""
+select o_custkey, value, snapshot_date as valid_from,
+  cast(lead(snapshot_date) over (partition by o_custkey order by snapshot_date) - 1 as date) as valid_to,
+  lead(snapshot_date) over (partition by o_custkey order by snapshot_date) is null as is_current
+from (select *, lag(value) over (partition by o_custkey order by snapshot_date) as prev from snap) t
+where prev is null or prev <> value""", extra=[("snap", _SNAP)]))
+def scd2_build(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return history.scd2(history.daily_snapshot(o, "o_custkey", "o_orderdate", "o_orderpriority"), "o_custkey")
+
+
+@register("vault_load", with_views("""
+select md5(coalesce(cast(o_custkey as varchar), '')) as hub_key, snapshot_date as load_date,
+  md5(coalesce(value, '')) as hashdiff, value, 'orders' as record_source
+from (select *, lag(md5(coalesce(value, ''))) over (partition by o_custkey order by snapshot_date) as prev from snap) t
+where prev is null or prev <> md5(coalesce(value, ''))""", extra=[("snap", _SNAP)]))
+def vault_load(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    snap = history.daily_snapshot(o, "o_custkey", "o_orderdate", "o_orderpriority")
+    return history.satellite(snap, "o_custkey", ["value"], "snapshot_date", "orders")
+
+
+@register("vault_hub_link", """
+select md5(coalesce(cast(o_custkey as varchar), '') || '|' || coalesce(cast(o_orderkey as varchar), '')) as link_key,
+  md5(coalesce(cast(o_custkey as varchar), '')) as o_custkey_hub_key,
+  md5(coalesce(cast(o_orderkey as varchar), '')) as o_orderkey_hub_key, 'orders' as record_source
+from (select distinct o_custkey, o_orderkey from orders) t""")
+def vault_hub_link(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return history.link(o, ["o_custkey", "o_orderkey"], "orders")

@@ -1 +1,124 @@
-"""Registered queries."""
+"""Registered queries: streaming re-aims of the polling jobs (section 2.9).
+
+Each query lands the given table as files in a fresh folder under the shared
+checkpoint folder, runs the streaming query to the end of the available
+input (``availableNow``; a ``processingTime`` trigger in production), and
+returns what the sink holds. Where the final sink content is deterministic
+it is compared with SQL; the late-data case is rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martlet.plans import pulse
+from martlet.sources.views import view, with_views
+from martlet.streaming import stream as st
+from martlet.suite import jobs
+from martlet.suite.registry import ORACLE, register
+
+
+def _events(spark, sf):
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+
+
+def _stage_in_order(df, path, n_files, col):
+    """Land ``df`` as ``n_files`` appends in ``col`` order (one write per file,
+    so file times follow event times as in a landing folder)."""
+    secs = F.col(col).cast("timestamp").cast("long")
+    lo_hi = df.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi")).first()
+    lo, hi = lo_hi["lo"], lo_hi["hi"]
+    span = max(hi - lo, 1)
+    bucket = F.least(F.floor((secs - lo) * n_files / span), F.lit(n_files - 1))
+    for i in range(n_files):
+        df.where(bucket == i).write.mode("append").parquet(path)
+    return path
+
+
+@register("stream_new_only", """select event_id, ts, user_id, event_type, value from events""")
+def stream_new_only(spark, sf):
+    ev = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    _stage_in_order(ev, land, 4, "ts")
+    ev.where(F.col("event_id") % 20 == 0).write.mode("append").parquet(land)  # re-polled rows
+    s = st.read_stream(spark, land, ev.schema, files_per_trigger=1)
+    d = st.new_only(s, "event_id", "ts", "40 days")
+    st.run_to_end(d.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+    return spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_late_drop")
+def stream_late_drop(spark, sf):
+    """R4 (rows-only): hourly counts; a file of rows far behind the watermark
+    arrives last and is dropped."""
+    ev = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    _stage_in_order(ev, land, 4, "ts")
+    ev.where(F.col("event_id") % 50 == 0).withColumn("ts", F.col("ts") - F.expr("interval 20 days")) \
+        .write.mode("append").parquet(land)
+    s = st.with_event_time(st.read_stream(spark, land, ev.schema, files_per_trigger=1), "ts").withWatermark("ts", "1 hour")
+    g = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    g = g.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
+    st.run_to_end(g.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+    return spark.read.parquet(out)
+
+
+@register("stream_weekly_stats", """
+select cast(date_trunc('week', ts) as date) as week_start, event_type, count(*) as n, sum(value) as value_sum
+from events group by all""")
+def stream_weekly_stats(spark, sf):
+    ev = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    _stage_in_order(ev, land, 4, "ts")
+    s = st.read_stream(spark, land, ev.schema, files_per_trigger=1)
+    g = st.weekly_counts(s, "ts", "event_type", "value", "40 days")
+    st.run_to_end(g.writeStream.foreachBatch(st.upsert_sink(out)).outputMode("update"), ck)
+    return st.latest_per_key(spark, out, ["week_start", "event_type"])
+
+
+@register("stream_pulse", ORACLE["pulse_new_orders"])
+def stream_pulse(spark, sf):
+    """R2: the new-order pulse fed by a stream of candidate shipments that
+    are re-polled (each lands twice); the ledger makes each report once."""
+    cfg = jobs.NEW_ORDERS
+    src = pulse.Sources.fixture(spark, sf)
+    cand = pulse.candidates(src, cfg)
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    ledger = st.scratch(spark, "ledger")
+    (src.ledger.where(F.col("process_name") == cfg.process_name).withColumn("batch_id", F.lit(-1).cast("long"))
+     .write.mode("overwrite").parquet(ledger))
+    cand = cand.drop("shipped_at", "starts_at")
+    _stage_in_order(cand, land, 3, "slot_start")
+    _stage_in_order(cand, land, 2, "slot_start")
+    s = st.read_stream(spark, land, spark.read.parquet(land).schema, files_per_trigger=2)
+
+    def enrich(fresh):
+        return pulse._enrich(fresh, src, cfg).select(*pulse.REPORT_COLS).distinct()
+
+    st.run_to_end(s.writeStream.foreachBatch(st.pulse_batch_sink(spark, out, ledger, cfg.process_name, enrich)), ck)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@register("stream_pay_gate", with_views("""
+select s.shipment_number, s.completed_at, p.paid_at
+from v_shipment s join (select order_id as pay_order_id, completed_at + interval '1' hour * (shipment_id % 30) as paid_at
+  from v_shipment where payment_state in ('paid', 'overpaid')) p
+  on s.order_id = p.pay_order_id and p.paid_at >= s.completed_at and p.paid_at <= s.completed_at + interval 1 day""",
+                                        "v_shipment"))
+def stream_pay_gate(spark, sf):
+    s = view(spark, sf, "v_shipment")
+    orders = s.select("order_id", "shipment_number", F.col("completed_at").cast("timestamp").alias("completed_at"))
+    pays = (s.where(F.col("payment_state").isin("paid", "overpaid"))
+            .select(F.col("order_id").alias("pay_order_id"),
+                    (F.col("completed_at") + F.expr("interval 1 hour") * (F.col("shipment_id") % 30))
+                    .cast("timestamp").alias("paid_at")))
+    lo, lp, out, ck = (st.scratch(spark, "orders"), st.scratch(spark, "pays"), st.scratch(spark, "out"),
+                       st.scratch(spark, "ck"))
+    orders.write.parquet(lo)
+    pays.write.parquet(lp)
+    j = st.await_payment(st.read_stream(spark, lo, orders.schema), st.read_stream(spark, lp, pays.schema),
+                         "2 days", "1 day")
+    j = j.select("shipment_number", F.col("completed_at").cast("timestamp_ntz").alias("completed_at"),
+                 F.col("paid_at").cast("timestamp_ntz").alias("paid_at"))
+    st.run_to_end(j.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+    return spark.read.parquet(out)
