@@ -75,7 +75,8 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def phone_metrics(ship: DataFrame) -> DataFrame:
-    """Retention and value metrics per phone over shipped B2B orders."""
+    """Retention and value metrics per phone over all shipped B2B orders
+    (the whole shipment table, not only the mart's period)."""
     base = (ship.where(F.col("b2b_measure").isin(1, 2) & (F.col("shipment_state") == "shipped")
                        & F.col("phone").isNotNull())
             .withColumn("ship_day", local_date("shipped_at")))
@@ -117,10 +118,10 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
                               F.col("name").alias("company_name"), "company_fraud_flg"),
                   "company_inn", "left")
     s = with_manager(s, view(spark, sf_dir, "v_user_group"), managers(spark, sf_dir))
-    s = s.join(phone_metrics(ship), "phone", "left")
+    s = s.join(phone_metrics(view(spark, sf_dir, "v_shipment")), "phone", "left")
     s = s.join(group_metrics(s.select("company_group_id", "shipped_at", "shipment_state")),
                "company_group_id", "left")
-    first_ship = (ship.where(F.col("phone").isNotNull())
+    first_ship = (ship.where(F.col("phone").isNotNull() & F.col("shipped_at").isNotNull())
                   .groupBy("phone").agg(aggs.arg_min("shipment_id", F.struct("shipped_at", "shipment_id"))
                                         .alias("first_order_shipment_id_phone")))
     s = s.join(first_ship, "phone", "left")

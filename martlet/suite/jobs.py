@@ -452,3 +452,78 @@ from (select distinct o_custkey, o_orderkey from orders) t""")
 def vault_hub_link(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet")
     return history.link(o, ["o_custkey", "o_orderkey"], "orders")
+
+
+# ---------------------------------------------------------------- K1 the B2B shipment mart
+
+
+def _ret_cte(base: str, entity: str, prefix: str) -> str:
+    flags = [f"coalesce(bool_or(d > first_dt and d <= first_dt + 14), false) as {prefix}_14d"]
+    flags += [f"coalesce(bool_or(datediff('month', first_dt, d) = {k}), false) as {prefix}_{k + 1}m"
+              for k in range(1, 12)]
+    return f"""select {entity}, {', '.join(flags)} from (
+      select {entity}, d, min(d) over (partition by {entity}) as first_dt from (select distinct {entity}, d from {base}) p) q
+    group by {entity}"""
+
+
+_MART_CTES = _ASOF_CTES + [
+    ("comp", """select inn as company_inn, company_id, finance_income, employee_count, category_type, name as company_name,
+       case when deposit_flg then 'Deposit' when postpay_flg then 'Postpay' when prepay_flg then 'Prepay (contract)'
+            else 'Prepay (offer)' end as payment_type,
+       cast(coalesce(lower(manager_comment) like '%test%' or lower(manager_comment) like '%fraud%', false) as integer)
+         as company_fraud_flg
+     from v_company"""),
+    ("pbase", f"""select phone, {ld('shipped_at')} as d, gmv_goods_net_promo from v_shipment
+     where b2b_measure in (1, 2) and shipment_state = 'shipped' and phone is not null"""),
+    ("pret", _ret_cte("pbase", "phone", "ret")),
+    ("pval", f"""select phone, min(d) as first_order_dt, max(d) as last_order_dt, sum(gmv_goods_net_promo) as user_gmv,
+       count(*) as user_order_cnt, count(distinct {month('d')}) as user_active_months_count,
+       cast(greatest(coalesce(datediff('month', min(d), max(d)), 1), 1) as integer) as user_age_month,
+       sum(gmv_goods_net_promo) / count(*) as user_aov
+     from pbase group by phone"""),
+    ("gbase", f"""select company_group_id, {ld('shipped_at')} as d from a
+     where shipment_state = 'shipped' and company_group_id is not null"""),
+    ("gret", _ret_cte("gbase", "company_group_id", "group_ret")),
+    ("gfl", "select company_group_id, min(d) as group_first_order_dt from gbase group by company_group_id"),
+    ("fs", """select phone, arg_min(shipment_id, (shipped_at, shipment_id)) as first_order_shipment_id_phone
+     from s where phone is not null and shipped_at is not null group by phone"""),
+]
+
+_MART_SELECT = f"""
+select a.shipment_id, a.order_id, a.shipment_number, a.user_id, a.phone, a.shipped_at, a.shipped_dt, a.shipment_state,
+  a.b2b_measure, c.company_id, cast(coalesce(a.company_group_id, 0) as integer) as company_group_id, c.payment_type,
+  cast({_ASSIGNED} as bigint) as assigned_manager_id,
+  {__import__("martlet.suite.basics", fromlist=["x"])._COMPANY_TYPE_SQL.replace("s.b2b_measure", "a.b2b_measure").replace("c.name", "c.company_name")} as company_type,
+  case
+    when a.tenant_id = 'tenant_b2b' and a.platform = 'web' and a.b2b_measure = 2 then 'b2b web'
+    when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company b2c web'
+    when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 0 then 'for self with company b2c web'
+    when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 1 then 'with tick b2c web'
+    when a.b2b_measure = 3 then 'third-party orders' when a.b2b_measure = 4 then 'certificates'
+    when a.b2b_measure = 0 then 'used certificates b2c'
+    when a.tenant_id in ('tenant_wl') and a.platform = 'web' then 'white label'
+    when a.platform = 'app' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company app'
+    when a.platform = 'app' and a.b2b_measure = 2 and a.b2b_order_company_flg = 0 then 'for self with company app'
+    when a.platform = 'app' and a.b2b_measure = 1 then 'with tick app' else 'other' end as order_type,
+  case when fs.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end as new_or_repeat,
+  coalesce(c.company_fraud_flg, 0) as company_fraud_flg,
+  a.gmv_goods_net_promo, a.gmv_service_fee_net_promo, a.gmv_goods_net_promo + a.gmv_service_fee_net_promo as gmv_sales_net_promo,
+  a.gross_profit, coalesce(oc.picking_costs, 0) as picking_costs, coalesce(oc.drive_costs, 0) as drive_costs,
+  coalesce(oc.taxi_costs, 0) as taxi_costs, coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0) as delivery_cost,
+  case when a.shipment_state = 'shipped' then a.gross_profit else 0 end
+    - (coalesce(oc.picking_costs, 0) + coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0)) as cp1,
+  pv.first_order_dt, pv.last_order_dt, pv.user_gmv, pv.user_order_cnt, pv.user_active_months_count, pv.user_age_month,
+  pv.user_aov, coalesce(cast(pr.ret_14d as integer), 0) as ret_14d, coalesce(cast(pr.ret_2m as integer), 0) as ret_2m,
+  coalesce(cast(pr.ret_3m as integer), 0) as ret_3m, coalesce(cast(pr.ret_12m as integer), 0) as ret_12m,
+  g.group_first_order_dt, coalesce(cast(gr.group_ret_14d as integer), 0) as group_ret_14d,
+  coalesce(cast(gr.group_ret_2m as integer), 0) as group_ret_2m
+from a left join comp c on c.company_inn = a.company_inn
+left join pval pv on pv.phone = a.phone left join pret pr on pr.phone = a.phone
+left join gfl g on g.company_group_id = a.company_group_id left join gret gr on gr.company_group_id = a.company_group_id
+left join fs on fs.phone = a.phone left join v_order_cost oc on oc.shipment_id = a.shipment_id"""
+
+
+@register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_user_group", "v_manager_period", "v_company",
+                                 "v_order_cost", extra=_MART_CTES))
+def b2b_mart(spark, sf):
+    return mart.b2b_mart(spark, sf)
