@@ -101,7 +101,7 @@ def pulse_batch_sink(spark: SparkSession, out: str, ledger: str, process: str,
         report = enrich(fresh)
         report.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         (fresh.select("shipment_number").withColumn("process_name", F.lit(process))
-         .withColumn("batch_id", F.lit(batch_id))
+         .withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("append").parquet(ledger))
 
     return write
