@@ -1,9 +1,9 @@
 """Join operators (section 2.3).
 
-No side is force-broadcast here: Spark's size statistics and AQE's runtime
-sizes (``spark.sql.adaptive.autoBroadcastJoinThreshold``) decide, which is a
-measured bound. Big sides stay sort-merge joins whose skewed partitions AQE
-splits.
+A side is broadcast only with a proven bound: either Spark's own size
+statistics and AQE's runtime sizes (``autoBroadcastJoinThreshold``) decide, or
+``enrich_checked`` materialises a keyed enrichment and counts it first. Big
+sides stay sort-merge joins whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -18,6 +18,27 @@ def _cols(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+# Rows up to which a materialised dimension is broadcast (a few hundred MB of
+# narrow rows at most); larger ones take the shuffle join.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def enrich_checked(fact: DataFrame, dim: DataFrame, on, how: str = "left",
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a keyed enrichment (one row per key) onto a large fact.
+
+    The enrichment is materialised once into the shared checkpoint folder and
+    counted; it is broadcast only when that count is within ``max_rows``, so
+    the fact keeps its partitioning and a hot key costs nothing. Beyond the
+    bound the plan is a sort-merge join, where AQE splits skewed fact
+    partitions."""
+    from martlet.session import cut_lineage
+
+    dim = cut_lineage(dim)
+    side = F.broadcast(dim) if dim.count() <= max_rows else dim
+    return fact.join(side, on, how)
+
+
 def inner(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """J1."""
     return left.join(right, on, "inner")
@@ -127,11 +148,18 @@ def asof_left(left_df: DataFrame, right: DataFrame, by: str, left_ts: str,
     r = r.select(F.col(by).alias("_rk"), "_bucket", "_end", "_prev",
                  F.col(right_ts).alias("_rts"), *[F.col(p).alias(f"_r_{p}") for p in payload])
 
+    from martlet.session import cut_lineage
+
+    # The expanded interval table is materialised and counted: broadcast when
+    # within the bound (the fact is then never shuffled), else a shuffle join
+    # on (key, month).
+    r = cut_lineage(r)
+    r_side = F.broadcast(r) if r.count() <= BROADCAST_MAX_ROWS else r
     lb = left_df.withColumn("_lbucket", F.trunc(F.col(left_ts), "MM"))
-    cond = ((lb[by] == r["_rk"]) & (lb["_lbucket"] == r["_bucket"])
-            & (lb[left_ts] <= r["_end"])
-            & (r["_prev"].isNull() | (lb[left_ts] > r["_prev"])))
-    out = lb.join(r, cond, "left")
+    cond = ((lb[by] == r_side["_rk"]) & (lb["_lbucket"] == r_side["_bucket"])
+            & (lb[left_ts] <= r_side["_end"])
+            & (r_side["_prev"].isNull() | (lb[left_ts] > r_side["_prev"])))
+    out = lb.join(r_side, cond, "left")
     return out.select(*[lb[c] for c in left_df.columns],
                       F.col("_rts").alias(right_ts),
                       *[F.col(f"_r_{p}").alias(p) for p in payload])

@@ -75,14 +75,19 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def phone_metrics(ship: DataFrame) -> DataFrame:
-    """Retention and value metrics per phone over all shipped B2B orders
-    (the whole shipment table, not only the mart's period)."""
+    """Per phone over all shipped B2B orders (the whole shipment table, not
+    only the mart's period): retention flags, value metrics and the first
+    shipment (``argMin(shipment_id, shipped_at)``). All three are keyed by
+    phone and come out hash-partitioned by it, so they join without a shuffle."""
     base = (ship.where(F.col("b2b_measure").isin(1, 2) & (F.col("shipment_state") == "shipped")
                        & F.col("phone").isNotNull())
             .withColumn("ship_day", local_date("shipped_at")))
     ret = aggs.retention(base, "phone", "ship_day")
     val = aggs.customer_value(base, "phone", "ship_day", "gmv_goods_net_promo")
-    return val.join(ret, "phone", "inner")
+    first = (base.where(F.col("shipped_at").isNotNull()).groupBy("phone")
+             .agg(aggs.arg_min("shipment_id", F.struct("shipped_at", "shipment_id"))
+                  .alias("first_order_shipment_id_phone")))
+    return val.join(ret, "phone", "inner").join(first, "phone", "left")
 
 
 def group_metrics(ship: DataFrame) -> DataFrame:
@@ -112,19 +117,24 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     """The wide table: fact + company + manager + first orders + retention x2
     + value metrics + costs + classification, conformed to a typed schema."""
     ship = shipments(spark, sf_dir, as_of=as_of)
-    comp = companies(spark, sf_dir)
-    s = ship.join(comp.select(F.col("inn").alias("company_inn"), "company_id", "payment_type",
-                              "finance_income", "employee_count", "category_type",
-                              F.col("name").alias("company_name"), "company_fraud_flg"),
-                  "company_inn", "left")
-    s = with_manager(s, view(spark, sf_dir, "v_user_group"), managers(spark, sf_dir))
+    comp = companies(spark, sf_dir).select(
+        F.col("inn").alias("company_inn"), "company_id", "payment_type", "finance_income", "employee_count",
+        "category_type", F.col("name").alias("company_name"), "company_fraud_flg")
+    user_group = view(spark, sf_dir, "v_user_group").select("user_id", "company_group_id")
+    # Scan-backed dimensions: Spark's file-size estimate is an upper bound and
+    # decides broadcast vs sort-merge on its own.
+    s = ship.join(comp, "company_inn", "left").join(user_group, "user_id", "left")
+    a = joins.asof_left(s, managers(spark, sf_dir), by="company_group_id", left_ts="shipped_at",
+                        right_ts="date_end", payload=["date_start", "manager_id", "first_manager_id"])
+    s = joins.assigned_manager(a)
+    # Per-phone metrics grow with the customers: a plain join (sort-merge at
+    # scale, AQE splits a hot phone's partition).
     s = s.join(phone_metrics(view(spark, sf_dir, "v_shipment")), "phone", "left")
-    s = s.join(group_metrics(s.select("company_group_id", "shipped_at", "shipment_state")),
-               "company_group_id", "left")
-    first_ship = (ship.where(F.col("phone").isNotNull() & F.col("shipped_at").isNotNull())
-                  .groupBy("phone").agg(aggs.arg_min("shipment_id", F.struct("shipped_at", "shipment_id"))
-                                        .alias("first_order_shipment_id_phone")))
-    s = s.join(first_ship, "phone", "left")
+    # Per-group metrics are bounded by the group dimension: materialised,
+    # counted and broadcast, so the fact is not shuffled by group (a hot group
+    # would land in one task).
+    groups = group_metrics(ship.select("user_id", "shipped_at", "shipment_state").join(user_group, "user_id", "left"))
+    s = joins.enrich_checked(s, groups, "company_group_id")
     s = costs_and_margin(s, view(spark, sf_dir, "v_order_cost"))
     s = s.withColumn("company_type", rules.company_type("b2b_measure", F.coalesce("category_type", F.lit("")),
                                                         "company_name", "finance_income", "employee_count"))

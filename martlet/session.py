@@ -48,7 +48,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and read it back: the plan is computed once, later uses read fixed files
+    (so ids and sorts do not change on recomputation), lineage is cut, and a
+    lost executor only costs a re-read. The read-back also carries real file
+    sizes for the optimizer's broadcast decisions."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

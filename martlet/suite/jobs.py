@@ -473,7 +473,7 @@ _MART_CTES = _ASOF_CTES + [
        cast(coalesce(lower(manager_comment) like '%test%' or lower(manager_comment) like '%fraud%', false) as integer)
          as company_fraud_flg
      from v_company"""),
-    ("pbase", f"""select phone, {ld('shipped_at')} as d, gmv_goods_net_promo from v_shipment
+    ("pbase", f"""select phone, {ld('shipped_at')} as d, gmv_goods_net_promo, shipment_id, shipped_at from v_shipment
      where b2b_measure in (1, 2) and shipment_state = 'shipped' and phone is not null"""),
     ("pret", _ret_cte("pbase", "phone", "ret")),
     ("pval", f"""select phone, min(d) as first_order_dt, max(d) as last_order_dt, sum(gmv_goods_net_promo) as user_gmv,
@@ -486,7 +486,7 @@ _MART_CTES = _ASOF_CTES + [
     ("gret", _ret_cte("gbase", "company_group_id", "group_ret")),
     ("gfl", "select company_group_id, min(d) as group_first_order_dt from gbase group by company_group_id"),
     ("fs", """select phone, arg_min(shipment_id, (shipped_at, shipment_id)) as first_order_shipment_id_phone
-     from s where phone is not null and shipped_at is not null group by phone"""),
+     from pbase where shipped_at is not null group by phone"""),
 ]
 
 _MART_SELECT = f"""
