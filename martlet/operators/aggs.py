@@ -148,13 +148,53 @@ def share(df: DataFrame, by: Sequence[str], col: str, name_group: str = "pct_of_
             .drop("_gsum", "_grand"))
 
 
+def exact_median(df: DataFrame, by: Sequence[str], col: str, name: str = "median",
+                 accuracy: int = 100_000) -> DataFrame:
+    """Exact median per group (mean of the two middle values for an even
+    count, NULLs ignored) without holding a group's values in one task.
+
+    An approximate quantile sketch brackets the middle ranks: its rank error
+    is at most n/accuracy, so the values in [lo, hi] (about 4n/accuracy of
+    them) contain both middle ranks. Only that band is ranked; the rows below
+    ``lo`` are just counted. If the bracket misses (tiny groups), that group
+    falls back to ranking all its values, which are few then."""
+    keys = list(by) or ["_all"]
+    base = df.select(*by, col).where(F.col(col).isNotNull())
+    if not by:
+        base = base.withColumn("_all", F.lit(1))
+    d = 2.0 / accuracy
+    stats = base.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx(col, max(0.0, 0.5 - d), accuracy).alias("_lo"),
+        F.percentile_approx(col, min(1.0, 0.5 + d), accuracy).alias("_hi"))
+    x = F.col(col)
+    counts = (base.join(stats, keys).groupBy(*keys)
+              .agg(F.count_if(x < F.col("_lo")).alias("_below"),
+                   F.count_if((x >= F.col("_lo")) & (x <= F.col("_hi"))).alias("_band")))
+    k1 = F.floor((F.col("_n") + 1) / 2)
+    k2 = F.floor(F.col("_n") / 2) + 1
+    ok = (F.col("_below") < k1) & (F.col("_below") + F.col("_band") >= k2)
+    bracket = (stats.join(counts, keys)
+               .select(*keys, k1.alias("_k1"), k2.alias("_k2"),
+                       F.when(ok, F.col("_lo")).alias("_lo"), F.when(ok, F.col("_hi")).alias("_hi"),
+                       F.when(ok, F.col("_below")).otherwise(0).alias("_below")))
+    band = (base.join(bracket, keys)
+            .where(F.col("_lo").isNull() | ((x >= F.col("_lo")) & (x <= F.col("_hi")))))
+    w = Window.partitionBy(*keys).orderBy(x)
+    ranked = band.withColumn("_r", F.col("_below") + F.row_number().over(w))
+    med = (ranked.where((F.col("_r") == F.col("_k1")) | (F.col("_r") == F.col("_k2")))
+           .groupBy(*keys).agg(F.avg(x).alias(name)))
+    return med.drop("_all") if not by else med
+
+
 def stats_long(df: DataFrame, col: str, stats: Sequence[str] = ("max", "min", "mean", "median"),
                name_stat: str = "statistic", name_value: str = "value") -> DataFrame:
     """Several statistics in one pass, as (statistic, value) rows."""
-    fns = {"max": F.max, "min": F.min, "mean": F.avg, "median": F.median,
-           "sum": F.sum, "count": F.count, "std": F.stddev}
-    wide = df.agg(*[fns[s](col).cast("double").alias(s) for s in stats])
-    return wide.unpivot([], list(stats), name_stat, name_value)
+    fns = {"max": F.max, "min": F.min, "mean": F.avg, "sum": F.sum, "count": F.count, "std": F.stddev}
+    wide = df.agg(*[fns[s](col).cast("double").alias(s) for s in stats if s != "median"])
+    if "median" in stats:
+        wide = with_scalars(wide, exact_median(df, [], col, "median"))
+    return wide.select(*stats).unpivot([], list(stats), name_stat, name_value)
 
 
 def sum_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None,

@@ -76,8 +76,9 @@ select shipment_id, offer_id, quantity from (
   from v_line_item) t where rn = 1""", "v_line_item"))
 def dedupe_subset(spark, sf):
     li = V(spark, sf, "v_line_item")
+    li = li.select("shipment_id", "offer_id", "quantity", "price", "supplier_id")
     return windows.dedupe(li, ["shipment_id", "offer_id"],
-                          [F.col("quantity").desc(), F.col("price").desc(), F.col("supplier_id")]
+                          [("quantity", "desc"), ("price", "desc"), ("supplier_id", "asc")]
                           ).select("shipment_id", "offer_id", "quantity")
 
 
@@ -87,7 +88,7 @@ select shipment_id, offer_id, supplier_id, quantity,
 from v_line_item""", "v_line_item"))
 def flag_duplicates(spark, sf):
     li = V(spark, sf, "v_line_item").select("shipment_id", "offer_id", "supplier_id", "quantity")
-    return windows.flag_dups(li, ["shipment_id", "offer_id"], [F.col("supplier_id"), F.col("quantity")])
+    return windows.flag_dups(li, ["shipment_id", "offer_id"], [("supplier_id", "asc"), ("quantity", "asc")])
 
 
 # ---------------------------------------------------------------- P4 P5 P6 P7

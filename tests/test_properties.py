@@ -86,3 +86,35 @@ def test_chunk_index_is_global_order(spark):
     out = with_chunk_index(df, ["k"], 100).select("k", "row_number", "chunk").orderBy("k").collect()
     assert [r["row_number"] for r in out] == list(range(1, 5001))
     assert all(r["chunk"] == (r["row_number"] - 1) // 100 for r in out)
+
+
+def test_exact_median_equals_numpy(spark):
+    import numpy as np
+    rnd = np.random.default_rng(5)
+    rows = []
+    sizes = {"big": 20000, "odd": 7, "even": 8, "one": 1, "ties": 50}
+    for g, n in sizes.items():
+        vals = rnd.integers(0, 5, n) if g == "ties" else rnd.normal(100, 30, n).round(2)
+        rows += [(g, float(v)) for v in vals]
+    rows += [("odd", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: r["median"] for r in aggs.exact_median(df, ["g"], "x", accuracy=1000).collect()}
+    for g in sizes:
+        want = float(np.median([v for k, v in rows if k == g and v is not None]))
+        assert abs(got[g] - want) < 1e-9, g
+    total = aggs.exact_median(df, [], "x").first()["median"]
+    assert abs(total - float(np.median([v for _, v in rows if v is not None]))) < 1e-9
+
+
+def test_flag_dups_equals_brute_force(spark):
+    from martlet.operators.windows import dedupe, flag_dups
+    rnd = random.Random(11)
+    rows = [(rnd.randrange(5), rnd.randrange(3), rnd.randrange(4)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, a int, b int")
+    flagged = flag_dups(df, ["k"], [("a", "desc"), ("b", "asc")])
+    assert flagged.count() == len(rows)
+    assert flagged.where(~F.col("is_duplicate")).count() == len({r[0] for r in rows})
+    firsts = {r["k"]: (r["a"], r["b"]) for r in dedupe(df, ["k"], [("a", "desc"), ("b", "asc")]).collect()}
+    for k in {r[0] for r in rows}:
+        want = sorted([(a, b) for kk, a, b in rows if kk == k], key=lambda t: (-t[0], t[1]))[0]
+        assert firsts[k] == want
