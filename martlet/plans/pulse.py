@@ -77,7 +77,11 @@ def candidates(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     s = s.join(w, "shipment_id", "inner")
     asof = tf.ts_lit(as_of)
     if cfg.window_basis == "slot":
-        s = s.where(tf.local_date("slot_start") >= F.date_sub(F.to_date(asof), cfg.window_days))
+        first_day = F.date_sub(F.to_date(asof), cfg.window_days)
+        # A coarse bound on the raw UTC time reaches the scan (a zone offset is
+        # less than a day); the exact local-date test follows.
+        s = s.where(F.col("slot_start") >= F.date_sub(first_day, 1).cast("timestamp_ntz"))
+        s = s.where(tf.local_date("slot_start") >= first_day)
     else:
         s = s.where(tf.lookback("completed_at", asof, f"{cfg.window_days} days"))
     s = s.join(src.company_orders, "order_id", "inner")
