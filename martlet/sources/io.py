@@ -49,7 +49,11 @@ def read_csv_skip(spark: SparkSession, path: str, schema: T.StructType, skip_row
     lines = cut_lineage(lines)  # ids must not be recomputed differently
     first = lines.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_first"))
     drop_n = skip_rows + (1 if header else 0)
-    body = (lines.join(first, "_file", "left")
+    # One row per file: broadcast after a size check, so a single large file
+    # is never shuffled into one partition.
+    from martlet.operators.joins import enrich_checked
+
+    body = (enrich_checked(lines, first, "_file", "left")
             .where(F.col("_first").isNull() | (F.col("_id") >= F.col("_first") + drop_n)))
     parsed = body.select(F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("r"))
     return parsed.select("r.*")

@@ -457,6 +457,9 @@ def vault_hub_link(spark, sf):
 # ---------------------------------------------------------------- K1 the B2B shipment mart
 
 
+from martlet.suite.basics import _COMPANY_TYPE_SQL  # noqa: E402
+
+
 def _ret_cte(base: str, entity: str, prefix: str) -> str:
     flags = [f"coalesce(bool_or(d > first_dt and d <= first_dt + 14), false) as {prefix}_14d"]
     flags += [f"coalesce(bool_or(datediff('month', first_dt, d) = {k}), false) as {prefix}_{k + 1}m"
@@ -493,7 +496,7 @@ _MART_SELECT = f"""
 select a.shipment_id, a.order_id, a.shipment_number, a.user_id, a.phone, a.shipped_at, a.shipped_dt, a.shipment_state,
   a.b2b_measure, c.company_id, cast(coalesce(a.company_group_id, 0) as integer) as company_group_id, c.payment_type,
   cast({_ASSIGNED} as bigint) as assigned_manager_id,
-  {__import__("martlet.suite.basics", fromlist=["x"])._COMPANY_TYPE_SQL.replace("s.b2b_measure", "a.b2b_measure").replace("c.name", "c.company_name")} as company_type,
+  {_COMPANY_TYPE_SQL.replace("s.b2b_measure", "a.b2b_measure").replace("c.name", "c.company_name")} as company_type,
   case
     when a.tenant_id = 'tenant_b2b' and a.platform = 'web' and a.b2b_measure = 2 then 'b2b web'
     when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company b2c web'
