@@ -22,13 +22,12 @@ def _c(c) -> Column:
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a global aggregate (exactly one row, so its size
-    is proven) to every row: a broadcast equi join on a constant key, no
-    shuffle of ``df`` and no collect to the driver."""
-    key = "_scalar_key"
-    return (df.withColumn(key, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(key, F.lit(1))), key, "left")
-            .drop(key))
+    """Attach the values of a global aggregate (exactly one row, so its size
+    is proven) to every row as literals: one small job computes the row, no
+    join (a constant-key join would be planned as a nested-loop cross join)
+    and no shuffle of ``df``."""
+    row = one_row.first()
+    return df.withColumns({c: F.lit(row[c]).cast(one_row.schema[c].dataType) for c in one_row.columns})
 
 
 def arg_max(value, order) -> Column:
