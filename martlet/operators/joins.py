@@ -70,6 +70,26 @@ def anti(left_df: DataFrame, right: DataFrame, on) -> DataFrame:
     return left_df.join(right, on, "left_anti")
 
 
+def anti_small_vs_large(small: DataFrame, large: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS,
+                        materialise: bool = True) -> DataFrame:
+    """J5 for a small frame against a large, ever-growing one (new shipments
+    against the sent ledger). A plain ``left_anti`` can only build on the
+    right side, so the whole ledger would be shuffled on every run. Instead
+    the small side is materialised and counted; within the bound its keys are
+    broadcast into a semi join that reads the ledger once without a shuffle,
+    and the anti join then runs against that small remainder."""
+    from martlet.session import cut_lineage
+
+    keys = _cols(on)
+    if materialise:
+        small = cut_lineage(small, "anti")
+    if small.count() > max_rows:
+        return small.join(large, keys, "left_anti")
+    probe = F.broadcast(small.select(*keys).distinct())
+    hits = large.select(*keys).join(probe, keys, "left_semi").distinct()
+    return small.join(F.broadcast(hits), keys, "left_anti")
+
+
 def join_on_predicate(left_df: DataFrame, right: DataFrame, on, pred: Column,
                       how: str = "inner") -> DataFrame:
     """Dimension filtered inside the join; the filter is applied to the

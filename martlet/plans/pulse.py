@@ -90,9 +90,12 @@ def candidates(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
 
 
 def not_sent(df: DataFrame, ledger: DataFrame, cfg: PulseConfig) -> DataFrame:
+    """Candidates not yet in this pulse's ledger(s). The candidates of one run
+    are few (a look-back window) and the ledger grows forever, so the ledger
+    is probed with the broadcast candidate keys instead of being shuffled."""
     names = list(cfg.ledger_names or (cfg.process_name,))
     sent = ledger.where(F.col("process_name").isin(*names)).select("shipment_number")
-    return joins.anti(df, sent, "shipment_number")
+    return joins.anti_small_vs_large(df, sent, "shipment_number")
 
 
 def _enrich(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:

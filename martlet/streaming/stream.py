@@ -88,21 +88,24 @@ def pulse_batch_sink(spark: SparkSession, out: str, ledger: str, process: str,
     the two writes cannot lose or double a report."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        from martlet.operators.joins import anti_small_vs_large
+
+        fresh = batch.dropDuplicates(["shipment_number"])
         try:
+            # Partition pruning on the process; the micro-batch's keys probe
+            # the ledger (broadcast), so the ledger is never shuffled.
             sent = (spark.read.parquet(ledger).where((F.col("process_name") == process)
                                                      & (F.col("batch_id") < batch_id))
                     .select("shipment_number"))
-            fresh = batch.join(sent, "shipment_number", "left_anti")
+            fresh = anti_small_vs_large(fresh, sent, "shipment_number")
         except Exception as e:  # noqa: BLE001 - empty ledger folder on the first batch
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-            fresh = batch
-        fresh = fresh.dropDuplicates(["shipment_number"])
         report = enrich(fresh)
         report.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         (fresh.select("shipment_number").withColumn("process_name", F.lit(process))
          .withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("append").parquet(ledger))
+         .write.mode("append").partitionBy("process_name").parquet(ledger))
 
     return write
 

@@ -86,7 +86,7 @@ def stream_pulse(spark, sf):
     land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
     ledger = st.scratch(spark, "ledger")
     (src.ledger.where(F.col("process_name") == cfg.process_name).withColumn("batch_id", F.lit(-1).cast("long"))
-     .write.mode("overwrite").parquet(ledger))
+     .write.mode("overwrite").partitionBy("process_name").parquet(ledger))
     cand = cand.drop("shipped_at", "starts_at")
     _stage_in_order(cand, land, 3, "slot_start")
     _stage_in_order(cand, land, 2, "slot_start")
