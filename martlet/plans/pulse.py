@@ -113,10 +113,14 @@ REPORT_COLS = ["completed_local", "slot_end_local", "shipment_number", "quantity
                "manager_email", "manager_phones", "manager_name"]
 
 
+def enrich_report(shipments: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
+    """Report rows of the given (unreported) candidate shipments."""
+    return _enrich(shipments, src, cfg).select(*REPORT_COLS).distinct()
+
+
 def new_orders(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K2: rows of shipments not yet reported by this pulse."""
-    c = not_sent(candidates(src, cfg, as_of), src.ledger, cfg)
-    return _enrich(c, src, cfg).select(*REPORT_COLS).distinct()
+    return enrich_report(not_sent(candidates(src, cfg, as_of), src.ledger, cfg), src, cfg)
 
 
 def ledger_rows(report: DataFrame, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:

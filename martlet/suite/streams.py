@@ -90,12 +90,8 @@ def stream_pulse(spark, sf):
     cand = cand.drop("shipped_at", "starts_at")
     _stage_in_order(cand, land, 3, "slot_start")
     _stage_in_order(cand, land, 2, "slot_start")
-    s = st.read_stream(spark, land, spark.read.parquet(land).schema, files_per_trigger=2)
-
-    def enrich(fresh):
-        return pulse._enrich(fresh, src, cfg).select(*pulse.REPORT_COLS).distinct()
-
-    st.run_to_end(s.writeStream.foreachBatch(st.pulse_batch_sink(spark, out, ledger, cfg.process_name, enrich)), ck)
+    st.run_pulse_stream(spark, cfg, src, land, out, ledger, ck, files_per_trigger=2,
+                        trigger={"availableNow": True})
     return spark.read.parquet(out).drop("batch_id")
 
 
