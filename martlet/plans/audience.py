@@ -45,6 +45,9 @@ class AudienceSpec:
     min_month_orders: int | None = None
     major_shop_size: str | None = None
     n_users: int | None = None
+    must_buy_food: bool = False
+    must_buy_nonfood: bool = False
+    food_roots: tuple[int, ...] = (1, 2)  # top categories counted as food (configuration)
 
 
 def _and(preds: list[Column]) -> Column:
@@ -76,6 +79,10 @@ def build_filters(spec: AudienceSpec) -> tuple[Column, Column]:
         having.append(F.col("orders_period") >= spec.min_orders_period)
     if spec.min_addresses is not None:
         having.append(F.col("address_count") >= spec.min_addresses)
+    if spec.must_buy_food:
+        having.append(F.col("orders_food_category") > 0)
+    if spec.must_buy_nonfood:
+        having.append(F.col("orders_nonfood_category") > 0)
     return _and(where), _and(having)
 
 
@@ -85,13 +92,34 @@ def retailer_size(retailer_id: Column) -> Column:
                           RETAILER_SIZE[2])
 
 
-def user_shipments(shipments: DataFrame, spec: AudienceSpec) -> DataFrame:
+def category_orders(line_items: DataFrame, categories: DataFrame, spec: AudienceSpec) -> DataFrame:
+    """Per order: whether it holds a food / a non-food item, judged by the top
+    ancestor of the item's category (J12). The roots come from the category
+    dictionary (a dimension), joined after a size check."""
+    from martlet.operators.joins import enrich_checked, hierarchy_root
+
+    roots = hierarchy_root(categories, "id", "parent_id").select(F.col("id").alias("offer_id"), "root_id")
+    day = F.to_date("shipped_at")
+    li = (line_items.where(F.col("shipped_at").isNotNull()
+                           & day.between(F.lit(spec.start).cast("date"), F.lit(spec.end).cast("date")))
+          .select("order_id", "offer_id"))
+    food = F.col("root_id").isin(*spec.food_roots)
+    return (enrich_checked(li, roots, "offer_id", "inner").groupBy("order_id")
+            .agg(F.max(food).alias("has_food"), F.max(~food).alias("has_nonfood")))
+
+
+def user_shipments(shipments: DataFrame, spec: AudienceSpec, cat_orders: DataFrame | None = None) -> DataFrame:
     """Per user and platform over the period: orders, addresses, states,
-    retailers, B2B flag and the share of orders at each shop size."""
+    retailers, B2B flag, the share of orders at each shop size, and orders
+    with food / non-food items."""
     where, having = build_filters(spec)
     day = F.to_date("completed_at")
     s = (shipments.where(day.between(F.lit(spec.start).cast("date"), F.lit(spec.end).cast("date")))
          .where(F.col("user_id").isNotNull()).where(where))
+    if cat_orders is not None:
+        s = s.join(cat_orders, "order_id", "left")
+    else:
+        s = s.withColumn("has_food", F.lit(None).cast("boolean")).withColumn("has_nonfood", F.lit(None).cast("boolean"))
     size = retailer_size(F.col("retailer_id"))
     share = (F.avg(F.when(size == spec.major_shop_size, 1.0).otherwise(0.0)) if spec.major_shop_size
              else F.lit(None).cast("double"))
@@ -102,7 +130,9 @@ def user_shipments(shipments: DataFrame, spec: AudienceSpec) -> DataFrame:
         F.max((F.col("b2b_measure") > 0).cast("int")).alias("is_b2b"),
         F.array_sort(F.collect_set("shipment_state")).alias("shipment_states"),
         F.array_sort(F.collect_set(F.concat(F.lit("retailer_"), F.col("retailer_id").cast("string")))).alias("retailer_names"),
-        share.alias("major_share"))
+        share.alias("major_share"),
+        F.count_distinct(F.when(F.col("has_food"), F.col("order_id"))).alias("orders_food_category"),
+        F.count_distinct(F.when(F.col("has_nonfood"), F.col("order_id"))).alias("orders_nonfood_category"))
     return g.where(having)
 
 
@@ -165,13 +195,14 @@ def month_orders(shipments: DataFrame, spec: AudienceSpec) -> DataFrame:
 
 OUTPUT = ["user_id", "platform", "first_name", "last_name", "phone_number", "user_email", "is_b2b", "orders_period",
           "address_count", "min_month_orders", "new_or_old", "use_duration", "sberid_use", "shipment_states",
-          "retailer_names", "major_share"]
+          "retailer_names", "major_share", "orders_food_category", "orders_nonfood_category"]
 
 
 def audience_extract(spark: SparkSession, sf_dir: str, spec: AudienceSpec) -> DataFrame:
     v = lambda n: view(spark, sf_dir, n)
     ship = v("v_shipment")
-    total = (user_shipments(ship, spec)
+    cats = category_orders(v("v_line_item"), v("v_category"), spec)
+    total = (user_shipments(ship, spec, cats)
              .join(funnel(v("v_funnel_web"), v("v_funnel_app"), spec), "user_id")
              .join(sberid_use(v("v_user_auth"), spec), "user_id")
              .join(last_phone(v("v_phone")), "user_id")

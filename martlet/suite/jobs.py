@@ -306,30 +306,52 @@ AUDIENCE = aud.AudienceSpec(start="1995-01-01", end="1999-12-31", funnel_as_of="
 FILTERS = aud.AudienceSpec(start="1996-01-01", end="1998-12-31", funnel_as_of="2024-02-01 00:00:00",
                            platforms=("WEB",), only_b2b=True, retailer_names=("Retailer_2", "retailer_4"),
                            cancellations="without", min_orders_period=2, min_addresses=2,
-                           major_shop_size="supermarket")
+                           major_shop_size="supermarket", must_buy_nonfood=True)
+
+_ROOTS = """select id, root_id from (
+  with recursive up(id, anc, depth) as (
+    select id, coalesce(parent_id, id), 0 from v_category
+    union all
+    select up.id, c.parent_id, up.depth + 1 from up join v_category c on c.id = up.anc where c.parent_id is not null)
+  select id, arg_max(anc, depth) as root_id from up group by id) t"""
+
+_CAT_ORDERS = """select li.order_id, bool_or(r.root_id in (1, 2)) as has_food, bool_or(r.root_id not in (1, 2)) as has_nonfood
+  from v_line_item li join roots r on r.id = li.offer_id
+  where li.shipped_at is not null and cast(li.shipped_at as date) between date '{start}' and date '{end}'
+  group by li.order_id"""
 
 _USER_SHIP = """
-  select user_id, platform, count(distinct order_id) as orders_period, count(distinct store_id) as address_count,
-    max(completed_at) as last_order_ts, max(cast(b2b_measure > 0 as integer)) as is_b2b,
-    list_sort(list_distinct(list(shipment_state))) as shipment_states,
-    list_sort(list_distinct(list('retailer_' || cast(retailer_id as varchar)))) as retailer_names,
-    avg(case when retailer_id % 3 = 0 then 1.0 else 0.0 end) as major_share
-  from v_shipment where cast(completed_at as date) between date '{start}' and date '{end}' and user_id is not null {where}
-  group by user_id, platform"""
+  select s.user_id, s.platform, count(distinct s.order_id) as orders_period, count(distinct s.store_id) as address_count,
+    max(s.completed_at) as last_order_ts, max(cast(s.b2b_measure > 0 as integer)) as is_b2b,
+    list_sort(list_distinct(list(s.shipment_state))) as shipment_states,
+    list_sort(list_distinct(list('retailer_' || cast(s.retailer_id as varchar)))) as retailer_names,
+    avg(case when s.retailer_id % 3 = 0 then 1.0 else 0.0 end) as major_share,
+    count(distinct case when co.has_food then s.order_id end) as orders_food_category,
+    count(distinct case when co.has_nonfood then s.order_id end) as orders_nonfood_category
+  from v_shipment s left join co on co.order_id = s.order_id
+  where cast(s.completed_at as date) between date '{start}' and date '{end}' and s.user_id is not null {where}
+  group by s.user_id, s.platform"""
 
 
 @register("dynamic_filters", with_views(f"""
 select * from us where list_has_any(retailer_names, ['retailer_2', 'retailer_4'])
-  and not list_contains(shipment_states, 'canceled') and orders_period >= 2 and address_count >= 2""",
-                                        "v_shipment", extra=[("us", _USER_SHIP.format(
-                                            start="1996-01-01", end="1998-12-31",
-                                            where="and lower(platform) in ('web') and b2b_measure > 0"))]))
+  and not list_contains(shipment_states, 'canceled') and orders_period >= 2 and address_count >= 2
+  and orders_nonfood_category > 0""",
+                                        "v_shipment", "v_line_item", "v_category", extra=[
+                                            ("roots", _ROOTS),
+                                            ("co", _CAT_ORDERS.format(start="1996-01-01", end="1998-12-31")),
+                                            ("us", _USER_SHIP.format(
+                                                start="1996-01-01", end="1998-12-31",
+                                                where="and lower(s.platform) in ('web') and s.b2b_measure > 0"))]))
 def dynamic_filters(spark, sf):
-    return aud.user_shipments(view(spark, sf, "v_shipment"), FILTERS)
+    cats = aud.category_orders(view(spark, sf, "v_line_item"), view(spark, sf, "v_category"), FILTERS)
+    return aud.user_shipments(view(spark, sf, "v_shipment"), FILTERS, cats)
 
 
 _AUD_CTES = [
-    ("us", _USER_SHIP.format(start="1995-01-01", end="1999-12-31", where="") + " having count(distinct order_id) >= 2"),
+    ("roots", _ROOTS),
+    ("co", _CAT_ORDERS.format(start="1995-01-01", end="1999-12-31")),
+    ("us", _USER_SHIP.format(start="1995-01-01", end="1999-12-31", where="") + " having count(distinct s.order_id) >= 2"),
     ("fu", """select user_id, case when max(order_seq) > 7 then '>7 orders' else '1-7 orders' end as new_or_old,
        case when floor(datediff('day', min(completed_at), max(completed_at)) / 31.0) < 1 and datediff('month', min(completed_at), max(completed_at)) < 1 then 'under 1 month'
             when datediff('month', min(completed_at), max(completed_at)) < 3 then '1-3 months'
@@ -357,12 +379,12 @@ _AUD_CTES = [
 @register("audience_extract", with_views(f"""
 select us.user_id, us.platform, em.first_name, em.last_name, ph.phone_number, em.user_email, us.is_b2b,
   us.orders_period, us.address_count, mo.min_month_orders, fu.new_or_old, fu.use_duration, sb.sberid_use,
-  us.shipment_states, us.retailer_names, us.major_share
+  us.shipment_states, us.retailer_names, us.major_share, us.orders_food_category, us.orders_nonfood_category
 from us join fu using (user_id) join sb using (user_id) join ph using (user_id) join em using (user_id)
 join mo using (user_id)
 where us.major_share >= 0.5
 order by us.user_id, us.platform limit 40""", "v_shipment", "v_funnel_web", "v_funnel_app", "v_user_auth", "v_phone",
-                                         "v_user", extra=_AUD_CTES))
+                                         "v_user", "v_line_item", "v_category", extra=_AUD_CTES))
 def audience_extract(spark, sf):
     return aud.audience_extract(spark, sf, AUDIENCE)
 
