@@ -48,6 +48,11 @@ class AudienceSpec:
     must_buy_food: bool = False
     must_buy_nonfood: bool = False
     food_roots: tuple[int, ...] = (1, 2)  # top categories counted as food (configuration)
+    # Generic forms of the remaining form filters (OS, device, delivery type,
+    # loyalty level, shipping kind, city, retailer category, ...):
+    row_in: tuple[tuple[str, tuple[str, ...]], ...] = ()       # WHERE lower(col) IN values
+    collect: tuple[str, ...] = ()                               # per-user sorted value sets
+    having_any: tuple[tuple[str, tuple[str, ...]], ...] = ()   # HAVING the set has any value
 
 
 def _and(preds: list[Column]) -> Column:
@@ -69,6 +74,10 @@ def build_filters(spec: AudienceSpec) -> tuple[Column, Column]:
         where.append(F.col("b2b_measure") == 0)
     if spec.only_b2b:
         where.append(F.col("b2b_measure") > 0)
+    for col, values in spec.row_in:
+        where.append(F.lower(F.col(col)).isin(*[v.lower() for v in values]))
+    for col, values in spec.having_any:
+        having.append(any_in(f"{col}_set", list(values)))
     if spec.retailer_names:
         having.append(any_in("retailer_names", [r.lower() for r in spec.retailer_names]))
     if spec.cancellations == "with":
@@ -132,7 +141,8 @@ def user_shipments(shipments: DataFrame, spec: AudienceSpec, cat_orders: DataFra
         F.array_sort(F.collect_set(F.concat(F.lit("retailer_"), F.col("retailer_id").cast("string")))).alias("retailer_names"),
         share.alias("major_share"),
         F.count_distinct(F.when(F.col("has_food"), F.col("order_id"))).alias("orders_food_category"),
-        F.count_distinct(F.when(F.col("has_nonfood"), F.col("order_id"))).alias("orders_nonfood_category"))
+        F.count_distinct(F.when(F.col("has_nonfood"), F.col("order_id"))).alias("orders_nonfood_category"),
+        *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"{c}_set") for c in spec.collect])
     return g.where(having)
 
 

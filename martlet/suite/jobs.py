@@ -306,7 +306,9 @@ AUDIENCE = aud.AudienceSpec(start="1995-01-01", end="1999-12-31", funnel_as_of="
 FILTERS = aud.AudienceSpec(start="1996-01-01", end="1998-12-31", funnel_as_of="2024-02-01 00:00:00",
                            platforms=("WEB",), only_b2b=True, retailer_names=("Retailer_2", "retailer_4"),
                            cancellations="without", min_orders_period=2, min_addresses=2,
-                           major_shop_size="supermarket", must_buy_nonfood=True)
+                           major_shop_size="supermarket", must_buy_nonfood=True,
+                           row_in=(("tenant_id", ("TENANT_MAIN", "tenant_b2b")),), collect=("tenant_id",),
+                           having_any=(("tenant_id", ("tenant_b2b",)),))
 
 _ROOTS = """select id, root_id from (
   with recursive up(id, anc, depth) as (
@@ -327,7 +329,7 @@ _USER_SHIP = """
     list_sort(list_distinct(list('retailer_' || cast(s.retailer_id as varchar)))) as retailer_names,
     avg(case when s.retailer_id % 3 = 0 then 1.0 else 0.0 end) as major_share,
     count(distinct case when co.has_food then s.order_id end) as orders_food_category,
-    count(distinct case when co.has_nonfood then s.order_id end) as orders_nonfood_category
+    count(distinct case when co.has_nonfood then s.order_id end) as orders_nonfood_category{extra}
   from v_shipment s left join co on co.order_id = s.order_id
   where cast(s.completed_at as date) between date '{start}' and date '{end}' and s.user_id is not null {where}
   group by s.user_id, s.platform"""
@@ -336,13 +338,15 @@ _USER_SHIP = """
 @register("dynamic_filters", with_views(f"""
 select * from us where list_has_any(retailer_names, ['retailer_2', 'retailer_4'])
   and not list_contains(shipment_states, 'canceled') and orders_period >= 2 and address_count >= 2
-  and orders_nonfood_category > 0""",
+  and orders_nonfood_category > 0 and list_has_any(tenant_id_set, ['tenant_b2b'])""",
                                         "v_shipment", "v_line_item", "v_category", extra=[
                                             ("roots", _ROOTS),
                                             ("co", _CAT_ORDERS.format(start="1996-01-01", end="1998-12-31")),
                                             ("us", _USER_SHIP.format(
                                                 start="1996-01-01", end="1998-12-31",
-                                                where="and lower(s.platform) in ('web') and s.b2b_measure > 0"))]))
+                                                where="and lower(s.platform) in ('web') and s.b2b_measure > 0"
+                                                      " and lower(s.tenant_id) in ('tenant_main', 'tenant_b2b')",
+                                                extra=", list_sort(list_distinct(list(s.tenant_id))) as tenant_id_set"))]))
 def dynamic_filters(spark, sf):
     cats = aud.category_orders(view(spark, sf, "v_line_item"), view(spark, sf, "v_category"), FILTERS)
     return aud.user_shipments(view(spark, sf, "v_shipment"), FILTERS, cats)
@@ -351,7 +355,8 @@ def dynamic_filters(spark, sf):
 _AUD_CTES = [
     ("roots", _ROOTS),
     ("co", _CAT_ORDERS.format(start="1995-01-01", end="1999-12-31")),
-    ("us", _USER_SHIP.format(start="1995-01-01", end="1999-12-31", where="") + " having count(distinct s.order_id) >= 2"),
+    ("us", _USER_SHIP.format(start="1995-01-01", end="1999-12-31", where="", extra="")
+     + " having count(distinct s.order_id) >= 2"),
     ("fu", """select user_id, case when max(order_seq) > 7 then '>7 orders' else '1-7 orders' end as new_or_old,
        case when floor(datediff('day', min(completed_at), max(completed_at)) / 31.0) < 1 and datediff('month', min(completed_at), max(completed_at)) < 1 then 'under 1 month'
             when datediff('month', min(completed_at), max(completed_at)) < 3 then '1-3 months'
