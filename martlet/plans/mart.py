@@ -141,30 +141,53 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     s = s.withColumn("order_type", rules.order_channel("tenant_id", "platform", "b2b_measure",
                                                        "b2b_order_company_flg"))
     s = s.withColumn("new_or_repeat", rules.new_or_repeat("first_order_shipment_id_phone", "shipment_id"))
-    return conform(s)
+    # The output group is the user's group for company orders only (the as-of
+    # and the group metrics above use the user's group as is).
+    s = s.withColumn("company_group_id", F.when(F.col("b2b_measure") == 2, F.col("company_group_id")))
+    return conform(s.withColumnRenamed("total", "customer_total"))
 
 
+RET_MONTHS = [f"{k}m" for k in range(2, 13)]
+
+# The typed output: (name, Spark type). NULL in a column of MART_DEFAULTS
+# becomes the type default at the sink (non-Nullable target columns).
 MART_SCHEMA = [
+    # shipment
     ("shipment_id", "bigint"), ("order_id", "bigint"), ("shipment_number", "string"),
     ("user_id", "bigint"), ("phone", "string"), ("shipped_at", "timestamp_ntz"),
-    ("shipped_dt", "date"), ("shipment_state", "string"), ("b2b_measure", "int"),
-    ("company_id", "bigint"), ("company_group_id", "int"), ("payment_type", "string"),
-    ("assigned_manager_id", "bigint"), ("company_type", "string"), ("order_type", "string"),
-    ("new_or_repeat", "string"), ("company_fraud_flg", "int"),
+    ("starts_at", "timestamp_ntz"), ("completed_at", "timestamp_ntz"), ("shipped_dt", "date"),
+    ("shipment_state", "string"), ("payment_state", "string"), ("payment_method_name", "string"),
+    ("b2b_measure", "int"), ("b2b_order_company_flg", "int"), ("platform", "string"), ("tenant_id", "string"),
+    ("retailer_id", "int"), ("store_id", "int"), ("total_weight", "bigint"),
+    # company and group
+    ("company_id", "bigint"), ("company_inn", "string"), ("company_name", "string"),
+    ("finance_income", "bigint"), ("employee_count", "int"), ("category_type", "string"),
+    ("payment_type", "string"), ("company_fraud_flg", "int"), ("company_type", "string"),
+    ("company_group_id", "int"),
+    # manager
+    ("manager_id", "bigint"), ("first_manager_id", "bigint"), ("date_start", "date"), ("date_end", "date"),
+    ("assigned_manager_id", "bigint"),
+    # money
+    ("customer_total", "double"), ("payment_total", "double"),
     ("gmv_goods_net_promo", "double"), ("gmv_service_fee_net_promo", "double"),
     ("gmv_sales_net_promo", "double"), ("gross_profit", "double"),
     ("picking_costs", "double"), ("drive_costs", "double"), ("taxi_costs", "double"),
     ("delivery_cost", "double"), ("cp1", "double"),
-    ("first_order_dt", "date"), ("last_order_dt", "date"),
+    # classification
+    ("order_type", "string"), ("new_or_repeat", "string"),
+    # per phone
+    ("first_order_dt", "date"), ("last_order_dt", "date"), ("first_order_shipment_id_phone", "bigint"),
     ("user_gmv", "double"), ("user_order_cnt", "bigint"), ("user_active_months_count", "bigint"),
-    ("user_age_month", "int"), ("user_aov", "double"),
-    ("ret_14d", "int"), ("ret_2m", "int"), ("ret_3m", "int"), ("ret_12m", "int"),
-    ("group_first_order_dt", "date"), ("group_ret_14d", "int"), ("group_ret_2m", "int"),
+    ("user_age_month", "int"), ("user_avg_orders_per_active_month", "double"),
+    ("user_avg_orders_per_month", "double"), ("user_avg_arpu_per_month", "double"), ("user_aov", "double"),
+    ("ret_14d", "int"), *[(f"ret_{m}", "int") for m in RET_MONTHS],
+    # per company group
+    ("group_first_order_dt", "date"), ("group_last_order_dt", "date"),
+    ("group_ret_14d", "int"), *[(f"group_ret_{m}", "int") for m in RET_MONTHS],
 ]
 
-# Columns whose NULL becomes the type default at the sink (non-Nullable target columns).
-MART_DEFAULTS = {"company_group_id": 0, "ret_14d": 0, "ret_2m": 0, "ret_3m": 0, "ret_12m": 0,
-                 "group_ret_14d": 0, "group_ret_2m": 0, "company_fraud_flg": 0}
+MART_DEFAULTS = {"company_group_id": 0, "company_fraud_flg": 0, "assigned_manager_id": 0,
+                 **{n: 0 for n, _ in MART_SCHEMA if n.startswith(("ret_", "group_ret_"))}}
 
 
 def conform(df: DataFrame, schema=MART_SCHEMA, defaults=MART_DEFAULTS) -> DataFrame:
@@ -173,7 +196,7 @@ def conform(df: DataFrame, schema=MART_SCHEMA, defaults=MART_DEFAULTS) -> DataFr
     cols = []
     for name, typ in schema:
         c = F.col(name)
-        if typ in ("int", "bigint") and name.startswith(("ret_", "group_ret_")):
+        if name.startswith(("ret_", "group_ret_")):
             c = c.cast("int")
         c = c.try_cast(typ)
         if name in defaults:

@@ -506,25 +506,26 @@ _MART_CTES = _ASOF_CTES + [
     ("pbase", f"""select phone, {ld('shipped_at')} as d, gmv_goods_net_promo, shipment_id, shipped_at from v_shipment
      where b2b_measure in (1, 2) and shipment_state = 'shipped' and phone is not null"""),
     ("pret", _ret_cte("pbase", "phone", "ret")),
+    ("fs", """select phone, arg_min(shipment_id, (shipped_at, shipment_id)) as first_order_shipment_id_phone
+     from pbase where shipped_at is not null group by phone"""),
     ("pval", f"""select phone, min(d) as first_order_dt, max(d) as last_order_dt, sum(gmv_goods_net_promo) as user_gmv,
        count(*) as user_order_cnt, count(distinct {month('d')}) as user_active_months_count,
-       cast(greatest(coalesce(datediff('month', min(d), max(d)), 1), 1) as integer) as user_age_month,
-       sum(gmv_goods_net_promo) / count(*) as user_aov
+       cast(greatest(coalesce(datediff('month', min(d), max(d)), 1), 1) as integer) as user_age_month
      from pbase group by phone"""),
+    ("pv", """select v.*, fs.first_order_shipment_id_phone,
+       case when user_active_months_count = 0 then null else user_order_cnt / user_active_months_count end
+         as user_avg_orders_per_active_month,
+       user_order_cnt / user_age_month as user_avg_orders_per_month, user_gmv / user_age_month as user_avg_arpu_per_month,
+       user_gmv / user_order_cnt as user_aov
+     from pval v left join fs using (phone)"""),
     ("gbase", f"""select company_group_id, {ld('shipped_at')} as d from a
      where shipment_state = 'shipped' and company_group_id is not null"""),
     ("gret", _ret_cte("gbase", "company_group_id", "group_ret")),
-    ("gfl", "select company_group_id, min(d) as group_first_order_dt from gbase group by company_group_id"),
-    ("fs", """select phone, arg_min(shipment_id, (shipped_at, shipment_id)) as first_order_shipment_id_phone
-     from pbase where shipped_at is not null group by phone"""),
+    ("gfl", """select company_group_id, min(d) as group_first_order_dt, max(d) as group_last_order_dt
+     from gbase group by company_group_id"""),
 ]
 
-_MART_SELECT = f"""
-select a.shipment_id, a.order_id, a.shipment_number, a.user_id, a.phone, a.shipped_at, a.shipped_dt, a.shipment_state,
-  a.b2b_measure, c.company_id, cast(coalesce(a.company_group_id, 0) as integer) as company_group_id, c.payment_type,
-  cast({_ASSIGNED} as bigint) as assigned_manager_id,
-  {_COMPANY_TYPE_SQL.replace("s.b2b_measure", "a.b2b_measure").replace("c.name", "c.company_name")} as company_type,
-  case
+_ORDER_TYPE_SQL = """case
     when a.tenant_id = 'tenant_b2b' and a.platform = 'web' and a.b2b_measure = 2 then 'b2b web'
     when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company b2c web'
     when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 0 then 'for self with company b2c web'
@@ -534,23 +535,52 @@ select a.shipment_id, a.order_id, a.shipment_number, a.user_id, a.phone, a.shipp
     when a.tenant_id in ('tenant_wl') and a.platform = 'web' then 'white label'
     when a.platform = 'app' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company app'
     when a.platform = 'app' and a.b2b_measure = 2 and a.b2b_order_company_flg = 0 then 'for self with company app'
-    when a.platform = 'app' and a.b2b_measure = 1 then 'with tick app' else 'other' end as order_type,
-  case when fs.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end as new_or_repeat,
-  coalesce(c.company_fraud_flg, 0) as company_fraud_flg,
-  a.gmv_goods_net_promo, a.gmv_service_fee_net_promo, a.gmv_goods_net_promo + a.gmv_service_fee_net_promo as gmv_sales_net_promo,
-  a.gross_profit, coalesce(oc.picking_costs, 0) as picking_costs, coalesce(oc.drive_costs, 0) as drive_costs,
-  coalesce(oc.taxi_costs, 0) as taxi_costs, coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0) as delivery_cost,
-  case when a.shipment_state = 'shipped' then a.gross_profit else 0 end
-    - (coalesce(oc.picking_costs, 0) + coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0)) as cp1,
-  pv.first_order_dt, pv.last_order_dt, pv.user_gmv, pv.user_order_cnt, pv.user_active_months_count, pv.user_age_month,
-  pv.user_aov, coalesce(cast(pr.ret_14d as integer), 0) as ret_14d, coalesce(cast(pr.ret_2m as integer), 0) as ret_2m,
-  coalesce(cast(pr.ret_3m as integer), 0) as ret_3m, coalesce(cast(pr.ret_12m as integer), 0) as ret_12m,
-  g.group_first_order_dt, coalesce(cast(gr.group_ret_14d as integer), 0) as group_ret_14d,
-  coalesce(cast(gr.group_ret_2m as integer), 0) as group_ret_2m
+    when a.platform = 'app' and a.b2b_measure = 1 then 'with tick app' else 'other' end"""
+
+_COSTS = "(coalesce(oc.picking_costs, 0) + coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0))"
+# Oracle expression per mart column (default: the column of the as-of'd fact `a`).
+_MART_EXPR = {
+    "company_id": "c.company_id", "company_name": "c.company_name", "finance_income": "c.finance_income",
+    "employee_count": "c.employee_count", "category_type": "c.category_type", "payment_type": "c.payment_type",
+    "company_fraud_flg": "c.company_fraud_flg",
+    "company_type": _COMPANY_TYPE_SQL.replace("s.b2b_measure", "a.b2b_measure").replace("c.name", "c.company_name"),
+    "company_group_id": "case when a.b2b_measure = 2 then a.company_group_id end",
+    "date_start": "cast(a.date_start as date)", "date_end": "a.end_period",
+    "assigned_manager_id": _ASSIGNED, "customer_total": "a.total",
+    "gmv_sales_net_promo": "a.gmv_goods_net_promo + a.gmv_service_fee_net_promo",
+    "picking_costs": "coalesce(oc.picking_costs, 0)", "drive_costs": "coalesce(oc.drive_costs, 0)",
+    "taxi_costs": "coalesce(oc.taxi_costs, 0)", "delivery_cost": "coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0)",
+    "cp1": f"case when a.shipment_state = 'shipped' then a.gross_profit else 0 end - {_COSTS}",
+    "order_type": _ORDER_TYPE_SQL,
+    "new_or_repeat": "case when pv.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end",
+    "group_first_order_dt": "g.group_first_order_dt", "group_last_order_dt": "g.group_last_order_dt",
+}
+for _n in ("first_order_dt", "last_order_dt", "first_order_shipment_id_phone", "user_gmv", "user_order_cnt",
+           "user_active_months_count", "user_age_month", "user_avg_orders_per_active_month",
+           "user_avg_orders_per_month", "user_avg_arpu_per_month", "user_aov"):
+    _MART_EXPR[_n] = f"pv.{_n}"
+for _n, _t in mart.MART_SCHEMA:
+    if _n.startswith("ret_"):
+        _MART_EXPR[_n] = f"cast(pr.{_n} as integer)"
+    elif _n.startswith("group_ret_"):
+        _MART_EXPR[_n] = f"cast(gr.{_n} as integer)"
+
+_DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+              "timestamp_ntz": "TIMESTAMP"}
+
+
+def _mart_col(name: str, typ: str) -> str:
+    e = f"try_cast(({_MART_EXPR.get(name, 'a.' + name)}) as {_DUCK_TYPE[typ]})"
+    if name in mart.MART_DEFAULTS:
+        e = f"coalesce({e}, {mart.MART_DEFAULTS[name]})"
+    return f"{e} as {name}"
+
+
+_MART_SELECT = ("select " + ",\n  ".join(_mart_col(n, t) for n, t in mart.MART_SCHEMA) + """
 from a left join comp c on c.company_inn = a.company_inn
-left join pval pv on pv.phone = a.phone left join pret pr on pr.phone = a.phone
+left join pv on pv.phone = a.phone left join pret pr on pr.phone = a.phone
 left join gfl g on g.company_group_id = a.company_group_id left join gret gr on gr.company_group_id = a.company_group_id
-left join fs on fs.phone = a.phone left join v_order_cost oc on oc.shipment_id = a.shipment_id"""
+left join v_order_cost oc on oc.shipment_id = a.shipment_id""")
 
 
 @register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_user_group", "v_manager_period", "v_company",
