@@ -176,8 +176,33 @@ def big_orders(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     li = src.line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "price", "quantity")
     j = c.join(li, "shipment_id").withColumn("sku_total", F.col("price") * F.col("quantity"))
     j = j.where(rules.big_order("sku_total", "total", line_min, total_min, mode))
-    return j.select("shipment_number", "company_id", "offer_id", "price", "quantity", "sku_total", "total",
-                    "completed_local")
+    return j.select("shipment_number", "company_id", "store_id", "offer_id", "price", "quantity", "sku_total",
+                    "total", "completed_local")
+
+
+def store_keys(store_configs: DataFrame) -> DataFrame:
+    """A store's key number is the part of its import key after the
+    first '-' (at most 15 characters), kept as text."""
+    from martlet.functions.text import key_from_text
+
+    return store_configs.select("store_id", key_from_text("import_key").alias("key_number")).distinct()
+
+
+def recipients(rows: DataFrame, directory: DataFrame, store_config: DataFrame, directors: DataFrame,
+               fb: Fallback = Fallback()) -> DataFrame:
+    """K4 + S10: who receives each alerted shipment: the responsible managers
+    of its company (fallback mail when none), and the director and deputy of
+    its store found through the store key number; mails lower-cased, sorted,
+    distinct. A shipment has a handful of recipients, so the per-shipment set
+    is bounded."""
+    ship = rows.select("shipment_number", "company_id", "store_id").distinct()
+    mgr = (ship.join(directory.select("company_id", "manager_email"), "company_id", "left")
+           .select("shipment_number", F.coalesce("manager_email", F.lit(fb.email)).alias("mail")))
+    keyed = ship.join(store_keys(store_config), "store_id", "inner").join(directors, "key_number", "inner")
+    store = keyed.select("shipment_number", F.explode(F.array("director_email", "zamdirector_email")).alias("mail"))
+    mails = mgr.unionByName(store).where(F.col("mail").isNotNull()).select("shipment_number", F.lower("mail").alias("mail"))
+    g = mails.groupBy("shipment_number").agg(F.array_sort(F.collect_set("mail")).alias("recipients"))
+    return g.withColumn("recipients_text", F.array_join("recipients", "; "))
 
 
 def over_limit(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:

@@ -192,7 +192,7 @@ def _big_sql(cfg):
     mode, lmin, tmin = cfg.line_rule
     op = "and" if mode == "and" else "or"
     return f"""
-select c.shipment_number, c.company_id, li.offer_id, li.price, li.quantity, li.price * li.quantity as sku_total,
+select c.shipment_number, c.company_id, c.store_id, li.offer_id, li.price, li.quantity, li.price * li.quantity as sku_total,
   c.total, c.completed_local
 from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
 where c.payment_state not in ('not_paid', 'failed') and (li.price * li.quantity >= {lmin} {op} c.total >= {tmin})"""
@@ -587,3 +587,53 @@ left join v_order_cost oc on oc.shipment_id = a.shipment_id""")
                                  "v_order_cost", extra=_MART_CTES))
 def b2b_mart(spark, sf):
     return mart.b2b_mart(spark, sf)
+
+
+# ---------------------------------------------------------------- K4 recipients (S3 sheet, J7 key, S10)
+
+_STORE_CONFIG = """select distinct store_id, 'R' || cast(retailer_id as varchar) || '-' || lpad(cast(store_id as varchar), 4, '0')
+  as import_key from v_shipment"""
+_DIRECTORS = """select distinct lpad(cast(store_id as varchar), 4, '0') as key_number,
+  'Director' || cast(store_id as varchar) || '@Example.org' as director_email,
+  case when store_id % 3 = 0 then null else 'deputy' || cast(store_id as varchar) || '@example.org' end as zamdirector_email
+  from v_shipment"""
+
+
+def _store_fixtures(spark, sf):
+    """Store configs and the directors sheet, derived by Spark from the
+    shipments' stores; the sheet is written as CSV and read back like the
+    users' spreadsheet (text keys, required key, duplicates dropped)."""
+    from martlet.sources import io as sio
+
+    ship = view(spark, sf, "v_shipment").select("retailer_id", "store_id").distinct()
+    configs = ship.select("store_id", F.concat(F.lit("R"), F.col("retailer_id").cast("string"), F.lit("-"),
+                                               F.lpad(F.col("store_id").cast("string"), 4, "0")).alias("import_key"))
+    sheet = ship.select(
+        F.lpad(F.col("store_id").cast("string"), 4, "0").alias("key_number"),
+        F.concat(F.lit("Director"), F.col("store_id").cast("string"), F.lit("@Example.org")).alias("director_email"),
+        F.when(F.col("store_id") % 3 != 0, F.concat(F.lit("deputy"), F.col("store_id").cast("string"),
+                                                    F.lit("@example.org"))).alias("zamdirector_email"))
+    path = sio.scratch_path(spark, "directors")
+    sio.write_report(sheet.unionAll(sheet), path, fmt="csv")
+    directors = sio.read_reference(spark, path, [("key_number", "string"), ("director_email", "string"),
+                                                 ("zamdirector_email", "string")], required=["key_number"])
+    return configs, directors
+
+
+@register("pulse_big_order_recipients", with_views(f"""
+select shipment_number, list_sort(list_distinct(list(lower(mail)))) as recipients,
+  array_to_string(list_sort(list_distinct(list(lower(mail)))), '; ') as recipients_text
+from (
+  select b.shipment_number, coalesce(d.manager_email, '{_FB.email}') as mail
+  from (select distinct shipment_number, company_id, store_id from big) b left join dir d on d.company_id = b.company_id
+  union all
+  select b.shipment_number, unnest([r.director_email, r.zamdirector_email]) as mail
+  from (select distinct shipment_number, company_id, store_id from big) b
+  join sc on sc.store_id = b.store_id join ds r on r.key_number = substring(sc.import_key, instr(sc.import_key, '-') + 1, 15)
+) t where mail is not null group by shipment_number""", *_PULSE_VIEWS, extra=[
+    ("dir", _DIRECTORY), ("c", _cand_sql(BIG_OR, slot=False)),
+    ("big", _big_sql(BIG_OR)), ("sc", _STORE_CONFIG), ("ds", _DIRECTORS)]))
+def pulse_big_order_recipients(spark, sf):
+    src = pulse.Sources.fixture(spark, sf)
+    configs, directors = _store_fixtures(spark, sf)
+    return pulse.recipients(pulse.big_orders(src, BIG_OR), src.directory, configs, directors)
