@@ -34,6 +34,7 @@ class PulseConfig:
     window_basis: str = "slot"  # 'slot': local slot date; 'completed': completion time
     line_rule: tuple[str, float, float] | None = None  # (mode, line_min, total_min)
     ledger_names: tuple[str, ...] = ()  # ledgers read for the anti join (default: own)
+    scan_ledger: str | None = None  # over-limit: first-stage ledger of scanned shipments
     trigger: str = "12 minutes"
     fallback: Fallback = field(default_factory=Fallback)
 
@@ -205,6 +206,34 @@ def recipients(rows: DataFrame, directory: DataFrame, store_config: DataFrame, d
     return g.withColumn("recipients_text", F.array_join("recipients", "; "))
 
 
+def _over_limit_lines(gated: DataFrame, src: Sources) -> DataFrame:
+    li = src.line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "quantity")
+    o = src.offers.select(F.col("id").alias("offer_id"), "retailer_sku")
+    lim = src.limits.dropna(subset=["max_qty"])
+    j = gated.join(li, "shipment_id").join(o, "offer_id").join(lim, "retailer_sku")
+    return j.where(F.col("quantity") > F.col("max_qty"))
+
+
+def over_limit_ledgers(src: Sources, cfg: PulseConfig, as_of: str = AS_OF,
+                       log_before_gate: bool = False) -> DataFrame:
+    """K5 two-stage ledger: shipments not yet *scanned* are checked; the
+    scanned stage is logged after the payment gate (so an unpaid shipment is
+    checked again on the next run), or before it with ``log_before_gate``
+    (the reference's order, where such a shipment is never re-checked); the
+    *alerted* stage logs the shipments with a line over its limit."""
+    scan_name = cfg.scan_ledger or f"{cfg.process_name}_scanned"
+    scan_cfg = PulseConfig(scan_name, retailer_ids=cfg.retailer_ids, store_ids=cfg.store_ids, states=cfg.states,
+                           window_days=cfg.window_days, window_basis=cfg.window_basis)
+    fresh = not_sent(candidates(src, scan_cfg, as_of), src.ledger, scan_cfg)
+    gated = fresh.where(rules.state_gate("payment_state"))
+    scanned = (fresh if log_before_gate else gated).select("shipment_number").distinct()
+    alerted = _over_limit_lines(gated, src).select("shipment_number").distinct()
+    stamp = tf.ts_lit(as_of)
+    return (scanned.withColumn("process_name", F.lit(scan_name))
+            .unionByName(alerted.withColumn("process_name", F.lit(cfg.process_name)))
+            .withColumn("shipment_logged_at", stamp))
+
+
 def over_limit(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K5: unreported lines whose quantity is above the SKU's limit (strict).
     The gate is evaluated before anything is logged, so a line that is not

@@ -637,3 +637,25 @@ def pulse_big_order_recipients(spark, sf):
     src = pulse.Sources.fixture(spark, sf)
     configs, directors = _store_fixtures(spark, sf)
     return pulse.recipients(pulse.big_orders(src, BIG_OR), src.directory, configs, directors)
+
+
+# ---------------------------------------------------------------- K5 two-stage ledger
+
+OVER_LIMIT_2 = pulse.PulseConfig("pulse_a", scan_ledger="pulse_b", retailer_ids=(2, 8), window_days=60,
+                                 window_basis="completed")
+
+
+@register("pulse_over_limit_ledger", with_views(f"""
+select shipment_number, 'pulse_b' as process_name, {ASOF} as shipment_logged_at
+from (select distinct shipment_number from c where payment_state not in ('not_paid', 'failed')) t
+union all
+select distinct c.shipment_number, 'pulse_a', {ASOF}
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id join v_offer_limit lim on lim.retailer_sku = o.retailer_sku
+where c.payment_state not in ('not_paid', 'failed') and lim.max_qty is not null and li.quantity > lim.max_qty""",
+                                                *_PULSE_VIEWS, "v_offer_limit",
+                                                extra=[("c", _cand_sql(pulse.PulseConfig(
+                                                    "pulse_b", retailer_ids=(2, 8), window_days=60,
+                                                    window_basis="completed"), slot=False))]))
+def pulse_over_limit_ledger(spark, sf):
+    return pulse.over_limit_ledgers(pulse.Sources.fixture(spark, sf), OVER_LIMIT_2)

@@ -118,3 +118,16 @@ def test_flag_dups_equals_brute_force(spark):
     for k in {r[0] for r in rows}:
         want = sorted([(a, b) for kk, a, b in rows if kk == k], key=lambda t: (-t[0], t[1]))[0]
         assert firsts[k] == want
+
+
+def test_over_limit_scan_log_order(spark):
+    src = pulse.Sources.fixture(spark, SF)
+    cfg = jobs.OVER_LIMIT_2
+    after = pulse.over_limit_ledgers(src, cfg).where(F.col("process_name") == "pulse_b")
+    before = pulse.over_limit_ledgers(src, cfg, log_before_gate=True).where(F.col("process_name") == "pulse_b")
+    a = {r[0] for r in after.select("shipment_number").collect()}
+    b = {r[0] for r in before.select("shipment_number").collect()}
+    assert a < b  # unpaid shipments are only logged when logging precedes the gate
+    unpaid = {r[0] for r in view(spark, SF, "v_shipment")
+              .where(F.col("payment_state").isin("not_paid", "failed")).select("shipment_number").collect()}
+    assert b - a <= unpaid
