@@ -131,10 +131,10 @@ def ledger_rows(report: DataFrame, cfg: PulseConfig, as_of: str = AS_OF) -> Data
             .withColumn("shipment_logged_at", tf.ts_lit(as_of)))
 
 
-def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
-    """K3: picking list for the next business day's slots. Orders pass the pay
-    gate (paid, deferred method, or a small balance gap found by the window
-    form W3), or belong to a postpay company; locked orders are left out."""
+def _next_day_base(src: Sources, cfg: PulseConfig, as_of: str) -> DataFrame:
+    """Shipments of the scope with a slot on the next business day, not
+    locked, passing the pay gate (paid, deferred method, or a small balance
+    gap found by the window form W3) or belonging to a postpay company."""
     asof = tf.ts_lit(as_of)
     s = _scope(src.shipments, cfg)
     w = src.windows.select(F.col("id").alias("shipment_id"), F.col("starts_at").alias("slot_start"))
@@ -149,7 +149,12 @@ def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     con = src.directory.select("company_id", "con_flag").distinct()
     s = s.join(con, "company_id", "left")
     gate = rules.pay_gate("payment_state", "payment_method_id", "_bal_ok") | (F.col("con_flag") == "postpay")
-    s = s.where(F.coalesce(gate, F.lit(False)))
+    return s.where(F.coalesce(gate, F.lit(False)))
+
+
+def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
+    """K3: picking list for the next business day's slots."""
+    s = _next_day_base(src, cfg, as_of)
     li = src.line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "quantity")
     o = src.offers.select(F.col("id").alias("offer_id"), F.col("name").alias("offer_name"))
     out = s.join(li, "shipment_id").join(o, "offer_id")
@@ -158,15 +163,26 @@ def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
                       "payment_method_name", "total_weight").distinct()
 
 
-def consignees(next_day_rows: DataFrame, heavy_grams: int = 80_000) -> DataFrame:
-    """K3: shipments that need paper documents (paid by invoice or heavy),
-    one row each with their line count."""
+def consignees(src: Sources, cfg: PulseConfig, companies: DataFrame, as_of: str = AS_OF,
+               min_qty: float = 240, categories: tuple[str, ...] = ("%paper%",),
+               special_store: int | None = None) -> DataFrame:
+    """K3: consignee list for paper documents. Next-day shipments (same gate)
+    with a line of at least ``min_qty`` units of an offer in the listed
+    categories, with the company's tax id and name; rows of
+    ``special_store`` go to their own file (T7 route, column ``route``)."""
     from martlet.operators.reshape import route
 
-    paper, _regular = route(next_day_rows,
-                            (F.col("payment_method_name") == "invoice") | (F.col("total_weight") > heavy_grams))
-    return paper.groupBy("shipment_number").agg(F.count(F.lit(1)).alias("n_lines"),
-                                                F.sum("quantity").alias("quantity"))
+    s = _next_day_base(src, cfg, as_of)
+    li = (src.line_items.where(F.col("deleted_at").isNull() & (F.col("quantity") >= min_qty))
+          .select("shipment_id", "offer_id", "quantity"))
+    o = (src.offers.where(rules.like_any("category", categories, fold_case=True))
+         .select(F.col("id").alias("offer_id"), F.col("name").alias("offer_name")))
+    c = companies.select("company_id", "inn", F.col("name").alias("company_name"))
+    rows = (s.join(li, "shipment_id").join(o, "offer_id").join(c, "company_id", "inner")
+            .select("inn", "company_name", "shipment_number", "offer_name", "quantity", "store_id").distinct())
+    special, other = route(rows, F.col("store_id") == F.lit(special_store))
+    return (special.withColumn("route", F.lit("special_store"))
+            .unionByName(other.withColumn("route", F.lit("other"))).drop("store_id"))
 
 
 def big_orders(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:

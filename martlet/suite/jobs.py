@@ -105,7 +105,8 @@ def offer_catalogue(spark, sf):
 # ---------------------------------------------------------------- K2 - K6 pulses
 
 NEW_ORDERS = pulse.PulseConfig("pulse_b", retailer_ids=(3,), window_days=14)
-NEXT_DAY = pulse.PulseConfig("next_day", retailer_ids=(4, 6), states=("complete", "shipped"))
+NEXT_DAY = pulse.PulseConfig("next_day", retailer_ids=tuple(range(10)), states=("complete", "shipped"))
+_ND_RET = ", ".join(str(r) for r in NEXT_DAY.retailer_ids)
 BIG_AND = pulse.PulseConfig("pulse_a", retailer_ids=(5,), window_days=30, window_basis="completed",
                             line_rule=("and", 50000, 50000), trigger="7 minutes")
 BIG_OR = pulse.PulseConfig("pulse_b", retailer_ids=(7,), window_days=30, window_basis="completed",
@@ -159,17 +160,17 @@ _NEXT_DAY_SQL = f"""
   join v_offer o on o.id = li.offer_id
   left join v_company_order co on co.order_id = s.order_id
   left join (select distinct company_id, con_flag from dir) d on d.company_id = co.company_id
-  where s.retailer_id in (4, 6) and s.shipment_state in ('complete', 'shipped')
+  where s.retailer_id in ({_ND_RET}) and s.shipment_state in ('complete', 'shipped')
     and cast(w.starts_at as date) = {ASOF_DATE} + 3
     and s.order_id not in (select order_id from v_locked_order where export_lock_state = 'locked')
     and (s.payment_state in ('paid', 'overpaid') or s.payment_method_id in (4, 11, 12, 20)
          or s.order_id in (select order_id from bal) or d.con_flag = 'postpay')"""
-_BAL_SQL = """
+_BAL_SQL = f"""
   select order_id from (
     select order_id, case when count(distinct payment_total) over (partition by order_id) > 1
       then sum(payment_total) over (partition by order_id) else payment_total end as paid,
       sum(total) over (partition by order_id) as sum_total
-    from v_shipment where retailer_id in (4, 6) and shipment_state in ('complete', 'shipped')
+    from v_shipment where retailer_id in ({_ND_RET}) and shipment_state in ('complete', 'shipped')
       and payment_state = 'balance_due') t
   where sum_total - paid <= 1000"""
 _ND_EXTRA = [("dir", _DIRECTORY), ("bal", _BAL_SQL), ("nd", _NEXT_DAY_SQL)]
@@ -180,12 +181,30 @@ def pulse_next_day(spark, sf):
     return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY)
 
 
+_CONSIGNEE_BASE = f"""
+  select distinct s.shipment_id, s.shipment_number, s.store_id, co.company_id
+  from v_shipment s join v_delivery_window w on w.id = s.shipment_id
+  left join v_company_order co on co.order_id = s.order_id
+  left join (select distinct company_id, con_flag from dir) d on d.company_id = co.company_id
+  where s.retailer_id in ({_ND_RET}) and s.shipment_state in ('complete', 'shipped')
+    and cast(w.starts_at as date) = {ASOF_DATE} + 3
+    and s.order_id not in (select order_id from v_locked_order where export_lock_state = 'locked')
+    and (s.payment_state in ('paid', 'overpaid') or s.payment_method_id in (4, 11, 12, 20)
+         or s.order_id in (select order_id from bal) or d.con_flag = 'postpay')"""
+
+
 @register("pulse_consignees", with_views("""
-select shipment_number, count(*) as n_lines, sum(quantity) as quantity from nd
-where payment_method_name = 'invoice' or total_weight > 80000 group by shipment_number""",
-                                         *_PULSE_VIEWS, "v_locked_order", extra=_ND_EXTRA))
+select distinct c.inn, c.name as company_name, b.shipment_number, o.name as offer_name, li.quantity,
+  case when b.store_id = 16 then 'special_store' else 'other' end as route
+from cb b join v_line_item li on li.shipment_id = b.shipment_id and li.deleted_at is null and li.quantity >= 20
+join v_offer o on o.id = li.offer_id and (lower(o.category) like '%economy%' or lower(o.category) like '%standard%')
+join v_company c on c.company_id = b.company_id""",
+                                         *_PULSE_VIEWS, "v_locked_order",
+                                         extra=[("dir", _DIRECTORY), ("bal", _BAL_SQL), ("cb", _CONSIGNEE_BASE)]))
 def pulse_consignees(spark, sf):
-    return pulse.consignees(pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY))
+    src = pulse.Sources.fixture(spark, sf)
+    return pulse.consignees(src, NEXT_DAY, view(spark, sf, "v_company"), min_qty=20,
+                            categories=("%economy%", "%standard%"), special_store=16)
 
 
 def _big_sql(cfg):
