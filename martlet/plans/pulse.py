@@ -35,6 +35,8 @@ class PulseConfig:
     line_rule: tuple[str, float, float] | None = None  # (mode, line_min, total_min)
     ledger_names: tuple[str, ...] = ()  # ledgers read for the anti join (default: own)
     scan_ledger: str | None = None  # over-limit: first-stage ledger of scanned shipments
+    exclude_store_ids: tuple[int, ...] = ()  # e.g. "two retailers minus one store"
+    lines_by: str = "shipment_id"  # "order_id" reproduces the reference's join of lines by order (Q8)
     trigger: str = "12 minutes"
     fallback: Fallback = field(default_factory=Fallback)
 
@@ -65,6 +67,8 @@ def _scope(s: DataFrame, cfg: PulseConfig) -> DataFrame:
         s = s.where(F.col("retailer_id").isin(*cfg.retailer_ids))
     if cfg.store_ids:
         s = s.where(F.col("store_id").isin(*cfg.store_ids))
+    if cfg.exclude_store_ids:
+        s = s.where(~F.col("store_id").isin(*cfg.exclude_store_ids))
     return s.where(F.col("shipment_state").isin(*cfg.states))
 
 
@@ -102,10 +106,11 @@ def not_sent(df: DataFrame, ledger: DataFrame, cfg: PulseConfig) -> DataFrame:
 def _enrich(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
     """Live line items of the shipment (joined by shipment, not by order),
     catalogue (inner) and manager contacts (left, then the fallbacks)."""
-    li = src.line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "quantity", "price")
+    key = cfg.lines_by
+    li = src.line_items.where(F.col("deleted_at").isNull()).select(key, "offer_id", "quantity", "price")
     o = src.offers.select(F.col("id").alias("offer_id"), F.col("name").alias("offer_name"))
     d = src.directory.select("company_id", "manager_email", "manager_phones", "manager_name")
-    j = df.join(li, "shipment_id", "inner").join(o, "offer_id", "inner").join(d, "company_id", "left")
+    j = df.join(li, key, "inner").join(o, "offer_id", "inner").join(d, "company_id", "left")
     fb = cfg.fallback
     return rules.fill_defaults(j, {"manager_email": fb.email, "manager_phones": fb.phone, "manager_name": fb.name})
 
@@ -124,6 +129,21 @@ def new_orders(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     return enrich_report(not_sent(candidates(src, cfg, as_of), src.ledger, cfg), src, cfg)
 
 
+def new_orders_feeds(src: Sources, cfgs: list[PulseConfig], as_of: str = AS_OF) -> DataFrame:
+    """K2 with several feeds (e.g. one store, plus two retailers minus that
+    store) sharing one ledger: each feed is checked against every feed's
+    ledger, so a shipment is reported once whichever feed finds it."""
+    names = tuple(dict.fromkeys(n for c in cfgs for n in (c.ledger_names or (c.process_name,))))
+    out = None
+    for c in cfgs:
+        shared = PulseConfig(c.process_name, retailer_ids=c.retailer_ids, store_ids=c.store_ids, states=c.states,
+                             window_days=c.window_days, window_basis=c.window_basis, ledger_names=names,
+                             exclude_store_ids=c.exclude_store_ids, lines_by=c.lines_by, fallback=c.fallback)
+        rows = new_orders(src, shared, as_of).withColumn("feed", F.lit(c.process_name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def ledger_rows(report: DataFrame, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """Distinct reported shipments, stamped with the process and time."""
     return (report.select("shipment_number").distinct()

@@ -678,3 +678,34 @@ where c.payment_state not in ('not_paid', 'failed') and lim.max_qty is not null
                                                     window_basis="completed"), slot=False))]))
 def pulse_over_limit_ledger(spark, sf):
     return pulse.over_limit_ledgers(pulse.Sources.fixture(spark, sf), OVER_LIMIT_2)
+
+
+# ---------------------------------------------------------------- K2 two feeds with a shared ledger
+
+FEED_STORE = pulse.PulseConfig("pulse_a", store_ids=(13,), window_days=30)
+FEED_RETAILERS = pulse.PulseConfig("pulse_b", retailer_ids=(3, 5), exclude_store_ids=(13,), window_days=30)
+
+
+def _feed_sql(cfg, feed: str) -> str:
+    scope = (f"s.store_id in ({', '.join(map(str, cfg.store_ids))})" if cfg.store_ids else
+             f"s.retailer_id in ({', '.join(map(str, cfg.retailer_ids))})"
+             + (f" and s.store_id not in ({', '.join(map(str, cfg.exclude_store_ids))})" if cfg.exclude_store_ids else ""))
+    return f"""
+select distinct {lts('s.completed_at')} as completed_local, {lts('w.ends_at')} as slot_end_local, s.shipment_number,
+  li.quantity, li.price, o.name as offer_name,
+  coalesce(d.manager_email, '{_FB.email}') as manager_email, coalesce(d.manager_phones, '{_FB.phone}') as manager_phones,
+  coalesce(d.manager_name, '{_FB.name}') as manager_name, '{feed}' as feed
+from v_shipment s join v_delivery_window w on w.id = s.shipment_id join v_company_order co on co.order_id = s.order_id
+join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id left join dir d on d.company_id = co.company_id
+where {scope} and s.shipment_state in ('complete', 'shipped')
+  and {ld('w.starts_at')} >= {ASOF_DATE} - {cfg.window_days}
+  and not exists (select 1 from v_ledger g where g.shipment_number = s.shipment_number
+                  and g.process_name in ('pulse_a', 'pulse_b'))"""
+
+
+@register("pulse_two_feeds", with_views(_feed_sql(FEED_STORE, "pulse_a") + "\nunion all\n"
+                                        + _feed_sql(FEED_RETAILERS, "pulse_b"),
+                                        *_PULSE_VIEWS, extra=[("dir", _DIRECTORY)]))
+def pulse_two_feeds(spark, sf):
+    return pulse.new_orders_feeds(pulse.Sources.fixture(spark, sf), [FEED_STORE, FEED_RETAILERS])

@@ -131,3 +131,12 @@ def test_over_limit_scan_log_order(spark):
     unpaid = {r[0] for r in view(spark, SF, "v_shipment")
               .where(F.col("payment_state").isin("not_paid", "failed")).select("shipment_number").collect()}
     assert b - a <= unpaid
+
+
+def test_lines_by_order_is_superset(spark):
+    import dataclasses
+    src = pulse.Sources.fixture(spark, SF)
+    by_ship = pulse.new_orders(src, jobs.NEW_ORDERS)
+    by_order = pulse.new_orders(src, dataclasses.replace(jobs.NEW_ORDERS, lines_by="order_id"))
+    assert by_ship.subtract(by_order).count() == 0
+    assert by_order.count() >= by_ship.count()
