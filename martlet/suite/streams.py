@@ -52,21 +52,25 @@ select date_trunc('hour', ts) as hour, event_type, count(*) as n from events
 where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) from events) - interval 1 hour
 group by all""")
 def stream_late_drop(spark, sf):
-    """Hourly counts with a 1-hour watermark; files land in event-time
-    order and a last file holds rows far behind the watermark, which are
-    dropped. Append mode emits exactly the windows that end at or before the
-    final watermark (max event time - 1 hour)."""
+    """Hourly counts with a 1-hour watermark. The stream first runs to
+    the end of the in-order files; then a file of rows far behind the
+    watermark lands and the same query restarts from its checkpoint (state
+    and watermark are kept), so those rows are dropped. Append mode emits
+    exactly the windows that end at or before the final watermark."""
     ev = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
     _stage_in_order(ev, land, 4, "ts")
+
+    def run():
+        s = st.with_event_time(st.read_stream(spark, land, ev.schema), "ts").withWatermark("ts", "1 hour")
+        g = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+        g = g.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
+        st.run_to_end(g.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+
+    run()
     ev.where(F.col("event_id") % 50 == 0).withColumn("ts", F.col("ts") - F.expr("interval 20 days")) \
         .write.mode("append").parquet(land)
-    # The four in-order files form the first micro-batch (their file times
-    # may tie); the late file, written afterwards, is the second.
-    s = st.with_event_time(st.read_stream(spark, land, ev.schema, files_per_trigger=4), "ts").withWatermark("ts", "1 hour")
-    g = s.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    g = g.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
-    st.run_to_end(g.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+    run()
     return spark.read.parquet(out)
 
 
