@@ -43,9 +43,10 @@ def _with_preamble(batches):
         yield pdf
 
 
-@register("csv_skiprows")
+@register("csv_skiprows", """select c_custkey, c_name as name from customer""")
 def csv_skiprows(spark, sf):
-    """S4 (rows-only): CSV files with a junk first line, then the header."""
+    """CSV files with a junk first line, then the header; every data line
+    comes back exactly once."""
     path = io.scratch_path(spark, "csv-skip")
     c = spark.read.parquet(f"{sf}/customer.parquet")
     lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
@@ -86,9 +87,9 @@ def chunk_index(spark, sf):
     return io.with_chunk_index(o, ["o_orderdate", "o_orderkey"], 1000).select("o_orderkey", "chunk")
 
 
-@register("full_refresh")
+@register("full_refresh", jobs.ORACLE_FLAGSHIP)
 def full_refresh(spark, sf):
-    """S8 (rows-only): stage, validate, swap."""
+    """Stage, validate, swap; the target then holds the flagship result."""
     from martlet.plans.mart import manager_gmv
     base = io.scratch_path(spark, "mart")
     return io.refresh(manager_gmv(spark, sf), f"{base}/prod", f"{base}/stage", required=["assigned_manager_id"])

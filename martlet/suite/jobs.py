@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from martlet.plans import mart
 from martlet.sources.views import view, with_views
-from martlet.suite.registry import register
+from martlet.suite.registry import ORACLE, register
 from martlet.suite.sqlbits import ASOF_DATE, ld, month
 
 _SHIP_FILTER = f"""
@@ -42,6 +42,9 @@ def b2b_manager_gmv(spark, sf_dir):
     return mart.manager_gmv(spark, sf_dir)
 
 
+ORACLE_FLAGSHIP = ORACLE["b2b_manager_gmv"]
+
+
 @register("asof_left_join", with_views("""
 select shipment_id, company_group_id, shipped_at, end_period as date_end,
        cast(date_start as date) as date_start, manager_id
