@@ -202,29 +202,29 @@ def assigned_manager(df: DataFrame, ts: str = "shipped_at", start: str = "date_s
 
 
 def hierarchy_root(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
-                   max_depth: int = 32) -> DataFrame:
+                   max_depth: int = 64, step: int = 4) -> DataFrame:
     """The top ancestor of every node of a parent/child dictionary.
 
-    Pointer jumping: each round replaces a node's ancestor by that ancestor's
-    ancestor, so the depth covered doubles per round (log2(max_depth) rounds,
-    one equi join each). Every round is checkpointed into the shared
-    checkpoint folder, which keeps the plan flat and survives lost executors;
-    the loop stops as soon as every ancestor is a root. A parent missing from
-    the dictionary counts as a root.
+    Each level replaces a node's current ancestor by that ancestor's parent,
+    an equi join with the dictionary (a dimension; Spark picks broadcast from
+    its size). ``step`` levels are chained lazily, then one check asks whether
+    any ancestor still has a parent; only a deeper tree cuts the lineage (a
+    parquet table in the shared checkpoint folder) and continues. A parent
+    missing from the dictionary counts as a root; ``max_depth`` stops cycles.
     """
     from martlet.session import cut_lineage
 
-    cur = nodes.select(F.col(id_col).alias("node"),
-                       F.coalesce(F.col(parent_col), F.col(id_col)).alias("anc"))
-    cur = cut_lineage(cur)
-    steps = 1
-    while steps < max_depth:
-        nxt = cur.select(F.col("node").alias("_n"), F.col("anc").alias("_a"))
-        stepped = cur.join(nxt, cur["anc"] == nxt["_n"], "left")
-        cur = cut_lineage(stepped.select("node", F.coalesce(F.col("_a"), F.col("anc")).alias("anc"),
-                                         (F.col("_a").isNotNull() & (F.col("_a") != F.col("anc"))).alias("_moved")))
-        steps *= 2
-        if cur.filter("_moved").isEmpty():
+    parent = nodes.select(F.col(id_col).alias("_pid"), F.col(parent_col).alias("_pparent"))
+    has_parent = parent.where(F.col("_pparent").isNotNull()).select("_pid")
+    cur = nodes.select(F.col(id_col).alias("node"), F.coalesce(F.col(parent_col), F.col(id_col)).alias("anc"))
+    depth = 1
+    while True:
+        for _ in range(step):
+            cur = (cur.join(parent, cur["anc"] == parent["_pid"], "left")
+                   .select("node", F.coalesce(F.col("_pparent"), F.col("anc")).alias("anc")))
+            depth += 1
+        open_ = cur.join(has_parent, cur["anc"] == has_parent["_pid"], "left_semi")
+        if depth >= max_depth or open_.isEmpty():
             break
-        cur = cur.drop("_moved")
+        cur = cut_lineage(cur, "hierarchy")
     return cur.select(F.col("node").alias(id_col), F.col("anc").alias("root_id"))

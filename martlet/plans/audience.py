@@ -120,30 +120,42 @@ def category_orders(line_items: DataFrame, categories: DataFrame, spec: Audience
 def user_shipments(shipments: DataFrame, spec: AudienceSpec, cat_orders: DataFrame | None = None) -> DataFrame:
     """Per user and platform over the period: orders, addresses, states,
     retailers, B2B flag, the share of orders at each shop size, and orders
-    with food / non-food items."""
+    with food / non-food items.
+
+    Order counts come from distinct (user, platform, order) rows joined with
+    the per-order food flags and then simply counted; only the store count is
+    a distinct aggregate. This avoids the row expansion Spark uses for several
+    distinct aggregates in one pass (about 5x here) before the shuffle."""
     where, having = build_filters(spec)
     day = F.to_date("completed_at")
     s = (shipments.where(day.between(F.lit(spec.start).cast("date"), F.lit(spec.end).cast("date")))
          .where(F.col("user_id").isNotNull()).where(where))
+    keys = ["user_id", "platform"]
+    orders = s.select(*keys, "order_id").distinct()
     if cat_orders is not None:
-        s = s.join(cat_orders, "order_id", "left")
+        orders = orders.join(cat_orders, "order_id", "left")
     else:
-        s = s.withColumn("has_food", F.lit(None).cast("boolean")).withColumn("has_nonfood", F.lit(None).cast("boolean"))
+        orders = orders.withColumn("has_food", F.lit(None).cast("boolean")).withColumn(
+            "has_nonfood", F.lit(None).cast("boolean"))
+    per_order = orders.groupBy(*keys).agg(
+        F.count("order_id").alias("orders_period"),
+        F.count_if(F.col("has_food")).alias("orders_food_category"),
+        F.count_if(F.col("has_nonfood")).alias("orders_nonfood_category"))
     size = retailer_size(F.col("retailer_id"))
     share = (F.avg(F.when(size == spec.major_shop_size, 1.0).otherwise(0.0)) if spec.major_shop_size
              else F.lit(None).cast("double"))
-    g = s.groupBy("user_id", "platform").agg(
-        F.count_distinct("order_id").alias("orders_period"),
+    per_row = s.groupBy(*keys).agg(
         F.count_distinct("store_id").alias("address_count"),
         F.max("completed_at").alias("last_order_ts"),
         F.max((F.col("b2b_measure") > 0).cast("int")).alias("is_b2b"),
         F.array_sort(F.collect_set("shipment_state")).alias("shipment_states"),
         F.array_sort(F.collect_set(F.concat(F.lit("retailer_"), F.col("retailer_id").cast("string")))).alias("retailer_names"),
         share.alias("major_share"),
-        F.count_distinct(F.when(F.col("has_food"), F.col("order_id"))).alias("orders_food_category"),
-        F.count_distinct(F.when(F.col("has_nonfood"), F.col("order_id"))).alias("orders_nonfood_category"),
         *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"{c}_set") for c in spec.collect])
-    return g.where(having)
+    g = per_row.join(per_order, keys, "inner")
+    return g.select("user_id", "platform", "orders_period", "address_count", "last_order_ts", "is_b2b",
+                    "shipment_states", "retailer_names", "major_share", "orders_food_category",
+                    "orders_nonfood_category", *[f"{c}_set" for c in spec.collect]).where(having)
 
 
 def funnel(web: DataFrame, app: DataFrame, spec: AudienceSpec) -> DataFrame:
