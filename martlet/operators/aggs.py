@@ -148,19 +148,24 @@ def share(df: DataFrame, by: Sequence[str], col: str, name_group: str = "pct_of_
 
 
 def exact_median(df: DataFrame, by: Sequence[str], col: str, name: str = "median",
-                 accuracy: int = 100_000) -> DataFrame:
+                 accuracy: int | None = None, band_rows: int = 1_000_000) -> DataFrame:
     """Exact median per group (mean of the two middle values for an even
     count, NULLs ignored) without holding a group's values in one task.
 
     An approximate quantile sketch brackets the middle ranks: its rank error
     is at most n/accuracy, so the values in [lo, hi] (about 4n/accuracy of
     them) contain both middle ranks. Only that band is ranked; the rows below
-    ``lo`` are just counted. If the bracket misses (tiny groups), that group
-    falls back to ranking all its values, which are few then."""
+    ``lo`` are just counted. Unless given, the accuracy is chosen from the
+    largest group (one scalar job) so that a band holds about ``band_rows``
+    rows at most. If the bracket misses (tiny groups), that group falls back
+    to ranking all its values, which are few then."""
     keys = list(by) or ["_all"]
     base = df.select(*by, col).where(F.col(col).isNotNull())
     if not by:
         base = base.withColumn("_all", F.lit(1))
+    if accuracy is None:
+        largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        accuracy = int(min(max(10_000, -(-4 * largest // band_rows)), 10_000_000))
     d = 2.0 / accuracy
     stats = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
