@@ -124,6 +124,9 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     # Scan-backed dimensions: Spark's file-size estimate is an upper bound and
     # decides broadcast vs sort-merge on its own.
     s = ship.join(comp, "company_inn", "left").join(user_group, "user_id", "left")
+    # First shipped order per company (A18 by company), from the base fact.
+    company_first = (s.where((F.col("shipment_state") == "shipped") & F.col("company_id").isNotNull())
+                     .groupBy("company_id").agg(F.min(local_date("shipped_at")).alias("company_first_order_dt")))
     a = joins.asof_left(s, managers(spark, sf_dir), by="company_group_id", left_ts="shipped_at",
                         right_ts="date_end", payload=["date_start", "manager_id", "first_manager_id"])
     s = joins.assigned_manager(a)
@@ -135,6 +138,7 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     # would land in one task).
     groups = group_metrics(ship.select("user_id", "shipped_at", "shipment_state").join(user_group, "user_id", "left"))
     s = joins.enrich_checked(s, groups, "company_group_id")
+    s = s.join(company_first, "company_id", "left")
     s = costs_and_margin(s, view(spark, sf_dir, "v_order_cost"))
     s = s.withColumn("company_type", rules.company_type("b2b_measure", F.coalesce("category_type", F.lit("")),
                                                         "company_name", "finance_income", "employee_count"))
@@ -163,7 +167,7 @@ MART_SCHEMA = [
     ("company_id", "bigint"), ("company_inn", "string"), ("company_name", "string"),
     ("finance_income", "bigint"), ("employee_count", "int"), ("category_type", "string"),
     ("payment_type", "string"), ("company_fraud_flg", "int"), ("company_type", "string"),
-    ("company_group_id", "int"),
+    ("company_first_order_dt", "date"), ("company_group_id", "int"),
     # manager
     ("manager_id", "bigint"), ("first_manager_id", "bigint"), ("date_start", "date"), ("date_end", "date"),
     ("assigned_manager_id", "bigint"),

@@ -576,6 +576,7 @@ _MART_EXPR = {
     "order_type": _ORDER_TYPE_SQL,
     "new_or_repeat": "case when pv.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end",
     "group_first_order_dt": "g.group_first_order_dt", "group_last_order_dt": "g.group_last_order_dt",
+    "company_first_order_dt": "cf.company_first_order_dt",
 }
 for _n in ("first_order_dt", "last_order_dt", "first_order_shipment_id_phone", "user_gmv", "user_order_cnt",
            "user_active_months_count", "user_age_month", "user_avg_orders_per_active_month",
@@ -598,11 +599,15 @@ def _mart_col(name: str, typ: str) -> str:
     return f"{e} as {name}"
 
 
-_MART_SELECT = ("select " + ",\n  ".join(_mart_col(n, t) for n, t in mart.MART_SCHEMA) + """
+_MART_SELECT = ("select " + ",\n  ".join(_mart_col(n, t) for n, t in mart.MART_SCHEMA) + f"""
 from a left join comp c on c.company_inn = a.company_inn
 left join pv on pv.phone = a.phone left join pret pr on pr.phone = a.phone
 left join gfl g on g.company_group_id = a.company_group_id left join gret gr on gr.company_group_id = a.company_group_id
-left join v_order_cost oc on oc.shipment_id = a.shipment_id""")
+left join v_order_cost oc on oc.shipment_id = a.shipment_id
+left join (select c2.company_id, min({ld('a2.shipped_at')}) as company_first_order_dt
+           from a a2 join comp c2 on c2.company_inn = a2.company_inn
+           where a2.shipment_state = 'shipped' and c2.company_id is not null group by c2.company_id) cf
+  on cf.company_id = c.company_id""")
 
 
 @register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_user_group", "v_manager_period", "v_company",
