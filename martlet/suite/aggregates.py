@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from martlet.functions import text
 from martlet.functions import time as tf
 from martlet.operators import aggs, reshape, windows
-from martlet.plans import mart
 from martlet.session import AS_OF
 from martlet.sources.views import view, with_views
 from martlet.suite.registry import register
@@ -465,4 +464,3 @@ def route_split(spark, sf):
             .unionByName(regular.select("shipment_id", F.lit("regular").alias("route"))))
 
 
-__all__ = ["mart"]

@@ -12,7 +12,7 @@ from martlet.session import AS_OF
 from martlet.sources.tables import scan
 from martlet.sources.views import view, with_views
 from martlet.suite.registry import register
-from martlet.suite.sqlbits import ASOF, ASOF_DATE, ld, lts, month
+from martlet.suite.sqlbits import ASOF, ld, lts, month
 
 def _asof():
     return tf.ts_lit(AS_OF)
@@ -560,4 +560,3 @@ def mask_pii(spark, sf):
     return u.select("id", text.mask_pii("email").alias("email_hash"), text.mask_pii("id").alias("id_hash"))
 
 
-__all__ = ["ASOF_DATE"]

@@ -66,7 +66,6 @@ def assigned_manager(spark, sf_dir):
     return s.select("shipment_id", "assigned_manager_id")
 
 
-__all__ = ["F"]
 
 
 # ---------------------------------------------------------------- K11 K12 directory, catalogue
