@@ -716,3 +716,10 @@ where {scope} and s.shipment_state in ('complete', 'shipped')
                                         *_PULSE_VIEWS, extra=[("dir", _DIRECTORY)]))
 def pulse_two_feeds(spark, sf):
     return pulse.new_orders_feeds(pulse.Sources.fixture(spark, sf), [FEED_STORE, FEED_RETAILERS])
+
+
+@register("vault_hub", """
+select md5(coalesce(cast(o_custkey as varchar), '')) as hub_key, o_custkey, 'orders' as record_source
+from (select distinct o_custkey from orders) t""")
+def vault_hub(spark, sf):
+    return history.hub(spark.read.parquet(f"{sf}/orders.parquet"), "o_custkey", "orders")
