@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="martlet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # RDD checkpoints are not used here; set it for callers that do
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        pass
     return path
 
 
