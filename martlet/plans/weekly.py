@@ -87,3 +87,42 @@ def category_week_stats(shipments: DataFrame, line_items: DataFrame, offers: Dat
             .agg(F.sum("quantity").alias("quantity"),
                  F.sum(net_amount(F.col("price"), F.col("quantity"), F.col("vat_rate"))).alias("net_amount"),
                  F.count_distinct("shipment_id").alias("n_shipments")))
+
+
+def store_week_stats(shipments: DataFrame, line_items: DataFrame, retailer_ids: Sequence[int] = (),
+                     since: str = "1995-01-01 00:00:00") -> DataFrame:
+    """Per ISO week and store: net and gross GMV, orders, and the number of
+    distinct SKUs per order summed over the week (A11: per shipment, then
+    per store-week) with its average per order."""
+    s = (b2b_shipped(shipments, retailer_ids).where(F.col("shipped_at") > tf.ts_lit(since))
+         .withColumn("week", tf.week_start(tf.local_date("shipped_at"))))
+    per_store = s.groupBy("week", "store_id").agg(
+        F.sum(F.col("gmv_goods_net_promo") + F.col("gmv_service_fee_net_promo")).alias("gmv_net_promo"),
+        F.sum("total").alias("gmv"),
+        F.count_distinct("shipment_id").alias("orders_cnt"))
+    li = line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id")
+    per_shipment = (li.join(s.select("shipment_id", "week", "store_id"), "shipment_id")
+                    .groupBy("shipment_id", "week", "store_id").agg(F.count_distinct("offer_id").alias("sku_cnt")))
+    skus = per_shipment.groupBy("week", "store_id").agg(F.sum("sku_cnt").alias("sum_sku_cnt"))
+    out = per_store.join(skus, ["week", "store_id"], "left")
+    return out.select(tf.format_period("week", with_day=True).alias("week"), "store_id", "gmv_net_promo", "gmv",
+                      "orders_cnt", "sum_sku_cnt",
+                      F.try_divide(F.col("sum_sku_cnt").cast("double"), F.col("orders_cnt").cast("double"))
+                      .alias("avg_sku_per_order"))
+
+
+def store_sku_week_prices(shipments: DataFrame, line_items: DataFrame, offers: DataFrame,
+                          retailer_ids: Sequence[int] = (), as_of: str = AS_OF) -> DataFrame:
+    """Per store and SKU in the last full week: average price and the number
+    of orders with the SKU. Shipments without live lines stay as a row with
+    no SKU (left join, as the reference does)."""
+    week = tf.prior_full_week(tf.ts_lit(as_of))
+    s = b2b_shipped(shipments, retailer_ids)
+    s = s.where((F.col("shipped_at") >= F.date_sub(week, 1).cast("timestamp_ntz"))
+                & (F.col("shipped_at") < F.date_add(week, 8).cast("timestamp_ntz")))
+    s = s.withColumn("week", tf.week_start(tf.local_date("shipped_at"))).where(F.col("week") == week)
+    li = (line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "price")
+          .join(offers.select(F.col("id").alias("offer_id"), "retailer_sku"), "offer_id"))
+    j = s.select("shipment_id", "week", "store_id").join(li, "shipment_id", "left")
+    return (j.groupBy(tf.format_period("week", with_day=True).alias("week"), "store_id", "retailer_sku")
+            .agg(F.avg("price").alias("avg_price"), F.count_distinct("shipment_id").alias("orders_cnt")))

@@ -723,3 +723,35 @@ select md5(coalesce(cast(o_custkey as varchar), '')) as hub_key, o_custkey, 'ord
 from (select distinct o_custkey from orders) t""")
 def vault_hub(spark, sf):
     return history.hub(spark.read.parquet(f"{sf}/orders.parquet"), "o_custkey", "orders")
+
+
+_SW_BASE = f"""select *, cast(date_trunc('week', {ld('shipped_at')}) as date) as week from v_shipment
+  where shipment_state = 'shipped' and b2b_measure in (1, 2) and retailer_id in (6)
+    and shipped_at > timestamp '1995-01-01 00:00:00'"""
+_SW_PER_SHIPMENT = """select s.shipment_id, s.week, s.store_id, count(distinct li.offer_id) as sku_cnt
+  from v_line_item li join s using (shipment_id) where li.deleted_at is null group by all"""
+
+
+@register("store_week_stats", with_views("""
+select strftime(p.week, '%Y-%m-%d') as week, p.store_id, p.gmv_net_promo, p.gmv, p.orders_cnt, k.sum_sku_cnt,
+  cast(k.sum_sku_cnt as double) / p.orders_cnt as avg_sku_per_order
+from (select week, store_id, sum(gmv_goods_net_promo + gmv_service_fee_net_promo) as gmv_net_promo,
+        sum(total) as gmv, count(distinct shipment_id) as orders_cnt from s group by all) p
+left join (select week, store_id, sum(sku_cnt) as sum_sku_cnt from ps group by all) k using (week, store_id)""",
+                                         "v_shipment", "v_line_item", extra=[("s", _SW_BASE), ("ps", _SW_PER_SHIPMENT)]))
+def store_week_stats(spark, sf):
+    return weekly.store_week_stats(view(spark, sf, "v_shipment"), view(spark, sf, "v_line_item"), retailer_ids=(6,))
+
+
+@register("store_sku_week_prices", with_views(f"""
+select strftime(s.week, '%Y-%m-%d') as week, s.store_id, l.retailer_sku, avg(l.price) as avg_price,
+  count(distinct s.shipment_id) as orders_cnt
+from (select shipment_id, store_id, cast(date_trunc('week', {ld('shipped_at')}) as date) as week from v_shipment
+      where shipment_state = 'shipped' and b2b_measure in (1, 2) and retailer_id in (6)
+        and cast(date_trunc('week', {ld('shipped_at')}) as date) = cast(date_trunc('week', {ASOF}) as date) - 7) s
+left join (select li.shipment_id, li.price, o.retailer_sku from v_line_item li join v_offer o on o.id = li.offer_id
+           where li.deleted_at is null) l using (shipment_id)
+group by all""", "v_shipment", "v_line_item", "v_offer"))
+def store_sku_week_prices(spark, sf):
+    return weekly.store_sku_week_prices(view(spark, sf, "v_shipment"), view(spark, sf, "v_line_item"),
+                                        view(spark, sf, "v_offer"), retailer_ids=(6,))
