@@ -22,7 +22,7 @@ from martlet.sources.views import view
 # Labels of the derived user attributes (English renderings).
 NEW_OR_OLD = (">7 orders", "1-7 orders")
 USE_DURATION = ("under 1 month", "1-3 months", "3-6 months", "6-12 months", "12+ months")
-SBERID = ("no sberid", "sberid not linked", "sberid linked")
+BANK_ID = ("no bank id", "bank id not linked", "bank id linked")
 RETAILER_SIZE = ("supermarket", "hypermarket", "other")
 
 
@@ -39,7 +39,7 @@ class AudienceSpec:
     cancellations: str | None = None  # 'with' | 'without'
     min_orders_period: int | None = None
     min_addresses: int | None = None
-    sberid: tuple[str, ...] = ()
+    bank_id: tuple[str, ...] = ()
     new_or_old: tuple[str, ...] = ()
     use_duration: tuple[str, ...] = ()
     min_month_orders: int | None = None
@@ -178,14 +178,14 @@ def funnel(web: DataFrame, app: DataFrame, spec: AudienceSpec) -> DataFrame:
     return out
 
 
-def sberid_use(auth: DataFrame, spec: AudienceSpec, plan: str = "plan", bank: str = "bank") -> DataFrame:
+def bank_id_use(auth: DataFrame, spec: AudienceSpec, plan: str = "plan", bank: str = "bank") -> DataFrame:
     g = auth.groupBy("user_id").agg(aggs.agg_if("max", F.lit(1), F.col("provider") == plan, 0).alias("_plan"),
                                     aggs.agg_if("max", F.lit(1), F.col("provider") == bank, 0).alias("_bank"))
-    label = rules.classify([((F.col("_plan") == 0) & (F.col("_bank") == 0), SBERID[0]),
-                            ((F.col("_plan") == 1) & (F.col("_bank") == 0), SBERID[1]),
-                            (F.col("_bank") == 1, SBERID[2])], None)
-    out = g.select("user_id", label.alias("sberid_use"))
-    return out.where(F.col("sberid_use").isin(*spec.sberid)) if spec.sberid else out
+    label = rules.classify([((F.col("_plan") == 0) & (F.col("_bank") == 0), BANK_ID[0]),
+                            ((F.col("_plan") == 1) & (F.col("_bank") == 0), BANK_ID[1]),
+                            (F.col("_bank") == 1, BANK_ID[2])], None)
+    out = g.select("user_id", label.alias("bank_id_use"))
+    return out.where(F.col("bank_id_use").isin(*spec.bank_id)) if spec.bank_id else out
 
 
 def last_phone(phones: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def month_orders(shipments: DataFrame, spec: AudienceSpec) -> DataFrame:
 
 
 OUTPUT = ["user_id", "platform", "first_name", "last_name", "phone_number", "user_email", "is_b2b", "orders_period",
-          "address_count", "min_month_orders", "new_or_old", "use_duration", "sberid_use", "shipment_states",
+          "address_count", "min_month_orders", "new_or_old", "use_duration", "bank_id_use", "shipment_states",
           "retailer_names", "major_share", "orders_food_category", "orders_nonfood_category"]
 
 
@@ -226,7 +226,7 @@ def audience_extract(spark: SparkSession, sf_dir: str, spec: AudienceSpec) -> Da
     cats = category_orders(v("v_line_item"), v("v_category"), spec)
     total = (user_shipments(ship, spec, cats)
              .join(funnel(v("v_funnel_web"), v("v_funnel_app"), spec), "user_id")
-             .join(sberid_use(v("v_user_auth"), spec), "user_id")
+             .join(bank_id_use(v("v_user_auth"), spec), "user_id")
              .join(last_phone(v("v_phone")), "user_id")
              .join(user_email(v("v_user")), "user_id")
              .join(month_orders(ship, spec), "user_id"))

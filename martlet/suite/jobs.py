@@ -387,8 +387,8 @@ _AUD_CTES = [
            select user_id, order_seq, completed_at from v_funnel_app) u
      where completed_at between timestamp '2024-02-01 00:00:00' - interval 1 year and timestamp '2024-02-01 00:00:00'
      group by user_id"""),
-    ("sb", """select user_id, case when p = 0 and b = 0 then 'no sberid' when p = 1 and b = 0 then 'sberid not linked'
-       when b = 1 then 'sberid linked' end as sberid_use
+    ("sb", """select user_id, case when p = 0 and b = 0 then 'no bank id' when p = 1 and b = 0 then 'bank id not linked'
+       when b = 1 then 'bank id linked' end as bank_id_use
      from (select user_id, coalesce(max(1) filter (where provider = 'plan'), 0) as p,
              coalesce(max(1) filter (where provider = 'bank'), 0) as b from v_user_auth group by user_id) t"""),
     ("ph", "select user_id, arg_max(value, (created_at, value)) as phone_number from v_phone group by user_id"),
@@ -404,7 +404,7 @@ _AUD_CTES = [
 
 @register("audience_extract", with_views(f"""
 select us.user_id, us.platform, em.first_name, em.last_name, ph.phone_number, em.user_email, us.is_b2b,
-  us.orders_period, us.address_count, mo.min_month_orders, fu.new_or_old, fu.use_duration, sb.sberid_use,
+  us.orders_period, us.address_count, mo.min_month_orders, fu.new_or_old, fu.use_duration, sb.bank_id_use,
   us.shipment_states, us.retailer_names, us.major_share, us.orders_food_category, us.orders_nonfood_category
 from us join fu using (user_id) join sb using (user_id) join ph using (user_id) join em using (user_id)
 join mo using (user_id)
