@@ -88,7 +88,9 @@ def with_chunk_index(df: DataFrame, order: Sequence[str], rows_per_chunk: int,
     Distributed: a range-partitioned sort, per-partition counts (one row per
     partition), their running offsets, and the local index inside each
     partition. The sorted frame is checkpointed so that every use sees the
-    same partitioning."""
+    same partitioning. ``order`` must be a total order (end it with a unique
+    key): the range partitioner can then split a hot leading value across
+    partitions, and the numbering is deterministic."""
     sorted_df = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id())
     sorted_df = cut_lineage(sorted_df)
