@@ -71,3 +71,12 @@ def test_anti_small_vs_large(spark, skewed):
     a = {r["id"] for r in joins.anti_small_vs_large(small, large, "k").collect()}
     b = {r["id"] for r in small.join(large, "k", "left_anti").collect()}
     assert a == b and a
+
+
+def test_chunk_index_with_hot_leading_value(spark, skewed):
+    from martlet.sources.io import with_chunk_index
+    df, rows = skewed
+    out = with_chunk_index(df.select("id", "k"), ["k", "id"], 250).orderBy("k", "id").collect()
+    want = sorted((k, i) for i, k, _, _ in rows)
+    assert [(r["k"], r["id"]) for r in out] == want
+    assert [r["row_number"] for r in out] == list(range(1, len(rows) + 1))
