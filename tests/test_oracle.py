@@ -4,11 +4,11 @@ check the correctness gate runs at sf0.01."""
 import pytest
 
 import __spark_entry__ as entry
+from martlet.suite.registry import ORACLE, QUERIES, load_all
 from tools.oracle_check import close, digest, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")

@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from martlet.suite.registry import QUERIES, load_all
 from tools.plan_report import summarise
 
 SF = "/root/testdata/sf0.01"
-QUERIES = entry.queries()
+load_all()
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
