@@ -68,10 +68,11 @@ def blocks(column: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, int, np.n
         first = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, inner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first word of each row and the total) of all words; no
-    word reaches from one row into the next."""
-    inside = ~_table("space")[data]
+    word reaches from one row into the next. ``inner``: which of the 256 bytes
+    belong to a word (default: all but white space)."""
+    inside = ~_table("space")[data] if inner is None else inner[data]
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     first = inside.copy()
