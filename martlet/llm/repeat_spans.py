@@ -1,19 +1,19 @@
 """Substring dedup by seed and extend.
 
 Seeds are winnowed anchors: of the word k-grams in every window of ``length``
-words the one with the least hash (first of equals), so that equal windows have
-equal anchors. Anchors that several documents share are the seeds; documents
-join on them. Around each shared seed the match is extended both ways, to every
-window whose anchor it is, and the windows themselves are held against each
-other by 96 bits of hash over their words. What a smaller doc_id holds too is
-removed; neighbouring windows merge into the maximal repeats.
-
-Both joins meet pre-aggregated sides (an anchor's or window's least and
-greatest doc_id), so a passage of a third of all documents adds one row a
-document, never pairs of documents. Defined results: null or blank text has no
-words; rows without a doc_id are neither removed from nor held against others;
-rows that repeat a doc_id are one document, each with its own text; other
-columns are not read.
+words the one with the least hash, so that equal windows have equal anchors.
+Anchors that several documents share are the seeds; documents join on them.
+Around each shared seed the match is extended both ways, to all windows whose
+anchor it is. Where the windows around a seed are the same set in every document
+that has it, they are whole repeats; else the windows themselves are held
+against each other, by 96 bits of hash over their words. What a smaller doc_id
+holds too is removed; neighbouring windows merge into the maximal repeats.
+
+Both joins meet pre-aggregated sides (an anchor's or window's least doc_id), so
+a passage of a third of all documents adds one row a document, never pairs of
+documents. Defined results: null or blank text has no words; rows without a
+doc_id are neither removed from nor held against others; rows that repeat a
+doc_id are one document, each with its own text; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.llm.registry import read_table, register
@@ -56,25 +57,33 @@ def _emit(ids: np.ndarray, *values: np.ndarray, names: list[str]) -> Batches:
         yield pa.RecordBatch.from_arrays([pa.array(x[at:at + ROWS]) for x in (ids, *values)], names=names)
 
 
+def _anchor_sets(start: np.ndarray, row: np.ndarray, least: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, anchor, sum of its windows' hashes) of each row's distinct anchors."""
+    def summed(row, least, values):
+        at = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (row[1:] != row[:-1])]))
+        return row[at], least[at], np.add.reduceat(values, at)
+
+    row, least, sums = summed(row, least, whole[start])
+    order = np.lexsort((least, row))
+    return summed(row[order], least[order], sums[order])
+
+
 def anchors(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(anchor, doc_id): the distinct anchors of each row's windows."""
+    """(anchor, around, doc_id): the distinct anchors of each row's windows, and
+    a fingerprint of the set of windows around each."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, _, data, offsets in blocks(batch.column(1)):
                 starts, ends, first = word_spans(data, offsets)
-                _, row, least = _windows(span_hashes(data, starts, ends), first, length, gram)
+                h = span_hashes(data, starts, ends)
+                start, row, least = _windows(h, first, length, gram)
                 if len(row):
-                    new = np.ones(len(row), bool)
-                    new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
-                    row, least = row[new], least[new]
-                    order = np.lexsort((least, row))
-                    row, least = row[order], least[order]
-                    new = np.ones(len(row), bool)
-                    new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
-                    yield from _emit(least[new].view(np.int64), ids[lo + row[new]], names=["anchor", "doc_id"])
+                    row, least, around = _anchor_sets(start, row, least, ngrams(h, length))
+                    yield from _emit(least.view(np.int64), around.view(np.int64), ids[lo + row], names=["anchor", "around", "doc_id"])
 
-    return documents.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
+    found = documents.filter("doc_id is not null").select("doc_id", "text")
+    return found.mapInArrow(run, "anchor long, around long, doc_id long")
 
 
 def _second(h: np.ndarray, length: int) -> np.ndarray:
@@ -83,26 +92,63 @@ def _second(h: np.ndarray, length: int) -> np.ndarray:
         return (ngrams(mix(h + np.uint64(0x5851F42D4C957F2D)), length, 0xDA942042E4DD58B5) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def seeded_windows(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(h1, h2, doc_id): the windows around each row's ``seeds``."""
+def packed_texts(documents: DataFrame) -> DataFrame:
+    """(doc_id, packed): texts compressed, for the shuffle."""
     def run(batches: Batches) -> Batches:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            seeds, at = batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint64), batch.column(2).offsets.to_numpy()
-            at = at - at[0]
-            for lo, _, data, offsets in blocks(batch.column(1)):
-                starts, ends, first = word_spans(data, offsets)
-                h = span_hashes(data, starts, ends)
-                start, row, least = _windows(h, first, length, gram)
-                if not len(start):
-                    continue
-                edge = np.searchsorted(row, np.arange(len(first)))
-                take = [np.isin(least[edge[r]:edge[r + 1]], seeds[at[lo + r]:at[lo + r + 1]]) for r in range(len(first) - 1)]
-                take = np.concatenate(take)
-                start, row = start[take], row[take]
-                yield from _emit(ngrams(h, length)[start].view(np.int64), _second(h, length)[start], ids[lo + row], names=["h1", "h2", "doc_id"])
+            packed = [pack.compress(x.as_buffer()) if x.is_valid else None for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
-    return documents.select("doc_id", "text", "seeds").mapInArrow(run, "h1 long, h2 int, doc_id long")
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
+
+
+def _texts(packed: pa.Array) -> Iterator[bytes]:
+    unpack = zstandard.ZstdDecompressor()
+    for x in packed:
+        yield unpack.decompress(x.as_buffer()) if x.is_valid else b""
+
+
+def _listed(lists: pa.Array, i: int) -> np.ndarray:
+    """The hashes of row ``i`` (none where the list is null)."""
+    return lists[i].values.to_numpy(zero_copy_only=False).view(np.uint64) if lists[i].is_valid else np.zeros(0, np.uint64)
+
+
+def seeded_windows(documents: DataFrame, seeds: list[str], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(h1, h2, doc_id): the windows around the anchors that each row's
+    ``seeds`` columns list."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for i, text in enumerate(_texts(batch.column(1))):
+                listed = np.concatenate([_listed(c, i) for c in batch.columns[2:]])
+                if len(listed):
+                    data = np.frombuffer(text, np.uint8)
+                    starts, ends, first = word_spans(data, np.array([0, len(data)]))
+                    h = span_hashes(data, starts, ends)
+                    start, _, least = _windows(h, first, length, gram)
+                    start = start[np.isin(least, listed)]
+                    yield from _emit(ngrams(h, length)[start].view(np.int64), _second(h, length)[start], np.repeat(ids[i], len(start)),
+                                     names=["h1", "h2", "doc_id"])
+
+    wanted = F.coalesce(*[F.col(c) for c in seeds]).isNotNull()
+    return documents.select("doc_id", "packed", *seeds).filter(wanted).mapInArrow(joined(run), "h1 long, h2 int, doc_id long")
+
+
+def joined(run):
+    """Gathers small output batches into larger ones."""
+    def gather(batches: Batches) -> Batches:
+        held, rows = [], 0
+        for batch in run(batches):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= ROWS:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, rows = [], 0
+        if rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    return gather
 
 
 def covered_words(n: int, starts: np.ndarray, length: int) -> np.ndarray:
@@ -113,22 +159,23 @@ def covered_words(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def _removed(documents: DataFrame, length: int) -> DataFrame:
-    """doc_id, n_words, n_removed, kept text; ``gone`` are the hashes of a
-    row's windows that a smaller doc_id holds."""
+def _removed(documents: DataFrame, length: int, gram: int) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_text); ``whole`` lists anchors whose
+    windows all go, ``gone`` the hashes of further windows that go."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            texts, gone = batch.column(1), batch.column(2)
             out: list[tuple[int, int, bytes]] = []
-            for i in range(batch.num_rows):
-                words = (texts[i].as_buffer().to_pybytes() if texts[i].is_valid else b"").split()
-                cut = 0
-                n = len(words)
-                if gone[i].is_valid:
+            for i, text in enumerate(_texts(batch.column(1))):
+                words = text.split()
+                n, cut = len(words), 0
+                whole, gone = _listed(batch.column(2), i), _listed(batch.column(3), i)
+                if len(whole) or len(gone):
                     data = np.frombuffer(b" ".join(words), np.uint8)
-                    starts, ends, _ = word_spans(data, np.array([0, len(data)]))
-                    hashes = ngrams(span_hashes(data, starts, ends), length).view(np.int64)
-                    drop = covered_words(n, np.flatnonzero(np.isin(hashes, gone[i].values.to_numpy())), length)
+                    starts, ends, first = word_spans(data, np.array([0, len(data)]))
+                    h = span_hashes(data, starts, ends)
+                    start, _, least = _windows(h, first, length, gram)
+                    goes = np.isin(least, whole) | np.isin(ngrams(h, length)[start], gone)
+                    drop = covered_words(n, start[goes], length)
                     cut = int(drop.sum())
                     words = [w for w, x in zip(words, drop.tolist()) if not x]
                 out.append((n, cut, b" ".join(words)))
@@ -137,7 +184,7 @@ def _removed(documents: DataFrame, length: int) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(cut, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    df = documents.select("doc_id", F.col("text").cast("binary").alias("text"), "gone")
+    df = documents.select("doc_id", "packed", "whole", "gone")
     return df.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
@@ -146,12 +193,21 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     its words without those in a window that a smaller doc_id holds too."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = anchors(docs, length, gram)
-    shared = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
-    seeds = cut_lineage(found.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("seeds")), "seeds")
-    windows = seeded_windows(docs.join(seeds, "doc_id"), length, gram)
-    first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
-    gone = windows.join(first, ["h1", "h2"]).filter("doc_id > lo").groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))
-    return _removed(docs.join(gone, "doc_id", "left"), length)
+    shared = (found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.count("*").alias("n"), F.min("around").alias("a"),
+                                          F.max("around").alias("b")).filter("n > 1").select("anchor", "lo", (F.col("a") != F.col("b")).alias("mixed")))
+    met = found.select("anchor", "doc_id").join(shared, "anchor")
+    later = F.col("doc_id") > F.col("lo")
+    # An anchor's first document loses nothing around it, but others may lose to it.
+    kinds = {"whole": ~F.col("mixed") & later, "first": F.col("mixed") & ~later, "later": F.col("mixed") & later}
+    seeds = met.filter(F.col("mixed") | later).groupBy("doc_id").agg(
+        *[F.collect_list(F.when(test, F.col("anchor"))).alias(name) for name, test in kinds.items()])
+    seeds = cut_lineage(seeds.select("doc_id", *[F.when(F.size(c) > 0, F.col(c)).alias(c) for c in kinds]), "seeds")
+    texts = packed_texts(docs).join(seeds, "doc_id", "left")
+    everywhere = seeded_windows(texts, ["first", "later"], length, gram)
+    least = everywhere.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"))
+    gone = (seeded_windows(texts, ["later"], length, gram).join(least, ["h1", "h2"]).filter("doc_id > lo")
+            .groupBy("doc_id").agg(F.collect_set("h1").alias("gone")))
+    return _removed(texts.join(gone, "doc_id", "left"), length, gram)
 
 
 _SQL = r"""
