@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.llm.registry import read_table, register
+from martlet.llm.words import process_cache
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Characters of a chunk and of an overlap; texts beyond a chunk are cut.
@@ -31,22 +32,21 @@ CHUNK, OVERLAP = 1 << 15, 512
 BATCH = 1 << 18
 LIMIT = 1024
 
-_loaded: dict[str, object] = {}
-
 
 def load_tokenizer(name: str):
     """The tokenizer of a file, or of a public vocabulary's name; one a worker."""
-    if name not in _loaded:
+    loaded = process_cache("tokenizers")
+    if name not in loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         if not os.path.exists(name):
             import public_tokenizers
 
-            _loaded[name] = Tokenizer.from_file(public_tokenizers.path(name))
+            loaded[name] = Tokenizer.from_file(public_tokenizers.path(name))
         else:
-            _loaded[name] = Tokenizer.from_file(name)
-    return _loaded[name]
+            loaded[name] = Tokenizer.from_file(name)
+    return loaded[name]
 
 
 class Chunk:

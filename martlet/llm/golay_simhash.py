@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.llm.components import connected_components
 from martlet.llm.registry import read_table, register
-from martlet.llm.words import text_pieces
+from martlet.llm.words import process_cache, text_pieces
 from martlet.session import cut_lineage
 
 # Generator polynomial of the binary Golay code (23, 12, 7); its
@@ -105,15 +105,13 @@ def golay_index(words: np.ndarray) -> np.ndarray:
     return (words ^ errors[syndrome]) >> CHECKS
 
 
-_index: dict[str, np.ndarray] = {}
-
-
 def _indices() -> np.ndarray:
     """The index of every 23-bit word (16 MB of 16-bit numbers, from the rule above)."""
-    if "all" not in _index:
+    index = process_cache("golay")
+    if not index:
         parts = [golay_index(np.arange(a, a + (1 << 19))).astype(np.uint16) for a in range(0, 1 << LENGTH, 1 << 19)]
-        _index["all"] = np.concatenate(parts)
-    return _index["all"]
+        index["all"] = np.concatenate(parts)
+    return index["all"]
 
 
 def segment_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

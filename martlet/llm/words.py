@@ -6,6 +6,7 @@ as UTF-8 never uses those bytes inside a character).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,12 @@ BLOCK = 2 << 20
 PIECE = 1 << 18
 
 _ODD = 0x9E3779B97F4A7C15  # fixed value: golden-ratio multiplier
-_tables: dict[str, np.ndarray] = {}
+
+
+def process_cache(name: str) -> dict:
+    """A dictionary that lives as long as the Python process: functions that
+    travel by value bring new module globals with every task."""
+    return sys.__dict__.setdefault("_martlet_cache", {}).setdefault(name, {})
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -31,15 +37,16 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _table(name: str) -> np.ndarray:
-    if not _tables:
+    tables = process_cache("words")
+    if not tables:
         powers = np.full(PIECE + 1, _ODD, np.uint64)
         inverse = np.full(PIECE + 1, pow(_ODD, -1, 1 << 64), np.uint64)
         powers[0] = inverse[0] = 1
         space = np.zeros(256, bool)
         space[[32, 9, 10, 11, 12, 13]] = True
-        _tables.update(powers=np.cumprod(powers), inverse=np.cumprod(inverse), space=space,
-                       byte=mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD)))
-    return _tables[name]
+        tables.update(powers=np.cumprod(powers), inverse=np.cumprod(inverse), space=space,
+                      byte=mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD)))
+    return tables[name]
 
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
