@@ -7,7 +7,7 @@ Every job takes an explicit ``as_of`` instead of calling ``now()``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from martlet.session import REPORT_TZ
@@ -22,28 +22,13 @@ def ts_lit(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00"}
-
-
-def _session_utc() -> bool:
-    """True when the active session's zone is UTC (the default of
-    ``build_session``); then ``from_utc_timestamp`` gives the same wall clock as
-    ``convert_timezone`` at a quarter of the cost per row."""
-    spark = SparkSession.getActiveSession()
-    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
-
-
 def local_ts(ts, tz: str = REPORT_TZ) -> Column:
     """Wall clock in ``tz`` of a UTC instant stored without zone (NTZ in, NTZ out)."""
-    if _session_utc():
-        return F.from_utc_timestamp(_c(ts).cast("timestamp"), tz).cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ts))
 
 
 def local_date(ts, tz: str = REPORT_TZ) -> Column:
     """``toDate(x, tz)`` / ``date(convert_tz(x, 'UTC', tz))``."""
-    if _session_utc():
-        return F.to_date(F.from_utc_timestamp(_c(ts).cast("timestamp"), tz))
     return F.to_date(local_ts(ts, tz))
 
 
@@ -52,9 +37,19 @@ def local_date_or(ts, fallback, tz: str = REPORT_TZ) -> Column:
     return F.coalesce(local_date(ts, tz), local_date(fallback, tz))
 
 
-def between_local(ts, start: str, end: str, tz: str = REPORT_TZ) -> Column:
-    """Local date within [start, end], both inclusive."""
-    return local_date(ts, tz).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+def between_local(ts, start: str, end: str, fallback=None, tz: str = REPORT_TZ) -> Column:
+    """Local date of ``ts`` within [start, end], both inclusive; where ``ts``
+    is NULL, that of ``fallback`` (if given). Each branch carries a bound on its
+    own raw column, a day wider than the zone can shift, so that a scan can skip
+    by it without losing a row."""
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+
+    def within(c) -> Column:
+        raw = (c >= F.date_sub(lo, 1).cast("timestamp_ntz")) & (c < F.date_add(hi, 2).cast("timestamp_ntz"))
+        return raw & local_date(c, tz).between(lo, hi)
+
+    t = _c(ts)
+    return within(t) if fallback is None else within(t) | (t.isNull() & within(_c(fallback)))
 
 
 def month_start(c) -> Column:

@@ -148,33 +148,30 @@ def share(df: DataFrame, by: Sequence[str], col: str, name_group: str = "pct_of_
 
 
 def exact_median(df: DataFrame, by: Sequence[str], col: str, name: str = "median",
-                 accuracy: int | None = None, band_rows: int = 1_000_000) -> DataFrame:
+                 accuracy: int = 100_000) -> DataFrame:
     """Exact median per group (mean of the two middle values for an even
-    count, NULLs ignored) without holding a group's values in one task.
-
-    An approximate quantile sketch brackets the middle ranks: its rank error
-    is at most n/accuracy, so the values in [lo, hi] (about 4n/accuracy of
-    them) contain both middle ranks. Only that band is ranked; the rows below
-    ``lo`` are just counted. Unless given, the accuracy is chosen from the
-    largest group (one scalar job) so that a band holds about ``band_rows``
-    rows at most. If the bracket misses (tiny groups), that group falls back
-    to ranking all its values, which are few then."""
+    count, NULLs ignored) without holding a group's rows in one task.
+
+    Rows are first reduced to (group, value) counts. An approximate quantile
+    sketch brackets the middle ranks: its rank error is at most n/accuracy, so
+    the values in [lo, hi] contain both middle ranks. Only the distinct values
+    of that band get running counts, so equal values, however many, are one
+    row; the rows below ``lo`` are just counted. If the bracket misses (tiny
+    groups), all distinct values of that group are the band."""
     keys = list(by) or ["_all"]
     base = df.select(*by, col).where(F.col(col).isNotNull())
     if not by:
         base = base.withColumn("_all", F.lit(1))
-    if accuracy is None:
-        largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        accuracy = int(min(max(10_000, -(-4 * largest // band_rows)), 10_000_000))
+    x = F.col(col)
+    values = base.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
     d = 2.0 / accuracy
     stats = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(col, max(0.0, 0.5 - d), accuracy).alias("_lo"),
         F.percentile_approx(col, min(1.0, 0.5 + d), accuracy).alias("_hi"))
-    x = F.col(col)
-    counts = (base.join(stats, keys).groupBy(*keys)
-              .agg(F.count_if(x < F.col("_lo")).alias("_below"),
-                   F.count_if((x >= F.col("_lo")) & (x <= F.col("_hi"))).alias("_band")))
+    counts = (values.join(stats, keys).groupBy(*keys)
+              .agg(F.sum(F.when(x < F.col("_lo"), F.col("_c")).otherwise(0)).alias("_below"),
+                   F.sum(F.when(x.between(F.col("_lo"), F.col("_hi")), F.col("_c")).otherwise(0)).alias("_band")))
     k1 = F.floor((F.col("_n") + 1) / 2)
     k2 = F.floor(F.col("_n") / 2) + 1
     ok = (F.col("_below") < k1) & (F.col("_below") + F.col("_band") >= k2)
@@ -182,12 +179,13 @@ def exact_median(df: DataFrame, by: Sequence[str], col: str, name: str = "median
                .select(*keys, k1.alias("_k1"), k2.alias("_k2"),
                        F.when(ok, F.col("_lo")).alias("_lo"), F.when(ok, F.col("_hi")).alias("_hi"),
                        F.when(ok, F.col("_below")).otherwise(0).alias("_below")))
-    band = (base.join(bracket, keys)
+    band = (values.join(bracket, keys)
             .where(F.col("_lo").isNull() | ((x >= F.col("_lo")) & (x <= F.col("_hi")))))
-    w = Window.partitionBy(*keys).orderBy(x)
-    ranked = band.withColumn("_r", F.col("_below") + F.row_number().over(w))
-    med = (ranked.where((F.col("_r") == F.col("_k1")) | (F.col("_r") == F.col("_k2")))
-           .groupBy(*keys).agg(F.avg(x).alias(name)))
+    w = Window.partitionBy(*keys).orderBy(x).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = band.withColumn("_r", F.col("_below") + F.sum("_c").over(w))
+    # The value at rank k is the least one whose running count reaches k.
+    med = (upto.groupBy(*keys)
+           .agg(((F.min(F.when(F.col("_r") >= F.col("_k1"), x)) + F.min(F.when(F.col("_r") >= F.col("_k2"), x))) / 2).alias(name)))
     return med.drop("_all") if not by else med
 
 

@@ -1,9 +1,8 @@
 """Join operators (section 2.3).
 
-A side is broadcast only with a proven bound: either Spark's own size
-statistics and AQE's runtime sizes (``autoBroadcastJoinThreshold``) decide, or
-``enrich_checked`` materialises a keyed enrichment and counts it first. Big
-sides stay sort-merge joins whose skewed partitions AQE splits.
+No side carries a broadcast hint: Spark's size statistics and AQE's runtime
+sizes (``autoBroadcastJoinThreshold``, in bytes) decide. Big sides stay
+sort-merge joins whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -18,27 +17,6 @@ def _cols(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-# Rows up to which a materialised dimension is broadcast (a few hundred MB of
-# narrow rows at most); larger ones take the shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def enrich_checked(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a keyed enrichment (one row per key) onto a large fact.
-
-    The enrichment is materialised once into the shared checkpoint folder and
-    counted; it is broadcast only when that count is within ``max_rows``, so
-    the fact keeps its partitioning and a hot key costs nothing. Beyond the
-    bound the plan is a sort-merge join, where AQE splits skewed fact
-    partitions."""
-    from martlet.session import cut_lineage
-
-    dim = cut_lineage(dim)
-    side = F.broadcast(dim) if dim.count() <= max_rows else dim
-    return fact.join(side, on, how)
-
-
 def inner(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """J1."""
     return left.join(right, on, "inner")
@@ -70,26 +48,6 @@ def anti(left_df: DataFrame, right: DataFrame, on) -> DataFrame:
     return left_df.join(right, on, "left_anti")
 
 
-def anti_small_vs_large(small: DataFrame, large: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS,
-                        materialise: bool = True) -> DataFrame:
-    """J5 for a small frame against a large, ever-growing one (new shipments
-    against the sent ledger). A plain ``left_anti`` can only build on the
-    right side, so the whole ledger would be shuffled on every run. Instead
-    the small side is materialised and counted; within the bound its keys are
-    broadcast into a semi join that reads the ledger once without a shuffle,
-    and the anti join then runs against that small remainder."""
-    from martlet.session import cut_lineage
-
-    keys = _cols(on)
-    if materialise:
-        small = cut_lineage(small, "anti")
-    if small.count() > max_rows:
-        return small.join(large, keys, "left_anti")
-    probe = F.broadcast(small.select(*keys).distinct())
-    hits = large.select(*keys).join(probe, keys, "left_semi").distinct()
-    return small.join(F.broadcast(hits), keys, "left_anti")
-
-
 def join_on_predicate(left_df: DataFrame, right: DataFrame, on, pred: Column,
                       how: str = "inner") -> DataFrame:
     """Dimension filtered inside the join; the filter is applied to the
@@ -133,19 +91,19 @@ def join_aggregate(left_df: DataFrame, right: DataFrame, on, aggs: Sequence[Colu
 
 
 def asof_left(left_df: DataFrame, right: DataFrame, by: str, left_ts: str,
-              right_ts: str, payload: Sequence[str]) -> DataFrame:
+              right_ts: str, payload: Sequence[str], bounds: tuple[str, str] | None = None) -> DataFrame:
     """For each left row the right row of the same ``by`` key with the
     smallest ``right_ts >= left_ts`` (both inclusive); unmatched rows keep
     NULLs. Rows with a NULL key or NULL time never match.
 
     Plan: each right row owns the half-open interval (previous right_ts,
-    right_ts] of its key; the interval is exploded into the calendar months it
-    touches, and the left side joins on (key, month of left_ts) plus the range
-    test. Every left row meets at most one interval per candidate, so there is
-    no pair explosion, and a hot key is spread over its months (AQE splits
-    what is still skewed). The first interval of a key is open to the left; it
-    is expanded down to the earliest month of the left side, a single scalar
-    computed by a distributed aggregate.
+    right_ts] of its key, cut to ``bounds``, the first and last month that the
+    left side can hold. An interval is exploded into the months it touches, and
+    the left side joins on (key, month of left_ts) plus the range test. Every
+    left row meets at most one interval per candidate, so there is no pair
+    explosion, and a hot key is spread over its months (AQE splits what is
+    still skewed). Jobs that know their period pass ``bounds``; otherwise one
+    aggregate over the left times finds them.
     """
     r = (right.select(by, right_ts, *payload)
          .where(F.col(by).isNotNull() & F.col(right_ts).isNotNull()))
@@ -153,33 +111,25 @@ def asof_left(left_df: DataFrame, right: DataFrame, by: str, left_ts: str,
     r = (r.groupBy(by, right_ts)
          .agg(F.min(F.struct(*payload)).alias("_p"))
          .select(by, right_ts, "_p.*"))
-    r_end = F.col(right_ts).cast("timestamp_ntz")
     w = Window.partitionBy(by).orderBy(right_ts)
-    r = r.withColumn("_end", r_end).withColumn("_prev", F.lag("_end").over(w))
-
-    floor = left_df.select(F.min(F.trunc(F.col(left_ts), "MM")).alias("m")).first()["m"]
-    end_month = F.trunc("_end", "MM")
-    if floor is None:
-        first_month = end_month
-    else:
-        first_month = F.least(F.lit(floor), end_month)
-    start_month = F.when(F.col("_prev").isNull(), first_month).otherwise(F.trunc("_prev", "MM"))
-    r = r.withColumn("_bucket", F.explode(F.sequence(start_month, end_month, F.expr("interval 1 month"))))
+    r = r.withColumn("_end", F.col(right_ts).cast("timestamp_ntz")).withColumn("_prev", F.lag("_end").over(w))
+
+    if bounds is None:
+        t = F.col(left_ts).cast("date")
+        bounds = tuple(left_df.agg(F.min(t), F.max(t)).first())
+    first, last = (F.trunc(F.lit(x).cast("date"), "MM") for x in bounds)
+    begin = F.greatest(F.trunc("_prev", "MM"), first)  # NULL (no previous end) leaves the first month
+    end = F.least(F.trunc("_end", "MM"), last)
+    r = r.where((begin <= end) & (F.col("_end") >= first.cast("timestamp_ntz")))
+    r = r.withColumn("_bucket", F.explode(F.sequence(begin, end, F.expr("interval 1 month"))))
     r = r.select(F.col(by).alias("_rk"), "_bucket", "_end", "_prev",
                  F.col(right_ts).alias("_rts"), *[F.col(p).alias(f"_r_{p}") for p in payload])
 
-    from martlet.session import cut_lineage
-
-    # The expanded interval table is materialised and counted: broadcast when
-    # within the bound (the fact is then never shuffled), else a shuffle join
-    # on (key, month).
-    r = cut_lineage(r)
-    r_side = F.broadcast(r) if r.count() <= BROADCAST_MAX_ROWS else r
     lb = left_df.withColumn("_lbucket", F.trunc(F.col(left_ts), "MM"))
-    cond = ((lb[by] == r_side["_rk"]) & (lb["_lbucket"] == r_side["_bucket"])
-            & (lb[left_ts] <= r_side["_end"])
-            & (r_side["_prev"].isNull() | (lb[left_ts] > r_side["_prev"])))
-    out = lb.join(r_side, cond, "left")
+    cond = ((lb[by] == r["_rk"]) & (lb["_lbucket"] == r["_bucket"])
+            & (lb[left_ts] <= r["_end"])
+            & (r["_prev"].isNull() | (lb[left_ts] > r["_prev"])))
+    out = lb.join(r, cond, "left")
     return out.select(*[lb[c] for c in left_df.columns],
                       F.col("_rts").alias(right_ts),
                       *[F.col(f"_r_{p}").alias(p) for p in payload])
@@ -201,30 +151,35 @@ def assigned_manager(df: DataFrame, ts: str = "shipped_at", start: str = "date_s
     return df.withColumn(name, F.when(first, m).when(inside, m).otherwise(F.lit(0)).cast("bigint"))
 
 
-def hierarchy_root(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id",
-                   max_depth: int = 64, step: int = 4) -> DataFrame:
+def hierarchy_root(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id", step: int = 4) -> DataFrame:
     """The top ancestor of every node of a parent/child dictionary.
 
-    Each level replaces a node's current ancestor by that ancestor's parent,
-    an equi join with the dictionary (a dimension; Spark picks broadcast from
-    its size). ``step`` levels are chained lazily, then one check asks whether
-    any ancestor still has a parent; only a deeper tree cuts the lineage (a
-    parquet table in the shared checkpoint folder) and continues. A parent
-    missing from the dictionary counts as a root; ``max_depth`` stops cycles.
-    """
+    ``step`` levels are first walked lazily, one equi join with the dictionary
+    each. If some ancestor still has a parent, the ancestor table is joined to
+    itself (pointer doubling: the depth doubles each round, with the round's
+    table in the shared checkpoint folder), so a chain of any depth ends after
+    log2(depth) rounds. A parent missing from the dictionary, or a node that is
+    its own parent, counts as a root; a cycle is an error."""
     from martlet.session import cut_lineage
 
-    parent = nodes.select(F.col(id_col).alias("_pid"), F.col(parent_col).alias("_pparent"))
-    has_parent = parent.where(F.col("_pparent").isNotNull()).select("_pid")
+    parent = (nodes.where(F.col(parent_col).isNotNull() & (F.col(parent_col) != F.col(id_col)))
+              .select(F.col(id_col).alias("_pid"), F.col(parent_col).alias("_pparent")))
     cur = nodes.select(F.col(id_col).alias("node"), F.coalesce(F.col(parent_col), F.col(id_col)).alias("anc"))
-    depth = 1
-    while True:
-        for _ in range(step):
-            cur = (cur.join(parent, cur["anc"] == parent["_pid"], "left")
-                   .select("node", F.coalesce(F.col("_pparent"), F.col("anc")).alias("anc")))
-            depth += 1
-        open_ = cur.join(has_parent, cur["anc"] == has_parent["_pid"], "left_semi")
-        if depth >= max_depth or open_.isEmpty():
-            break
+    for _ in range(step):
+        cur = (cur.join(parent, cur["anc"] == parent["_pid"], "left")
+               .select("node", F.coalesce(F.col("_pparent"), F.col("anc")).alias("anc")))
+
+    def unfinished(df: DataFrame) -> DataFrame:
+        return df.join(parent.select("_pid"), F.col("anc") == F.col("_pid"), "left_semi")
+
+    reached, size = step + 1, None
+    while not unfinished(cur).isEmpty():
+        size = nodes.count() if size is None else size
+        if reached > size:
+            raise ValueError("the hierarchy has a cycle")
         cur = cut_lineage(cur, "hierarchy")
+        upper = cur.select(F.col("node").alias("_n"), F.col("anc").alias("_a")).distinct()
+        cur = (cur.join(upper, F.col("anc") == F.col("_n"), "left")
+               .select("node", F.coalesce("_a", "anc").alias("anc")))
+        reached *= 2
     return cur.select(F.col("node").alias(id_col), F.col("anc").alias("root_id"))

@@ -105,7 +105,7 @@ def category_orders(line_items: DataFrame, categories: DataFrame, spec: Audience
     """Per order: whether it holds a food / a non-food item, judged by the top
     ancestor of the item's category (J12). The roots come from the category
     dictionary (a dimension), joined after a size check."""
-    from martlet.operators.joins import enrich_checked, hierarchy_root
+    from martlet.operators.joins import hierarchy_root
 
     roots = hierarchy_root(categories, "id", "parent_id").select(F.col("id").alias("offer_id"), "root_id")
     day = F.to_date("shipped_at")
@@ -113,7 +113,7 @@ def category_orders(line_items: DataFrame, categories: DataFrame, spec: Audience
                            & day.between(F.lit(spec.start).cast("date"), F.lit(spec.end).cast("date")))
           .select("order_id", "offer_id"))
     food = F.col("root_id").isin(*spec.food_roots)
-    return (enrich_checked(li, roots, "offer_id", "inner").groupBy("order_id")
+    return (li.join(roots, "offer_id").groupBy("order_id")
             .agg(F.max(food).alias("has_food"), F.max(~food).alias("has_nonfood")))
 
 

@@ -31,20 +31,23 @@ def daily_snapshot(df: DataFrame, key: str, day: str, value: str) -> DataFrame:
 
 def scd2(snapshots: DataFrame, key: str, day: str = "snapshot_date", value: str = "value") -> DataFrame:
     """Keep the days on which the value changed; each such row is valid
-    from that day to the day before the next change (open-ended: NULL).
+    from that day to the day before the next change (open-ended: NULL). A value
+    that turns NULL, or back, is a change like any other.
     Windows are per key over distinct days, so a partition is bounded by the
     calendar, not by the number of source rows."""
     w = Window.partitionBy(key).orderBy(day)
-    changed = (snapshots.withColumn("_prev", F.lag(value).over(w))
-               .where(F.col("_prev").isNull() | (F.col("_prev") != F.col(value))))
+    changed = (snapshots.withColumn("_first", F.row_number().over(w) == 1).withColumn("_prev", F.lag(value).over(w))
+               .where(F.col("_first") | ~F.col("_prev").eqNullSafe(F.col(value))))
     return (changed.withColumn("valid_to", F.date_sub(F.lead(day).over(w), 1))
             .select(key, value, F.col(day).alias("valid_from"), "valid_to",
                     F.col("valid_to").isNull().alias("is_current")))
 
 
 def hash_key(*cols: str) -> F.Column:
-    """Vault hash key: md5 over the business key parts, '|' separated."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]))
+    """Vault hash key: md5 over the parts, each with its length before it ('-'
+    for NULL), so that no two different lists of parts give the same text."""
+    parts = [F.col(c).cast("string") for c in cols]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
 
 
 def hub(df: DataFrame, business_key: str, source: str) -> DataFrame:
@@ -64,6 +67,6 @@ def satellite(snapshots: DataFrame, business_key: str, attrs: Sequence[str], day
     w = Window.partitionBy(business_key).orderBy(day)
     s = snapshots.withColumn("hashdiff", hash_key(*attrs))
     s = s.withColumn("_prev", F.lag("hashdiff").over(w))
-    return (s.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("hashdiff")))
+    return (s.where(~F.col("_prev").eqNullSafe(F.col("hashdiff")))
             .select(hash_key(business_key).alias("hub_key"), F.col(day).alias("load_date"), "hashdiff", *attrs,
                     F.lit(source).alias("record_source")))

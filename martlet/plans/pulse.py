@@ -37,6 +37,7 @@ class PulseConfig:
     scan_ledger: str | None = None  # over-limit: first-stage ledger of scanned shipments
     exclude_store_ids: tuple[int, ...] = ()  # e.g. "two retailers minus one store"
     lines_by: str = "shipment_id"  # "order_id" reproduces the reference's join of lines by order (Q8)
+    gate: str = "pay"  # which orders are alerted or listed, see ``payable``
     trigger: str = "12 minutes"
     fallback: Fallback = field(default_factory=Fallback)
 
@@ -69,7 +70,9 @@ def _scope(s: DataFrame, cfg: PulseConfig) -> DataFrame:
         s = s.where(F.col("store_id").isin(*cfg.store_ids))
     if cfg.exclude_store_ids:
         s = s.where(~F.col("store_id").isin(*cfg.exclude_store_ids))
-    return s.where(F.col("shipment_state").isin(*cfg.states))
+    if cfg.states:  # a job without a state filter takes every state
+        s = s.where(F.col("shipment_state").isin(*cfg.states))
+    return s
 
 
 def candidates(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
@@ -95,12 +98,11 @@ def candidates(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
 
 
 def not_sent(df: DataFrame, ledger: DataFrame, cfg: PulseConfig) -> DataFrame:
-    """Candidates not yet in this pulse's ledger(s). The candidates of one run
-    are few (a look-back window) and the ledger grows forever, so the ledger
-    is probed with the broadcast candidate keys instead of being shuffled."""
+    """Candidates not yet in this pulse's ledger(s). The ledger is partitioned
+    by process, so only this pulse's rows are read."""
     names = list(cfg.ledger_names or (cfg.process_name,))
     sent = ledger.where(F.col("process_name").isin(*names)).select("shipment_number")
-    return joins.anti_small_vs_large(df, sent, "shipment_number")
+    return joins.anti(df, sent, "shipment_number")
 
 
 def _enrich(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
@@ -151,25 +153,37 @@ def ledger_rows(report: DataFrame, cfg: PulseConfig, as_of: str = AS_OF) -> Data
             .withColumn("shipment_logged_at", tf.ts_lit(as_of)))
 
 
+def payable(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
+    """P15 for candidates that carry ``company_id``: no locked order, and paid,
+    a deferred method, a small balance gap or a postpay company. The gap (W3)
+    is that of the whole order: all shipments of the candidates' balance-due
+    orders, wherever they go. ``cfg.gate`` leaves the balance out
+    ("pay_no_balance") or only asks that the payment did not fail ("state")."""
+    if cfg.gate == "state":
+        return df.where(rules.state_gate("payment_state"))
+    locked = src.locked.where(F.col("export_lock_state") == "locked").select("order_id")
+    df = joins.anti(df, locked, "order_id")
+    balance_ok = F.lit(False)
+    if cfg.gate == "pay":
+        due = df.where(F.col("payment_state") == "balance_due").select("order_id").distinct()
+        gaps = windows.balance_due_window(joins.semi(src.shipments, due, "order_id"), "order_id", "payment_total", "total")
+        df = df.join(gaps.withColumn("_bal_ok", F.lit(True)), "order_id", "left")
+        balance_ok = F.col("_bal_ok")
+    postpay = src.directory.where(F.col("con_flag") == "postpay").select("company_id").distinct().withColumn("_postpay", F.lit(True))
+    df = df.join(postpay, "company_id", "left")
+    gate = rules.pay_gate("payment_state", "payment_method_id", balance_ok) | F.coalesce("_postpay", F.lit(False))
+    return df.where(F.coalesce(gate, F.lit(False))).drop("_bal_ok", "_postpay")
+
+
 def _next_day_base(src: Sources, cfg: PulseConfig, as_of: str) -> DataFrame:
-    """Shipments of the scope with a slot on the next business day, not
-    locked, passing the pay gate (paid, deferred method, or a small balance
-    gap found by the window form W3) or belonging to a postpay company."""
+    """Shipments of the scope with a slot on the next business day that are
+    ``payable``."""
     asof = tf.ts_lit(as_of)
     s = _scope(src.shipments, cfg)
     w = src.windows.select(F.col("id").alias("shipment_id"), F.col("starts_at").alias("slot_start"))
     s = s.join(w, "shipment_id").where(F.to_date("slot_start") == tf.next_business_day(asof))
-    locked = src.locked.where(F.col("export_lock_state") == "locked").select("order_id")
-    s = joins.anti(s, locked, "order_id")
-    balance = windows.balance_due_window(
-        _scope(src.shipments, cfg).where(F.col("payment_state") == "balance_due"),
-        "order_id", "payment_total", "total").withColumn("_bal_ok", F.lit(True))
-    s = s.join(balance, "order_id", "left")
     s = s.join(src.company_orders, "order_id", "left")
-    con = src.directory.select("company_id", "con_flag").distinct()
-    s = s.join(con, "company_id", "left")
-    gate = rules.pay_gate("payment_state", "payment_method_id", "_bal_ok") | (F.col("con_flag") == "postpay")
-    return s.where(F.coalesce(gate, F.lit(False)))
+    return payable(s, src, cfg)
 
 
 def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
@@ -207,9 +221,9 @@ def consignees(src: Sources, cfg: PulseConfig, companies: DataFrame, as_of: str
 
 def big_orders(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K4: lines of unreported shipments over the thresholds (``and``: line
-    and shipment both; ``or``: either), behind the payment-state gate."""
+    and shipment both; ``or``: either), of ``payable`` orders."""
     mode, line_min, total_min = cfg.line_rule
-    c = not_sent(candidates(src, cfg, as_of), src.ledger, cfg).where(rules.state_gate("payment_state"))
+    c = payable(not_sent(candidates(src, cfg, as_of), src.ledger, cfg), src, cfg)
     li = src.line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "price", "quantity")
     j = c.join(li, "shipment_id").withColumn("sku_total", F.col("price") * F.col("quantity"))
     j = j.where(rules.big_order("sku_total", "total", line_min, total_min, mode))
@@ -259,9 +273,9 @@ def over_limit_ledgers(src: Sources, cfg: PulseConfig, as_of: str = AS_OF,
     *alerted* stage logs the shipments with a line over its limit."""
     scan_name = cfg.scan_ledger or f"{cfg.process_name}_scanned"
     scan_cfg = PulseConfig(scan_name, retailer_ids=cfg.retailer_ids, store_ids=cfg.store_ids, states=cfg.states,
-                           window_days=cfg.window_days, window_basis=cfg.window_basis)
+                           window_days=cfg.window_days, window_basis=cfg.window_basis, gate=cfg.gate)
     fresh = not_sent(candidates(src, scan_cfg, as_of), src.ledger, scan_cfg)
-    gated = fresh.where(rules.state_gate("payment_state"))
+    gated = payable(fresh, src, cfg)
     scanned = (fresh if log_before_gate else gated).select("shipment_number").distinct()
     alerted = _over_limit_lines(gated, src).select("shipment_number").distinct()
     stamp = tf.ts_lit(as_of)
@@ -274,13 +288,8 @@ def over_limit(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K5: unreported lines whose quantity is above the SKU's limit (strict).
     The gate is evaluated before anything is logged, so a line that is not
     yet paid is looked at again on the next run."""
-    c = not_sent(candidates(src, cfg, as_of), src.ledger, cfg).where(rules.state_gate("payment_state"))
-    li = src.line_items.where(F.col("deleted_at").isNull()).select("shipment_id", "offer_id", "quantity")
-    o = src.offers.select(F.col("id").alias("offer_id"), "retailer_sku")
-    lim = src.limits.dropna(subset=["max_qty"])
-    j = c.join(li, "shipment_id").join(o, "offer_id").join(lim, "retailer_sku")
-    return (j.where(F.col("quantity") > F.col("max_qty"))
-            .select("shipment_number", "retailer_sku", "quantity", "max_qty", "completed_local"))
+    c = payable(not_sent(candidates(src, cfg, as_of), src.ledger, cfg), src, cfg)
+    return _over_limit_lines(c, src).select("shipment_number", "retailer_sku", "quantity", "max_qty", "completed_local")
 
 
 def hourly(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,11 +38,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is left alone. Only
-    when it is unset (tests, local runs) a fresh scratch folder is used.
+    On a cluster that setting points at shared storage and is left alone; a
+    cluster session without it is an error, because a machine-local folder
+    would be a different one on every executor. Only a ``local`` master (tests)
+    gets a fresh scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {master or 'unknown'})")
         path = tempfile.mkdtemp(prefix="martlet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:  # RDD checkpoints are not used here; set it for callers that do

@@ -49,11 +49,9 @@ def read_csv_skip(spark: SparkSession, path: str, schema: T.StructType, skip_row
     lines = cut_lineage(lines)  # ids must not be recomputed differently
     first = lines.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_first"))
     drop_n = skip_rows + (1 if header else 0)
-    # One row per file: broadcast after a size check, so a single large file
-    # is never shuffled into one partition.
-    from martlet.operators.joins import enrich_checked
-
-    body = (enrich_checked(lines, first, "_file", "left")
+    # One row per file: small enough for Spark to broadcast; else AQE splits a
+    # large file's partition.
+    body = (lines.join(first, "_file", "left")
             .where(F.col("_first").isNull() | (F.col("_id") >= F.col("_first") + drop_n)))
     parsed = body.select(F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("r"))
     return parsed.select("r.*")
@@ -114,27 +112,55 @@ def write_chunked(df: DataFrame, path: str, max_rows: int = 1_000_000, fmt: str
     return path
 
 
-def refresh(df: DataFrame, target: str, stage: str, required: Sequence[str] = ()) -> DataFrame:
-    """Full refresh with a swap. Fill a fresh stage, validate it (not
-    empty, required columns without NULLs), then overwrite the target from
-    the stage, so the target never holds a partial result."""
-    df.write.mode("overwrite").parquet(stage)
-    staged = df.sparkSession.read.parquet(stage)
+def refresh(df: DataFrame, target: str, required: Sequence[str] = ()) -> DataFrame:
+    """Full refresh with a swap. The new content goes to a version folder of
+    its own, is validated there (not empty, required columns without NULLs), and
+    becomes current by one row appended to the version list. Readers
+    (``current``) follow that list, so a crash at any point leaves the previous
+    version in place; an unlisted folder is the cleared stage."""
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    staged_at = f"{target}/data/{version}"
+    df.write.parquet(staged_at)
+    staged = spark.read.parquet(staged_at)
     checks = [F.count(F.lit(1)).alias("_rows")] + [F.count_if(F.col(c).isNull()).alias(c) for c in required]
     stats = staged.agg(*checks).first()
     if stats["_rows"] == 0 or any(stats[c] for c in required):
-        raise ValueError(f"stage {stage} failed validation: {stats.asDict()}")
-    staged.write.mode("overwrite").parquet(target)
-    return df.sparkSession.read.parquet(target)
+        raise ValueError(f"stage {staged_at} failed validation: {stats.asDict()}")
+    listed = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
+    listed.coalesce(1).write.mode("append").parquet(f"{target}/versions")
+    return current(spark, target)
+
+
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The version of ``target`` that was published last."""
+    newest = spark.read.parquet(f"{target}/versions").agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
+    return spark.read.parquet(f"{target}/data/{newest}")
+
+
+LEDGER = "shipment_number string, shipment_logged_at timestamp_ntz, process_name string"
+
+
+def open_ledger(spark: SparkSession, path: str, schema: str = LEDGER) -> DataFrame:
+    """The sent ledger, created empty where it does not exist (appending no
+    rows creates the folder and changes nothing else)."""
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("process_name").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_ledger(report: DataFrame, path: str, process: str, as_of: str) -> DataFrame:
-    """Append the distinct reported shipments to the sent ledger."""
-    rows = (report.select("shipment_number").distinct()
+    """Append the distinct reported shipments that the process has not
+    logged yet, and read its rows back. The report is stored first, so the
+    append neither recomputes it nor sees its own rows; appending the same
+    report again adds nothing."""
+    spark = report.sparkSession
+    stored = cut_lineage(report.select("shipment_number").distinct(), "ledger-rows")
+    logged = open_ledger(spark, path).where(F.col("process_name") == process)
+    rows = (stored.join(logged.select("shipment_number"), "shipment_number", "left_anti")
             .withColumn("process_name", F.lit(process))
             .withColumn("shipment_logged_at", F.lit(as_of).cast("timestamp_ntz")))
-    rows.write.mode("append").partitionBy("process_name").parquet(path)
-    return rows
+    cut_lineage(rows, "ledger-new").write.mode("append").partitionBy("process_name").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path).where(F.col("process_name") == process)
 
 
 def manifest(frames: dict[str, DataFrame], recipient: str, item: str) -> DataFrame:

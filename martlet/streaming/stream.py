@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.sources.io import scratch_path
+from martlet.sources.io import open_ledger, scratch_path
 
 
 def stage_files(df: DataFrame, path: str, n_files: int, order_col: str) -> str:
@@ -79,32 +79,29 @@ def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     return g.select(*keys, "_r.*")
 
 
+STREAM_LEDGER = "shipment_number string, batch_id long, process_name string"
+
+
 def pulse_batch_sink(spark: SparkSession, out: str, ledger: str, process: str,
                      enrich: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """R2: per micro-batch, drop what the ledger has, enrich, write the report
     for this batch id (overwrite: a replayed batch rewrites the same folder),
-    then append the ledger rows last. Ledger appends carry the batch id, and
-    rows of the replayed batch id are ignored when reading, so a crash between
-    the two writes cannot lose or double a report."""
+    then log the shipments that the stored report holds. A candidate whose lines
+    or offers are not there yet is not in the report, so it stays unlogged and
+    is reported by a later batch that brings it again. Ledger rows carry the
+    batch id, and rows of the replayed batch id are ignored when reading, so a
+    crash between the two writes cannot lose or double a report."""
+    open_ledger(spark, ledger, STREAM_LEDGER)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        from martlet.operators.joins import anti_small_vs_large
-
-        fresh = batch.dropDuplicates(["shipment_number"])
-        try:
-            # Partition pruning on the process; the micro-batch's keys probe
-            # the ledger (broadcast), so the ledger is never shuffled.
-            sent = (spark.read.parquet(ledger).where((F.col("process_name") == process)
-                                                     & (F.col("batch_id") < batch_id))
-                    .select("shipment_number"))
-            fresh = anti_small_vs_large(fresh, sent, "shipment_number")
-        except Exception as e:  # noqa: BLE001 - empty ledger folder on the first batch
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
+        sent = (spark.read.schema(STREAM_LEDGER).parquet(ledger)
+                .where((F.col("process_name") == process) & (F.col("batch_id") < batch_id)).select("shipment_number"))
+        fresh = batch.dropDuplicates(["shipment_number"]).join(sent, "shipment_number", "left_anti")
         report = enrich(fresh)
-        report.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        (fresh.select("shipment_number").withColumn("process_name", F.lit(process))
-         .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        path = f"{out}/batch_id={batch_id}"
+        report.write.mode("overwrite").parquet(path)
+        (spark.read.schema(report.schema).parquet(path).select("shipment_number").distinct()
+         .withColumn("process_name", F.lit(process)).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("append").partitionBy("process_name").parquet(ledger))
 
     return write

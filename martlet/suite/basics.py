@@ -117,14 +117,8 @@ where coalesce({ld('shipped_at')}, {ld('starts_at')}) between date '1997-03-01'
                                          "v_shipment"))
 def local_date_range(spark, sf):
     s = V(spark, sf, "v_shipment")
-    d = tf.local_date_or("shipped_at", "starts_at")
-    # A coarse UTC range first (the zone is at most a day away), so the bound
-    # reaches the scan; the exact local test follows.
-    coarse = F.col("starts_at").between(F.lit("1997-02-27").cast("timestamp_ntz"),
-                                        F.lit("1997-07-02").cast("timestamp_ntz"))
-    return (s.where(coarse).withColumn("shipped_dt", d)
-            .where(F.col("shipped_dt").between(F.lit("1997-03-01").cast("date"), F.lit("1997-06-30").cast("date")))
-            .select("shipment_id", "shipped_dt"))
+    return (s.where(tf.between_local("shipped_at", "1997-03-01", "1997-06-30", fallback="starts_at"))
+            .select("shipment_id", tf.local_date_or("shipped_at", "starts_at").alias("shipped_dt")))
 
 
 @register("like_any_flag", with_views("""
@@ -149,7 +143,7 @@ def payment_type(spark, sf):
 
 
 _COMPANY_TYPE_SQL = """case when s.b2b_measure = 1 then 'TICKS' when s.b2b_measure = 4 then 'B2B_CERT'
-  when s.b2b_measure = 3 then 'B2B2B_METRO' when coalesce(c.category_type, '') = '' then 'NA'
+  when s.b2b_measure = 3 then 'B2B2B_RETAIL' when coalesce(c.category_type, '') = '' then 'NA'
   when c.category_type = 'Government' then 'GOVERNMENT' when c.category_type = 'Charity' then 'CHARITY'
   when lower(c.name) like '%ип %' or lower(c.name) like '%индивидуальный предприниматель%' then 'INDIVIDUAL'
   when c.finance_income is null then 'NO_FIN_DATA'
@@ -171,19 +165,27 @@ def company_type(spark, sf):
                                                       "name", "finance_income", "employee_count").alias("company_type"))
 
 
-@register("order_channel", with_views("""
-select shipment_id, case
-  when tenant_id = 'tenant_b2b' and platform = 'web' and b2b_measure = 2 then 'b2b web'
-  when tenant_id = 'tenant_main' and platform = 'web' and b2b_measure = 2 and b2b_order_company_flg = 1 then 'for business with company b2c web'
-  when tenant_id = 'tenant_main' and platform = 'web' and b2b_measure = 2 and b2b_order_company_flg = 0 then 'for self with company b2c web'
-  when tenant_id = 'tenant_main' and platform = 'web' and b2b_measure = 1 then 'with tick b2c web'
-  when b2b_measure = 3 then 'third-party orders' when b2b_measure = 4 then 'certificates'
-  when b2b_measure = 0 then 'used certificates b2c'
-  when tenant_id in ('tenant_wl') and platform = 'web' then 'white label'
-  when platform = 'app' and b2b_measure = 2 and b2b_order_company_flg = 1 then 'for business with company app'
-  when platform = 'app' and b2b_measure = 2 and b2b_order_company_flg = 0 then 'for self with company app'
-  when platform = 'app' and b2b_measure = 1 then 'with tick app' else 'other' end as order_type
-from v_shipment""", "v_shipment"))
+# Specification of the channels: tenant, platform, measure and company flag ('*':
+# any). No two rows fit the same order, so their sequence means nothing.
+CHANNEL_SPEC = (
+    ("*", "*", "0", "*", "used certificates b2c"), ("*", "*", "3", "*", "third-party orders"), ("*", "*", "4", "*", "certificates"),
+    ("*", "app", "1", "*", "with tick app"), ("*", "app", "2", "0", "for self with company app"),
+    ("*", "app", "2", "1", "for business with company app"), ("tenant_b2b", "web", "2", "*", "b2b web"),
+    ("tenant_main", "web", "1", "*", "with tick b2c web"), ("tenant_main", "web", "2", "0", "for self with company b2c web"),
+    ("tenant_main", "web", "2", "1", "for business with company b2c web"),
+    ("tenant_wl", "web", "1", "*", "white label"), ("tenant_wl", "web", "2", "*", "white label"),
+)
+
+
+def channel_sql(t: str) -> str:
+    """Oracle subquery: the specification's label of the order of alias ``t``."""
+    rows = ", ".join(str(r) for r in CHANNEL_SPEC)
+    fits = " and ".join(f"(spec.{c} = '*' or spec.{c} = cast({t}.{x} as varchar))" for c, x in (
+        ("tenant", "tenant_id"), ("platform", "platform"), ("measure", "b2b_measure"), ("flag", "b2b_order_company_flg")))
+    return f"coalesce((select label from (values {rows}) spec(tenant, platform, measure, flag, label) where {fits}), 'other')"
+
+
+@register("order_channel", with_views(f"select shipment_id, {channel_sql('s')} as order_type from v_shipment s", "v_shipment"))
 def order_channel(spark, sf):
     s = V(spark, sf, "v_shipment")
     return s.select("shipment_id", rules.order_channel("tenant_id", "platform", "b2b_measure",

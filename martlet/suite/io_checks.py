@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.plans import pulse
+from martlet.session import AS_OF
 from martlet.suite import jobs
 from martlet.sources import io
 from martlet.sources.views import view, with_views
@@ -68,15 +69,14 @@ def sink_roundtrip(spark, sf):
 
 
 @register("split_manifest", with_views("""
-select shipment_number, count(*) as n_rows from v_line_item li join v_shipment s using (shipment_id)
-where s.retailer_id = 3 and li.deleted_at is null group by shipment_number""", "v_line_item", "v_shipment"))
+select s.store_id, count(*) as n_rows from v_line_item li join v_shipment s using (shipment_id)
+where li.deleted_at is null group by s.store_id""", "v_line_item", "v_shipment"))
 def split_manifest(spark, sf):
     path = io.scratch_path(spark, "split")
     li = V(spark, sf, "v_line_item").where(F.col("deleted_at").isNull())
-    s = V(spark, sf, "v_shipment").where(F.col("retailer_id") == 3).select("shipment_id", "shipment_number")
-    io.write_split(li.join(s, "shipment_id").select("shipment_number", "offer_id", "quantity"),
-                   "shipment_number", path)
-    return spark.read.parquet(path).groupBy("shipment_number").agg(F.count(F.lit(1)).alias("n_rows"))
+    s = V(spark, sf, "v_shipment").select("shipment_id", "store_id")
+    io.write_split(li.join(s, "shipment_id").select("store_id", "offer_id", "quantity"), "store_id", path)
+    return spark.read.parquet(path).groupBy("store_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("chunk_index", """
@@ -91,15 +91,28 @@ def chunk_index(spark, sf):
 def full_refresh(spark, sf):
     """Stage, validate, swap; the target then holds the flagship result."""
     from martlet.plans.mart import manager_gmv
-    base = io.scratch_path(spark, "mart")
-    return io.refresh(manager_gmv(spark, sf), f"{base}/prod", f"{base}/stage", required=["assigned_manager_id"])
+    target = io.scratch_path(spark, "mart")
+    io.refresh(manager_gmv(spark, sf).limit(1), target)
+    return io.refresh(manager_gmv(spark, sf), target, required=["assigned_manager_id"])
+
+
+@register("ledger_append", with_views(f"""
+select distinct c.shipment_number, 'pulse_b' as process_name, {jobs.ASOF} as shipment_logged_at
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id""", *jobs._PULSE_VIEWS, extra=[("c", jobs._cand_sql(jobs.NEW_ORDERS))]))
+def ledger_append(spark, sf):
+    """The report is appended twice; the second append adds nothing."""
+    path = io.scratch_path(spark, "ledger")
+    report = pulse.new_orders(pulse.Sources.fixture(spark, sf), jobs.NEW_ORDERS)
+    io.append_ledger(report, path, jobs.NEW_ORDERS.process_name, AS_OF)
+    return io.append_ledger(report, path, jobs.NEW_ORDERS.process_name, AS_OF)
 
 
 @register("delivery_manifest", with_views(f"""
 select recipient, list_sort(list_distinct(list(report))) as reports, count(distinct item) as n_items from (
   select manager_email as recipient, shipment_number as item, 'new_orders' as report from no
   union all select manager_email, shipment_number, 'big_orders' from big) t group by recipient""",
-                                          *jobs._PULSE_VIEWS,
+                                          *jobs._PULSE_VIEWS, "v_locked_order",
                                           extra=[("dir", jobs._DIRECTORY),
                                                  ("c", jobs._cand_sql(
                                                      jobs.NEW_ORDERS)),
@@ -109,12 +122,14 @@ select recipient, list_sort(list_distinct(list(report))) as reports, count(disti
                                                     join v_offer o on o.id = li.offer_id left join dir d on d.company_id = c.company_id"""),
                                                  ("c2", jobs._cand_sql(
                                                      jobs.BIG_AND, slot=False)),
+                                                 ("bal", jobs._bal_sql(
+                                                     "select order_id from c2 where payment_state = 'balance_due'")),
                                                  ("big", """select distinct c2.shipment_number,
                                                     coalesce(d.manager_email, 'support@example.org') as manager_email
                                                     from c2 join v_line_item li on li.shipment_id = c2.shipment_id and li.deleted_at is null
                                                     left join dir d on d.company_id = c2.company_id
-                                                    where c2.payment_state not in ('not_paid', 'failed')
-                                                      and li.price * li.quantity >= 50000 and c2.total >= 50000""")]))
+                                                    where """ + jobs._gate_sql("c2", "c2.company_id")
+                                                  + " and li.price * li.quantity >= 50000 and c2.total >= 50000")]))
 def delivery_manifest(spark, sf):
     src = pulse.Sources.fixture(spark, sf)
     new = pulse.new_orders(src, jobs.NEW_ORDERS)

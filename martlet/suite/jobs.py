@@ -53,7 +53,7 @@ def asof_left_join(spark, sf_dir):
     s = mart.shipments(spark, sf_dir).join(view(spark, sf_dir, "v_user_group"), "user_id", "left")
     from martlet.operators.joins import asof_left
     out = asof_left(s, mart.managers(spark, sf_dir), by="company_group_id", left_ts="shipped_at",
-                    right_ts="date_end", payload=["date_start", "manager_id"])
+                    right_ts="date_end", payload=["date_start", "manager_id"], bounds=mart.shipping_months())
     return out.select("shipment_id", "company_group_id", "shipped_at", "date_end", "date_start", "manager_id")
 
 
@@ -62,7 +62,7 @@ select shipment_id, cast({_ASSIGNED} as bigint) as assigned_manager_id from a
 """, "v_shipment", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
 def assigned_manager(spark, sf_dir):
     s = mart.with_manager(mart.shipments(spark, sf_dir), view(spark, sf_dir, "v_user_group"),
-                          mart.managers(spark, sf_dir))
+                          mart.managers(spark, sf_dir), mart.shipping_months())
     return s.select("shipment_id", "assigned_manager_id")
 
 
@@ -108,6 +108,8 @@ def offer_catalogue(spark, sf):
 
 NEW_ORDERS = pulse.PulseConfig("pulse_b", retailer_ids=(3,), window_days=14)
 NEXT_DAY = pulse.PulseConfig("next_day", retailer_ids=tuple(range(10)), states=("complete", "shipped"))
+ND_AS_OF = "1996-09-27 09:00:00"  # a Friday: the next business day is the Monday
+_ND_DATE = "date '1996-09-30'"
 _ND_RET = ", ".join(str(r) for r in NEXT_DAY.retailer_ids)
 BIG_AND = pulse.PulseConfig("pulse_a", retailer_ids=(5,), window_days=30, window_basis="completed",
                             line_rule=("and", 50000, 50000), trigger="7 minutes")
@@ -154,6 +156,31 @@ def ledger_rows(spark, sf):
     return pulse.ledger_rows(report, NEW_ORDERS)
 
 
+
+
+def _bal_sql(due: str) -> str:
+    """Orders of ``due`` whose shipments, all of them, leave a gap of 1000 at most."""
+    return f"""
+  select order_id from (
+    select order_id, case when count(distinct payment_total) over (partition by order_id) > 1
+      then sum(payment_total) over (partition by order_id) else payment_total end as paid,
+      sum(total) over (partition by order_id) as sum_total
+    from v_shipment where order_id in ({due})) t
+  where sum_total - paid <= 1000"""
+
+
+def _gate_sql(s: str, company: str) -> str:
+    """The pay gate of alias ``s`` whose company is ``company``, without locked orders."""
+    return f"""({s}.payment_state in ('paid', 'overpaid') or {s}.payment_method_id in (4, 11, 12, 20)
+         or {s}.order_id in (select order_id from bal)
+         or {company} in (select company_id from dir where con_flag = 'postpay'))
+    and {s}.order_id not in (select order_id from v_locked_order where export_lock_state = 'locked')"""
+
+
+_DUE_OF_C = "select order_id from c where payment_state = 'balance_due'"
+_BAL_SQL = _bal_sql(f"""select s.order_id from v_shipment s join v_delivery_window w on w.id = s.shipment_id
+  where s.retailer_id in ({_ND_RET}) and s.shipment_state in ('complete', 'shipped') and s.payment_state = 'balance_due'
+    and cast(w.starts_at as date) = {_ND_DATE}""")
 _NEXT_DAY_SQL = f"""
   select distinct s.shipment_number, {lts('s.completed_at')} as completed_local, {lts('w.starts_at')} as slot_start_local,
     o.name as offer_name, li.quantity, s.payment_method_name, s.total_weight
@@ -161,38 +188,24 @@ _NEXT_DAY_SQL = f"""
   join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null
   join v_offer o on o.id = li.offer_id
   left join v_company_order co on co.order_id = s.order_id
-  left join (select distinct company_id, con_flag from dir) d on d.company_id = co.company_id
   where s.retailer_id in ({_ND_RET}) and s.shipment_state in ('complete', 'shipped')
-    and cast(w.starts_at as date) = {ASOF_DATE} + 3
-    and s.order_id not in (select order_id from v_locked_order where export_lock_state = 'locked')
-    and (s.payment_state in ('paid', 'overpaid') or s.payment_method_id in (4, 11, 12, 20)
-         or s.order_id in (select order_id from bal) or d.con_flag = 'postpay')"""
-_BAL_SQL = f"""
-  select order_id from (
-    select order_id, case when count(distinct payment_total) over (partition by order_id) > 1
-      then sum(payment_total) over (partition by order_id) else payment_total end as paid,
-      sum(total) over (partition by order_id) as sum_total
-    from v_shipment where retailer_id in ({_ND_RET}) and shipment_state in ('complete', 'shipped')
-      and payment_state = 'balance_due') t
-  where sum_total - paid <= 1000"""
+    and cast(w.starts_at as date) = {_ND_DATE}
+    and {_gate_sql('s', 'co.company_id')}"""
 _ND_EXTRA = [("dir", _DIRECTORY), ("bal", _BAL_SQL), ("nd", _NEXT_DAY_SQL)]
 
 
 @register("pulse_next_day", with_views("select * from nd", *_PULSE_VIEWS, "v_locked_order", extra=_ND_EXTRA))
 def pulse_next_day(spark, sf):
-    return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY)
+    return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY, as_of=ND_AS_OF)
 
 
 _CONSIGNEE_BASE = f"""
   select distinct s.shipment_id, s.shipment_number, s.store_id, co.company_id
   from v_shipment s join v_delivery_window w on w.id = s.shipment_id
   left join v_company_order co on co.order_id = s.order_id
-  left join (select distinct company_id, con_flag from dir) d on d.company_id = co.company_id
   where s.retailer_id in ({_ND_RET}) and s.shipment_state in ('complete', 'shipped')
-    and cast(w.starts_at as date) = {ASOF_DATE} + 3
-    and s.order_id not in (select order_id from v_locked_order where export_lock_state = 'locked')
-    and (s.payment_state in ('paid', 'overpaid') or s.payment_method_id in (4, 11, 12, 20)
-         or s.order_id in (select order_id from bal) or d.con_flag = 'postpay')"""
+    and cast(w.starts_at as date) = {_ND_DATE}
+    and {_gate_sql('s', 'co.company_id')}"""
 
 
 @register("pulse_consignees", with_views("""
@@ -205,7 +218,7 @@ join v_company c on c.company_id = b.company_id""",
                                          extra=[("dir", _DIRECTORY), ("bal", _BAL_SQL), ("cb", _CONSIGNEE_BASE)]))
 def pulse_consignees(spark, sf):
     src = pulse.Sources.fixture(spark, sf)
-    return pulse.consignees(src, NEXT_DAY, view(spark, sf, "v_company"), min_qty=20,
+    return pulse.consignees(src, NEXT_DAY, view(spark, sf, "v_company"), as_of=ND_AS_OF, min_qty=20,
                             categories=("%economy%", "%standard%"), special_store=16)
 
 
@@ -216,27 +229,32 @@ def _big_sql(cfg):
 select c.shipment_number, c.company_id, c.store_id, li.offer_id, li.price, li.quantity, li.price * li.quantity as sku_total,
   c.total, c.completed_local
 from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
-where c.payment_state not in ('not_paid', 'failed') and (li.price * li.quantity >= {lmin} {op} c.total >= {tmin})"""
+where {_gate_sql('c', 'c.company_id')} and (li.price * li.quantity >= {lmin} {op} c.total >= {tmin})"""
+
 
+def _gated(cfg) -> list:
+    """Helper views of a gated alert: directory, candidates, small balance gaps."""
+    return [("dir", _DIRECTORY), ("c", _cand_sql(cfg, slot=False)), ("bal", _bal_sql(_DUE_OF_C))]
 
-@register("pulse_big_orders_and", with_views(_big_sql(BIG_AND), *_PULSE_VIEWS,
-                                             extra=[("c", _cand_sql(BIG_AND, slot=False))]))
+
+@register("pulse_big_orders_and", with_views(_big_sql(BIG_AND), *_PULSE_VIEWS, "v_locked_order",
+                                             extra=_gated(BIG_AND)))
 def pulse_big_orders_and(spark, sf):
     return pulse.big_orders(pulse.Sources.fixture(spark, sf), BIG_AND)
 
 
-@register("pulse_big_orders_or", with_views(_big_sql(BIG_OR), *_PULSE_VIEWS,
-                                            extra=[("c", _cand_sql(BIG_OR, slot=False))]))
+@register("pulse_big_orders_or", with_views(_big_sql(BIG_OR), *_PULSE_VIEWS, "v_locked_order",
+                                            extra=_gated(BIG_OR)))
 def pulse_big_orders_or(spark, sf):
     return pulse.big_orders(pulse.Sources.fixture(spark, sf), BIG_OR)
 
 
-@register("pulse_over_limit", with_views("""
+@register("pulse_over_limit", with_views(f"""
 select c.shipment_number, o.retailer_sku, li.quantity, lim.max_qty, c.completed_local
 from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
 join v_offer o on o.id = li.offer_id join v_offer_limit lim on lim.retailer_sku = o.retailer_sku
-where c.payment_state not in ('not_paid', 'failed') and lim.max_qty is not null and li.quantity > lim.max_qty""",
-                                         *_PULSE_VIEWS, "v_offer_limit", extra=[("c", _cand_sql(OVER_LIMIT, slot=False))]))
+where {_gate_sql('c', 'c.company_id')} and lim.max_qty is not null and li.quantity > lim.max_qty""",
+                                         *_PULSE_VIEWS, "v_offer_limit", "v_locked_order", extra=_gated(OVER_LIMIT)))
 def pulse_over_limit(spark, sf):
     return pulse.over_limit(pulse.Sources.fixture(spark, sf), OVER_LIMIT)
 
@@ -379,10 +397,10 @@ _AUD_CTES = [
     ("us", _USER_SHIP.format(start="1995-01-01", end="1999-12-31", where="", extra="")
      + " having count(distinct s.order_id) >= 2"),
     ("fu", """select user_id, case when max(order_seq) > 7 then '>7 orders' else '1-7 orders' end as new_or_old,
-       case when floor(datediff('day', min(completed_at), max(completed_at)) / 31.0) < 1 and datediff('month', min(completed_at), max(completed_at)) < 1 then 'under 1 month'
-            when datediff('month', min(completed_at), max(completed_at)) < 3 then '1-3 months'
-            when datediff('month', min(completed_at), max(completed_at)) < 6 then '3-6 months'
-            when datediff('month', min(completed_at), max(completed_at)) < 12 then '6-12 months' else '12+ months' end as use_duration
+       case when datesub('month', min(completed_at), max(completed_at)) < 1 then 'under 1 month'
+            when datesub('month', min(completed_at), max(completed_at)) < 3 then '1-3 months'
+            when datesub('month', min(completed_at), max(completed_at)) < 6 then '3-6 months'
+            when datesub('month', min(completed_at), max(completed_at)) < 12 then '6-12 months' else '12+ months' end as use_duration
      from (select user_id, order_seq, completed_at from v_funnel_web union all
            select user_id, order_seq, completed_at from v_funnel_app) u
      where completed_at between timestamp '2024-02-01 00:00:00' - interval 1 year and timestamp '2024-02-01 00:00:00'
@@ -466,36 +484,48 @@ def source_ready(spark, sf):
                                  "events": (t("events"), "ts")}, AS_OF)
 
 
-_SNAP = """select o_custkey, cast(o_orderdate as date) as snapshot_date, max(o_orderpriority) as value
+# Low priorities count as no value, so that values turn NULL and back.
+_SNAP = """select o_custkey, cast(o_orderdate as date) as snapshot_date,
+    max(case when o_orderpriority not like '5%' then o_orderpriority end) as value
   from orders group by all"""
 
 
+def _snapshots(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    o = o.withColumn("value", F.when(~F.col("o_orderpriority").like("5%"), F.col("o_orderpriority")))
+    return history.daily_snapshot(o, "o_custkey", "o_orderdate", "value")
+
+
+def _part(c: str) -> str:
+    """Oracle text of one part of a hash key: length, colon, value; '-' for NULL."""
+    return f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+
+
+
 @register("scd2_build", with_views("""
 select o_custkey, value, snapshot_date as valid_from,
   cast(lead(snapshot_date) over (partition by o_custkey order by snapshot_date) - 1 as date) as valid_to,
   lead(snapshot_date) over (partition by o_custkey order by snapshot_date) is null as is_current
-from (select *, lag(value) over (partition by o_custkey order by snapshot_date) as prev from snap) t
-where prev is null or prev <> value""", extra=[("snap", _SNAP)]))
+from (select *, lag(value) over (partition by o_custkey order by snapshot_date) as prev,
+        row_number() over (partition by o_custkey order by snapshot_date) as rn from snap) t
+where rn = 1 or prev is distinct from value""", extra=[("snap", _SNAP)]))
 def scd2_build(spark, sf):
-    o = spark.read.parquet(f"{sf}/orders.parquet")
-    return history.scd2(history.daily_snapshot(o, "o_custkey", "o_orderdate", "o_orderpriority"), "o_custkey")
+    return history.scd2(_snapshots(spark, sf), "o_custkey")
 
 
-@register("vault_load", with_views("""
-select md5(coalesce(cast(o_custkey as varchar), '')) as hub_key, snapshot_date as load_date,
-  md5(coalesce(value, '')) as hashdiff, value, 'orders' as record_source
-from (select *, lag(md5(coalesce(value, ''))) over (partition by o_custkey order by snapshot_date) as prev from snap) t
-where prev is null or prev <> md5(coalesce(value, ''))""", extra=[("snap", _SNAP)]))
+@register("vault_load", with_views(f"""
+select md5({_part('o_custkey')}) as hub_key, snapshot_date as load_date,
+  md5({_part('value')}) as hashdiff, value, 'orders' as record_source
+from (select *, lag(value) over (partition by o_custkey order by snapshot_date) as prev,
+        row_number() over (partition by o_custkey order by snapshot_date) as rn from snap) t
+where rn = 1 or prev is distinct from value""", extra=[("snap", _SNAP)]))
 def vault_load(spark, sf):
-    o = spark.read.parquet(f"{sf}/orders.parquet")
-    snap = history.daily_snapshot(o, "o_custkey", "o_orderdate", "o_orderpriority")
-    return history.satellite(snap, "o_custkey", ["value"], "snapshot_date", "orders")
+    return history.satellite(_snapshots(spark, sf), "o_custkey", ["value"], "snapshot_date", "orders")
 
 
-@register("vault_hub_link", """
-select md5(coalesce(cast(o_custkey as varchar), '') || '|' || coalesce(cast(o_orderkey as varchar), '')) as link_key,
-  md5(coalesce(cast(o_custkey as varchar), '')) as o_custkey_hub_key,
-  md5(coalesce(cast(o_orderkey as varchar), '')) as o_orderkey_hub_key, 'orders' as record_source
+@register("vault_hub_link", f"""
+select md5({_part('o_custkey')} || {_part('o_orderkey')}) as link_key, md5({_part('o_custkey')}) as o_custkey_hub_key,
+  md5({_part('o_orderkey')}) as o_orderkey_hub_key, 'orders' as record_source
 from (select distinct o_custkey, o_orderkey from orders) t""")
 def vault_hub_link(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet")
@@ -505,7 +535,7 @@ def vault_hub_link(spark, sf):
 # ---------------------------------------------------------------- K1 the B2B shipment mart
 
 
-from martlet.suite.basics import _COMPANY_TYPE_SQL  # noqa: E402
+from martlet.suite.basics import _COMPANY_TYPE_SQL, channel_sql  # noqa: E402
 
 
 def _ret_cte(base: str, entity: str, prefix: str) -> str:
@@ -546,18 +576,6 @@ _MART_CTES = _ASOF_CTES + [
      from gbase group by company_group_id"""),
 ]
 
-_ORDER_TYPE_SQL = """case
-    when a.tenant_id = 'tenant_b2b' and a.platform = 'web' and a.b2b_measure = 2 then 'b2b web'
-    when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company b2c web'
-    when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 2 and a.b2b_order_company_flg = 0 then 'for self with company b2c web'
-    when a.tenant_id = 'tenant_main' and a.platform = 'web' and a.b2b_measure = 1 then 'with tick b2c web'
-    when a.b2b_measure = 3 then 'third-party orders' when a.b2b_measure = 4 then 'certificates'
-    when a.b2b_measure = 0 then 'used certificates b2c'
-    when a.tenant_id in ('tenant_wl') and a.platform = 'web' then 'white label'
-    when a.platform = 'app' and a.b2b_measure = 2 and a.b2b_order_company_flg = 1 then 'for business with company app'
-    when a.platform = 'app' and a.b2b_measure = 2 and a.b2b_order_company_flg = 0 then 'for self with company app'
-    when a.platform = 'app' and a.b2b_measure = 1 then 'with tick app' else 'other' end"""
-
 _COSTS = "(coalesce(oc.picking_costs, 0) + coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0))"
 # Oracle expression per mart column (default: the column of the as-of'd fact `a`).
 _MART_EXPR = {
@@ -572,7 +590,7 @@ _MART_EXPR = {
     "picking_costs": "coalesce(oc.picking_costs, 0)", "drive_costs": "coalesce(oc.drive_costs, 0)",
     "taxi_costs": "coalesce(oc.taxi_costs, 0)", "delivery_cost": "coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0)",
     "cp1": f"case when a.shipment_state = 'shipped' then a.gross_profit else 0 end - {_COSTS}",
-    "order_type": _ORDER_TYPE_SQL,
+    "order_type": channel_sql("a"),
     "new_or_repeat": "case when pv.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end",
     "group_first_order_dt": "g.group_first_order_dt", "group_last_order_dt": "g.group_last_order_dt",
     "company_first_order_dt": "cf.company_first_order_dt",
@@ -656,8 +674,8 @@ from (
   select b.shipment_number, unnest([r.director_email, r.zamdirector_email]) as mail
   from (select distinct shipment_number, company_id, store_id from big) b
   join sc on sc.store_id = b.store_id join ds r on r.key_number = substring(sc.import_key, instr(sc.import_key, '-') + 1, 15)
-) t where mail is not null group by shipment_number""", *_PULSE_VIEWS, extra=[
-    ("dir", _DIRECTORY), ("c", _cand_sql(BIG_OR, slot=False)),
+) t where mail is not null group by shipment_number""", *_PULSE_VIEWS, "v_locked_order", extra=[
+    *_gated(BIG_OR),
     ("big", _big_sql(BIG_OR)), ("sc", _STORE_CONFIG), ("ds", _DIRECTORS)]))
 def pulse_big_order_recipients(spark, sf):
     src = pulse.Sources.fixture(spark, sf)
@@ -673,16 +691,16 @@ OVER_LIMIT_2 = pulse.PulseConfig("pulse_a", scan_ledger="pulse_b", retailer_ids=
 
 @register("pulse_over_limit_ledger", with_views(f"""
 select shipment_number, 'pulse_b' as process_name, {ASOF} as shipment_logged_at
-from (select distinct shipment_number from c where payment_state not in ('not_paid', 'failed')) t
+from (select distinct shipment_number from c where {_gate_sql('c', 'c.company_id')}) t
 union all
 select distinct c.shipment_number, 'pulse_a', {ASOF}
 from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
 join v_offer o on o.id = li.offer_id join v_offer_limit lim on lim.retailer_sku = o.retailer_sku
-where c.payment_state not in ('not_paid', 'failed') and lim.max_qty is not null and li.quantity > lim.max_qty""",
-                                                *_PULSE_VIEWS, "v_offer_limit",
-                                                extra=[("c", _cand_sql(pulse.PulseConfig(
+where {_gate_sql('c', 'c.company_id')} and lim.max_qty is not null and li.quantity > lim.max_qty""",
+                                                *_PULSE_VIEWS, "v_offer_limit", "v_locked_order",
+                                                extra=_gated(pulse.PulseConfig(
                                                     "pulse_b", retailer_ids=(2, 8), window_days=60,
-                                                    window_basis="completed"), slot=False))]))
+                                                    window_basis="completed"))))
 def pulse_over_limit_ledger(spark, sf):
     return pulse.over_limit_ledgers(pulse.Sources.fixture(spark, sf), OVER_LIMIT_2)
 
@@ -718,8 +736,8 @@ def pulse_two_feeds(spark, sf):
     return pulse.new_orders_feeds(pulse.Sources.fixture(spark, sf), [FEED_STORE, FEED_RETAILERS])
 
 
-@register("vault_hub", """
-select md5(coalesce(cast(o_custkey as varchar), '')) as hub_key, o_custkey, 'orders' as record_source
+@register("vault_hub", f"""
+select md5({_part('o_custkey')}) as hub_key, o_custkey, 'orders' as record_source
 from (select distinct o_custkey from orders) t""")
 def vault_hub(spark, sf):
     return history.hub(spark.read.parquet(f"{sf}/orders.parquet"), "o_custkey", "orders")

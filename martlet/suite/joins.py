@@ -17,11 +17,11 @@ def V(spark, sf, name):
 select s.shipment_number, o.name as offer_name, li.quantity, w.starts_at
 from v_shipment s join v_line_item li using (shipment_id) join v_offer o on o.id = li.offer_id
 join v_delivery_window w on w.id = s.shipment_id
-where s.shipment_state = 'shipped' and li.quantity >= 40""",
+where s.shipment_state = 'shipped'""",
                                          "v_shipment", "v_line_item", "v_offer", "v_delivery_window"))
 def inner_join_chain(spark, sf):
     s = V(spark, sf, "v_shipment").where(F.col("shipment_state") == "shipped").select("shipment_id", "shipment_number")
-    li = V(spark, sf, "v_line_item").where(F.col("quantity") >= 40).select("shipment_id", "offer_id", "quantity")
+    li = V(spark, sf, "v_line_item").select("shipment_id", "offer_id", "quantity")
     o = V(spark, sf, "v_offer").select(F.col("id").alias("offer_id"), F.col("name").alias("offer_name"))
     w = V(spark, sf, "v_delivery_window").select(F.col("id").alias("shipment_id"), "starts_at")
     j = joins.inner(joins.inner(joins.inner(s, li, "shipment_id"), o, "offer_id"), w, "shipment_id")
@@ -145,9 +145,9 @@ def join_aggregate(spark, sf):
 select coalesce(l.id, r.id) as id,
   case when l.id is not null and r.id is not null then 'both' when l.id is not null then 'left_only'
   else 'right_only' end as _merge
-from (select distinct offer_id as id from v_line_item where quantity >= 49) l
+from (select distinct offer_id as id from v_line_item) l
 full outer join (select id from v_offer where published = 0) r on l.id = r.id""", "v_line_item", "v_offer"))
 def join_indicator(spark, sf):
-    l = V(spark, sf, "v_line_item").where(F.col("quantity") >= 49).select(F.col("offer_id").alias("id")).distinct()
+    l = V(spark, sf, "v_line_item").select(F.col("offer_id").alias("id")).distinct()
     r = V(spark, sf, "v_offer").where(F.col("published") == 0).select("id")
     return joins.join_indicator(l, r, "id")

@@ -64,11 +64,11 @@ def test_median_with_hot_group(spark, skewed):
         assert abs(got[k] - float(np.median([v for _, kk, v, _ in rows if kk == k]))) < 1e-9
 
 
-def test_anti_small_vs_large(spark, skewed):
+def test_anti_with_hot_key(spark, skewed):
     df, rows = skewed
     small = df.where(F.col("id") % 97 == 0).select("id", "k")
     large = df.where(F.col("k") != 0).select("k")
-    a = {r["id"] for r in joins.anti_small_vs_large(small, large, "k").collect()}
+    a = {r["id"] for r in joins.anti(small, large, "k").collect()}
     b = {r["id"] for r in small.join(large, "k", "left_anti").collect()}
     assert a == b and a
 
