@@ -111,6 +111,28 @@ def customer_value(df: DataFrame, entity: str, day: str, amount: str,
             .withColumn(f"{prefix}_aov", F.try_divide(gmv, cnt)))
 
 
+def entity_metrics(df: DataFrame, entity: str, day: str, ts: str, row_id: str, amount: str | None = None,
+                   days: int = 14, months: int = 11) -> DataFrame:
+    """A9, A10, A18 and the first order in one pass: everything comes from one
+    partial aggregate per (entity, day), whose rows per entity are bounded by
+    the calendar, so the rows are shuffled once. Columns: first_dt, last_dt,
+    first_id (of the earliest ``ts``), n, active_months, gmv (with ``amount``),
+    ret_{days}d and ret_2m to ret_{months + 1}m."""
+    sums = [F.sum(amount).alias("gmv")] if amount else []
+    start = F.when(F.col(ts).isNotNull(), F.struct(ts, row_id))
+    daily = (df.where(F.col(entity).isNotNull()).groupBy(entity, day)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("_start"), *sums))
+    daily = daily.withColumn("_first", F.min(day).over(Window.partitionBy(entity)))
+    d, first = F.col(day), F.col("_first")
+    offset = months_diff(first, d)
+    flags = [F.coalesce(F.max((d > first) & (d <= F.date_add(first, days))), F.lit(False)).alias(f"ret_{days}d")]
+    flags += [F.coalesce(F.max(offset == k), F.lit(False)).alias(f"ret_{k + 1}m") for k in range(1, months + 1)]
+    return daily.groupBy(entity).agg(
+        F.min(day).alias("first_dt"), F.max(day).alias("last_dt"), F.min("_start")[row_id].alias("first_id"),
+        F.sum("n").alias("n"), F.size(F.collect_set(F.trunc(day, "MM"))).cast("bigint").alias("active_months"),
+        *([F.sum("gmv").alias("gmv")] if amount else []), *flags)
+
+
 def first_last(df: DataFrame, by: str, day: str) -> DataFrame:
     """First and last (local) order date per entity."""
     return df.groupBy(by).agg(F.min(day).alias("first_order_dt"), F.max(day).alias("last_order_dt"))

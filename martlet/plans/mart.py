@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions import rules
-from martlet.functions.time import local_date, local_date_or, month_start
+from martlet.functions.time import between_local, local_date, local_date_or, month_start, months_diff
 from martlet.operators import aggs, joins
 from martlet.session import AS_OF
 from martlet.sources.views import view
@@ -25,13 +25,12 @@ FRAUD_PATTERNS = ("%физик%", "%фрод%", "%тест%", "%ликвид%",
 def shipments(spark: SparkSession, sf_dir: str, start: str = HISTORY_START,
               as_of: str = AS_OF) -> DataFrame:
     """Fact filter: local shipping day (fallback: slot start) within the
-    history, and a B2B order. ``shipped_dt`` is kept for later steps."""
-    s = view(spark, sf_dir, "v_shipment")
-    day = local_date_or("shipped_at", "starts_at")
-    return (s.withColumn("shipped_dt", day)
-            .where(F.col("shipped_dt").between(F.lit(start).cast("date"),
-                                               F.to_date(F.lit(as_of))))
-            .where(F.col("b2b_measure") >= 1))
+    history, and a B2B order or one paid with a gift certificate. ``shipped_dt``
+    is kept for later steps."""
+    s = view(spark, sf_dir, "v_shipment").where(between_local("shipped_at", start, as_of[:10], fallback="starts_at"))
+    cert = view(spark, sf_dir, "v_certificate").select("shipment_id").distinct().withColumn("_cert", F.lit(True))
+    return (s.join(cert, "shipment_id", "left").where((F.col("b2b_measure") >= 1) | F.coalesce("_cert", F.lit(False)))
+            .drop("_cert").withColumn("shipped_dt", local_date_or("shipped_at", "starts_at")))
 
 
 def managers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,27 +95,32 @@ def one_per_key(dim: DataFrame, key: str, least: str) -> DataFrame:
 def phone_metrics(ship: DataFrame) -> DataFrame:
     """Per phone over all shipped B2B orders (the whole shipment table, not
     only the mart's period): retention flags, value metrics and the first
-    shipment (``argMin(shipment_id, shipped_at)``). All three are keyed by
-    phone and come out hash-partitioned by it, so they join without a shuffle."""
-    base = (ship.where(F.col("b2b_measure").isin(1, 2) & (F.col("shipment_state") == "shipped")
-                       & F.col("phone").isNotNull())
-            .withColumn("ship_day", local_date("shipped_at")))
-    ret = aggs.retention(base, "phone", "ship_day")
-    val = aggs.customer_value(base, "phone", "ship_day", "gmv_goods_net_promo")
-    first = (base.where(F.col("shipped_at").isNotNull()).groupBy("phone")
-             .agg(aggs.arg_min("shipment_id", F.struct("shipped_at", "shipment_id"))
-                  .alias("first_order_shipment_id_phone")))
-    return val.join(ret, "phone", "inner").join(first, "phone", "left")
-
-
-def group_metrics(ship: DataFrame) -> DataFrame:
-    """Retention and first/last order per company group."""
-    base = (ship.where((F.col("shipment_state") == "shipped") & F.col("company_group_id").isNotNull())
-            .withColumn("ship_day", local_date("shipped_at")))
-    ret = aggs.retention(base, "company_group_id", "ship_day", prefix="group_ret")
-    fl = aggs.first_last(base, "company_group_id", "ship_day").withColumnsRenamed(
-        {"first_order_dt": "group_first_order_dt", "last_order_dt": "group_last_order_dt"})
-    return fl.join(ret, "company_group_id", "inner")
+    shipment, from one aggregate per (phone, day)."""
+    base = (ship.where(F.col("b2b_measure").isin(1, 2) & (F.col("shipment_state") == "shipped"))
+            .select("phone", "shipped_at", "shipment_id", (F.col("goods") + F.col("total_cost")).alias("amount"),
+                    local_date("shipped_at").alias("ship_day")))
+    m = aggs.entity_metrics(base, "phone", "ship_day", "shipped_at", "shipment_id", "amount")
+    m = m.withColumnsRenamed({"first_dt": "first_order_dt", "last_dt": "last_order_dt", "first_id": "first_order_shipment_id_phone",
+                              "gmv": "user_gmv", "n": "user_order_cnt", "active_months": "user_active_months_count"})
+    cnt, gmv = F.col("user_order_cnt").cast("double"), F.col("user_gmv")
+    m = m.withColumn("user_age_month", F.greatest(months_diff("first_order_dt", "last_order_dt"), F.lit(1)))
+    age = F.col("user_age_month").cast("double")
+    return m.withColumns({
+        "user_avg_orders_per_active_month": F.try_divide(cnt, F.col("user_active_months_count").cast("double")),
+        "user_avg_orders_per_month": F.try_divide(cnt, age), "user_avg_arpu_per_month": F.try_divide(gmv, age),
+        "user_aov": F.try_divide(gmv, cnt)})
+
+
+def group_metrics(ship: DataFrame, user_group: DataFrame) -> DataFrame:
+    """Retention, first and last order per company group, over all shipped
+    company orders (measure 2) of the whole shipment table."""
+    base = (ship.where((F.col("shipment_state") == "shipped") & (F.col("b2b_measure") == 2))
+            .select("user_id", "shipped_at", "shipment_id", local_date("shipped_at").alias("ship_day"))
+            .join(user_group, "user_id"))
+    m = aggs.entity_metrics(base, "company_group_id", "ship_day", "shipped_at", "shipment_id").drop("n", "active_months")
+    return m.withColumnsRenamed({"first_dt": "group_first_order_dt", "last_dt": "group_last_order_dt",
+                                 "first_id": "first_order_shipment_id_group",
+                                 **{c: f"group_{c}" for c in m.columns if c.startswith("ret_")}})
 
 
 def costs_and_margin(df: DataFrame, costs: DataFrame) -> DataFrame:
@@ -145,8 +149,9 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     # decides broadcast vs sort-merge on its own.
     s = ship.join(comp, "company_inn", "left").join(user_group, "user_id", "left")
     # First shipped order per company (A18 by company), from the base fact.
-    company_first = (s.where((F.col("shipment_state") == "shipped") & F.col("company_id").isNotNull())
-                     .groupBy("company_id").agg(F.min(local_date("shipped_at")).alias("company_first_order_dt")))
+    company_first = (s.where((F.col("shipment_state") == "shipped") & F.col("company_id").isNotNull() & F.col("shipped_at").isNotNull())
+                     .groupBy("company_id").agg(F.min(local_date("shipped_at")).alias("company_first_order_dt"),
+                                                F.min(F.struct("shipped_at", "shipment_id"))["shipment_id"].alias("first_order_shipment_id_company")))
     a = joins.asof_left(s, managers(spark, sf_dir), by="company_group_id", left_ts="shipped_at",
                         right_ts="date_end", payload=["date_start", "manager_id", "first_manager_id"],
                         bounds=shipping_months(as_of=as_of))
@@ -156,7 +161,7 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     s = s.join(phone_metrics(view(spark, sf_dir, "v_shipment")), "phone", "left")
     # Per-group metrics: a row per group; Spark broadcasts them if they are small,
     # else AQE splits a hot group's partition of the fact.
-    groups = group_metrics(ship.select("user_id", "shipped_at", "shipment_state").join(user_group, "user_id", "left"))
+    groups = group_metrics(view(spark, sf_dir, "v_shipment"), user_group)
     s = s.join(groups, "company_group_id", "left")
     s = s.join(company_first, "company_id", "left")
     s = costs_and_margin(s, view(spark, sf_dir, "v_order_cost"))
@@ -165,6 +170,8 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     s = s.withColumn("order_type", rules.order_channel("tenant_id", "platform", "b2b_measure",
                                                        "b2b_order_company_flg"))
     s = s.withColumn("new_or_repeat", rules.new_or_repeat("first_order_shipment_id_phone", "shipment_id"))
+    s = s.withColumn("new_or_repeat_company", rules.new_or_repeat("first_order_shipment_id_company", "shipment_id"))
+    s = s.withColumn("new_or_repeat_group", rules.new_or_repeat("first_order_shipment_id_group", "shipment_id"))
     # The output group is the user's group for company orders only (the as-of
     # and the group metrics above use the user's group as is).
     s = s.withColumn("company_group_id", F.when(F.col("b2b_measure") == 2, F.col("company_group_id")))
@@ -198,7 +205,8 @@ MART_SCHEMA = [
     ("picking_costs", "double"), ("drive_costs", "double"), ("taxi_costs", "double"),
     ("delivery_cost", "double"), ("cp1", "double"),
     # classification
-    ("order_type", "string"), ("new_or_repeat", "string"),
+    ("order_type", "string"), ("new_or_repeat", "string"), ("new_or_repeat_company", "string"),
+    ("new_or_repeat_group", "string"),
     # per phone
     ("first_order_dt", "date"), ("last_order_dt", "date"), ("first_order_shipment_id_phone", "bigint"),
     ("user_gmv", "double"), ("user_order_cnt", "bigint"), ("user_active_months_count", "bigint"),

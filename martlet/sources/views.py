@@ -34,6 +34,7 @@ select o_orderkey as shipment_id, cast(floor(o_orderkey/2) as bigint) as order_i
   o_totalprice as total,
   case when o_orderkey % 3 = 0 then o_totalprice when o_orderkey % 3 = 1 then o_totalprice - 400 else 0.0 end as payment_total,
   floor((o_totalprice * 0.9) * 100) / 100 as gmv_goods_net_promo, floor((o_totalprice * 0.02) * 100) / 100 as gmv_service_fee_net_promo,
+  floor((o_totalprice * 0.92) * 100) / 100 as goods, floor((o_totalprice * 0.05) * 100) / 100 as total_cost,
   floor((o_totalprice * 0.15) * 100) / 100 as gross_profit, cast((o_orderkey % 100) * 1000 as bigint) as total_weight,
   case when o_orderkey % 2 = 0 then 'web' else 'app' end as platform,
   case o_orderkey % 7 when 0 then 'tenant_b2b' when 1 then 'tenant_wl' else 'tenant_main' end as tenant_id,
@@ -87,6 +88,8 @@ from {part}""",
 select l_partkey as offer_id, l_shipdate as dt, max(floor((l_extendedprice / l_quantity) * 100) / 100) as price,
   nullif(max(l_discount), 0.0) as discount
 from {lineitem} group by l_partkey, l_shipdate""",
+    "v_certificate": """
+select o_orderkey as shipment_id from {orders} where o_orderkey % 15 = 0 and o_orderstatus = 'F'""",
     "v_delivery_window": """
 select o_orderkey as id, o_orderdate + interval '1' hour * (o_orderkey % 24) as starts_at,
   o_orderdate + interval '1' hour * (o_orderkey % 24 + 2) as ends_at

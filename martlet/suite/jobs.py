@@ -12,7 +12,7 @@ from martlet.suite.sqlbits import ASOF_DATE, ld, month
 _SHIP_FILTER = f"""
   select *, coalesce({ld('shipped_at')}, {ld('starts_at')}) as shipped_dt from v_shipment
   where coalesce({ld('shipped_at')}, {ld('starts_at')}) between date '1995-01-01' and {ASOF_DATE}
-    and b2b_measure >= 1"""
+    and (b2b_measure >= 1 or shipment_id in (select shipment_id from v_certificate))"""
 
 _MANAGERS = """
   select p.company_group_id, cast(p.start_period as timestamp) as date_start,
@@ -37,7 +37,7 @@ _ASOF_CTES = [("s", _SHIP_FILTER), ("mg", _MANAGERS), ("a", _ASOF)]
 @register("b2b_manager_gmv", with_views(f"""
 select cast({_ASSIGNED} as bigint) as assigned_manager_id, {month('shipped_dt')} as month,
        count(*) as n_shipments, sum(gmv_goods_net_promo) as gmv
-from a group by all""", "v_shipment", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
+from a group by all""", "v_shipment", "v_certificate", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
 def b2b_manager_gmv(spark, sf_dir):
     return mart.manager_gmv(spark, sf_dir)
 
@@ -48,7 +48,7 @@ ORACLE_FLAGSHIP = ORACLE["b2b_manager_gmv"]
 @register("asof_left_join", with_views("""
 select shipment_id, company_group_id, shipped_at, end_period as date_end,
        cast(date_start as date) as date_start, manager_id
-from a""", "v_shipment", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
+from a""", "v_shipment", "v_certificate", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
 def asof_left_join(spark, sf_dir):
     s = mart.shipments(spark, sf_dir).join(view(spark, sf_dir, "v_user_group"), "user_id", "left")
     from martlet.operators.joins import asof_left
@@ -59,7 +59,7 @@ def asof_left_join(spark, sf_dir):
 
 @register("assigned_manager", with_views(f"""
 select shipment_id, cast({_ASSIGNED} as bigint) as assigned_manager_id from a
-""", "v_shipment", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
+""", "v_shipment", "v_certificate", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
 def assigned_manager(spark, sf_dir):
     s = mart.with_manager(mart.shipments(spark, sf_dir), view(spark, sf_dir, "v_user_group"),
                           mart.managers(spark, sf_dir), mart.shipping_months())
@@ -554,12 +554,12 @@ _MART_CTES = _ASOF_CTES + [
        cast(coalesce(lower(manager_comment) like '%test%' or lower(manager_comment) like '%fraud%', false) as integer)
          as company_fraud_flg
      from v_company"""),
-    ("pbase", f"""select phone, {ld('shipped_at')} as d, gmv_goods_net_promo, shipment_id, shipped_at from v_shipment
+    ("pbase", f"""select phone, {ld('shipped_at')} as d, goods + total_cost as amount, shipment_id, shipped_at from v_shipment
      where b2b_measure in (1, 2) and shipment_state = 'shipped' and phone is not null"""),
     ("pret", _ret_cte("pbase", "phone", "ret")),
     ("fs", """select phone, arg_min(shipment_id, (shipped_at, shipment_id)) as first_order_shipment_id_phone
      from pbase where shipped_at is not null group by phone"""),
-    ("pval", f"""select phone, min(d) as first_order_dt, max(d) as last_order_dt, sum(gmv_goods_net_promo) as user_gmv,
+    ("pval", f"""select phone, min(d) as first_order_dt, max(d) as last_order_dt, sum(amount) as user_gmv,
        count(*) as user_order_cnt, count(distinct {month('d')}) as user_active_months_count,
        cast(greatest(coalesce(datediff('month', min(d), max(d)), 1), 1) as integer) as user_age_month
      from pbase group by phone"""),
@@ -569,8 +569,11 @@ _MART_CTES = _ASOF_CTES + [
        user_order_cnt / user_age_month as user_avg_orders_per_month, user_gmv / user_age_month as user_avg_arpu_per_month,
        user_gmv / user_order_cnt as user_aov
      from pval v left join fs using (phone)"""),
-    ("gbase", f"""select company_group_id, {ld('shipped_at')} as d from a
-     where shipment_state = 'shipped' and company_group_id is not null"""),
+    ("gbase", f"""select company_group_id, {ld('shipped_at')} as d, shipment_id, shipped_at
+     from v_shipment join v_user_group using (user_id)
+     where shipment_state = 'shipped' and b2b_measure = 2 and company_group_id is not null"""),
+    ("gf", """select company_group_id, arg_min(shipment_id, (shipped_at, shipment_id)) as first_id
+     from gbase where shipped_at is not null group by company_group_id"""),
     ("gret", _ret_cte("gbase", "company_group_id", "group_ret")),
     ("gfl", """select company_group_id, min(d) as group_first_order_dt, max(d) as group_last_order_dt
      from gbase group by company_group_id"""),
@@ -592,6 +595,8 @@ _MART_EXPR = {
     "cp1": f"case when a.shipment_state = 'shipped' then a.gross_profit else 0 end - {_COSTS}",
     "order_type": channel_sql("a"),
     "new_or_repeat": "case when pv.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end",
+    "new_or_repeat_company": "case when cf.first_id = a.shipment_id then 'new' else 'repeat' end",
+    "new_or_repeat_group": "case when gf.first_id = a.shipment_id then 'new' else 'repeat' end",
     "group_first_order_dt": "g.group_first_order_dt", "group_last_order_dt": "g.group_last_order_dt",
     "company_first_order_dt": "cf.company_first_order_dt",
 }
@@ -619,15 +624,17 @@ def _mart_col(name: str, typ: str) -> str:
 _MART_SELECT = ("select " + ",\n  ".join(_mart_col(n, t) for n, t in mart.MART_SCHEMA) + f"""
 from a left join comp c on c.company_inn = a.company_inn
 left join pv on pv.phone = a.phone left join pret pr on pr.phone = a.phone
+left join gf on gf.company_group_id = a.company_group_id
 left join gfl g on g.company_group_id = a.company_group_id left join gret gr on gr.company_group_id = a.company_group_id
 left join v_order_cost oc on oc.shipment_id = a.shipment_id
-left join (select c2.company_id, min({ld('a2.shipped_at')}) as company_first_order_dt
+left join (select c2.company_id, min({ld('a2.shipped_at')}) as company_first_order_dt,
+             arg_min(a2.shipment_id, (a2.shipped_at, a2.shipment_id)) as first_id
            from a a2 join comp c2 on c2.company_inn = a2.company_inn
-           where a2.shipment_state = 'shipped' and c2.company_id is not null group by c2.company_id) cf
+           where a2.shipment_state = 'shipped' and a2.shipped_at is not null and c2.company_id is not null group by c2.company_id) cf
   on cf.company_id = c.company_id""")
 
 
-@register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_user_group", "v_manager_period", "v_company",
+@register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_certificate", "v_user_group", "v_manager_period", "v_company",
                                  "v_order_cost", extra=_MART_CTES))
 def b2b_mart(spark, sf):
     return mart.b2b_mart(spark, sf)
