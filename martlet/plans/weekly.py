@@ -37,13 +37,20 @@ def store_month_stats(shipments: DataFrame, excluded: DataFrame, retailer_ids: S
     s = joins.anti(s, excluded, "shipment_id")
     inv = F.col("payment_method_name") == invoice
     heavy = F.col("total_weight") > HEAVY_GRAMS
-    return (s.groupBy(tf.format_period(tf.month_start(tf.local_date("shipped_at"))).alias("month"), "store_id")
-            .agg(F.count_distinct("order_id").alias("n_orders"),
-                 F.count_distinct(F.when(inv, F.col("order_id"))).alias("n_invoice_orders"),
-                 F.sum("total").alias("revenue"), F.avg("total").alias("avg_check"),
-                 F.avg(F.when(inv, F.col("total"))).alias("avg_invoice_check"),
-                 F.count_distinct(F.when(heavy, F.col("order_id"))).alias("n_heavy_orders"),
-                 F.count_distinct(F.when(heavy & inv, F.col("order_id"))).alias("n_heavy_invoice_orders"))
+    month = tf.format_period(tf.month_start(tf.local_date("shipped_at"))).alias("month")
+    inv_total = F.when(inv, F.col("total"))
+    # One row per order first: its flags, sums and counts. The four order counts
+    # are then plain sums, without a row expansion for several distinct counts.
+    orders = s.groupBy(month, "store_id", "order_id").agg(
+        F.max(inv).alias("inv"), F.max(heavy).alias("heavy"), F.max(heavy & inv).alias("heavy_inv"),
+        F.sum("total").alias("sum"), F.count("total").alias("n"), F.sum(inv_total).alias("inv_sum"), F.count(inv_total).alias("inv_n"))
+    known = F.col("order_id").isNotNull()
+    return (orders.groupBy("month", "store_id")
+            .agg(F.count("order_id").alias("n_orders"), F.count_if(known & F.col("inv")).alias("n_invoice_orders"),
+                 F.sum("sum").alias("revenue"), F.try_divide(F.sum("sum"), F.sum("n")).alias("avg_check"),
+                 F.try_divide(F.sum("inv_sum"), F.sum("inv_n")).alias("avg_invoice_check"),
+                 F.count_if(known & F.col("heavy")).alias("n_heavy_orders"),
+                 F.count_if(known & F.col("heavy_inv")).alias("n_heavy_invoice_orders"))
             .orderBy(F.col("month").desc(), F.col("store_id").asc()))
 
 
