@@ -66,15 +66,15 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
     return path
 
 
-def write_split(df: DataFrame, key: str, path: str, fmt: str = "parquet", salt: int = 4,
-                max_rows: int = 1_000_000) -> str:
+def write_split(df: DataFrame, key: str, path: str, fmt: str = "parquet", max_rows: int = 1_000_000) -> str:
     """One folder per entity (``partitionBy``), written by all tasks in
-    parallel; no driver loop over keys. Rows are spread over (key, salt)
-    with a deterministic hash salt, so a key holding a large share of the rows
-    is written by ``salt`` tasks instead of one (a retried task rebuilds the
-    same rows, unlike a random salt)."""
-    salted = F.pmod(F.xxhash64(*df.columns), F.lit(salt))
-    (df.repartition(F.col(key), salted).write.mode("overwrite").option("maxRecordsPerFile", max_rows)
+    parallel; no driver loop over keys. A key's rows go to as many tasks as
+    its count needs at ``max_rows`` each, spread by a deterministic hash (a
+    retried task rebuilds the same rows, unlike a random salt)."""
+    parts = df.groupBy(F.col(key).alias("_key")).agg(F.ceil(F.count(F.lit(1)) / max_rows).alias("_parts"))
+    salted = F.pmod(F.xxhash64(*df.columns), F.col("_parts"))
+    (df.join(parts, F.col(key).eqNullSafe(F.col("_key"))).withColumn("_salt", salted).repartition(F.col(key), F.col("_salt"))
+     .select(*df.columns).write.mode("overwrite").option("maxRecordsPerFile", max_rows)
      .partitionBy(key).format(fmt).save(path))
     return path
 
