@@ -74,11 +74,11 @@ class TestMixing:
         assert (got.taken == got.copies * got["size"]).all() and (abs(got.copies - got.rate) < 1 + 1e-9).mean() > 0.95
 
     def test_rates_solve_the_dual(self, spark, texts):
-        got = entropy_mix.op2_source_mixing(spark, SF).toPandas()
+        got = entropy_mix.op2_source_mixing(spark, SF).toPandas().merge(texts, on="doc_id")
         inner = got[(got.rate > 0) & (got.rate < 2)]
-        words = (got.rate * got["size"]).groupby(got.target).sum()
-        assert np.allclose(words, words.index, rtol=1e-6)
-        for _, g in inner.groupby("target"):  # log rates are in proportion to sizes
+        words = (got.rate * got["size"]).groupby(got.source).sum()
+        assert np.allclose(words, got.groupby("source").target.first(), rtol=1e-6)
+        for _, g in inner.groupby("source"):  # log rates are in proportion to sizes
             tilt = np.log(g.rate) / g["size"]
             assert np.allclose(tilt, tilt.iloc[0], rtol=1e-6, atol=1e-12)
 
