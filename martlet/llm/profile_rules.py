@@ -4,15 +4,14 @@ Two histograms describe a document: its character classes, and the language's
 common words against all other words. A language's reference is the mean
 histogram of all documents of that ``lang``. A document's Jensen-Shannon
 distances (base 2) to a reference are held against limits that widen for short
-texts; it is kept if some language's two distances both stay within them. A
-document's own ``lang`` plays no part in its verdict. Everything runs as
-DataFrame expressions; only the references (a row per language) reach the
-driver, and they return as literals.
+texts; it is kept if some language's two distances both stay within them, so a
+wrong ``lang`` does no harm. Everything runs as DataFrame expressions; only the
+references (a row per language) reach the driver, and they return as literals.
 
 Defined results: null or blank text has no words and fails the base rules; a
 text below ``min_words`` is never judged by divergence; languages with fewer
-than ``min_documents`` texts of that length give no reference, and without any
-reference only the base rules decide; equal rows get equal results; other input
+than ``min_documents`` texts of that length give no reference, and their texts
+are not judged by divergence either; equal rows get equal results; other input
 columns pass through, those named like a result column are replaced.
 """
 
@@ -39,8 +38,8 @@ CLASSES = (r"\x20\x09-\x0D", "#*$%&|<>", "A-Z", "0-9", ".,;:!?", r"\x{80}-\x{10F
            r"\x00-\x08\x0E-\x1F\x7F\"'()+/=@\\\[\]^_`{}~\-")
 
 RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-MIN_WORDS, MIN_DOCUMENTS = 50, 20
-CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.15, 0.75, 0.28, 1.6
+MIN_WORDS, MIN_DOCUMENTS = 50, 5
+CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.15, 1.0, 0.28, 1.6
 
 
 def _count_of(text: Column, chars: str) -> Column:
@@ -125,7 +124,7 @@ def measured(documents: DataFrame, text: str = "text", keep: list[str] | None =
 
 
 def references(profiles: DataFrame, lang: str = "lang", min_words: int = MIN_WORDS,
-               min_documents: int = MIN_DOCUMENTS) -> list[tuple[list[float], list[float]]]:
+               min_documents: int = MIN_DOCUMENTS) -> dict[str, tuple[list[float], list[float]]]:
     """Mean histograms (character classes, common words) of each language, from
     every text of ``min_words`` or more. A row per language is collected."""
     k = len(CLASSES) + 1
@@ -146,11 +145,11 @@ def references(profiles: DataFrame, lang: str = "lang", min_words: int = MIN_WOR
     sums: dict[str, dict[int, float]] = {}
     for r in rows:
         sums.setdefault(r["lang"], {})[r["i"]] = r["s"]
-    out = []
-    for _, x in sorted(sums.items()):
+    out = {}
+    for name, x in sorted(sums.items()):
         if x[-1] >= min_documents:
             w = [x.get(k + i, 0.0) / x[-1] for i in range(len(COMMON))]
-            out.append(([x.get(i, 0.0) / x[-1] for i in range(k)], [*w, max(0.0, 1 - sum(w))]))
+            out[name] = ([x.get(i, 0.0) / x[-1] for i in range(k)], [*w, max(0.0, 1 - sum(w))])
     return out
 
 
@@ -187,8 +186,9 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang", keep: li
     refs = references(profiles, lang, min_words, min_documents)
     slack = 1 / F.sqrt(F.col("n_words").cast("double"))
     fits = [(_char_distance(c) <= CHAR_LIMIT + CHAR_SLACK * slack) & (
-        (F.col("_total") == 0) | (_word_distance(w) <= WORD_LIMIT + WORD_SLACK * slack)) for c, w in refs]
+        (F.col("_total") == 0) | (_word_distance(w) <= WORD_LIMIT + WORD_SLACK * slack)) for c, w in refs.values()]
     near = functools.reduce(Column.__or__, fits) if fits else F.lit(True)
+    near = near | (F.col(lang).isNotNull() & ~F.col(lang).isin(*refs))  # its own language has no reference
     verdict = F.when(F.col("base_failed"), False).when(F.col("n_words") < min_words, True).otherwise(near)
     return profiles.withColumn("kept", F.coalesce(verdict, F.lit(False))).select(*keep, *RESULT)
 
