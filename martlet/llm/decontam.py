@@ -30,7 +30,7 @@ from martlet.llm.words import mix, string_buffers
 
 #: Characters of a q-gram; bytes of a segment and between their starts; edits of
 #: a segment's bytes; width of a diagonal band without its overlap.
-GRAM, SEGMENT, STEP, EDITS, BAND = 10, 96, 48, 0.075, 16
+GRAM, SEGMENT, STEP, EDITS, BAND = 10, 64, 32, 0.075, 16
 #: Bytes of item texts in a block, and of document texts searched at a time.
 BLOCK, PART = 1 << 20, 1 << 20
 SLOTS = 22  # bits of the table that drops most q-grams of no item
