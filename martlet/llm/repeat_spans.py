@@ -19,9 +19,11 @@ doc_id are one document, each with its own text; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,6 +33,9 @@ from martlet.session import cut_lineage
 
 #: Words of a window, and of the k-grams whose least one is its anchor.
 LENGTH, GRAM = 13, 4
+#: Bytes of texts unpacked at a time; rows of a window from which it counts as
+#: frequent at the earliest.
+BLOCK, HOT = 2 << 20, 1000
 #: Rows of an output batch at most.
 ROWS = 1 << 17
 
@@ -103,15 +108,34 @@ def packed_texts(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
 
 
-def _texts(packed: pa.Array) -> Iterator[bytes]:
+def _unpacked(packed: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of consecutive rows' texts, a block
+    of them at a time (a longer text is a block of its own)."""
     unpack = zstandard.ZstdDecompressor()
-    for x in packed:
-        yield unpack.decompress(x.as_buffer()) if x.is_valid else b""
+    texts: list[bytes] = []
+    size = 0
+    for i, x in enumerate(packed, 1):
+        texts.append(unpack.decompress(x.as_buffer()) if x.is_valid else b"")
+        size += len(texts[-1])
+        if size >= BLOCK or i == len(packed):
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            yield i - len(texts), i, np.frombuffer(b"".join(texts), np.uint8), offsets
+            texts, size = [], 0
 
 
-def _listed(lists: pa.Array, i: int) -> np.ndarray:
-    """The hashes of row ``i`` (none where the list is null)."""
-    return lists[i].values.to_numpy(zero_copy_only=False).view(np.uint64) if lists[i].is_valid else np.zeros(0, np.uint64)
+class Listed:
+    """The hashes that a column lists for each row (none where it is null)."""
+
+    def __init__(self, column: pa.Array):
+        lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        self.at = np.concatenate([[0], np.cumsum(lengths)])
+        self.values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+
+    def holds(self, first: int, end: int, row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Whether the list of row ``first + row`` holds the hash, for all at once."""
+        own = np.repeat(np.arange(end - first), np.diff(self.at[first:end + 1]))
+        salt = mix(np.arange(1, end - first + 1, dtype=np.uint64))
+        return np.isin(hashes ^ salt[row], self.values[self.at[first]:self.at[end]] ^ salt[own])
 
 
 def seeded_windows(documents: DataFrame, seeds: list[str], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -120,15 +144,15 @@ def seeded_windows(documents: DataFrame, seeds: list[str], length: int = LENGTH,
     def run(batches: Batches) -> Batches:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for i, text in enumerate(_texts(batch.column(1))):
-                listed = np.concatenate([_listed(c, i) for c in batch.columns[2:]])
-                if len(listed):
-                    data = np.frombuffer(text, np.uint8)
-                    starts, ends, first = word_spans(data, np.array([0, len(data)]))
-                    h = span_hashes(data, starts, ends)
-                    start, _, least = _windows(h, first, length, gram)
-                    start = start[np.isin(least, listed)]
-                    yield from _emit(ngrams(h, length)[start].view(np.int64), _second(h, length)[start], np.repeat(ids[i], len(start)),
+            lists = [Listed(c) for c in batch.columns[2:]]
+            for lo, hi, data, offsets in _unpacked(batch.column(1)):
+                starts, ends, first = word_spans(data, offsets)
+                h = span_hashes(data, starts, ends)
+                start, row, least = _windows(h, first, length, gram)
+                if len(start):
+                    take = np.logical_or.reduce([x.holds(lo, hi, row, least) for x in lists])
+                    start, row = start[take], row[take]
+                    yield from _emit(ngrams(h, length)[start].view(np.int64), _second(h, length)[start], ids[lo + row],
                                      names=["h1", "h2", "doc_id"])
 
     wanted = F.coalesce(*[F.col(c) for c in seeds]).isNotNull()
@@ -164,21 +188,23 @@ def _removed(documents: DataFrame, length: int, gram: int) -> DataFrame:
     windows all go, ``gone`` the hashes of further windows that go."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
+            whole, gone = Listed(batch.column(2)), Listed(batch.column(3))
             out: list[tuple[int, int, bytes]] = []
-            for i, text in enumerate(_texts(batch.column(1))):
-                words = text.split()
-                n, cut = len(words), 0
-                whole, gone = _listed(batch.column(2), i), _listed(batch.column(3), i)
-                if len(whole) or len(gone):
-                    data = np.frombuffer(b" ".join(words), np.uint8)
-                    starts, ends, first = word_spans(data, np.array([0, len(data)]))
+            for lo, hi, data, offsets in _unpacked(batch.column(1)):
+                texts = data.tobytes()
+                listed = whole.at[hi] > whole.at[lo] or gone.at[hi] > gone.at[lo]
+                if listed:
+                    starts, ends, first = word_spans(data, offsets)
                     h = span_hashes(data, starts, ends)
-                    start, _, least = _windows(h, first, length, gram)
-                    goes = np.isin(least, whole) | np.isin(ngrams(h, length)[start], gone)
-                    drop = covered_words(n, start[goes], length)
-                    cut = int(drop.sum())
-                    words = [w for w, x in zip(words, drop.tolist()) if not x]
-                out.append((n, cut, b" ".join(words)))
+                    start, row, least = _windows(h, first, length, gram)
+                    goes = whole.holds(lo, hi, row, least) | gone.holds(lo, hi, row, ngrams(h, length)[start])
+                    drop = covered_words(len(h), start[goes], length)
+                for i in range(hi - lo):
+                    words, cut = texts[offsets[i]:offsets[i + 1]].split(), 0
+                    n = len(words)
+                    if listed and (cut := int(drop[first[i]:first[i + 1]].sum())):
+                        words = list(compress(words, ~drop[first[i]:first[i + 1]]))
+                    out.append((n, cut, b" ".join(words)))
             n, cut, kept = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(cut, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
@@ -204,9 +230,17 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     seeds = cut_lineage(seeds.select("doc_id", *[F.when(F.size(c) > 0, F.col(c)).alias(c) for c in kinds]), "seeds")
     texts = packed_texts(docs).join(seeds, "doc_id", "left")
     everywhere = seeded_windows(texts, ["first", "later"], length, gram)
-    least = everywhere.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"))
-    gone = (seeded_windows(texts, ["later"], length, gram).join(least, ["h1", "h2"]).filter("doc_id > lo")
-            .groupBy("doc_id").agg(F.collect_set("h1").alias("gone")))
+    least = everywhere.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.count("*").alias("n"))
+    # Windows of a thousandth of all anchor rows or more are about as many as a
+    # thousand times the windows around an anchor: a bounded table, broadcast.
+    # Their rows need no shuffle by window; they spread over all tasks by doc_id.
+    rows = seeds.agg(F.sum(F.coalesce(F.size("first"), F.lit(0)) + F.coalesce(F.size("later"), F.lit(0)))).first()[0] or 0
+    hot = least.filter(F.col("n") > max(HOT, rows // 1000)).select("h1", "h2", F.col("lo").alias("hot_lo"))
+    met = seeded_windows(texts, ["later"], length, gram).join(F.broadcast(hot), ["h1", "h2"], "left")
+    key = F.when(F.col("hot_lo").isNull(), F.col("h1")).otherwise(F.xxhash64("doc_id", "h1"))
+    least = least.select(F.col("h1").alias("key"), "h2", "lo")
+    met = met.withColumn("key", key).join(least, ["key", "h2"], "left")
+    gone = met.filter(F.col("doc_id") > F.coalesce("hot_lo", "lo")).groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))
     return _removed(texts.join(gone, "doc_id", "left"), length, gram)
 
 
