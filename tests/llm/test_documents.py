@@ -103,8 +103,9 @@ class TestSubstringDedup:
         assert {k: r["n_removed"] for k, r in got.items()} == {5: 60, 2: 0, 9: 60, 11: 13, 12: 0, 20: 0, 21: 30, None: 0}
         assert got[5]["kept_text"] == "start end" and got[9]["kept_text"] == f"x {other} y"
 
-    @pytest.mark.parametrize("seed", range(3))
-    def test_random_repeats_match_brute_force(self, spark, seed):
+    @pytest.mark.parametrize("seed,hot", [(0, 1000), (1, 1000), (1, 2), (2, 2)])
+    def test_random_repeats_match_brute_force(self, spark, seed, hot, monkeypatch):
+        monkeypatch.setattr(repeat_spans, "HOT", hot)  # frequent windows take the broadcast way
         rng = np.random.default_rng(seed)
         texts = [" ".join(rng.choice(["a", "b"], rng.integers(0, 80))) for _ in range(40)]
         first: dict = {}
