@@ -48,16 +48,12 @@ select cast(shipment_id as bigint) as shipment_id, cast(b2b_measure as smallint)
   coalesce(phone, '') as phone, cast(shipped_at as date) as shipped_date
 from v_shipment""", "v_shipment"))
 def conform_types(spark, sf):
-    schema = [("shipment_id", "bigint", None), ("b2b_measure", "smallint", None),
-              ("total_f32", "float", None), ("total_weight", "int", None),
-              ("phone", "string", ""), ("shipped_date", "date", None)]
-    s = V(spark, sf, "v_shipment").withColumn("total_f32", F.col("total")).withColumn(
-        "shipped_date", F.col("shipped_at"))
-    out = []
-    for name, typ, default in schema:
-        c = F.col(name).try_cast(typ)
-        out.append((F.coalesce(c, F.lit(default)) if default is not None else c).alias(name))
-    return s.select(*out)
+    from martlet.plans.mart import conform
+
+    schema = [("shipment_id", "bigint"), ("b2b_measure", "smallint"), ("total_f32", "float"), ("total_weight", "int"),
+              ("phone", "string"), ("shipped_date", "date")]
+    s = V(spark, sf, "v_shipment").withColumns({"total_f32": F.col("total"), "shipped_date": F.col("shipped_at")})
+    return conform(s, schema, {"phone": ""})
 
 
 # ---------------------------------------------------------------- P3 duplicates
@@ -340,8 +336,7 @@ def remap_values(spark, sf):
 # ---------------------------------------------------------------- P19 buckets, P20, P21
 
 # The base turnover buckets (left-closed edges) and their labels.
-GMV_EDGES = [0, 50_000, 100_000, 500_000, 1_000_000, 5_000_000, 10_000_000, float("inf")]
-GMV_LABELS = ["up to 50k", "50k - 100k", "100k - 500k", "500k - 1m", "1m - 5m", "5m - 10m", "10m +"]
+from martlet.plans.seller import GMV_EDGES, GMV_LABELS  # noqa: E402
 
 
 def _bucket_sql(col, null_first=False):

@@ -143,3 +143,30 @@ def test_payable(spark, gate, kept):
     src = pulse.Sources(everywhere, None, None, None, None, locked, None, directory)
     got = {r["shipment_id"] for r in pulse.payable(df, src, pulse.PulseConfig("p", gate=gate)).collect()}
     assert got == kept
+
+
+def test_tenure_is_whole_months(spark):
+    """15 January to 1 February is under a month, though a month boundary lies between."""
+    from martlet.plans import audience as aud
+
+    rows = [(1, 1, dt.datetime(2024, 1, 15)), (1, 2, dt.datetime(2024, 2, 1)), (2, 1, dt.datetime(2023, 11, 1)), (2, 2, dt.datetime(2024, 1, 31))]
+    feed = spark.createDataFrame(rows, "user_id long, order_seq long, completed_at timestamp_ntz")
+    spec = aud.AudienceSpec(start="2023-01-01", end="2024-12-31", funnel_as_of="2024-02-01 00:00:00")
+    got = {r["user_id"]: r["use_duration"] for r in aud.funnel(feed, feed.limit(0), spec).collect()}
+    assert got == {1: aud.USE_DURATION[0], 2: aud.USE_DURATION[1]}
+
+
+def test_stream_logs_reported_shipments_only(spark):
+    """A candidate whose lines land late stays unlogged and is reported by a later batch."""
+    from martlet.streaming import stream as st
+
+    out, ledger = st.scratch(spark, "out"), st.scratch(spark, "ledger")
+    lines = [spark.createDataFrame([("a", 1)], "shipment_number string, quantity int")]
+    sink = st.pulse_batch_sink(spark, out, ledger, "p", lambda fresh: fresh.join(lines[0], "shipment_number"))
+    batch = spark.createDataFrame([("a",), ("b",)], "shipment_number string")
+    sink(batch, 0)
+    lines[0] = spark.createDataFrame([("a", 1), ("b", 2)], "shipment_number string, quantity int")
+    sink(batch, 1)
+    sink(batch, 1)  # a replayed batch
+    got = [(r["batch_id"], r["shipment_number"]) for r in spark.read.parquet(out).collect()]
+    assert sorted(got) == [(0, "a"), (1, "b")]

@@ -30,11 +30,8 @@ def test_matches_oracle(spark, con, key):
     assert hs == hd or close(ls, ld)
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
-def test_rows_only_queries_run(spark, key):
-    df = QUERIES[key](spark, SF)
-    assert df.count() >= 0
-    assert df.columns
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_smoke(spark):
