@@ -33,26 +33,25 @@ def reference_clean(spark, sf):
                              required=["retailer_sku", "max_qty"])
 
 
-def _with_preamble(batches):
-    """Per output file: a junk line and the header before the data lines."""
-    first = True
-    for pdf in batches:
-        if first and len(pdf):
-            head = pd.DataFrame({"value": ["exported by the sheet tool", "c_custkey,c_name,c_acctbal"]})
-            pdf = pd.concat([head, pdf], ignore_index=True)
-            first = False
-        yield pdf
-
-
 @register("csv_skiprows", """select c_custkey, c_name as name from customer""")
 def csv_skiprows(spark, sf):
     """CSV files with a junk first line, then the header; every data line
     comes back exactly once."""
+    def with_preamble(batches):
+        """Per output file: a junk line and the header before the data lines
+        (a nested function, so that it travels with the task)."""
+        first = True
+        for pdf in batches:
+            if first and len(pdf):
+                head = pd.DataFrame({"value": ["exported by the sheet tool", "c_custkey,c_name,c_acctbal"]})
+                pdf, first = pd.concat([head, pdf], ignore_index=True), False
+            yield pdf
+
     path = io.scratch_path(spark, "csv-skip")
     c = spark.read.parquet(f"{sf}/customer.parquet")
     lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
                                  F.col("c_acctbal").cast("string")).alias("value"))
-    lines.repartition(3).mapInPandas(_with_preamble, "value string").write.mode("overwrite").text(path)
+    lines.repartition(3).mapInPandas(with_preamble, "value string").write.mode("overwrite").text(path)
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                            T.StructField("c_acctbal", T.DoubleType())])
     out = io.read_csv_skip(spark, path, schema, skip_rows=1, header=True)
