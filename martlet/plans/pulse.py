@@ -31,7 +31,11 @@ class PulseConfig:
     store_ids: tuple[int, ...] = ()
     states: tuple[str, ...] = ("complete", "shipped")
     window_days: int = 14
-    window_basis: str = "slot"  # 'slot': local slot date; 'completed': completion time
+    # 'slot': local slot date; 'completed': completion time; 'completed_date': its local date
+    window_basis: str = "slot"
+    payment_methods: tuple[int, ...] = ()
+    tenant_ids: tuple[str, ...] = ()
+    platforms: tuple[str, ...] = ()
     line_rule: tuple[str, float, float] | None = None  # (mode, line_min, total_min)
     ledger_names: tuple[str, ...] = ()  # ledgers read for the anti join (default: own)
     scan_ledger: str | None = None  # over-limit: first-stage ledger of scanned shipments
@@ -70,6 +74,9 @@ def _scope(s: DataFrame, cfg: PulseConfig) -> DataFrame:
         s = s.where(F.col("store_id").isin(*cfg.store_ids))
     if cfg.exclude_store_ids:
         s = s.where(~F.col("store_id").isin(*cfg.exclude_store_ids))
+    for column, values in (("payment_method_id", cfg.payment_methods), ("tenant_id", cfg.tenant_ids), ("platform", cfg.platforms)):
+        if values:
+            s = s.where(F.col(column).isin(*values))
     if cfg.states:  # a job without a state filter takes every state
         s = s.where(F.col("shipment_state").isin(*cfg.states))
     return s
@@ -90,6 +97,10 @@ def candidates(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
         # less than a day); the exact local-date test follows.
         s = s.where(F.col("slot_start") >= F.date_sub(first_day, 1).cast("timestamp_ntz"))
         s = s.where(tf.local_date("slot_start") >= first_day)
+    elif cfg.window_basis == "completed_date":
+        first_day = F.date_sub(F.to_date(asof), cfg.window_days)
+        s = s.where(F.col("completed_at") >= F.date_sub(first_day, 1).cast("timestamp_ntz"))
+        s = s.where(tf.local_date("completed_at") >= first_day)
     else:
         s = s.where(tf.lookback("completed_at", asof, f"{cfg.window_days} days"))
     s = s.join(src.company_orders, "order_id", "inner")
@@ -158,9 +169,12 @@ def payable(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
     a deferred method, a small balance gap or a postpay company. The gap (W3)
     is that of the whole order: all shipments of the candidates' balance-due
     orders, wherever they go. ``cfg.gate`` leaves the balance out
-    ("pay_no_balance") or only asks that the payment did not fail ("state")."""
+    ("pay_no_balance"), or only asks that the payment did not fail or the company
+    pays later, locked or not ("state")."""
+    postpay = src.directory.where(F.col("con_flag") == "postpay").select("company_id").distinct().withColumn("_postpay", F.lit(True))
     if cfg.gate == "state":
-        return df.where(rules.state_gate("payment_state"))
+        df = df.join(postpay, "company_id", "left")
+        return df.where(rules.state_gate("payment_state") | F.coalesce("_postpay", F.lit(False))).drop("_postpay")
     locked = src.locked.where(F.col("export_lock_state") == "locked").select("order_id")
     df = joins.anti(df, locked, "order_id")
     balance_ok = F.lit(False)
@@ -169,7 +183,6 @@ def payable(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
         gaps = windows.balance_due_window(joins.semi(src.shipments, due, "order_id"), "order_id", "payment_total", "total")
         df = df.join(gaps.withColumn("_bal_ok", F.lit(True)), "order_id", "left")
         balance_ok = F.col("_bal_ok")
-    postpay = src.directory.where(F.col("con_flag") == "postpay").select("company_id").distinct().withColumn("_postpay", F.lit(True))
     df = df.join(postpay, "company_id", "left")
     gate = rules.pay_gate("payment_state", "payment_method_id", balance_ok) | F.coalesce("_postpay", F.lit(False))
     return df.where(F.coalesce(gate, F.lit(False))).drop("_bal_ok", "_postpay")
@@ -292,6 +305,16 @@ def over_limit(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     return _over_limit_lines(c, src).select("shipment_number", "retailer_sku", "quantity", "max_qty", "completed_local")
 
 
+def over_limit_contacts(src: Sources, cfg: PulseConfig, stores: DataFrame, contacts: DataFrame,
+                        as_of: str = AS_OF) -> DataFrame:
+    """K5 with the contact of each line's store, found through the store's key
+    number; a line whose store has no contact stays, without one (left join)."""
+    c = payable(not_sent(candidates(src, cfg, as_of), src.ledger, cfg), src, cfg)
+    rows = _over_limit_lines(c, src).select("shipment_number", "store_id", "retailer_sku", "quantity", "max_qty")
+    return (rows.join(store_keys(stores), "store_id", "left").join(contacts, "key_number", "left")
+            .select("shipment_number", "store_id", "retailer_sku", "quantity", "max_qty", "contact").distinct())
+
+
 def hourly(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K6: shipments completed (or canceled) since the hourly look-back start
     (49 h on Monday just after midnight), no ledger."""

@@ -163,6 +163,15 @@ def append_ledger(report: DataFrame, path: str, process: str, as_of: str) -> Dat
     return spark.read.schema(LEDGER).parquet(path).where(F.col("process_name") == process)
 
 
+def attachments(frames: Sequence[tuple[str, DataFrame]]) -> list[tuple[str, DataFrame]]:
+    """What one mail carries. The first frame is the report: without rows
+    nothing is sent. Each further frame goes along only if it has rows too."""
+    first, *rest = frames
+    if first[1].isEmpty():
+        return []
+    return [first, *[(name, df) for name, df in rest if not df.isEmpty()]]
+
+
 def manifest(frames: dict[str, DataFrame], recipient: str, item: str) -> DataFrame:
     """Per recipient, the reports that have rows for them and the items
     inside; a recipient appears only with at least one non-empty report."""

@@ -136,3 +136,17 @@ def delivery_manifest(spark, sf):
     d = src.directory.select("company_id", "manager_email")
     big = big.join(d, "company_id", "left").fillna({"manager_email": jobs.NEW_ORDERS.fallback.email})
     return io.manifest({"new_orders": new, "big_orders": big}, "manager_email", "shipment_number")
+
+
+@register("delivery_attachments", with_views("""
+select 'report' as attachment, count(*) as n_rows from v_shipment where shipment_state = 'shipped'
+union all select 'big', count(*) from v_shipment where shipment_state = 'shipped' and total >= 100000""", "v_shipment"))
+def delivery_attachments(spark, sf):
+    """The report goes with the big orders; the empty third frame stays out."""
+    s = V(spark, sf, "v_shipment").where(F.col("shipment_state") == "shipped")
+    sent = io.attachments([("report", s), ("big", s.where(F.col("total") >= 100000)), ("none", s.where(F.col("total") < 0))])
+    out = None
+    for name, df in sent:
+        part = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("attachment"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out

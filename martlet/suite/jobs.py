@@ -780,3 +780,55 @@ group by all""", "v_shipment", "v_line_item", "v_offer"))
 def store_sku_week_prices(spark, sf):
     return weekly.store_sku_week_prices(view(spark, sf, "v_shipment"), view(spark, sf, "v_line_item"),
                                         view(spark, sf, "v_offer"), retailer_ids=(6,))
+
+
+# ---------------------------------------------------------------- pulse variants
+
+FILTERED = pulse.PulseConfig("pulse_f", retailer_ids=tuple(range(10)), states=("complete",), window_days=900, window_basis="completed_date",
+                             payment_methods=(3, 4, 5), tenant_ids=("tenant_main",), platforms=("web",))
+
+
+@register("pulse_filtered", with_views(f"""
+select distinct s.shipment_number, {lts('s.completed_at')} as completed_local, o.name as offer_name, li.quantity, li.price
+from v_shipment s join v_delivery_window w on w.id = s.shipment_id join v_company_order co on co.order_id = s.order_id
+join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null join v_offer o on o.id = li.offer_id
+where s.shipment_state = 'complete' and s.payment_method_id in (3, 4, 5) and s.tenant_id = 'tenant_main' and s.platform = 'web'
+  and {ld('s.completed_at')} >= {ASOF_DATE} - 900""", *_PULSE_VIEWS))
+def pulse_filtered(spark, sf):
+    """K2 with payment method, tenant and platform filters and a date window."""
+    report = pulse.new_orders(pulse.Sources.fixture(spark, sf), FILTERED)
+    return report.select("shipment_number", "completed_local", "offer_name", "quantity", "price").distinct()
+
+
+NEXT_DAY_STATE = pulse.PulseConfig("next_day", retailer_ids=tuple(range(10)), states=("complete", "shipped"), gate="state")
+
+
+@register("pulse_next_day_state", with_views(f"""
+select distinct s.shipment_number, {lts('s.completed_at')} as completed_local, {lts('w.starts_at')} as slot_start_local,
+  o.name as offer_name, li.quantity, s.payment_method_name, s.total_weight
+from v_shipment s join v_delivery_window w on w.id = s.shipment_id
+join v_line_item li on li.shipment_id = s.shipment_id and li.deleted_at is null join v_offer o on o.id = li.offer_id
+left join v_company_order co on co.order_id = s.order_id
+where s.shipment_state in ('complete', 'shipped') and cast(w.starts_at as date) = {_ND_DATE}
+  and (s.payment_state not in ('not_paid', 'failed') or co.company_id in (select company_id from dir where con_flag = 'postpay'))""",
+                                             *_PULSE_VIEWS, extra=[("dir", _DIRECTORY)]))
+def pulse_next_day_state(spark, sf):
+    """K3 behind the state gate: the payment did not fail, or a postpay company."""
+    return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY_STATE, as_of=ND_AS_OF)
+
+
+@register("pulse_over_limit_contacts", with_views(f"""
+select distinct c.shipment_number, c.store_id, o.retailer_sku, li.quantity, lim.max_qty, ds.director_email as contact
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id join v_offer_limit lim on lim.retailer_sku = o.retailer_sku
+left join sc on sc.store_id = c.store_id
+left join (select * from ds where zamdirector_email is not null) ds
+  on ds.key_number = substring(sc.import_key, instr(sc.import_key, '-') + 1, 15)
+where {_gate_sql('c', 'c.company_id')} and lim.max_qty is not null and li.quantity > lim.max_qty""",
+                                                  *_PULSE_VIEWS, "v_offer_limit", "v_locked_order",
+                                                  extra=[*_gated(OVER_LIMIT), ("sc", _STORE_CONFIG), ("ds", _DIRECTORS)]))
+def pulse_over_limit_contacts(spark, sf):
+    """K5 with store contacts (a third of the stores have none)."""
+    configs, directors = _store_fixtures(spark, sf)
+    contacts = directors.where(F.col("zamdirector_email").isNotNull()).select("key_number", F.col("director_email").alias("contact"))
+    return pulse.over_limit_contacts(pulse.Sources.fixture(spark, sf), OVER_LIMIT, configs, contacts)

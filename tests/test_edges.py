@@ -128,7 +128,7 @@ def test_cluster_session_needs_a_shared_folder():
         ensure_checkpoint_dir(Session())
 
 
-@pytest.mark.parametrize("gate,kept", [("pay", {1, 2, 5, 6}), ("pay_no_balance", {1, 2, 5}), ("state", {1, 2, 3, 4, 6, 7})])
+@pytest.mark.parametrize("gate,kept", [("pay", {1, 2, 5, 6}), ("pay_no_balance", {1, 2, 5}), ("state", {1, 2, 3, 4, 5, 6, 7})])
 def test_payable(spark, gate, kept):
     """1 paid, 2 deferred method, 3 paid but locked, 4 balance due with a large gap,
     5 unpaid of a postpay company, 6 small gap, 7 a sibling elsewhere makes the gap large."""
