@@ -53,6 +53,17 @@ class AudienceSpec:
     row_in: tuple[tuple[str, tuple[str, ...]], ...] = ()       # WHERE lower(col) IN values
     collect: tuple[str, ...] = ()                               # per-user sorted value sets
     having_any: tuple[tuple[str, tuple[str, ...]], ...] = ()   # HAVING the set has any value
+    # Whether a user has any row with one of the values, as 'yes' or 'no' (loyalty
+    # or instalment use): (name, column, values), and the wanted answers by name.
+    uses: tuple[tuple[str, str, tuple[str, ...]], ...] = ()
+    having_use: tuple[tuple[str, str], ...] = ()
+    grain: tuple[str, ...] = ()  # columns beside user and platform (device, OS)
+
+
+def typed_list(text: str | None) -> tuple[str, ...]:
+    """what a user typed into a form, as values: split at commas, trimmed,
+    lower case, without empty or repeated ones."""
+    return tuple(dict.fromkeys(x for part in (text or "").split(",") if (x := part.strip().lower())))
 
 
 def _and(preds: list[Column]) -> Column:
@@ -88,6 +99,8 @@ def build_filters(spec: AudienceSpec) -> tuple[Column, Column]:
         having.append(F.col("orders_period") >= spec.min_orders_period)
     if spec.min_addresses is not None:
         having.append(F.col("address_count") >= spec.min_addresses)
+    for name, answer in spec.having_use:
+        having.append(F.col(name) == answer)
     if spec.must_buy_food:
         having.append(F.col("orders_food_category") > 0)
     if spec.must_buy_nonfood:
@@ -130,7 +143,7 @@ def user_shipments(shipments: DataFrame, spec: AudienceSpec, cat_orders: DataFra
     day = F.to_date("completed_at")
     s = (shipments.where(day.between(F.lit(spec.start).cast("date"), F.lit(spec.end).cast("date")))
          .where(F.col("user_id").isNotNull()).where(where))
-    keys = ["user_id", "platform"]
+    keys = ["user_id", "platform", *spec.grain]
     orders = s.select(*keys, "order_id").distinct()
     if cat_orders is not None:
         orders = orders.join(cat_orders, "order_id", "left")
@@ -151,9 +164,11 @@ def user_shipments(shipments: DataFrame, spec: AudienceSpec, cat_orders: DataFra
         F.array_sort(F.collect_set("shipment_state")).alias("shipment_states"),
         F.array_sort(F.collect_set(F.concat(F.lit("retailer_"), F.col("retailer_id").cast("string")))).alias("retailer_names"),
         share.alias("major_share"),
+        *[F.when(F.max(F.coalesce(F.lower(F.col(c)).isin(*values), F.lit(False))), "yes").otherwise("no").alias(name)
+          for name, c, values in spec.uses],
         *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"{c}_set") for c in spec.collect])
     g = per_row.join(per_order, keys, "inner")
-    return g.select("user_id", "platform", "orders_period", "address_count", "last_order_ts", "is_b2b",
+    return g.select(*keys, *[name for name, _, _ in spec.uses], "orders_period", "address_count", "last_order_ts", "is_b2b",
                     "shipment_states", "retailer_names", "major_share", "orders_food_category",
                     "orders_nonfood_category", *[f"{c}_set" for c in spec.collect]).where(having)
 

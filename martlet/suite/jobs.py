@@ -391,6 +391,21 @@ def dynamic_filters(spark, sf):
     return aud.user_shipments(view(spark, sf, "v_shipment"), FILTERS, cats)
 
 
+USES = aud.AudienceSpec(start="1996-01-01", end="1998-12-31", funnel_as_of="2024-02-01 00:00:00", major_shop_size="supermarket",
+                        row_in=(("platform", aud.typed_list(" Web, app,,WEB ")),), grain=("tenant_id",),
+                        uses=(("invoice_use", "payment_method_name", ("invoice",)),), having_use=(("invoice_use", "yes"),))
+
+
+@register("audience_uses", with_views("select * from us where invoice_use = 'yes'", "v_shipment", "v_line_item", "v_category", extra=[
+    ("roots", _ROOTS), ("co", _CAT_ORDERS.format(start="1996-01-01", end="1998-12-31")),
+    ("us", _USER_SHIP.format(start="1996-01-01", end="1998-12-31", where="and lower(s.platform) in ('web', 'app')", extra=""", s.tenant_id,
+    case when max(cast(s.payment_method_name = 'invoice' as integer)) = 1 then 'yes' else 'no' end as invoice_use""") + ", s.tenant_id")]))
+def audience_uses(spark, sf):
+    """A use flag as answer and filter, a typed list, a finer grain."""
+    cats = aud.category_orders(view(spark, sf, "v_line_item"), view(spark, sf, "v_category"), USES)
+    return aud.user_shipments(view(spark, sf, "v_shipment"), USES, cats)
+
+
 _AUD_CTES = [
     ("roots", _ROOTS),
     ("co", _CAT_ORDERS.format(start="1995-01-01", end="1999-12-31")),
