@@ -170,3 +170,9 @@ def test_stream_logs_reported_shipments_only(spark):
     sink(batch, 1)  # a replayed batch
     got = [(r["batch_id"], r["shipment_number"]) for r in spark.read.parquet(out).collect()]
     assert sorted(got) == [(0, "a"), (1, "b")]
+
+
+def test_typed_list():
+    from martlet.plans.audience import typed_list
+
+    assert typed_list(" Web, app,,WEB ") == ("web", "app") and typed_list(None) == typed_list(" , ") == ()
