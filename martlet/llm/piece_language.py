@@ -34,8 +34,8 @@ LONGEST, SAMPLE = 6, 400
 ROUNDS, SMOOTHING = 4, 0.02
 #: Bytes of a word beyond which its probability is kept as a logarithm.
 LINEAR = 64
-#: Scored words that a worker remembers.
-REMEMBERED = 200_000
+#: Scored words that a task remembers.
+REMEMBERED = 300_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SCALE = 24.0  # per byte, keeps the sums of ordinary words near 1
@@ -241,6 +241,45 @@ def learn(documents: DataFrame, sample: int = SAMPLE, name: str = VOCABULARY) ->
     return fit(counts, vocabulary(name))
 
 
+#: Words that are looked up at a time.
+AT_A_TIME = 200_000
+
+
+def _some_words(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """The words of a column of texts and the rows they are from, many at a time."""
+    data, offsets = string_buffers(texts)
+    rows, counts, held = [], [], []
+    for i in range(len(texts)):
+        for words in letters(data[offsets[i]:offsets[i + 1]].tobytes()):
+            if words:
+                rows.append(i)
+                counts.append(len(words))
+                held += words
+            if len(held) >= AT_A_TIME:
+                yield np.repeat(rows, counts), held
+                rows, counts, held = [], [], []
+    if held:
+        yield np.repeat(rows, counts), held
+
+
+class Known:
+    """Scores of the words met so far; starts anew beyond REMEMBERED words."""
+
+    def __init__(self, table: Pieces, scaled: np.ndarray):
+        self.table, self.scaled = table, scaled
+        self.places: dict[str, int] = {}
+        self.parts = np.zeros((0, scaled.shape[1]))
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        if len(self.places) > REMEMBERED:
+            self.places, self.parts = {}, self.parts[:0]
+        new = sorted(set(words).difference(self.places))
+        if new:
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            self.parts = np.concatenate([self.parts, word_scores([w.encode() for w in new], self.table, self.scaled)])
+        return self.parts[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))]
+
+
 def predict(documents: DataFrame, model: Model, name: str = VOCABULARY) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``documents``."""
     languages, scaled = model
@@ -249,22 +288,13 @@ def predict(documents: DataFrame, model: Model, name: str = VOCABULARY) -> DataF
         cache = process_cache("pieces")
         if "table" not in cache:
             cache["table"] = piece_table(vocabulary(name))
-        table, known, scores = cache["table"], {}, np.zeros((0, len(languages)))
+        known = Known(cache["table"], scaled)
         for batch in batches:
-            data, offsets = string_buffers(batch.column(1))
             totals, any_word = np.zeros((batch.num_rows, len(languages))), np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                for words in letters(data[offsets[i]:offsets[i + 1]].tobytes()):
-                    new = {w for w in words if w not in known}
-                    if new:
-                        if len(known) > REMEMBERED:
-                            known, scores, new = {}, scores[:0], set(words)
-                        order = sorted(new)
-                        known.update(zip(order, range(len(known), len(known) + len(order))))
-                        scores = np.concatenate([scores, word_scores([w.encode() for w in order], table, scaled)])
-                    if words:
-                        totals[i] += scores[np.fromiter(map(known.__getitem__, words), np.int64, len(words))].sum(0)
-                        any_word[i] = True
+            for rows, words in _some_words(batch.column(1)):
+                first = np.flatnonzero(np.diff(rows, prepend=-1))
+                totals[rows[first]] += np.add.reduceat(known.scores(words), first)
+                any_word[rows[first]] = True
             best = totals.argmax(1) if languages else np.zeros(batch.num_rows, int)
             share = 1 / np.exp(totals - totals.max(1, keepdims=True)).sum(1) if languages else np.zeros(batch.num_rows)
             named = any_word & bool(languages)
