@@ -28,9 +28,9 @@ def shipments(spark: SparkSession, sf_dir: str, start: str = HISTORY_START,
     history, and a B2B order or one paid with a gift certificate. ``shipped_dt``
     is kept for later steps."""
     s = view(spark, sf_dir, "v_shipment").where(between_local("shipped_at", start, as_of[:10], fallback="starts_at"))
-    cert = view(spark, sf_dir, "v_certificate").select("shipment_id").distinct().withColumn("_cert", F.lit(True))
-    return (s.join(cert, "shipment_id", "left").where((F.col("b2b_measure") >= 1) | F.coalesce("_cert", F.lit(False)))
-            .drop("_cert").withColumn("shipped_dt", local_date_or("shipped_at", "starts_at")))
+    cert = view(spark, sf_dir, "v_certificate").select(F.col("shipment_id").alias("certificate_shipment"))
+    return (s.where((F.col("b2b_measure") >= 1) | F.col("shipment_id").isin(cert))
+            .withColumn("shipped_dt", local_date_or("shipped_at", "starts_at")))
 
 
 def managers(spark: SparkSession, sf_dir: str) -> DataFrame:
