@@ -193,7 +193,54 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang", keep: li
     return profiles.withColumn("kept", F.coalesce(verdict, F.lit(False))).select(*keep, *RESULT)
 
 
-@register("op4_quality_rules")
+def _oracle() -> str:
+    """The same in DuckDB, in tables of words, windows and histogram entries."""
+    words = ", ".join(f"'{w}'" for w in COMMON)
+    counts = ", ".join(f"length(t) - length(regexp_replace(t, '[{c}]', '', 'g'))" for c in (x.replace("'", "''") for x in CLASSES))
+    return f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '') AS ws,
+        list_filter(regexp_split_to_array(lower(t), '[^\\p{{L}}]+'), lambda x: x <> '') AS pl,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines, [{counts}] AS c FROM d),
+g AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM g),
+v AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat FROM r, (SELECT unnest([0, 1, 2]) AS j) WHERE n > 1 GROUP BY doc_id),
+b AS (SELECT w.doc_id, lang, cast(len(ws) AS bigint) AS n_words, cast(length(array_to_string(ws, '')) AS bigint) AS word_chars,
+        c[2] AS n_symbols, cast(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words,
+        len(pl) AS total, list_transform(list_append(c, length(t) - list_sum(c)), lambda x: x / length(t)) AS p
+      FROM w LEFT JOIN v ON w.doc_id = v.doc_id),
+s AS (SELECT doc_id, word, count(*) / any_value(total) AS p FROM (SELECT doc_id, len(pl) AS total, unnest(pl) AS word FROM w)
+      WHERE word IN ({words}) GROUP BY doc_id, word),
+k AS (SELECT lang, count(*) AS n FROM b WHERE n_words >= {MIN_WORDS} AND lang IS NOT NULL GROUP BY lang HAVING count(*) >= {MIN_DOCUMENTS}),
+rc AS (SELECT lang, i, avg(x) AS q FROM (SELECT lang, unnest(range(1, {len(CLASSES) + 2})) AS i, unnest(p) AS x FROM b
+       WHERE n_words >= {MIN_WORDS}) JOIN k USING (lang) GROUP BY lang, i),
+rw AS (SELECT b.lang, word, sum(s.p) / any_value(k.n) AS q FROM b JOIN s USING (doc_id) JOIN k ON k.lang = b.lang
+       WHERE n_words >= {MIN_WORDS} GROUP BY b.lang, word),
+ro AS (SELECT k.lang, greatest(0, 1 - coalesce(sum(q), 0)) AS q FROM k LEFT JOIN rw USING (lang) GROUP BY k.lang),
+dc AS (SELECT doc_id, lang, sqrt(greatest(0, sum(CASE WHEN x > 0 THEN x * log2(2 * x / (x + q)) ELSE 0 END
+         + CASE WHEN q > 0 THEN q * log2(2 * q / (x + q)) ELSE 0 END) / 2)) AS far
+       FROM (SELECT doc_id, unnest(range(1, {len(CLASSES) + 2})) AS i, unnest(p) AS x FROM b WHERE n_words >= {MIN_WORDS}) JOIN rc USING (i)
+       GROUP BY doc_id, lang),
+sw AS (SELECT s.doc_id, k.lang, s.p, coalesce(rw.q, 0) AS q FROM s CROSS JOIN k LEFT JOIN rw ON rw.lang = k.lang AND rw.word = s.word),
+tw AS (SELECT doc_id, lang, sum(p * log2(2 * p / (p + q)) + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) AS far,
+         sum(p) AS p, sum(q) AS q FROM sw GROUP BY doc_id, lang),
+aw AS (SELECT b.doc_id, ro.lang, coalesce(far, 0) AS far, greatest(0, 1 - coalesce(tw.p, 0)) AS x, ro.q AS q,
+         greatest(0, 1 - ro.q - coalesce(tw.q, 0)) AS lacks
+       FROM b CROSS JOIN ro LEFT JOIN tw ON tw.doc_id = b.doc_id AND tw.lang = ro.lang WHERE n_words >= {MIN_WORDS}),
+dw AS (SELECT doc_id, lang, sqrt(greatest(0, far + CASE WHEN x > 0 THEN x * log2(2 * x / (x + q)) ELSE 0 END
+         + CASE WHEN q > 0 THEN q * log2(2 * q / (x + q)) ELSE 0 END + lacks) / 2) AS far FROM aw),
+f AS (SELECT b.doc_id, bool_or(dc.far <= {CHAR_LIMIT} + {CHAR_SLACK} / sqrt(n_words)
+         AND (total = 0 OR dw.far <= {WORD_LIMIT} + {WORD_SLACK} / sqrt(n_words))) AS near
+      FROM b JOIN dc USING (doc_id) JOIN dw ON dw.doc_id = b.doc_id AND dw.lang = dc.lang GROUP BY b.doc_id),
+o AS (SELECT b.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        coalesce(near, false) OR (SELECT count(*) FROM k) = 0 OR (b.lang IS NOT NULL AND b.lang NOT IN (SELECT lang FROM k)) AS near
+      FROM b LEFT JOIN f ON f.doc_id = b.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       CASE WHEN base_failed THEN false WHEN n_words < {MIN_WORDS} THEN true ELSE near END AS kept FROM o
+"""
+
+
+@register("op4_quality_rules", _oracle())
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and divergence verdict of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
