@@ -33,9 +33,9 @@ from martlet.session import cut_lineage
 
 #: Words of a window, and of the k-grams whose least one is its anchor.
 LENGTH, GRAM = 13, 4
-#: Bytes of texts unpacked at a time; rows of a window from which it counts as
-#: frequent at the earliest.
-BLOCK, HOT = 2 << 20, 1000
+#: Bytes of texts unpacked at a time; documents of an anchor from which it counts
+#: as frequent at the earliest.
+BLOCK, HOT = 1 << 20, 1000
 #: Rows of an output batch at most.
 ROWS = 1 << 17
 
@@ -143,6 +143,9 @@ def seeded_windows(documents: DataFrame, seeds: list[str], length: int = LENGTH,
     ``seeds`` columns list."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
+            lists = [Listed(c) for c in batch.columns[2:]]
+            some = np.flatnonzero(np.sum([np.diff(x.at) for x in lists], axis=0))
+            batch = batch.take(pa.array(some))  # rows without seeds are not unpacked
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             lists = [Listed(c) for c in batch.columns[2:]]
             for lo, hi, data, offsets in _unpacked(batch.column(1)):
@@ -152,11 +155,14 @@ def seeded_windows(documents: DataFrame, seeds: list[str], length: int = LENGTH,
                 if len(start):
                     take = np.logical_or.reduce([x.holds(lo, hi, row, least) for x in lists])
                     start, row = start[take], row[take]
-                    yield from _emit(ngrams(h, length)[start].view(np.int64), _second(h, length)[start], ids[lo + row],
-                                     names=["h1", "h2", "doc_id"])
+                    h1, h2 = ngrams(h, length)[start], _second(h, length)[start]
+                    order = np.lexsort((h1, row))  # a window once a row, however often it occurs there
+                    row, h1, h2 = row[order], h1[order], h2[order]
+                    new = np.ones(len(row), bool)
+                    new[1:] = (h1[1:] != h1[:-1]) | (row[1:] != row[:-1])
+                    yield from _emit(h1[new].view(np.int64), h2[new], ids[lo + row[new]], names=["h1", "h2", "doc_id"])
 
-    wanted = F.coalesce(*[F.col(c) for c in seeds]).isNotNull()
-    return documents.select("doc_id", "packed", *seeds).filter(wanted).mapInArrow(joined(run), "h1 long, h2 int, doc_id long")
+    return documents.select("doc_id", "packed", *seeds).mapInArrow(joined(run), "h1 long, h2 int, doc_id long")
 
 
 def joined(run):
@@ -220,26 +226,35 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = anchors(docs, length, gram)
     shared = (found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.count("*").alias("n"), F.min("around").alias("a"),
-                                          F.max("around").alias("b")).filter("n > 1").select("anchor", "lo", (F.col("a") != F.col("b")).alias("mixed")))
+                                          F.max("around").alias("b")).filter("n > 1").select("anchor", "lo", "n", (F.col("a") != F.col("b")).alias("mixed")))
     met = found.select("anchor", "doc_id").join(shared, "anchor")
     later = F.col("doc_id") > F.col("lo")
     # An anchor's first document loses nothing around it, but others may lose to it.
-    kinds = {"whole": ~F.col("mixed") & later, "first": F.col("mixed") & ~later, "later": F.col("mixed") & later}
+    limit = max(HOT, docs.count() // 100)
+    kinds = {"whole": ~F.col("mixed") & later, "first": F.col("mixed") & ~later, "later": F.col("mixed") & later,
+             "busy": F.col("mixed") & ~later & (F.col("n") > limit)}
     seeds = met.filter(F.col("mixed") | later).groupBy("doc_id").agg(
         *[F.collect_list(F.when(test, F.col("anchor"))).alias(name) for name, test in kinds.items()])
     seeds = cut_lineage(seeds.select("doc_id", *[F.when(F.size(c) > 0, F.col(c)).alias(c) for c in kinds]), "seeds")
-    texts = packed_texts(docs).join(seeds, "doc_id", "left")
-    everywhere = seeded_windows(texts, ["first", "later"], length, gram)
-    least = everywhere.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.count("*").alias("n"))
-    # Windows of a thousandth of all anchor rows or more are about as many as a
-    # thousand times the windows around an anchor: a bounded table, broadcast.
-    # Their rows need no shuffle by window; they spread over all tasks by doc_id.
-    rows = seeds.agg(F.sum(F.coalesce(F.size("first"), F.lit(0)) + F.coalesce(F.size("later"), F.lit(0)))).first()[0] or 0
-    hot = least.filter(F.col("n") > max(HOT, rows // 1000)).select("h1", "h2", F.col("lo").alias("hot_lo"))
-    met = seeded_windows(texts, ["later"], length, gram).join(F.broadcast(hot), ["h1", "h2"], "left")
-    key = F.when(F.col("hot_lo").isNull(), F.col("h1")).otherwise(F.xxhash64("doc_id", "h1"))
-    least = least.select(F.col("h1").alias("key"), "h2", "lo")
-    met = met.withColumn("key", key).join(least, ["key", "h2"], "left")
+
+    # The joins below read the packed texts in the same form, so that Spark
+    # shuffles them once.
+    texts = cut_lineage(packed_texts(docs), "texts").join(seeds.drop("busy"), "doc_id", "left")
+    everywhere = seeded_windows(texts, ["first", "later"], length, gram).groupBy("h1", "h2")
+    least = everywhere.agg(F.min("doc_id").alias("lo"))
+    met = seeded_windows(texts, ["later"], length, gram)
+    # Windows in more than a hundredth of the documents are a hundred times the
+    # windows of a document at most: a bounded table, broadcast. Rows of such
+    # windows spread over the join's tasks by doc_id. Only anchors as frequent can
+    # have such windows around them.
+    own = F.col("h1")
+    if seeds.filter("busy is not null").limit(1).count():
+        counts = everywhere.agg(F.min("doc_id").alias("hot_lo"), F.count("*").alias("n"))
+        met = met.join(F.broadcast(counts.filter(F.col("n") > limit).drop("n")), ["h1", "h2"], "left")
+        own = F.when(F.col("hot_lo").isNull(), own).otherwise(F.xxhash64("doc_id", "h1"))
+    else:
+        met = met.withColumn("hot_lo", F.lit(None).cast("long"))
+    met = met.withColumn("key", own).join(least.withColumnRenamed("h1", "key"), ["key", "h2"], "left")
     gone = met.filter(F.col("doc_id") > F.coalesce("hot_lo", "lo")).groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))
     return _removed(texts.join(gone, "doc_id", "left"), length, gram)
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one block of rows holds (a longer text is a block of its own).
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Bytes hashed at a time, so that a very long text needs no wide arrays of its size.
 PIECE = 1 << 18
 
