@@ -127,10 +127,12 @@ def test_over_limit_scan_log_order(spark):
     before = pulse.over_limit_ledgers(src, cfg, log_before_gate=True).where(F.col("process_name") == "pulse_b")
     a = {r[0] for r in after.select("shipment_number").collect()}
     b = {r[0] for r in before.select("shipment_number").collect()}
-    assert a < b  # unpaid shipments are only logged when logging precedes the gate
-    unpaid = {r[0] for r in view(spark, SF, "v_shipment")
-              .where(F.col("payment_state").isin("not_paid", "failed")).select("shipment_number").collect()}
-    assert b - a <= unpaid
+    assert a < b  # unpaid and locked shipments are only logged when logging precedes the gate
+    locked = view(spark, SF, "v_locked_order").where(F.col("export_lock_state") == "locked").select("order_id")
+    ship = view(spark, SF, "v_shipment")
+    stopped = (ship.where(~F.col("payment_state").isin("paid", "overpaid")).select("shipment_number")
+               .unionByName(ship.join(locked, "order_id", "left_semi").select("shipment_number")))
+    assert b - a <= {r[0] for r in stopped.collect()}
 
 
 def test_lines_by_order_is_superset(spark):
