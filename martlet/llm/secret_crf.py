@@ -43,6 +43,8 @@ KEYWORDS = (b"password", b"passwd", b"pwd", b"secret", b"token", b"apikey", b"ke
 
 #: Windows of the training sample, with and without matches; bytes on each side.
 SAMPLE, PLAIN, SIDE = 1000, 700, 200
+#: Rows that are searched for windows at first.
+POOL = 50_000
 #: What "outside" gains in every token: the field must be sure.
 MARGIN = 2.0
 STEPS, RATE, DECAY = 100, 0.2, 1e-2
@@ -280,9 +282,12 @@ def _to_points(text: bytes, spans: list[Span]) -> list[Span]:
     return [(int(points[a]), k, int(points[b])) for a, k, b in spans]
 
 
-def _windows_of(documents: DataFrame, fields: list[str]) -> DataFrame:
-    """(hit, draw, window, spans): a window around each match, and one of each
-    text without; spans are flat byte pairs."""
+def _windows_of(documents: DataFrame, fields: list[str], rate: float, plain_rate: float) -> DataFrame:
+    """(hit, draw, window, spans): a window around each match, from the rows
+    whose draw falls into the ``rate``, and one of each text without, from those
+    in the ``plain_rate``; spans are flat byte pairs."""
+    plain_draws = int(plain_rate * (1 << 62))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -293,7 +298,7 @@ def _windows_of(documents: DataFrame, fields: list[str]) -> DataFrame:
                     lo, hi = max(0, a - SIDE), min(len(text), b + SIDE)
                     inside = [max(0, v - lo) for s, _, e in spans if lo <= s and e <= hi for v in (s, e)]
                     rows.append((True, draw + a, text[lo:hi], inside))
-                if not spans and text:
+                if not spans and text and draw < plain_draws:
                     lo = draw % max(1, len(text) - 2 * SIDE)
                     rows.append((False, draw, text[lo:lo + 2 * SIDE], []))
             cols = list(zip(*rows)) or [(), (), (), ()]
@@ -302,6 +307,7 @@ def _windows_of(documents: DataFrame, fields: list[str]) -> DataFrame:
 
     draw = F.xxhash64(*fields, F.lit("crf")).bitwiseAND((1 << 62) - 1)
     df = documents.select(draw.alias("draw"), F.col("text").cast("binary").alias("text"))
+    df = df.filter(F.col("draw") < int(rate * (1 << 62)))
     return df.mapInArrow(run, "hit boolean, draw long, window binary, spans array<int>")
 
 
@@ -312,11 +318,19 @@ def _secret_part(window: bytes, a: int, b: int) -> tuple[int, int]:
 
 def train(documents: DataFrame, fields: list[str], sample: int = SAMPLE, plain: int = PLAIN) -> Field | None:
     """Field learnt from at most ``sample`` windows around matches and ``plain``
-    windows without (those of least draw, so that reruns agree)."""
-    windows = _windows_of(documents, fields)
-    rows = []
-    for hit, n in ((True, sample), (False, plain)):
-        rows += windows.filter(F.col("hit") == hit).orderBy("draw", "window").limit(n).collect()
+    windows without: those of least draw, so that reruns agree. About ``POOL``
+    rows are searched first, and eight times as many as long as they hold less
+    than half of the sample, so that what the tasks send stays bounded."""
+    n_rows = max(1, documents.count())
+    rate = min(1.0, POOL / n_rows)
+    while True:
+        windows = _windows_of(documents, fields, rate, min(1.0, 4 * plain / n_rows))
+        hits, others = (windows.filter(F.col("hit") == hit).orderBy("draw", "window").limit(n).collect()
+                        for hit, n in ((True, sample), (False, plain)))
+        if rate == 1 or len(hits) >= sample // 2:
+            break
+        rate = min(1.0, 8 * rate)
+    rows = hits + others
     texts = [bytes(r["window"]) for r in rows]
     known = [(t, [_secret_part(t, *p) for p in zip(r["spans"][::2], r["spans"][1::2])]) for t, r in zip(texts, rows)]
     return fit(known + [_restyled(t, spans, i) for i, (t, spans) in enumerate(known) if spans])
