@@ -47,6 +47,15 @@ class TestQualityRules:
         kept = {r["doc_id"]: r["kept"] for r in profile_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
         assert all(kept[i] for i in range(60)) and not any(kept[i] for i in range(60, 63))
 
+    def test_tables_go_and_clean_text_stays(self, spark):
+        """Labelled rows of another table than the one that gave the limits."""
+        sf = SF.replace("0.001", "0.01")
+        got = profile_rules.op4_quality_rules(spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
+        got = got[~got.base_failed].merge(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").toPandas(), on="doc_id")
+        tables = got[(got.quality == 0) & got.text.str.contains(" | ", regex=False)]
+        assert len(tables) >= 5 and tables.kept.mean() <= 0.25  # 2 of 12; most of them were kept once
+        assert got[got.quality == 1].kept.mean() >= 0.99
+
     def test_odd_inputs(self, odd, empty):
         rows = profile_rules.judge(odd).collect()
         assert len(rows) == 9 and all(r["kept"] is False for r in rows if r["n_words"] < 50)
