@@ -10,14 +10,18 @@ references (a row per language) reach the driver, and they return as literals.
 
 Defined results: null or blank text has no words and fails the base rules; a
 text below ``min_words`` is never judged by divergence; languages with fewer
-than ``min_documents`` texts of that length give no reference, and their texts
-are not judged by divergence either; equal rows get equal results; other input
+than ``min_documents`` texts of that length give no reference, nor do those with
+little support whose texts mostly lie far from every well-supported language by
+their classes (all letters as one); texts of a language without a reference are held against the others by
+their classes alone, all letters as one, since another language's common words say
+nothing; with no reference at all nothing is judged by divergence; equal rows get equal results; other input
 columns pass through, those named like a result column are replaced.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -41,6 +45,10 @@ RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 MIN_WORDS, MIN_DOCUMENTS = 50, 5
 # The word limits follow clean text: chosen on one half of sf0.1's labels, held against the other.
 CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.15, 1.0, 0.06, 2.2
+# Texts that support a language whatever its neighbours (or that share of the most frequent one's);
+# farthest median of the other references' texts; limit of texts whose language has no reference.
+SOLID, SOLID_SHARE, FAR_LIMIT, OTHER_LIMIT = 20, 0.1, 0.12, 0.10
+OTHER_SCRIPTS = 5  # place of the letters beyond ASCII in CLASSES
 
 
 def _count_of(text: Column, chars: str) -> Column:
@@ -127,7 +135,9 @@ def measured(documents: DataFrame, text: str = "text", keep: list[str] | None =
 def references(profiles: DataFrame, lang: str = "lang", min_words: int = MIN_WORDS,
                min_documents: int = MIN_DOCUMENTS) -> dict[str, tuple[list[float], list[float]]]:
     """Mean histograms (character classes, common words) of each language, from
-    every text of ``min_words`` or more. A row per language is collected."""
+    every text of ``min_words`` or more. A row per language is collected. Texts
+    that pass the base rules support a language; where they are few, half of them
+    must lie near a language of many."""
     k = len(CLASSES) + 1
     use = profiles.filter((F.col("n_words") >= min_words) & F.col(lang).isNotNull())
     size = sum(F.get("_chars", F.lit(i)) for i in range(k))
@@ -136,7 +146,7 @@ def references(profiles: DataFrame, lang: str = "lang", min_words: int = MIN_WOR
         return F.struct(i.cast("int").alias("i"), share.cast("double").alias("share"))
 
     entries = F.concat(
-        F.array(entry(F.lit(-1), F.lit(1.0))),
+        F.array(entry(F.lit(-1), F.lit(1.0)), entry(F.lit(-2), (~F.col("base_failed")).cast("double"))),
         F.transform("_chars", lambda c, i: entry(i, c / size)),
         F.transform(F.arrays_zip(F.col("_cats").alias("c"), F.col("_freq").alias("f")),
                     lambda x: entry(x["c"] - 1 + k, x["f"] / F.col("_total"))))
@@ -151,9 +161,23 @@ def references(profiles: DataFrame, lang: str = "lang", min_words: int = MIN_WOR
         if x[-1] >= min_documents:
             w = [x.get(k + i, 0.0) / x[-1] for i in range(len(COMMON))]
             out[name] = ([x.get(i, 0.0) / x[-1] for i in range(k)], [*w, max(0.0, 1 - sum(w))])
+    most = max((sums[name][-2] for name in out), default=0)
+    solid = [name for name in out if sums[name][-2] >= min(most, max(SOLID, SOLID_SHARE * most))]
+    weak = [name for name in out if name not in solid]
+    if weak:  # a row per language again
+        far = F.array_min(F.array(*[_char_distance(out[name][0], _one_alphabet) for name in solid]))
+        medians = (use.filter(F.col(lang).isin(*weak) & ~F.col("base_failed")).groupBy(F.col(lang).alias("lang"))
+                   .agg(F.percentile_approx(far, 0.5).alias("far")).collect())
+        near = {r["lang"] for r in medians if r["far"] <= FAR_LIMIT}
+        out = {name: ref for name, ref in out.items() if name in solid or name in near}
     return out
 
 
+def _one_alphabet(classes: list) -> list:
+    """Class values with the letters of all scripts as one class."""
+    return [*classes[:OTHER_SCRIPTS], *classes[OTHER_SCRIPTS + 1:-1], classes[OTHER_SCRIPTS] + classes[-1]]
+
+
 def _term(p: Column, q: Column) -> Column:
     """Twice a category's share of the squared distance."""
     def part(x):
@@ -161,9 +185,10 @@ def _term(p: Column, q: Column) -> Column:
     return part(p) + part(q)
 
 
-def _char_distance(ref: list[float]) -> Column:
-    size = sum(F.get("_chars", F.lit(i)) for i in range(len(ref)))
-    return F.sqrt(F.greatest(F.lit(0.0), sum(_term(F.get("_chars", F.lit(i)) / size, F.lit(q)) for i, q in enumerate(ref)) / 2))
+def _char_distance(ref: list[float], fold: Callable[[list], list] = list) -> Column:
+    counts = [F.get("_chars", F.lit(i)) for i in range(len(ref))]
+    size = sum(counts)
+    return F.sqrt(F.greatest(F.lit(0.0), sum(_term(n / size, F.lit(q)) for n, q in zip(fold(counts), fold(ref))) / 2))
 
 
 def _word_distance(ref: list[float]) -> Column:
@@ -189,7 +214,9 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang", keep: li
     fits = [(_char_distance(c) <= CHAR_LIMIT + CHAR_SLACK * slack) & (
         (F.col("_total") == 0) | (_word_distance(w) <= WORD_LIMIT + WORD_SLACK * slack)) for c, w in refs.values()]
     near = functools.reduce(Column.__or__, fits) if fits else F.lit(True)
-    near = near | (F.col(lang).isNotNull() & ~F.col(lang).isin(*refs))  # its own language has no reference
+    if refs:  # texts whose own language has no reference
+        others = [_char_distance(c, _one_alphabet) <= OTHER_LIMIT + CHAR_SLACK * slack for c, _ in refs.values()]
+        near = near | (F.col(lang).isNotNull() & ~F.col(lang).isin(*refs) & functools.reduce(Column.__or__, others))
     verdict = F.when(F.col("base_failed"), False).when(F.col("n_words") < min_words, True).otherwise(near)
     return profiles.withColumn("kept", F.coalesce(verdict, F.lit(False))).select(*keep, *RESULT)
 

@@ -47,6 +47,23 @@ class TestQualityRules:
         kept = {r["doc_id"]: r["kept"] for r in profile_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
         assert all(kept[i] for i in range(60)) and not any(kept[i] for i in range(60, 63))
 
+    def test_stray_languages_admit_no_junk(self, spark):
+        """Junk under a label of its own neither vouches for junk elsewhere nor passes unjudged."""
+        rng = np.random.default_rng(6)
+        syllables = "an er on re he in ed nd ha at en es of or nt ea ti to it st".split()
+
+        def words(mark="", script=str):
+            return " ".join(script("".join(rng.choice(syllables, rng.integers(1, 5)))) + mark for _ in range(200)).capitalize() + "."
+
+        cyrillic = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстуввхыз")
+        rows = [("en", words()) for _ in range(60)] + [("ru", words(script=lambda x: x.translate(cyrillic))) for _ in range(3)]
+        rows += [("fi", words()) for _ in range(6)]
+        good = len(rows)
+        rows += [("und", words("###")) for _ in range(12)] + [("xx", words("###")) for _ in range(3)] + [("en", words("###")), (None, words("###"))]
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+        kept = {r["doc_id"]: r["kept"] for r in profile_rules.judge(df).collect()}
+        assert all(kept[i] for i in range(good)) and not any(kept[i] for i in range(good, len(rows)))
+
     def test_tables_go_and_clean_text_stays(self, spark):
         """Labelled rows of another table than the one that gave the limits."""
         sf = SF.replace("0.001", "0.01")
