@@ -1,17 +1,19 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 Items and documents are normalised alike (lower case, letters and digits, single
-spaces). An item is cut into overlapping segments; a segment of length m with up
-to e edits in a document still shares at least m - q + 1 - q*e of its q-grams
-with it, all near one diagonal. So the shared q-grams are counted in diagonal
+spaces), and measured in characters. An item is cut into overlapping segments; a
+segment of length m with up to e edits in a document still shares at least
+m - q + 1 - q*e of its q-grams with it, all near one diagonal. So the shared q-grams are counted in diagonal
 bands that overlap by e, and bands that reach the bound are verified by banded
 alignment. Documents that hold a segment of an item within its edit budget are
-reported with the item.
+reported with the item. Segments start every e + 1 characters, so what a passage
+lacks of one at its ends is paid as edits: a verbatim passage of m - e characters
+(60, fewer in scripts of several bytes a letter) is found wherever it begins.
 
 The benchmark is the stated query set: it is taken in blocks of bounded size,
 each held against all documents (one pass a block). Defined results: null or
 empty texts hold nothing; items of fewer normalised bytes than a q-gram are too
-short to tell and never match; rows without item_id or text are no items; rows
+short to tell and never match, those of fewer characters must match exactly; rows without item_id or text are no items; rows
 that repeat an item_id are one item; a repeated document row repeats its pairs;
 an empty table gives an empty result.
 """
@@ -28,9 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martlet.llm.registry import read_table, register
 from martlet.llm.words import mix, string_buffers
 
-#: Characters of a q-gram; bytes of a segment and between their starts; edits of
-#: a segment's bytes; width of a diagonal band without its overlap.
-GRAM, SEGMENT, STEP, EDITS, BAND = 10, 64, 32, 0.075, 16
+#: Characters of a q-gram and of a segment; edits of a segment's characters;
+#: width of a diagonal band without its overlap.
+GRAM, SEGMENT, EDITS, BAND = 10, 64, 0.075, 16
+#: Parts in which the segments are counted, since many lie over one another.
+TURNS = 4
 #: Bytes of item texts in a block, and of document texts searched at a time.
 BLOCK, PART = 1 << 20, 1 << 20
 SLOTS = 22  # bits of the table that drops most q-grams of no item
@@ -45,8 +49,13 @@ def normalised(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_SPACED).split())
 
 
+def characters(text: bytes) -> np.ndarray:
+    """Code points of a normalised text."""
+    return np.frombuffer(text, np.uint8) if text.isascii() else np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+
+
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """Hashes of the q-grams at every byte."""
+    """Hashes of the q-grams at every character."""
     n = len(data) - gram + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -63,7 +72,8 @@ class Index(NamedTuple):
 
     text: np.ndarray      # normalised items, each behind GRAM line feeds
     items: np.ndarray     # item_id of each segment
-    starts: np.ndarray    # first byte of each segment
+    turns: np.ndarray     # part in which the segment is counted
+    starts: np.ndarray    # first character of each segment
     lengths: np.ndarray
     edits: np.ndarray
     needed: np.ndarray    # shared q-grams that the lemma asks for
@@ -71,39 +81,50 @@ class Index(NamedTuple):
     places: np.ndarray
     table: np.ndarray     # whether any q-gram has these upper bits
     least: int            # fewest shared q-grams that any segment asks for
+    overlap: int          # most segments over one place
+    short: dict[int, list[tuple[int, np.ndarray]]]  # items of fewer characters than a q-gram, by length
 
 
 def build_index(items: list[tuple[int, str]], gram: int = GRAM) -> Index | None:
     """Index of the items; None if all are too short."""
-    gap, parts, segments, at = b"\n" * gram, [], [], 0
+    gap, parts, segments, short, at = np.full(gram, 10, np.uint8), [], [], {}, 0
     for item, text in items:
-        body = normalised(text)
+        raw = normalised(text)
+        if len(raw) < gram:
+            continue
+        body = characters(raw)
         if len(body) < gram:
+            short.setdefault(len(body), []).append((item, body))
             continue
         at += gram
         parts += [gap, body]
-        last = max(0, len(body) - SEGMENT)
-        for lo in sorted({*range(0, last, STEP), last}):
-            m = min(SEGMENT, len(body))
+        sizes = {SEGMENT}
+        if 2 * len(raw) >= 3 * len(body):  # letters of several bytes say more: as many as fill a segment's bytes
+            sizes.add(max(gram, SEGMENT * len(body) // len(raw)))
+        for m in sorted({min(x, len(body)) for x in sizes}):
             e = min(int(EDITS * m), (m - gram) // gram)
-            segments.append((item, at + lo, m, e, m - gram + 1 - gram * e))
+            last = len(body) - m
+            for i, lo in enumerate(sorted({*range(0, last, e + 1), last})):
+                segments.append((item, i % TURNS, at + lo, m, e, m - gram + 1 - gram * e))
         at += len(body)
-    if not segments:
+    if not segments and not short:
         return None
-    text = np.frombuffer(b"".join([*parts, gap]), np.uint8)
+    text = np.concatenate([*parts, gap])
     hashes = gram_hashes(text, gram)
-    cols = [np.array(c) for c in zip(*segments)]
-    inside = np.zeros(len(text), bool)
-    for lo, m in zip(cols[1], cols[2]):
-        inside[lo:lo + m - gram + 1] = True
-    places = np.flatnonzero(inside[:len(hashes)])
+    cols = [np.array(c, np.int64) for c in zip(*segments)] or [np.zeros(0, np.int64)] * 6
+    places = np.flatnonzero(text != 10)  # gaps alone hold line feeds
+    places = places[places + gram <= len(text)]
+    places = places[text[places + gram - 1] != 10]
     order = np.argsort(hashes[places], kind="stable")
     places = places[order]
     hashes = hashes[places]
     table = np.zeros(1 << SLOTS, bool)
     table[(hashes >> np.uint64(64 - SLOTS)).astype(np.int64)] = True
-    order = np.argsort(cols[1], kind="stable")
-    return Index(text, *[c[order] for c in cols], hashes, places, table, int(cols[4].min()))
+    order = np.argsort(cols[2], kind="stable")
+    cols = [c[order] for c in cols]
+    before = np.searchsorted(cols[2], cols[2] - (SEGMENT - gram), "left")
+    overlap = int((np.arange(len(before)) - before).max(initial=0)) + 1
+    return Index(text, *cols, hashes, places, table, int(cols[5].min(initial=SEGMENT)), overlap, short)
 
 
 def banded_edits(pattern: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -> int:
@@ -127,7 +148,7 @@ def banded_edits(pattern: np.ndarray, text: np.ndarray, low: int, high: int, lim
 
 
 def _dense(hits: np.ndarray, least: int, reach: int) -> np.ndarray:
-    """Hits that lie in some stretch of ``reach`` bytes with ``least`` hits."""
+    """Hits that lie in some stretch of ``reach`` characters with ``least`` hits."""
     if len(hits) < least:
         return hits[:0]
     ok = np.flatnonzero(hits[least - 1:] - hits[:len(hits) - least + 1] <= reach)
@@ -139,7 +160,7 @@ def _dense(hits: np.ndarray, least: int, reach: int) -> np.ndarray:
 
 def leaks(index: Index, data: np.ndarray, edges: np.ndarray) -> list[tuple[int, int, int]]:
     """(row, item, edits) of the rows that hold a segment of an item. ``data``:
-    normalised texts, each with GRAM line feeds behind; ``edges``: their starts."""
+    characters of normalised texts, each with GRAM line feeds behind; ``edges``: their starts."""
     hashes = gram_hashes(data)
     hits = np.flatnonzero(index.table[(hashes >> np.uint64(64 - SLOTS)).astype(np.int64)])
     reach = SEGMENT + int(EDITS * SEGMENT)
@@ -159,22 +180,46 @@ def leaks(index: Index, data: np.ndarray, edges: np.ndarray) -> list[tuple[int,
             end = int(np.searchsorted(row, row[end - 1], "left"))
             if end <= first:
                 end = int(np.searchsorted(row, row[first], "right"))
-        _pairs(index, data, edges, hits[first:end], lo[first:end], n[first:end], row[first:end], out)
+        for turn in range(TURNS):
+            _pairs(index, turn, data, edges, hits[first:end], lo[first:end], n[first:end], row[first:end], out)
         first = end
+    for length, items in index.short.items():
+        _short(length, items, data, edges, out)
     return [(r, i, e) for (r, i), e in sorted(out.items())]
 
 
-def _pairs(index: Index, data, edges, hits, lo, n, row, out) -> None:
-    """Counts the shared q-grams of each row, segment and band, and verifies."""
+def _short(length: int, items: list[tuple[int, np.ndarray]], data, edges, out) -> None:
+    """Exact matches of items of ``length`` characters."""
+    hashes = gram_hashes(data, length)
+    wanted = np.concatenate([gram_hashes(body, length) for _, body in items])
+    places = np.flatnonzero(np.isin(hashes, wanted))
+    for item, body in items if len(places) else ():
+        at = places[hashes[places] == gram_hashes(body, length)[0]]
+        at = at[(data[at[:, None] + np.arange(length)] == body).all(axis=1)]
+        for r in np.unique(np.searchsorted(edges, at, "right") - 1):
+            out[int(r), item] = 0
+
+
+def _pairs(index: Index, turn: int, data, edges, hits, lo, n, row, out) -> None:
+    """Counts the shared q-grams of each row, segment of this turn and band, and
+    verifies; pairs of a row and an item that were found before are left out."""
+    if not len(hits):
+        return
     at = np.repeat(np.arange(len(hits)), n)
     place = index.places[np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
-    # A place lies in the last segment that starts there or before, and maybe in the one ahead of it.
+    # A place lies in the last segment that starts there or before, and maybe in some ahead of it.
     last = np.searchsorted(index.starts, place, "right") - 1
+    if turn and out:
+        names, owner = np.unique(index.items, return_inverse=True)
+        spot = np.searchsorted(names, [i for _, i in out])
+        known = [r * len(names) + int(s) for (r, _), s in zip(out, spot)]
+        new = ~np.isin(row[at] * len(names) + owner[last], known)
+        at, place, last = at[new], place[new], last[new]
     cases = []
-    for back in (0, 1, 2):
+    for back in range(index.overlap):
         seg = last - back
         ok = seg >= 0
-        ok[ok] &= place[ok] + GRAM <= index.starts[seg[ok]] + index.lengths[seg[ok]]
+        ok[ok] &= (index.turns[seg[ok]] == turn) & (place[ok] + GRAM <= index.starts[seg[ok]] + index.lengths[seg[ok]])
         diagonal = hits[at[ok]] - place[ok] + len(index.text)
         seg, hit = seg[ok], at[ok]
         band = diagonal // BAND
@@ -208,8 +253,9 @@ def _leaks_of(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int]]:
     while first < len(column):
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PART, "right")) - 1)
         texts = [normalised(data[offsets[i]:offsets[i + 1]].tobytes().decode()) + gap for i in range(first, end)]
+        texts = [characters(x) for x in texts]
         edges = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
-        for r, item, edits in leaks(index, np.frombuffer(b"".join(texts), np.uint8), edges):
+        for r, item, edits in leaks(index, np.concatenate(texts), edges):
             yield first + r, item, edits
         first = end
 

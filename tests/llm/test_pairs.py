@@ -130,6 +130,30 @@ class TestDecontamination:
             found = list(decontam._leaks_of(index, pa.array([doc])))
             assert bool(found) == (row.min() <= limit)
 
+    def test_every_alignment_of_a_passage(self):
+        """A passage of the least length is found wherever it begins, in any script."""
+        import pyarrow as pa
+
+        cyrillic = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстуввхыз")
+        for item, least in ((self.ITEM, 60), (self.ITEM.lower().translate(cyrillic), 36)):
+            body = decontam.normalised(item + " " + item[::-1]).decode()
+            index = decontam.build_index([(7, body)])
+            docs = [f"qq {body[i:i + least]} zz" for i in range(len(body) - least + 1)]
+            found = {r for r, _, _ in decontam._leaks_of(index, pa.array(docs))}
+            assert found == set(range(len(docs)))
+
+    def test_letters_of_several_bytes(self):
+        """Edits count in characters, and few characters of many bytes still match exactly."""
+        import pyarrow as pa
+
+        body = decontam.normalised("Назовите столицу северной провинции и объясните как речная торговля изменила город").decode()
+        edited = list(body[:64])
+        for i in (10, 30, 50):
+            edited[i] = "日"
+        index = decontam.build_index([(1, body[:64]), (2, "東京大学物理")])
+        docs = ["xyz " + "".join(edited) + " xyz", "ab 東京大学物理 cd", "ab 東京大学 cd"]
+        assert [(r, i) for r, i, _ in decontam._leaks_of(index, pa.array(docs))] == [(0, 1), (1, 2)]
+
     def test_query_against_word_windows(self, spark, texts):
         bench = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas()
         want = {(d, i) for d, t in zip(texts.doc_id, texts.text) for i, x in zip(bench.item_id, bench.text)
