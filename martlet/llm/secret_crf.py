@@ -269,8 +269,16 @@ def field_spans(tokens: Tokens, tags: np.ndarray, row: int, at: int) -> list[tup
 
 
 def merged(base: list[Span], found: list[tuple[int, int]]) -> list[Span]:
-    """Base spans, and those of ``found`` that meet none of them."""
-    extra = [(a, 3, b) for a, b in found if not any(s < b and a < e for s, _, e in base)]
+    """Base spans, and the parts of ``found`` that lie in none of them."""
+    extra = []
+    for a, b in found:
+        for s, _, e in sorted(base):
+            if s < b and a < e:
+                if a < s:
+                    extra.append((a, 3, s))
+                a = max(a, e)
+        if a < b:
+            extra.append((a, 3, b))
     return sorted(base + extra)
 
 
