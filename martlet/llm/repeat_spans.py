@@ -1,13 +1,13 @@
-"""Substring dedup by seed and extend.
+"""Substring dedup by seeds and the windows around them.
 
 Seeds are winnowed anchors: of the word k-grams in every window of ``length``
 words the one with the least hash, so that equal windows have equal anchors.
 Anchors that several documents share are the seeds; documents join on them.
-Around each shared seed the match is extended both ways, to all windows whose
-anchor it is. Where the windows around a seed are the same set in every document
+Instead of extending a match word by word, all windows whose anchor a shared seed
+is are listed: a match is the union of its windows. Where the windows around a seed are the same set in every document
 that has it, they are whole repeats; else the windows themselves are held
 against each other, by 96 bits of hash over their words. What a smaller doc_id
-holds too is removed; neighbouring windows merge into the maximal repeats.
+holds too is removed: the union of the windows found.
 
 Both joins meet pre-aggregated sides (an anchor's or window's least doc_id), so
 a passage of a third of all documents adds one row a document, never pairs of
