@@ -270,18 +270,38 @@ def field_spans(tokens: Tokens, tags: np.ndarray, row: int, at: int) -> list[tup
 
 def merged(base: list[Span], found: list[tuple[int, int]]) -> list[Span]:
     """Base spans, and the parts of ``found`` that lie in none of them."""
-    extra = []
-    for a, b in found:
-        for s, _, e in sorted(base):
-            if s < b and a < e:
-                if a < s:
-                    extra.append((a, 3, s))
-                a = max(a, e)
+    cover: list[list[int]] = []  # the base spans as stretches apart from each other
+    for s, _, e in sorted(base):
+        if cover and s <= cover[-1][1]:
+            cover[-1][1] = max(cover[-1][1], e)
+        else:
+            cover.append([s, e])
+    extra, first = [], 0
+    for a, b in sorted(found):
+        while first < len(cover) and cover[first][1] <= a:
+            first += 1
+        at = first
+        while at < len(cover) and cover[at][0] < b:
+            if a < cover[at][0]:
+                extra.append((a, 3, cover[at][0]))
+            a = max(a, cover[at][1])
+            at += 1
         if a < b:
             extra.append((a, 3, b))
     return sorted(base + extra)
 
 
+def redacted(text: bytes, spans: list[Span], mark: bytes) -> bytes:
+    """``text`` with every stretch of spans (in order) that overlap or touch
+    replaced by ``mark``."""
+    parts, at, reach = [], 0, -1
+    for a, _, b in spans:
+        if a > reach:
+            parts += [text[at:a], mark]
+        reach = at = max(reach, b)
+    return b"".join([*parts, text[at:]])
+
+
 def _to_points(text: bytes, spans: list[Span]) -> list[Span]:
     """Byte offsets as code points."""
     if not spans or text.isascii():
@@ -364,48 +384,56 @@ def _restyled(text: bytes, spans: list[tuple[int, int]], number: int) -> tuple[b
     return text[:a] + raw + text[b:], [(a, a + len(raw)), *rest]
 
 
+def _spans_of(column: pa.Array, field: Field | None, margin: float) -> Iterator[tuple[bytes, list[Span]]]:
+    """(text, its spans in bytes) of each row."""
+    for _, _, data, offsets in blocks(column):
+        if field:
+            tokens = tokenise(data, offsets)
+            scores = field.scores(tokens.groups)
+            scores[:, OUT] += margin
+            tags = decode(scores, tokens.first, field.moves)
+        for r in range(len(offsets) - 1):
+            raw = data[offsets[r]:offsets[r + 1]].tobytes()
+            yield raw, merged(base_spans(raw), field_spans(tokens, tags, r, int(offsets[r])) if field else [])
+
+
+def _trained(docs: DataFrame, text: str, fields: tuple[str, ...], sample: int, plain: int) -> Field | None:
+    return train(docs.select(*dict.fromkeys(fields), F.col(text).alias("text")), list(fields), sample, plain)
+
+
 def scan(documents: DataFrame, text: str = "text", fields: tuple[str, ...] = ("doc_id",), sample: int = SAMPLE,
          plain: int = PLAIN, margin: float = MARGIN) -> DataFrame:
     """``documents`` with ``spans``: arrays of (start, kind, end)."""
     names = [c for c in documents.columns if c != "spans"]
     docs = documents.select(*names)
-    field = train(docs.select(*dict.fromkeys(fields), F.col(text).alias("text")), list(fields), sample, plain)
+    field = _trained(docs, text, fields, sample, plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
         for batch in batches:
-            out = []
-            for _, _, data, offsets in blocks(batch.column(names.index(text))):
-                if field:
-                    tokens = tokenise(data, offsets)
-                    scores = field.scores(tokens.groups)
-                    scores[:, OUT] += margin
-                    tags = decode(scores, tokens.first, field.moves)
-                for r in range(len(offsets) - 1):
-                    raw = data[offsets[r]:offsets[r + 1]].tobytes()
-                    spans = merged(base_spans(raw), field_spans(tokens, tags, r, int(offsets[r])) if field else [])
-                    out.append([{"start": a, "kind": KINDS[k], "end": b} for a, k, b in _to_points(raw, spans)])
+            out = [[{"start": a, "kind": KINDS[k], "end": b} for a, k, b in _to_points(raw, spans)]
+                   for raw, spans in _spans_of(batch.column(names.index(text)), field, margin)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*names, "spans"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("spans", SPANS)]))
 
 
-def redact(documents: DataFrame, text: str = "text", mark: str = "[SECRET]", fields: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``documents`` with every span (overlapping ones as one) replaced by ``mark``."""
-    columns = documents.columns
-    found = scan(documents.drop("spans"), text, fields)
-    start, end = F.col("spans.start"), F.col("spans.end")
-    # A span opens a stretch if none before it reaches it; the stretch ends where its last span does.
-    reach = F.transform("spans", lambda s, i: F.array_max(F.concat(F.array(F.lit(-1)), F.slice(end, 1, F.greatest(i, F.lit(0))))))
-    df = found.withColumn("_opens", F.filter(F.transform(start, lambda s, i: F.when(s > F.get(reach, i), s)), lambda s: s.isNotNull()))
-    ends = F.transform("_opens", lambda s, i: F.array_max(F.transform(F.filter(
-        "spans", lambda x: F.coalesce(x["start"] < F.get("_opens", i + 1), F.lit(True))), lambda x: x["end"])))
-    df = df.withColumn("_ends", ends)
-    parts = F.transform("_opens", lambda s, i: F.concat(
-        F.substring(F.col(text), F.coalesce(F.get("_ends", i - 1), F.lit(0)) + 1, s - F.coalesce(F.get("_ends", i - 1), F.lit(0))), F.lit(mark)))
-    rest = F.substring(F.col(text), F.element_at("_ends", -1) + 1, F.char_length(text))
-    new = F.when(F.size("spans") > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(F.col(text))
-    return df.withColumn(text, new).select(*columns)
+def redact(documents: DataFrame, text: str = "text", mark: str = "[SECRET]", fields: tuple[str, ...] = ("doc_id",),
+           sample: int = SAMPLE, plain: int = PLAIN, margin: float = MARGIN) -> DataFrame:
+    """``documents`` with every span (overlapping or touching ones as one)
+    replaced by ``mark``, in the pass that finds them. Null texts stay null."""
+    at = documents.columns.index(text)
+    field = _trained(documents, text, fields, sample, plain)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(at)
+            out = [redacted(raw, spans, mark.encode()) if ok else None
+                   for ok, (raw, spans) in zip(column.is_valid().to_pylist(), _spans_of(column, field, margin))]
+            columns = [*batch.columns[:at], pa.array(out, pa.binary()).cast(pa.string()), *batch.columns[at + 1:]]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return documents.mapInArrow(run, documents.select("*").schema)
 
 
 @register("op8_secret_scans")
