@@ -15,13 +15,13 @@ equal rows get equal results; extra columns are not read.
 from __future__ import annotations
 
 import base64
-import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martlet.llm.gbt_quality import held_out
@@ -37,7 +37,7 @@ LINEAR = 64
 #: Scored words that a task remembers.
 REMEMBERED = 300_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _SCALE = 24.0  # per byte, keeps the sums of ordinary words near 1
 
 
