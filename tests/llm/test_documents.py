@@ -1,12 +1,15 @@
 """Per-document operators: brute force, held-out accuracy and odd inputs."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martlet.llm import (bpe_counts, entropy_mix, gbt_quality, piece_language, profile_rules, repeat_spans, secret_crf, url_rules)
 
@@ -222,6 +225,13 @@ class TestClassifiers:
                 ways.append(sum(ways[i] * probs[number[word[i:j]]] for i in range(max(0, j - piece_language.LONGEST), j) if word[i:j] in number))
             assert np.allclose(value, np.log(ways[-1]))
 
+    def test_digits_like_letters_are_no_letters(self, spark, texts):
+        odd = ["²³", "½ ¼", "Ⅷ ⅳ", "12 34", "_ _"]
+        rows = [(int(i), t, g) for i, t, g in zip(texts.doc_id, texts.text, texts.lang)] + [(10**9 + i, t, None) for i, t in enumerate(odd)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        got = piece_language.predict(docs, piece_language.learn(docs)).filter("doc_id >= 1000000000")
+        assert {r["lang_pred"] for r in got.collect()} == {"und"}
+
     def test_language_odd_inputs(self, odd, empty):
         model = piece_language.learn(odd)
         got = {r["doc_id"]: r for r in piece_language.predict(odd, model).collect()}
@@ -289,28 +299,75 @@ class TestSecrets:
         got = {r["doc_id"]: r["text"] for r in secret_crf.redact(df).collect()}
         assert got == {1: "é [SECRET]\" ñ [SECRET].", 2: "nothing", 3: None}
 
+    def test_many_spans_in_a_text(self, spark):
+        """Time follows the spans: ten thousand in a text are replaced at once."""
+        words = [f"{i:016x}" for i in range(10_000)]
+        df = spark.createDataFrame([(1, " é ".join(words), "s"), (2, None, "s")], "doc_id long, text string, spans string")
+        began = time.time()
+        got = {r["doc_id"]: (r["text"], r["spans"]) for r in secret_crf.redact(df).collect()}
+        assert got == {1: (" é ".join(["[SECRET]"] * 10_000), "s"), 2: (None, "s")} and time.time() - began < 60
+
+    def test_merging_is_a_sweep(self):
+        """Equal to holding every found span against every base span; and quick."""
+        rng = random.Random(4)
+        for _ in range(200):
+            base = [(a, rng.randint(0, 2), a + rng.randint(1, 30)) for a in (rng.randint(0, 200) for _ in range(rng.randint(0, 12)))]
+            edges = sorted(rng.sample(range(240), 2 * rng.randint(0, 15)))
+            found = list(zip(edges[::2], edges[1::2]))
+            inside = {x for a, _, b in base for x in range(a, b)}
+            left = [x for a, b in found for x in range(a, b) if x not in inside]
+            got = [(a, b) for a, k, b in secret_crf.merged(base, found) if k == 3]
+            assert sorted(x for a, b in got for x in range(a, b)) == left
+            assert sorted(secret_crf.merged(base, found)) == secret_crf.merged(base, found) and set(base) <= set(secret_crf.merged(base, found))
+        many = [(10 * i, 2, 10 * i + 16) for i in range(20_000)]
+        began = time.time()
+        secret_crf.merged(many, [(10 * i + 3, 10 * i + 9) for i in range(20_000)])
+        assert time.time() - began < 5
+
+    def test_overlapping_and_touching_spans_are_one(self):
+        assert secret_crf.redacted(b"0123456789", [(0, 0, 2), (1, 1, 3), (3, 2, 4), (6, 3, 7)], b"#") == b"#45#789"
+        assert secret_crf.redacted(b"", [], b"#") == b"" and secret_crf.redacted(b"ab", [(0, 0, 2)], b"#") == b"#"
+
 
 class TestUrls:
     def test_rules(self, spark):
         urls = ["http://a.example.org/en/1234", "https://EXAMPLE.org/es/x?y#z", "http://org/", "http://org", "x.com/fr/1", None, "", "http://b.com/fr/q",
                 "http://b.com/de/q", "http://notexample.org/en/1", "https://m.casino-win.example.net/q", "file:///org/", "http://www.free-bets.io",
-                "http://example.com/frx", "http://com/fr/", "http://B.com:80/fr/"]
+                "http://example.com/frx", "http://com/fr/", "http://B.com:80/fr/", "http://casino.com", "http://casino.com?x=1", "http://casino.com/",
+                "http://nocasino.com", "http://"]
         got = [(r["host"], r["rule"], r["verdict"]) for r in url_rules.judge_urls(
-            spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, host string")).orderBy("page_id").collect()]
+            spark.createDataFrame([(i, u, *["clash"] * 5) for i, u in enumerate(urls)],
+                                  "page_id long, url string, host string, rule string, verdict string, pattern string, token string")).orderBy("page_id").collect()]
         assert got == [("a.example.org", "example.org/en/1", "block"), ("example.org", "example.org/es/", "block"), ("org", "org/", "allow"),
                        ("org", None, "allow"), ("", None, "allow"), ("", None, "allow"), ("", None, "allow"), ("b.com", "com/fr/", "allow"),
                        ("b.com", "com/de/", "block"), ("notexample.org", "org/", "allow"), ("m.casino-win.example.net", None, "block"),
-                       ("", None, "allow"), ("www.free-bets.io", None, "allow"), ("example.com", None, "allow"), ("com", "com/fr/", "allow"),
-                       ("b.com:80", None, "allow")]
-
-    def test_literal_tokens(self):
-        assert url_rules.rule_tokens("example.org/en/1") == ["en", "example", "org"]
-        assert url_rules.rule_tokens("casino-*.*/") == ["casino"] and url_rules.rule_tokens("*bets*") == []
-        empty_rule = url_rules.Rule("block", "*bets*")
-        assert empty_rule.verdict == "block"
+                       ("", None, "allow"), ("www.free-bets.io", None, "block"), ("example.com", None, "allow"), ("com", "com/fr/", "allow"),
+                       ("b.com:80", None, "allow"), ("casino.com", None, "block"), ("casino.com", None, "block"), ("casino.com", None, "block"),
+                       ("nocasino.com", None, "allow"), ("", None, "allow")]
+
+    def test_literal_tokens(self, spark):
+        patterns = ["example.org/en/1", "casino-*.*/", "*bets*", "", "a*b.c/*d.e/f", "x.y/"]
+        df = spark.createDataFrame([(p,) for p in patterns], "p string")
+        got = {r["p"]: sorted(r["t"]) for r in df.select("p", url_rules.rule_tokens(F.col("p")).alias("t")).collect()}
+        assert got == {"example.org/en/1": ["en", "example", "org"], "casino-*.*/": ["casino"], "*bets*": [""], "": [""],
+                       "a*b.c/*d.e/f": ["c", "e"], "x.y/": ["x", "y"]}
+
+    def test_rules_from_a_table(self, spark):
+        """Thousands of rules, some repeated, against each rule's own expression."""
+        rules = [(1, "block" if i % 2 else "allow", f"h{i}.net/p{i % 3}") for i in range(3000)] + [(0, "block", f"x{i}-*.org/") for i in range(50)]
+        rules += [(1, "block", "h7.net/p1"), (1, "block", None)]
+        urls = [f"http://www.h{i}.net/p{i % 4}/q" for i in range(0, 3000, 7)] + [f"http://a.x{i}-y.org" for i in range(60)]
+        got = url_rules.judge_urls(spark.createDataFrame([(u,) for u in urls], "url string"),
+                                   spark.createDataFrame(rules, "tier int, verdict string, pattern string")).collect()
+        listed = {p: v for t, v, p in sorted(rules, key=lambda r: r[1], reverse=True) if t == 1 and p}
+        for r in got:
+            host, path = r["url"][7:].partition("/")[::2]
+            rule = next((p for p in listed if ("." + host).endswith("." + p.split("/")[0]) and ("/" + path).startswith("/" + p.split("/")[1])), None)
+            home = any(host == f"a.x{i}-y.org" for i in range(50))
+            assert (r["rule"], r["verdict"]) == (rule, listed[rule] if rule else "block" if home else "allow")
 
     def test_rule_without_token_and_empty_table(self, spark):
         pages = spark.createDataFrame([(1, "http://mybetsite.com/x"), (1, "http://mybetsite.com/x"), (2, "http://ok.net/")], "page_id long, url string")
-        out = url_rules.judge_urls(pages, patterns=[url_rules.Rule("block", "*bet*")]).collect()
+        out = url_rules.judge_urls(pages, url_rules.rule_table(spark, url_rules.LISTED, [url_rules.Rule("block", "*bet*")])).collect()
         assert sorted((r["page_id"], r["verdict"]) for r in out) == [(1, "block"), (1, "block"), (2, "allow")]
         assert url_rules.judge_urls(pages.limit(0)).count() == 0

@@ -1,5 +1,8 @@
 """Near duplicates, leaks and the pipeline against brute force."""
 
+import random
+import time
+
 import numpy as np
 import pytest
 import xxhash
@@ -101,8 +104,50 @@ class TestDecontamination:
     def test_exact_and_edited_passages(self):
         filler = "some words that have nothing to do with it at all " * 30
         edited = self.ITEM.replace("northern", "northen").replace("founded", "Founded").replace("river trade", "river  trades")
-        assert self.leaks(filler + self.ITEM + filler, self.ITEM.upper(), filler + edited + filler, filler, None, "", self.ITEM[:40], "short") == [
-            (0, 7), (1, 7), (2, 7)]
+        assert self.leaks(filler + self.ITEM + filler, self.ITEM.upper(), filler + edited + filler, filler, None, "", self.ITEM[:40], "short", "Far too short!", "shorter", "a foreshort ens") == [
+            (0, 7), (1, 7), (2, 7), (7, 8), (8, 8)]
+
+    def test_short_items(self):
+        """Fewer characters than a q-gram: exactly, and as whole words where words are parted by spaces."""
+        import pyarrow as pa
+
+        index = decontam.build_index([(1, "tiny one"), (2, "答案"), (3, "!?"), (4, "42"), (5, "да")])
+        docs = ["a TINY, one!", "tiny ones", "這是答案嗎", "答 案", "it is 42", "1428", "да", "дата", "!?"]
+        assert [(r, i, e) for r, i, e in decontam._leaks_of(index, pa.array(docs))] == [(0, 1, 0), (2, 2, 0), (4, 4, 0), (6, 5, 0)]
+
+    def test_phrase_shared_by_many_items(self):
+        """Items that open alike: the phrase alone is no leak, and costs little."""
+        import pyarrow as pa
+
+        opening = "Which of the following statements best describes "
+        draw = random.Random(1)
+        tails = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(70)) for _ in range(200)]
+        items = [(i, opening + tail) for i, tail in enumerate(tails)]
+        index = decontam.build_index(items)
+        began = time.time()
+        phrase = (opening + "unrelated matters of the day. ") * 100
+        found = list(decontam._leaks_of(index, pa.array([phrase, phrase + items[17][1] + phrase, "x " + items[3][1]])))
+        assert [(r, i) for r, i, _ in found] == [(1, 17), (2, 3)] and time.time() - began < 60
+
+    def test_parts_of_a_row_lose_nothing(self, monkeypatch):
+        """Results do not depend on how many pairs are held at a time."""
+        import pyarrow as pa
+
+        items = [(i, decontam.normalised(self.ITEM).decode()[i:] + f" item {i} " + self.ITEM[::-1]) for i in range(12)]
+        docs = [items[i][1][i:i + 75] + " filler words " + items[-1 - i][1][5 * i:] for i in range(12)]
+        index = decontam.build_index(items)
+        want = [(r, i) for r, i, _ in decontam._leaks_of(index, pa.array(docs))]
+        monkeypatch.setattr(decontam, "PAIRS", 50)
+        monkeypatch.setattr(decontam, "CASES", 7)
+        assert [(r, i) for r, i, _ in decontam._leaks_of(index, pa.array(docs))] == want and len(want) > 40
+
+    def test_several_blocks_of_items(self, spark, monkeypatch):
+        monkeypatch.setattr(decontam, "BLOCK", 100)
+        items = spark.createDataFrame([(i, self.ITEM.replace("river", f"river{i}") if i != 2 else "?") for i in range(5)], "item_id long, text string")
+        docs = spark.createDataFrame([(1, self.ITEM.replace("river", "river3")), (2, "clean"), (3, None)], "doc_id long, text string")
+        got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()}
+        assert got == {(1, i) for i in (0, 1, 3, 4)}
+        assert [r["doc_id"] for r in decontam.clean_documents(docs, items).orderBy("doc_id").collect()] == [2, 3]
 
     @pytest.mark.parametrize("seed", range(3))
     def test_matches_brute_force_edit_distance(self, seed):
