@@ -54,9 +54,10 @@ def shipping_months(start: str = HISTORY_START, as_of: str = AS_OF) -> tuple[str
 
 
 def with_manager(ship: DataFrame, user_group: DataFrame, mgr: DataFrame, bounds: tuple[str, str] | None = None) -> DataFrame:
-    """Group of the ordering user (left), then the as-of manager period whose
-    end is the first at or after shipping, then the grace rule (J8 + J9)."""
-    s = ship.join(user_group.select("user_id", "company_group_id"), "user_id", "left")
+    """Group of the ordering user (left, one per user), then the as-of manager
+    period whose end is the first at or after shipping, then the grace rule
+    (J8 + J9)."""
+    s = ship.join(user_groups(user_group), "user_id", "left")
     a = joins.asof_left(s, mgr, by="company_group_id", left_ts="shipped_at",
                         right_ts="date_end", payload=["date_start", "manager_id", "first_manager_id"], bounds=bounds)
     return joins.assigned_manager(a)
@@ -92,6 +93,12 @@ def one_per_key(dim: DataFrame, key: str, least: str) -> DataFrame:
     return first.select(key, "_r.*").select(*dim.columns)
 
 
+def user_groups(user_group: DataFrame) -> DataFrame:
+    """The group of every user: the least of those that a user has, so that a
+    join on it keeps the fact's rows."""
+    return user_group.groupBy("user_id").agg(F.min("company_group_id").alias("company_group_id"))
+
+
 def phone_metrics(ship: DataFrame) -> DataFrame:
     """Per phone over all shipped B2B orders (the whole shipment table, not
     only the mart's period): retention flags, value metrics and the first
@@ -143,8 +150,7 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     comp = one_per_key(companies(spark, sf_dir).select(
         F.col("inn").alias("company_inn"), "company_id", "payment_type", "finance_income", "employee_count",
         "category_type", F.col("name").alias("company_name"), "company_fraud_flg"), "company_inn", "company_id")
-    user_group = one_per_key(view(spark, sf_dir, "v_user_group").select("user_id", "company_group_id"),
-                             "user_id", "company_group_id")
+    user_group = user_groups(view(spark, sf_dir, "v_user_group"))
     # Scan-backed dimensions: Spark's file-size estimate is an upper bound and
     # decides broadcast vs sort-merge on its own.
     s = ship.join(comp, "company_inn", "left").join(user_group, "user_id", "left")

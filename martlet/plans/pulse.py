@@ -9,7 +9,7 @@ The per-shipment files are a partitioned write (``write_split``), not a loop.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,10 +149,7 @@ def new_orders_feeds(src: Sources, cfgs: list[PulseConfig], as_of: str = AS_OF)
     names = tuple(dict.fromkeys(n for c in cfgs for n in (c.ledger_names or (c.process_name,))))
     out = None
     for c in cfgs:
-        shared = PulseConfig(c.process_name, retailer_ids=c.retailer_ids, store_ids=c.store_ids, states=c.states,
-                             window_days=c.window_days, window_basis=c.window_basis, ledger_names=names,
-                             exclude_store_ids=c.exclude_store_ids, lines_by=c.lines_by, fallback=c.fallback)
-        rows = new_orders(src, shared, as_of).withColumn("feed", F.lit(c.process_name))
+        rows = new_orders(src, replace(c, ledger_names=names), as_of).withColumn("feed", F.lit(c.process_name))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -285,8 +282,7 @@ def over_limit_ledgers(src: Sources, cfg: PulseConfig, as_of: str = AS_OF,
     (the reference's order, where such a shipment is never re-checked); the
     *alerted* stage logs the shipments with a line over its limit."""
     scan_name = cfg.scan_ledger or f"{cfg.process_name}_scanned"
-    scan_cfg = PulseConfig(scan_name, retailer_ids=cfg.retailer_ids, store_ids=cfg.store_ids, states=cfg.states,
-                           window_days=cfg.window_days, window_basis=cfg.window_basis, gate=cfg.gate)
+    scan_cfg = replace(cfg, process_name=scan_name, ledger_names=())
     fresh = not_sent(candidates(src, scan_cfg, as_of), src.ledger, scan_cfg)
     gated = payable(fresh, src, cfg)
     scanned = (fresh if log_before_gate else gated).select("shipment_number").distinct()
