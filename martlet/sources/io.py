@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.session import cut_lineage, ensure_checkpoint_dir
+from martlet.sources.publish import current, refresh, refresh_partitions  # noqa: F401 - S8
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -112,32 +113,6 @@ def write_chunked(df: DataFrame, path: str, max_rows: int = 1_000_000, fmt: str
     return path
 
 
-def refresh(df: DataFrame, target: str, required: Sequence[str] = ()) -> DataFrame:
-    """Full refresh with a swap. The new content goes to a version folder of
-    its own, is validated there (not empty, required columns without NULLs), and
-    becomes current by one row appended to the version list. Readers
-    (``current``) follow that list, so a crash at any point leaves the previous
-    version in place; an unlisted folder is the cleared stage."""
-    spark = df.sparkSession
-    version = uuid.uuid4().hex
-    staged_at = f"{target}/data/{version}"
-    df.write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-    checks = [F.count(F.lit(1)).alias("_rows")] + [F.count_if(F.col(c).isNull()).alias(c) for c in required]
-    stats = staged.agg(*checks).first()
-    if stats["_rows"] == 0 or any(stats[c] for c in required):
-        raise ValueError(f"stage {staged_at} failed validation: {stats.asDict()}")
-    listed = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"))
-    listed.coalesce(1).write.mode("append").parquet(f"{target}/versions")
-    return current(spark, target)
-
-
-def current(spark: SparkSession, target: str) -> DataFrame:
-    """The version of ``target`` that was published last."""
-    newest = spark.read.parquet(f"{target}/versions").agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
-    return spark.read.parquet(f"{target}/data/{newest}")
-
-
 LEDGER = "shipment_number string, shipment_logged_at timestamp_ntz, process_name string"
 
 

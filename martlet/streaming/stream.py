@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.session import cut_lineage
+from martlet.sources import publish
 from martlet.sources.io import open_ledger, scratch_path
 
 
@@ -60,48 +62,68 @@ def weekly_counts(stream: DataFrame, ts: str, by: str, value: str, delay: str) -
     return g.select(F.to_date(F.col("w.start")).alias("week_start"), by, "n", "value_sum")
 
 
-def upsert_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink for update-mode output: each batch's rows land in
-    their own ``batch_id=N`` folder (overwritten when a batch is replayed,
-    so a retry is idempotent); readers take the latest row per key."""
+def upsert_sink(path: str, keys: list[str] | None = None, every: int = 20) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink for update-mode output: each batch's rows land as a
+    change of their own (overwritten when a batch is replayed, so a retry is
+    idempotent); readers take the latest row per key. With ``keys``, every so many
+    batches the changes are merged into a new base, so that neither the files nor
+    a reader's work grow with the number of batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        publish.write_delta(batch, path, batch_id)
+        if keys and (batch_id + 1) % every == 0:
+            publish.compact(batch.sparkSession, path, keys, batch_id)
 
     return write
 
 
 def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Read an upsert sink: the row of the highest batch per key."""
-    d = spark.read.parquet(path)
-    cols = [c for c in d.columns if c not in keys and c != "batch_id"]
-    g = d.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch_id").alias("_r"))
-    return g.select(*keys, "_r.*")
+    return publish.latest(spark, path, keys).drop("batch_id")
 
 
 STREAM_LEDGER = "shipment_number string, batch_id long, process_name string"
 
 
-def pulse_batch_sink(spark: SparkSession, out: str, ledger: str, process: str,
-                     enrich: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def pulse_batch_sink(spark: SparkSession, out: str, ledger: str, process: str, enrich: Callable[[DataFrame], DataFrame],
+                     pending: str | None = None, tries: int = 1000) -> Callable[[DataFrame, int], None]:
     """R2: per micro-batch, drop what the ledger has, enrich, write the report
     for this batch id (overwrite: a replayed batch rewrites the same folder),
-    then log the shipments that the stored report holds. A candidate whose lines
-    or offers are not there yet is not in the report, so it stays unlogged and
-    is reported by a later batch that brings it again. Ledger rows carry the
+    then log the shipments that the stored report holds. Ledger rows carry the
     batch id, and rows of the replayed batch id are ignored when reading, so a
-    crash between the two writes cannot lose or double a report."""
+    crash between the two writes cannot lose or double a report.
+
+    A candidate whose lines or offers are not there yet is not in the report and
+    stays unlogged. With ``pending``, a folder, it is kept there and tried again
+    with every later batch, ``tries`` times at most; batch N reads what batch N - 1
+    left and writes a folder of its own, so a replay finds the same candidates.
+    Without it, the candidate is reported by a later batch that brings it again."""
     open_ledger(spark, ledger, STREAM_LEDGER)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sent = (spark.read.schema(STREAM_LEDGER).parquet(ledger)
                 .where((F.col("process_name") == process) & (F.col("batch_id") < batch_id)).select("shipment_number"))
-        fresh = batch.dropDuplicates(["shipment_number"]).join(sent, "shipment_number", "left_anti")
+        found = batch.dropDuplicates(["shipment_number"])
+        if pending:
+            found = found.withColumn("_tries", F.lit(0))
+            waiting = f"{pending}/batch_id={batch_id - 1}"
+            if publish.exists(spark, f"{waiting}/_SUCCESS"):
+                held = spark.read.schema(found.schema).parquet(waiting)
+                again = found.select("shipment_number")
+                found = found.unionByName(held.join(again, "shipment_number", "left_anti"))
+            found = cut_lineage(found.join(sent, "shipment_number", "left_anti"), "candidates")
+            fresh = found.drop("_tries")
+        else:
+            fresh = found.join(sent, "shipment_number", "left_anti")
         report = enrich(fresh)
         path = f"{out}/batch_id={batch_id}"
         report.write.mode("overwrite").parquet(path)
-        (spark.read.schema(report.schema).parquet(path).select("shipment_number").distinct()
-         .withColumn("process_name", F.lit(process)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        reported = spark.read.schema(report.schema).parquet(path).select("shipment_number").distinct()
+        if pending:
+            left = found.join(reported, "shipment_number", "left_anti").withColumn("_tries", F.col("_tries") + 1)
+            left.where(F.col("_tries") < tries).write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
+            publish.remove(spark, f"{pending}/batch_id={batch_id - 2}")
+        (reported.withColumn("process_name", F.lit(process)).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("append").partitionBy("process_name").parquet(ledger))
 
     return write
@@ -123,17 +145,116 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def run_pulse_stream(spark: SparkSession, cfg, src, landing: str, out: str, ledger: str, checkpoint: str,
-                     schema=None, files_per_trigger: int | None = None, trigger: dict | None = None) -> None:
+                     schema=None, files_per_trigger: int | None = None, trigger: dict | None = None,
+                     pending: str | None = None) -> None:
     """R2 + R3: the pulse as a streaming query. Candidate shipments land as
     files in ``landing``; every trigger (``cfg.trigger``, e.g. every
     7 or 12 minutes, one run at a time) drops what the ledger has, writes the
-    enriched report for the batch and appends the ledger. ``trigger`` replaces
-    the schedule (tests use ``{"availableNow": True}``)."""
+    enriched report for the batch and appends the ledger. ``src`` is a ``Sources``,
+    or a function that gives one: it is called in every batch, so that lines,
+    offers and contacts that landed since the query started are seen (a parquet
+    frame keeps the files of the moment it was made). ``pending`` keeps candidates
+    whose lines are not there yet for later batches. ``trigger`` replaces the
+    schedule (tests use ``{"availableNow": True}``); on the schedule a batch runs at
+    every trigger, new candidates or not, so that kept ones are tried again."""
     from martlet.plans import pulse
 
+    sources = src if callable(src) else lambda: src
+
     def enrich(fresh: DataFrame) -> DataFrame:
-        return pulse.enrich_report(fresh, src, cfg)
+        return pulse.enrich_report(fresh, sources(), cfg)
 
     s = read_stream(spark, landing, schema or spark.read.parquet(landing).schema, files_per_trigger)
-    writer = s.writeStream.foreachBatch(pulse_batch_sink(spark, out, ledger, cfg.process_name, enrich))
-    run_to_end(writer, checkpoint, trigger or {"processingTime": cfg.trigger})
+    trigger = trigger or {"processingTime": cfg.trigger}
+    if pending and "processingTime" in trigger:
+        s = _with_ticks(spark, s)
+    writer = s.writeStream.foreachBatch(pulse_batch_sink(spark, out, ledger, cfg.process_name, enrich, pending))
+    run_to_end(writer, checkpoint, trigger)
+
+
+def _with_ticks(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """The stream with a source beside it that has a row every second and adds
+    none of them: a trigger always finds something new."""
+    nothing = spark.readStream.format("rate").option("rowsPerSecond", 1).load().where("value < 0")
+    return stream.unionByName(nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema]))
+
+
+# ---------------------------------------------------------------- R6 with payments in parts
+
+# Fixed value: an order whose open rest is this small counts as paid.
+TOLERANCE = 1000.0
+
+ORDER_STATE = "total double, paid double, shipments string, payments string, deadline long, done boolean"
+PAY_RESULT = "order_id long, status string, order_total double, paid double, n_payments int, decided_ms long"
+
+
+def order_events(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """One stream of both kinds. ``orders``: a row per shipment (order_id,
+    shipment_number, total, completed_at); ``payments``: a row per payment
+    (pay_order_id, payment_id, amount, paid_at). Rows without a number or a time
+    are no events."""
+    def event(df: DataFrame, order: str, kind: str, item: str, amount: str, at: str) -> DataFrame:
+        return df.select(F.col(order).cast("long").alias("order_id"), F.lit(kind).alias("kind"), F.col(item).cast("string").alias("item"),
+                         F.coalesce(F.col(amount).cast("double"), F.lit(0.0)).alias("amount"), F.col(at).cast("timestamp").alias("at"))
+
+    both = event(orders, "order_id", "shipment", "shipment_number", "total", "completed_at").unionByName(
+        event(payments, "pay_order_id", "payment", "payment_id", "amount", "paid_at"))
+    return both.where("item is not null and at is not null")
+
+
+def accumulate_payments(events: DataFrame, delay: str, max_wait: str, tolerance: float = TOLERANCE) -> DataFrame:
+    """R6 + P15 + A17 with payments in parts: an order waits until its distinct
+    payments reach the sum of its shipments but for ``tolerance``. Events
+    (``order_events``) change the order's state in the order of their times, the gate
+    is tested after each, and the order is reported once, as ``paid`` with the sum
+    and the time at which it passed. ``max_wait`` after its first event a timer gives
+    the order up (``given up``); events behind that deadline do not count. A payment
+    or a shipment that comes twice counts once; payments alone are no order. Rows
+    later than the watermark are dropped.
+
+    An order's state holds its own shipments' and payments' numbers, a handful, and
+    goes with its timer: what is kept is bounded by the orders of ``max_wait`` and
+    ``delay``."""
+    import json
+
+    import pandas as pd
+
+    wait = int(pd.Timedelta(max_wait).total_seconds() * 1000)
+    names = [c.split()[0] for c in PAY_RESULT.split(", ")]
+
+    def decide(key, frames, state):
+        def told(status, at):
+            return pd.DataFrame([(key[0], status, total, paid, len(payments), at)], columns=names)
+
+        if state.exists:
+            total, paid, shipments, payments, deadline, done = state.get
+            shipments, payments = json.loads(shipments), json.loads(payments)
+        if state.hasTimedOut:
+            state.remove()
+            if shipments and not done:
+                yield told("given up", deadline)
+            return
+        rows = sorted(r for f in frames for r in zip(f["ms"].tolist(), (f["kind"] == "payment").tolist(), f["item"].tolist(), f["amount"].tolist()))
+        if not state.exists:
+            total, paid, shipments, payments, deadline, done = 0.0, 0.0, [], [], rows[0][0] + wait, False
+        for at, is_payment, item, amount in rows:
+            seen = payments if is_payment else shipments
+            if done or at > deadline or item in seen:
+                continue
+            seen.append(item)
+            total, paid = (total, paid + amount) if is_payment else (total + amount, paid)
+            if shipments and total - paid <= tolerance:
+                done = True
+                yield told("paid", at)
+        if deadline < state.getCurrentWatermarkMs():  # too late for a timer
+            if shipments and not done:
+                yield told("given up", deadline)
+            if state.exists:
+                state.remove()
+            return
+        state.update((total, paid, json.dumps(shipments), json.dumps(payments), deadline, done))
+        state.setTimeoutTimestamp(deadline + 1)
+
+    out = (events.withWatermark("at", delay).withColumn("ms", F.unix_millis("at")).groupBy("order_id")
+           .applyInPandasWithState(decide, PAY_RESULT, ORDER_STATE, "append", "EventTimeTimeout"))
+    return out.withColumn("decided_at", F.timestamp_millis("decided_ms")).drop("decided_ms")
