@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from martlet.plans import mart
+from martlet.session import cut_lineage
 from martlet.sources.views import view, with_views
 from martlet.suite.registry import ORACLE, register
 from martlet.suite.sqlbits import ASOF_DATE, ld, month
@@ -23,7 +26,8 @@ _MANAGERS = """
 
 _ASOF = """
   select s.*, m.end_period, m.date_start, m.date_end, m.manager_id, m.first_manager_id
-  from (select s.*, g.company_group_id from s left join v_user_group g using (user_id)) s
+  from (select s.*, g.company_group_id from s
+        left join (select user_id, min(company_group_id) as company_group_id from v_user_group group by user_id) g using (user_id)) s
   asof left join mg m on s.company_group_id = m.company_group_id and s.shipped_at <= m.date_end"""
 
 _ASSIGNED = """case when manager_id = first_manager_id and shipped_at >= date_start - interval 10 day
@@ -50,7 +54,7 @@ select shipment_id, company_group_id, shipped_at, end_period as date_end,
        cast(date_start as date) as date_start, manager_id
 from a""", "v_shipment", "v_certificate", "v_user_group", "v_manager_period", extra=_ASOF_CTES))
 def asof_left_join(spark, sf_dir):
-    s = mart.shipments(spark, sf_dir).join(view(spark, sf_dir, "v_user_group"), "user_id", "left")
+    s = mart.shipments(spark, sf_dir).join(mart.user_groups(view(spark, sf_dir, "v_user_group")), "user_id", "left")
     from martlet.operators.joins import asof_left
     out = asof_left(s, mart.managers(spark, sf_dir), by="company_group_id", left_ts="shipped_at",
                     right_ts="date_end", payload=["date_start", "manager_id"], bounds=mart.shipping_months())
@@ -758,6 +762,43 @@ def pulse_two_feeds(spark, sf):
     return pulse.new_orders_feeds(pulse.Sources.fixture(spark, sf), [FEED_STORE, FEED_RETAILERS])
 
 
+# Scopes with every filter; the over-limit job has a ledger of scans of its own.
+FILTERED_FEEDS = [replace(FEED_STORE, window_days=900, tenant_ids=("tenant_main",), platforms=("web", "app")),
+                  replace(FEED_RETAILERS, window_days=900, payment_methods=(3, 4, 5), lines_by="order_id")]
+FILTERED_LIMIT = pulse.PulseConfig("pulse_a", retailer_ids=(2, 8), states=("complete",), window_days=900, window_basis="completed",
+                                   exclude_store_ids=(2, 22), payment_methods=(3, 4, 5, 7), tenant_ids=("tenant_main",),
+                                   platforms=("web",), scan_ledger="scans")
+_FILTERED_SQL = {
+    "pulse_a": "s.tenant_id in ('tenant_main') and s.platform in ('web', 'app')",
+    "pulse_b": "s.payment_method_id in (3, 4, 5)"}
+
+
+@register("pulse_two_feeds_filtered", with_views("\nunion all\n".join(
+    _feed_sql(c, c.process_name).replace("li.shipment_id = s.shipment_id", f"li.{c.lines_by} = s.{c.lines_by}")
+    + f" and {_FILTERED_SQL[c.process_name]}" for c in FILTERED_FEEDS), *_PULSE_VIEWS, extra=[("dir", _DIRECTORY)]))
+def pulse_two_feeds_filtered(spark, sf):
+    """K2 feeds that keep their own filters and their own join of the lines."""
+    return pulse.new_orders_feeds(pulse.Sources.fixture(spark, sf), FILTERED_FEEDS)
+
+
+@register("pulse_over_limit_ledger_filtered", with_views(f"""
+select distinct shipment_number, 'scans' as process_name, {ASOF} as shipment_logged_at
+from c where {_gate_sql('c', 'c.company_id')}
+union all
+select distinct c.shipment_number, 'pulse_a', {ASOF}
+from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null
+join v_offer o on o.id = li.offer_id join v_offer_limit lim on lim.retailer_sku = o.retailer_sku
+where {_gate_sql('c', 'c.company_id')} and lim.max_qty is not null and li.quantity > lim.max_qty""",
+                                                         *_PULSE_VIEWS, "v_offer_limit", "v_locked_order",
+                                                         extra=[("dir", _DIRECTORY), ("c", _cand_sql(replace(
+                                                             FILTERED_LIMIT, process_name="scans"), slot=False) + """
+    and s.store_id not in (2, 22) and s.payment_method_id in (3, 4, 5, 7) and s.tenant_id = 'tenant_main' and s.platform = 'web'"""),
+                                                                ("bal", _bal_sql(_DUE_OF_C))]))
+def pulse_over_limit_ledger_filtered(spark, sf):
+    """K5: what is logged as scanned is what the job's filters let it check."""
+    return pulse.over_limit_ledgers(pulse.Sources.fixture(spark, sf), FILTERED_LIMIT)
+
+
 @register("vault_hub", f"""
 select md5({_part('o_custkey')}) as hub_key, o_custkey, 'orders' as record_source
 from (select distinct o_custkey from orders) t""")
@@ -847,3 +888,50 @@ def pulse_over_limit_contacts(spark, sf):
     configs, directors = _store_fixtures(spark, sf)
     contacts = directors.where(F.col("zamdirector_email").isNotNull()).select("key_number", F.col("director_email").alias("contact"))
     return pulse.over_limit_contacts(pulse.Sources.fixture(spark, sf), OVER_LIMIT, configs, contacts)
+
+
+# ---------------------------------------------------------------- K14, K15 a day or a load at a time
+
+_HISTORY = ["o_custkey", "value", "valid_from", "valid_to", "is_current"]
+
+
+@register("scd2_merge", ORACLE["scd2_build"])
+def scd2_merge(spark, sf):
+    """The history up to the day before the last three, then those days one
+    by one, the last of them twice."""
+    snaps = _snapshots(spark, sf)
+    days = [r[0] for r in snaps.select("snapshot_date").distinct().orderBy(F.desc("snapshot_date")).limit(3).collect()][::-1]
+    state = cut_lineage(history.scd2(snaps.where(F.col("snapshot_date") < days[0]), "o_custkey"), "history")
+    for day in [*days, days[-1]]:
+        today = snaps.where(F.col("snapshot_date") == day).drop("snapshot_date")
+        state = cut_lineage(history.scd2_merge(state, today, "o_custkey", str(day)), "history")
+    return state.select(*_HISTORY)
+
+
+@register("vault_increment", with_views(f"""
+select 'satellite' as kind, md5({_part('o_custkey')}) as key, snapshot_date as load_date, md5({_part('value')}) as hashdiff
+from (select *, lag(value) over (partition by o_custkey order by snapshot_date) as prev,
+        row_number() over (partition by o_custkey order by snapshot_date) as rn from snap) t
+where rn = 1 or prev is distinct from value
+union all
+select 'hub', md5({_part('o_custkey')}), null, null from (select distinct o_custkey from orders) t
+union all
+select 'link', md5({_part('o_custkey')} || {_part('o_orderkey')}), null, null
+from (select distinct o_custkey, o_orderkey from orders) t""", extra=[("snap", _SNAP)]))
+def vault_increment(spark, sf):
+    """Two loads into an empty vault, cut at a day, and the second again."""
+    orders, snaps = spark.read.parquet(f"{sf}/orders.parquet"), _snapshots(spark, sf)
+    cut = F.lit("1997-06-01").cast("date")
+    at = F.col("o_orderdate").cast("date")
+    loads = [(orders.where(at < cut), snaps.where(F.col("snapshot_date") < cut))] + [(orders.where(at >= cut), snaps.where(F.col("snapshot_date") >= cut))] * 2
+    hubs = history.hub(orders.limit(0), "o_custkey", "orders")
+    links = history.link(orders.limit(0), ["o_custkey", "o_orderkey"], "orders")
+    sats = history.satellite(snaps.limit(0), "o_custkey", ["value"], "snapshot_date", "orders")
+    for rows, days in loads:
+        hubs = cut_lineage(hubs.unionByName(history.hub_load(hubs, rows, "o_custkey", "orders")), "hub")
+        links = cut_lineage(links.unionByName(history.link_load(links, rows, ["o_custkey", "o_orderkey"], "orders")), "link")
+        sats = cut_lineage(sats.unionByName(history.satellite_load(sats, days, "o_custkey", ["value"], "snapshot_date", "orders")), "satellite")
+    none = [F.lit(None).cast("date").alias("load_date"), F.lit(None).cast("string").alias("hashdiff")]
+    return (sats.select(F.lit("satellite").alias("kind"), F.col("hub_key").alias("key"), "load_date", "hashdiff")
+            .unionByName(hubs.select(F.lit("hub").alias("kind"), F.col("hub_key").alias("key"), *none))
+            .unionByName(links.select(F.lit("link").alias("kind"), F.col("link_key").alias("key"), *none)))

@@ -9,6 +9,8 @@ each case, so each is compared with SQL.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from martlet.plans import pulse
@@ -129,3 +131,108 @@ def stream_pay_gate(spark, sf):
                  F.col("paid_at").cast("timestamp_ntz").alias("paid_at"))
     st.run_to_end(j.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
     return spark.read.parquet(out)
+
+
+# Orders of one or two shipments; three payments where there are as many lines, some of
+# them behind the deadline, one of them twice.
+_PAY_SHIPMENTS = """
+select o_orderkey as order_id, concat('A', cast(o_orderkey as string)) as shipment_number, floor(o_totalprice * 60) / 100 as total,
+  o_orderdate + interval '1' hour * (o_orderkey % 24) as completed_at from {orders}
+union all
+select o_orderkey, concat('B', cast(o_orderkey as string)), floor(o_totalprice * 40) / 100, o_orderdate + interval '1' hour * 30
+from {orders} where o_orderkey % 2 = 0"""
+_PAY_PARTS = """
+select o.o_orderkey as pay_order_id, concat(cast(l.l_orderkey as string), '-', cast(l.l_linenumber as string)) as payment_id,
+  floor(o.o_totalprice / 3 * 100) / 100 as amount,
+  o.o_orderdate + interval '1' hour * (7 * l.l_linenumber * (1 + o.o_orderkey % 9)) as paid_at
+from {lineitem} l join {orders} o on o.o_orderkey = l.l_orderkey where l.l_linenumber <= 3"""
+
+
+def _duck(text: str) -> str:
+    return text.replace("{orders}", "orders").replace("{lineitem}", "lineitem").replace(" as string)", " as varchar)")
+
+
+@register("stream_pay_gate_partial", f"""
+with e as (
+  select distinct order_id, 0 as kind, shipment_number as item, total as amount, completed_at as ts from ({_duck(_PAY_SHIPMENTS)})
+  union all select distinct pay_order_id, 1, payment_id, amount, paid_at from ({_duck(_PAY_PARTS)})),
+d as (select order_id, min(ts) + interval 5 day as deadline from e group by order_id),
+r as (select e.order_id, ts, deadline, kind, item,
+    sum(case when kind = 0 then amount else 0 end) over w as total, sum(case when kind = 1 then amount else 0 end) over w as paid,
+    count_if(kind = 0) over w as shipments, count_if(kind = 1) over w as payments
+  from e join d using (order_id) where ts <= deadline
+  window w as (partition by e.order_id order by ts, kind, item)),
+p as (select order_id, 'paid' as status, total as order_total, paid, cast(payments as integer) as n_payments, ts as decided_at from r
+      where shipments > 0 and total - paid <= 1000
+      qualify row_number() over (partition by order_id order by ts, kind, item) = 1),
+g as (select order_id, 'given up' as status, total as order_total, paid, cast(payments as integer) as n_payments, deadline as decided_at
+      from r where order_id not in (select order_id from p) and deadline < (select max(ts) from e) - interval 2 day
+      qualify row_number() over (partition by order_id order by ts desc, kind desc, item desc) = 1 and shipments > 0)
+select order_id, status, round(order_total, 2) as order_total, round(paid, 2) as paid, n_payments, decided_at from p
+union all select order_id, status, round(order_total, 2), round(paid, 2), n_payments, decided_at from g""")
+def stream_pay_gate_partial(spark, sf):
+    """Orders paid in parts, in time, too late or never. Part of the
+    payments land a second time with the first, and again long after the watermark,
+    when the query has been started anew from its checkpoint."""
+    tables = {t: spark.read.parquet(f"{sf}/{t}.parquet") for t in ("orders", "lineitem")}
+    events = st.order_events(spark.sql(_PAY_SHIPMENTS, orders=tables["orders"]), spark.sql(_PAY_PARTS, **tables))
+    again = events.where((F.col("kind") == "payment") & (F.xxhash64("item") % 5 == 0))
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    _stage_in_order(events.unionByName(again), land, 4, "at")
+
+    def run():
+        s = st.read_stream(spark, land, events.schema, files_per_trigger=None)
+        paid = st.accumulate_payments(s, "2 days", "5 days")
+        st.run_to_end(paid.writeStream.format("parquet").option("path", out).outputMode("append"), ck)
+
+    run()
+    again.where(F.col("at") < F.lit("1998-01-01").cast("timestamp")).write.mode("append").parquet(land)
+    run()
+    return spark.read.parquet(out).select(
+        "order_id", "status", F.round("order_total", 2).alias("order_total"), F.round("paid", 2).alias("paid"), "n_payments",
+        F.col("decided_at").cast("timestamp_ntz").alias("decided_at"))
+
+
+@register("stream_pulse_late_lines", ORACLE["pulse_new_orders"])
+def stream_pulse_late_lines(spark, sf):
+    """R2: every candidate lands once; the lines of two thirds of the shipments
+    land while the query is down for a moment, after their candidates. The sources
+    are bound anew in every batch, and unreported candidates are tried again."""
+    cfg = jobs.NEW_ORDERS
+    src = pulse.Sources.fixture(spark, sf)
+    cand = pulse.candidates(src, cfg).drop("shipped_at", "starts_at")
+    names = ("land", "out", "ck", "ledger", "lines", "pending")
+    land, out, ck, ledger, lines, pending = (st.scratch(spark, n) for n in names)
+    (src.ledger.where(F.col("process_name") == cfg.process_name).withColumn("batch_id", F.lit(-1).cast("long"))
+     .write.mode("overwrite").partitionBy("process_name").parquet(ledger))
+    third = F.col("shipment_id") % 3 == 0
+    src.line_items.where(third).write.parquet(lines)
+    every = pulse.Sources.fixture(spark, sf)
+
+    def sources():
+        return replace(every, line_items=spark.read.parquet(lines))
+
+    def run():
+        st.run_pulse_stream(spark, cfg, sources, land, out, ledger, ck, schema=cand.schema, files_per_trigger=2,
+                            trigger={"availableNow": True}, pending=pending)
+
+    _stage_in_order(cand, land, 3, "slot_start")
+    run()
+    src.line_items.where(~third).write.mode("append").parquet(lines)
+    cand.limit(1).write.mode("append").parquet(land)  # some poll, with nothing new in it
+    run()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@register("stream_weekly_compacted", ORACLE["stream_weekly_stats"])
+def stream_weekly_compacted(spark, sf):
+    """As ``stream_weekly_stats``, through a sink that merges its changes
+    into a published base every second batch."""
+    ev = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    _stage_in_order(ev, land, 5, "ts")
+    keys = ["week_start", "event_type"]
+    s = st.read_stream(spark, land, ev.schema, files_per_trigger=1)
+    g = st.weekly_counts(s, "ts", "event_type", "value", "40 days")
+    st.run_to_end(g.writeStream.foreachBatch(st.upsert_sink(out, keys, every=2)).outputMode("update"), ck)
+    return st.latest_per_key(spark, out, keys)
