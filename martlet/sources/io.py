@@ -36,28 +36,62 @@ def read_reference(spark: SparkSession, path: str, schema: Sequence[tuple[str, s
     return typed.dropna(subset=list(required)).dropDuplicates()
 
 
-def read_csv_skip(spark: SparkSession, path: str, schema: T.StructType, skip_rows: int = 1,
-                  header: bool = True, sep: str = ",") -> DataFrame:
-    """CSV files whose first ``skip_rows`` lines are junk before the
-    header. Lines are read as text; within a file split the ids of
-    ``monotonically_increasing_id`` are consecutive, so the first lines of
-    each file are those at the smallest ids of its split at offset 0. The per
-    file minimum is a small aggregate (one row per file)."""
-    lines = (spark.read.text(path)
-             .select("value", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"))
-             .withColumn("_id", F.monotonically_increasing_id()))
-    lines = cut_lineage(lines)  # ids must not be recomputed differently
-    first = lines.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_first"))
-    drop_n = skip_rows + (1 if header else 0)
-    # One row per file: small enough for Spark to broadcast; else AQE splits a
-    # large file's partition.
-    body = (lines.join(first, "_file", "left")
-            .where(F.col("_first").isNull() | (F.col("_id") >= F.col("_first") + drop_n)))
-    parsed = body.select(F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("r"))
+#: Lines before a CSV header lie within so many bytes of a file's start.
+HEAD_BYTES = 1 << 20
+
+
+def read_csv_skip(spark: SparkSession, path: str, schema: T.StructType, skip_rows: int = 1, header: bool = True, sep: str = ",",
+                  quoted_breaks: bool = False) -> DataFrame:
+    """CSV files whose first ``skip_rows`` lines are junk before the header.
+
+    Files are read as lines, split by split. A line's place among those of its split
+    is the order of ``monotonically_increasing_id``, so the lines of a file's first
+    splits (those that begin within ``HEAD_BYTES``: one split, but for small ones) are
+    numbered, and the first ones dropped; all other splits pass by. Nothing is
+    written, and ids are compared inside one scan only.
+
+    ``quoted_breaks``: quoted values may hold line breaks, anywhere in a file and
+    across splits. A line begins a record if the quotes before it are even in
+    number; the quotes inside a split are counted there, those of the splits before
+    it come from a table with a row per split, and so do the records' numbers. Lines
+    of one record are joined again; no split or file passes through one task."""
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"))
+             .withColumn("id", F.monotonically_increasing_id()))
+    near = F.col("block") < HEAD_BYTES
+    number = F.row_number().over(Window.partitionBy("file").orderBy("block", "id"))
+    drop_n = skip_rows + (1 if header and not quoted_breaks else 0)
+    first = lines.where(near).withColumn("_n", number).where(F.col("_n") > drop_n).drop("_n")
+    body = first.unionByName(lines.where(~near))
+    if quoted_breaks:
+        body = _joined_records(body)
+        if header:
+            body = body.where("record > 1")
+    # A doubled quote stands for one, as in the sheets that write such files.
+    parsed = body.where("value <> ''").select(F.from_csv("value", schema.simpleString(), {"sep": sep, "escape": '"'}).alias("r"))
     return parsed.select("r.*")
 
 
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """(file, record, value): lines joined to records, numbered from 1 in their file."""
+    so_far = Window.partitionBy("file", "block").orderBy("id")
+    before = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    quotes = F.char_length("value") - F.char_length(F.replace(F.col("value"), F.lit('"')))
+    lines = lines.withColumn("odd", F.coalesce(F.sum(quotes).over(before), F.lit(0)) % 2).withColumn("quotes", quotes)
+    # One row per split: parity of the quotes before it, then the records begun before it.
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("q"), F.count_if(F.col("odd") == 0).alias("n0"), F.count_if(F.col("odd") == 1).alias("n1"))
+    splits = splits.withColumn("inside", F.coalesce(F.sum("q").over(earlier), F.lit(0)) % 2)
+    begun = F.when(F.col("inside") == 0, F.col("n0")).otherwise(F.col("n1"))
+    splits = splits.withColumn("begun", F.coalesce(F.sum(begun).over(earlier), F.lit(0))).select("file", "block", "inside", "begun")
+    placed = lines.join(splits, ["file", "block"])
+    record = F.col("begun") + F.sum(F.when(F.col("odd") == F.col("inside"), 1).otherwise(0)).over(so_far)
+    parts = F.sort_array(F.collect_list(F.struct("block", "id", "value")))
+    return (placed.withColumn("record", record).groupBy("file", "record").agg(parts.alias("parts"))
+            .select("file", "record", F.array_join(F.col("parts.value"), "\n").alias("value")))
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Result file(s); CSV gets a header."""
     w = df.write.mode(mode)

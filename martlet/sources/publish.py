@@ -88,8 +88,7 @@ def stage(df: DataFrame, target: str, key: str | None = None) -> str:
     """Write ``df`` as a version that nobody reads yet; returns its folder,
     relative to the table. ``key`` parts it."""
     spark = df.sparkSession
-    begun = children(spark, f"{target}/versions")
-    folder = f"data/version={(_number(begun[-1]) if begun else 0) + 1:0{_WIDTH}d}-{uuid.uuid4().hex[:8]}"
+    folder = f"data/version={next_number(spark, target):0{_WIDTH}d}-{uuid.uuid4().hex[:8]}"
     writer = df.write
     if key:
         writer = writer.partitionBy(key)
@@ -100,20 +99,28 @@ def stage(df: DataFrame, target: str, key: str | None = None) -> str:
 def publish(spark: SparkSession, target: str, change: Callable[[list[tuple]], list[tuple]], keep: int = KEEP) -> None:
     """Make ``change`` of the newest list's rows the next publication. Where
     another run has taken its number, the change is made on that run's list."""
-    while True:
-        names = children(spark, f"{target}/versions")
-        number = (_number(names[-1]) if names else 0) + 1
-        rows = change([tuple(r) for r in listed(spark, target)])
-        at = f"{target}/versions/number={number:0{_WIDTH}d}"
-        try:
-            spark.createDataFrame(rows, LIST).coalesce(1).write.mode("errorifexists").parquet(at)
-            break
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
+    while not take(spark, target, next_number(spark, target), change([tuple(r) for r in listed(spark, target)])):
+        pass
     clear(spark, target, keep)
 
 
+def next_number(spark: SparkSession, target: str) -> int:
+    """The number that the next publication takes, if no one else does before."""
+    names = children(spark, f"{target}/versions")
+    return (_number(names[-1]) if names else 0) + 1
+
+
+def take(spark: SparkSession, target: str, number: int, rows: list[tuple]) -> bool:
+    """Write ``rows`` as publication ``number``; False if it is taken."""
+    try:
+        spark.createDataFrame(rows, LIST).coalesce(1).write.mode("errorifexists").parquet(f"{target}/versions/number={number:0{_WIDTH}d}")
+        return True
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return False
+
+
 def clear(spark: SparkSession, target: str, keep: int = KEEP) -> None:
     """Drop what the last ``keep`` publications do not name: older lists, the
     data of those alone, and stages begun before the oldest that stays."""

@@ -8,12 +8,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.plans import pulse
+from martlet.plans import pulse, runs
 from martlet.session import AS_OF, cut_lineage
 from martlet.suite import jobs
 from martlet.sources import io
 from martlet.sources.views import view, with_views
-from martlet.suite.registry import register
+from martlet.suite.registry import ORACLE, register
 
 
 def V(spark, sf, name):
@@ -33,31 +33,48 @@ def reference_clean(spark, sf):
                              required=["retailer_sku", "max_qty"])
 
 
-@register("csv_skiprows", """select c_custkey, c_name as name from customer""")
-def csv_skiprows(spark, sf):
-    """CSV files with a junk first line, then the header; every data line
-    comes back exactly once."""
+def _sheet_export(lines, path, header: str, files: int = 3) -> None:
+    """CSV files with a junk line and the header before the data lines."""
     def with_preamble(batches):
-        """Per output file: a junk line and the header before the data lines
-        (a nested function, so that it travels with the task)."""
+        """Nested, so that it travels with the task."""
         first = True
         for pdf in batches:
             if first and len(pdf):
-                head = pd.DataFrame({"value": ["exported by the sheet tool", "c_custkey,c_name,c_acctbal"]})
-                pdf, first = pd.concat([head, pdf], ignore_index=True), False
+                pdf, first = pd.concat([pd.DataFrame({"value": ['exported by the "sheet tool', header]}), pdf], ignore_index=True), False
             yield pdf
 
+    lines.repartition(files).mapInPandas(with_preamble, "value string").write.mode("overwrite").text(path)
+
+
+@register("csv_skiprows", """select c_custkey, c_name as name from customer""")
+def csv_skiprows(spark, sf):
+    """CSV files with a junk first line, then the header; every data line
+    comes back exactly once."""
     path = io.scratch_path(spark, "csv-skip")
     c = spark.read.parquet(f"{sf}/customer.parquet")
-    lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name",
-                                 F.col("c_acctbal").cast("string")).alias("value"))
-    lines.repartition(3).mapInPandas(with_preamble, "value string").write.mode("overwrite").text(path)
+    _sheet_export(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string")).alias("value")),
+                  path, "c_custkey,c_name,c_acctbal")
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                            T.StructField("c_acctbal", T.DoubleType())])
     out = io.read_csv_skip(spark, path, schema, skip_rows=1, header=True)
     return out.withColumnRenamed("c_name", "name").drop("c_acctbal")
 
 
+@register("csv_quoted_breaks", r"""
+select o_orderkey, concat('"', o_orderpriority, chr(10), '",', cast(o_custkey as varchar), chr(10)) as note, o_totalprice as total
+from orders""")
+def csv_quoted_breaks(spark, sf):
+    """Values with quotes, separators and line breaks, in files of several
+    splits; the header has a line break, too."""
+    path = io.scratch_path(spark, "csv-breaks")
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    note = F.concat(F.lit('"""'), F.col("o_orderpriority"), F.lit('\n"",'), F.col("o_custkey").cast("string"), F.lit('\n"'))
+    _sheet_export(o.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), note, F.col("o_totalprice").cast("string")).alias("value")),
+                  path, 'key,"the\nnote",total')
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("note", T.StringType()), T.StructField("total", T.DoubleType())])
+    return io.read_csv_skip(spark, path, schema, quoted_breaks=True)
+
+
 @register("sink_roundtrip", with_views("""
 select shipment_id, shipment_number, total, shipped_at from v_shipment""", "v_shipment"))
 def sink_roundtrip(spark, sf):
@@ -122,6 +139,26 @@ def ledger_append(spark, sf):
     return io.append_ledger(report, path, jobs.NEW_ORDERS.process_name, AS_OF)
 
 
+@register("pulse_runs_once", ORACLE["pulse_new_orders"])
+def pulse_runs_once(spark, sf):
+    """R3 + S9: two runs of one pulse that overlap, the second of which finds
+    what the first could not yet; and a third behind both. All reports together
+    hold each shipment once."""
+    target = io.scratch_path(spark, "runs")
+    cfg = jobs.NEW_ORDERS
+    report = cut_lineage(pulse.new_orders(pulse.Sources.fixture(spark, sf), cfg), "report")
+    early = report.where(F.crc32("shipment_number") % 3 > 0)
+    one = runs.begin(early, target, cfg.process_name)
+    two = runs.begin(report, target, cfg.process_name)  # sees nothing of the first
+    runs.finish(one, target)
+    runs.finish(two, target)
+    runs.report_once(report, target, cfg.process_name)
+    first, *rest = runs.reports(spark, target, cfg.process_name)
+    for r in rest:
+        first = first.unionByName(r)
+    return first
+
+
 @register("delivery_manifest", with_views(f"""
 select recipient, list_sort(list_distinct(list(report))) as reports, count(distinct item) as n_items from (
   select manager_email as recipient, shipment_number as item, 'new_orders' as report from no

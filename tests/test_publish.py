@@ -159,3 +159,78 @@ def test_sink_without_merging(spark, target):
     for n in range(3):
         sink(spark.createDataFrame([(1, n)], "k int, v int"), n)
     assert rows(st.latest_per_key(spark, target, ["k"])) == [(1, 2)] and publish.listed(spark, target) == []
+
+
+# ---------------------------------------------------------------- runs that overlap
+
+
+def shipments(spark, *numbers):
+    return spark.createDataFrame([(n, i) for i, n in enumerate(numbers)], "shipment_number string, line int")
+
+
+def test_interleaved_runs_report_once(spark, target):
+    from martlet.plans import runs
+
+    one = runs.begin(shipments(spark, "a", "b"), target, "p")
+    two = runs.begin(shipments(spark, "b", "c"), target, "p")
+    three = runs.begin(shipments(spark, "a", "c"), target, "p")
+    other = runs.begin(shipments(spark, "a"), target, "q")  # another process has a ledger of its own
+    sent = [sorted(r["shipment_number"] for r in runs.finish(x, target).collect()) for x in (two, other, one, three)]
+    assert sent == [["b", "c"], ["a"], ["a"], []]
+    assert sorted(r[0] for r in runs.ledger_keys(spark, target, "p").collect()) == ["a", "b", "c"]
+    assert [len(runs.reports(spark, target, p)) for p in "pq"] == [2, 1]
+
+
+def test_a_run_that_dies_has_reported_nothing(spark, target):
+    from martlet.plans import runs
+
+    runs.begin(shipments(spark, "a"), target, "p")  # never finished
+    assert runs.ledger_keys(spark, target, "p") is None
+    assert runs.report_once(shipments(spark, "a", "b"), target, "p").count() == 2
+
+
+def test_old_runs_move_into_the_base(spark, target):
+    """Keys of runs long ago still stop a second report; list and folders stay few."""
+    from martlet.plans import runs
+
+    for n in range(12):
+        assert runs.report_once(shipments(spark, f"s{n}"), target, "p", runs=2).count() == 1
+    assert runs.report_once(shipments(spark, *[f"s{n}" for n in range(12)], "new"), target, "p", runs=2).count() == 1
+    assert len(publish.listed(spark, target)) <= 5 and len(runs.reports(spark, target, "p")) <= 4
+    assert len(publish.children(spark, f"{target}/data")) <= 12
+    assert runs.logged(spark, target, "p", "2000-01-07 09:00:00").count() == 13
+
+
+# ---------------------------------------------------------------- CSV files with junk lines
+
+
+@pytest.mark.parametrize("size", [40, 333, 1 << 20])
+def test_csv_records_over_splits(spark, tmp_path, size):
+    """Quoted breaks, quotes and separators, wherever a split ends; junk lines
+    with an odd quote; Windows line ends; files of a few lines."""
+    import csv
+    import io as text_io
+    import random
+
+    from pyspark.sql import types as T
+
+    rng, want = random.Random(2), []
+    for name, n in (("a", 60), ("b", 1), ("c", 0)):
+        out = text_io.StringIO()
+        writer = csv.writer(out, lineterminator="\r\n" if name == "b" else "\n")
+        writer.writerow(["id", "the\nnote", "v"])
+        for i in range(n):
+            note = "".join(rng.choice(['"', ",", "\n", "x", "é", " y", '""', "\n\n"]) for _ in range(rng.randint(1, 12))) + "."
+            want.append((len(want), note, float(i)))
+            writer.writerow([want[-1][0], note, want[-1][2]])
+        (tmp_path / f"{name}.csv").write_bytes(('junk "line\nmore, junk\n' + out.getvalue()).encode())
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType()), T.StructField("v", T.DoubleType())])
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        got = sio.read_csv_skip(spark, str(tmp_path), schema, skip_rows=2, quoted_breaks=True).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in got) == want
