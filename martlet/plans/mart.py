@@ -13,30 +13,30 @@ from pyspark.sql import functions as F
 from martlet.functions import rules
 from martlet.functions.time import between_local, local_date, local_date_or, month_start, months_diff
 from martlet.operators import aggs, joins
+from martlet.plans import feeds
+from martlet.plans.feeds import FRAUD_PATTERNS, one_per_key
 from martlet.session import AS_OF
-from martlet.sources.views import view
+from martlet.sources.views import Views, view
 
 HISTORY_START = "1995-01-01"
-# Comment patterns of companies that do not count, with the English
-# renderings that the fixtures use.
-FRAUD_PATTERNS = ("%физик%", "%фрод%", "%тест%", "%ликвид%", "%test%", "%fraud%")
 
 
 def shipments(spark: SparkSession, sf_dir: str, start: str = HISTORY_START,
-              as_of: str = AS_OF) -> DataFrame:
+              as_of: str = AS_OF, v: Views | None = None, fact: str = "v_shipment") -> DataFrame:
     """Fact filter: local shipping day (fallback: slot start) within the
     history, and a B2B order or one paid with a gift certificate. ``shipped_dt``
     is kept for later steps."""
-    s = view(spark, sf_dir, "v_shipment").where(between_local("shipped_at", start, as_of[:10], fallback="starts_at"))
-    cert = view(spark, sf_dir, "v_certificate").select(F.col("shipment_id").alias("certificate_shipment"))
+    v = v or Views(spark, sf_dir)
+    s = v(fact).where(between_local("shipped_at", start, as_of[:10], fallback="starts_at"))
+    cert = v("v_certificate").select(F.col("shipment_id").alias("certificate_shipment"))
     return (s.where((F.col("b2b_measure") >= 1) | F.col("shipment_id").isin(cert))
             .withColumn("shipped_dt", local_date_or("shipped_at", "starts_at")))
 
 
-def managers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def managers(spark: SparkSession, sf_dir: str, v: Views | None = None) -> DataFrame:
     """Manager periods of each company group plus the group's first manager
     (``argMin(manager_id, start_period)``)."""
-    p = view(spark, sf_dir, "v_manager_period")
+    p = (v or Views(spark, sf_dir))("v_manager_period")
     first = p.groupBy("company_group_id").agg(
         aggs.arg_min("manager_id", F.struct("start_period", "manager_id")).alias("first_manager_id"))
     return (p.join(first, "company_group_id", "inner")
@@ -72,10 +72,10 @@ def manager_gmv(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFra
                  F.sum("gmv_goods_net_promo").alias("gmv")))
 
 
-def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def companies(spark: SparkSession, sf_dir: str, v: Views | None = None) -> DataFrame:
     """Company dimension, one row per company: payment type, comment list,
     fraud flag, firmographics."""
-    c = view(spark, sf_dir, "v_company")
+    c = (v or Views(spark, sf_dir))("v_company")
     return c.select(
         "company_id", "inn", "name", "finance_income", "employee_count", "category_type",
         rules.payment_type("deposit_flg", "postpay_flg", "prepay_flg").alias("payment_type"),
@@ -85,14 +85,6 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def one_per_key(dim: DataFrame, key: str, least: str) -> DataFrame:
-    """A dimension reduced to one row per key, the one with the least ``least``
-    (then the least other columns), so that a join on it keeps the fact's rows."""
-    rest = [least, *[c for c in dim.columns if c not in (key, least)]]
-    first = dim.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r"))
-    return first.select(key, "_r.*").select(*dim.columns)
-
-
 def user_groups(user_group: DataFrame) -> DataFrame:
     """The group of every user: the least of those that a user has, so that a
     join on it keeps the fact's rows."""
@@ -145,42 +137,44 @@ def costs_and_margin(df: DataFrame, costs: DataFrame) -> DataFrame:
 
 def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     """The wide table: fact + company + manager + first orders + retention x2
-    + value metrics + costs + classification, conformed to a typed schema."""
-    ship = shipments(spark, sf_dir, as_of=as_of)
-    comp = one_per_key(companies(spark, sf_dir).select(
+    + value metrics + feeds + money + classification, conformed to a typed schema.
+    Every side is unique on its key by an aggregate, so the fact's rows stay."""
+    v = Views(spark, sf_dir)
+    ship = shipments(spark, sf_dir, as_of=as_of, v=v, fact="v_shipment_wide")
+    comp = one_per_key(companies(spark, sf_dir, v).select(
         F.col("inn").alias("company_inn"), "company_id", "payment_type", "finance_income", "employee_count",
         "category_type", F.col("name").alias("company_name"), "company_fraud_flg"), "company_inn", "company_id")
-    user_group = user_groups(view(spark, sf_dir, "v_user_group"))
-    # Scan-backed dimensions: Spark's file-size estimate is an upper bound and
-    # decides broadcast vs sort-merge on its own.
-    s = ship.join(comp, "company_inn", "left").join(user_group, "user_id", "left")
-    # First shipped order per company (A18 by company), from the base fact.
-    company_first = (s.where((F.col("shipment_state") == "shipped") & F.col("company_id").isNotNull() & F.col("shipped_at").isNotNull())
-                     .groupBy("company_id").agg(F.min(local_date("shipped_at")).alias("company_first_order_dt"),
-                                                F.min(F.struct("shipped_at", "shipment_id"))["shipment_id"].alias("first_order_shipment_id_company")))
-    a = joins.asof_left(s, managers(spark, sf_dir), by="company_group_id", left_ts="shipped_at",
+    user_group = user_groups(v("v_user_group"))
+    # First shipped order per company (A18 by company), from the fact's few columns.
+    company_first = (ship.select("company_inn", "shipment_state", "shipped_at", "shipment_id").join(comp.select("company_inn", "company_id"), "company_inn")
+                     .where((F.col("shipment_state") == "shipped") & F.col("company_id").isNotNull() & F.col("shipped_at").isNotNull())
+                     .groupBy("company_id").agg(F.min(F.struct("shipped_at", "shipment_id")).alias("_f"))
+                     .select("company_id", local_date("_f.shipped_at").alias("company_first_order_dt"),
+                             F.col("_f.shipment_id").alias("first_order_shipment_id_company")))
+    # Feeds meet each other before the fact: what is known of a company, of a user
+    # (and the user's group) and of a shipment are one table each.
+    company = feeds.contracts(v).onto(comp.join(company_first, "company_id", "left"))
+    group = feeds.firms(v).onto(feeds.first_companies(v, company_first).frame, "first_company_inn")
+    group = group.join(group_metrics(v("v_shipment"), user_group), "company_group_id", "full_outer")
+    user = user_group.join(group, "company_group_id", "left").join(feeds.user_sources(v).frame, "user_id", "full_outer")
+    s = ship.join(company, "company_inn", "left").join(user, "user_id", "left")
+    a = joins.asof_left(s, managers(spark, sf_dir, v), by="company_group_id", left_ts="shipped_at",
                         right_ts="date_end", payload=["date_start", "manager_id", "first_manager_id"],
                         bounds=shipping_months(as_of=as_of))
-    s = joins.assigned_manager(a)
-    # Per-phone metrics grow with the customers: a plain join (sort-merge at
-    # scale, AQE splits a hot phone's partition).
-    s = s.join(phone_metrics(view(spark, sf_dir, "v_shipment")), "phone", "left")
-    # Per-group metrics: a row per group; Spark broadcasts them if they are small,
-    # else AQE splits a hot group's partition of the fact.
-    groups = group_metrics(view(spark, sf_dir, "v_shipment"), user_group)
-    s = s.join(groups, "company_group_id", "left")
-    s = s.join(company_first, "company_id", "left")
-    s = costs_and_margin(s, view(spark, sf_dir, "v_order_cost"))
-    s = s.withColumn("company_type", rules.company_type("b2b_measure", F.coalesce("category_type", F.lit("")),
-                                                        "company_name", "finance_income", "employee_count"))
-    s = s.withColumn("order_type", rules.order_channel("tenant_id", "platform", "b2b_measure",
-                                                       "b2b_order_company_flg"))
-    s = s.withColumn("new_or_repeat", rules.new_or_repeat("first_order_shipment_id_phone", "shipment_id"))
-    s = s.withColumn("new_or_repeat_company", rules.new_or_repeat("first_order_shipment_id_company", "shipment_id"))
-    s = s.withColumn("new_or_repeat_group", rules.new_or_repeat("first_order_shipment_id_group", "shipment_id"))
-    # The output group is the user's group for company orders only (the as-of
-    # and the group metrics above use the user's group as is).
-    s = s.withColumn("company_group_id", F.when(F.col("b2b_measure") == 2, F.col("company_group_id")))
+    s = feeds.departments(v).onto(joins.assigned_manager(a), "assigned_manager_id")
+    # Per-phone metrics and shipments' feeds grow with the fact: plain joins
+    # (sort-merge at scale, AQE splits a hot phone's partition).
+    s = s.join(phone_metrics(v("v_shipment")), "phone", "left")
+    s = feeds.with_money(feeds.per_shipment(v).onto(s))
+    s = s.withColumns({
+        "company_type": rules.company_type("b2b_measure", F.coalesce("category_type", F.lit("")), "company_name", "finance_income", "employee_count"),
+        "order_type": rules.order_channel("tenant_id", "platform", "b2b_measure", "b2b_order_company_flg"),
+        "new_or_repeat": rules.new_or_repeat("first_order_shipment_id_phone", "shipment_id"),
+        "new_or_repeat_company": rules.new_or_repeat("first_order_shipment_id_company", "shipment_id"),
+        "new_or_repeat_group": rules.new_or_repeat("first_order_shipment_id_group", "shipment_id"),
+        # The output group is the user's group for company orders only (the as-of,
+        # the group metrics and feeds above use the user's group as is).
+        "company_group_id": F.when(F.col("b2b_measure") == 2, F.col("company_group_id"))})
     return conform(s.withColumnRenamed("total", "customer_total"))
 
 
@@ -196,20 +190,36 @@ MART_SCHEMA = [
     ("shipment_state", "string"), ("payment_state", "string"), ("payment_method_name", "string"),
     ("b2b_measure", "int"), ("b2b_order_company_flg", "int"), ("platform", "string"), ("tenant_id", "string"),
     ("retailer_id", "int"), ("store_id", "int"), ("total_weight", "bigint"),
+    ("created_at", "timestamp_ntz"), ("order_number", "string"), ("prime_lvl", "string"), ("ship_address_id", "bigint"),
+    ("type_delivery", "string"), ("city_id", "int"), ("city_name", "string"), ("retailer_name", "string"), ("store_name", "string"),
+    ("os", "string"), ("item_count", "int"), ("replaced_items_cnt", "int"), ("canceled_items_cnt", "int"), ("total_quantity", "bigint"),
+    ("surge_sum", "int"), ("initiative_flg", "int"), ("initiative", "string"),
     # company and group
     ("company_id", "bigint"), ("company_inn", "string"), ("company_name", "string"),
     ("finance_income", "bigint"), ("employee_count", "int"), ("category_type", "string"),
     ("payment_type", "string"), ("company_fraud_flg", "int"), ("company_type", "string"),
-    ("company_first_order_dt", "date"), ("company_group_id", "int"),
+    ("company_first_order_dt", "date"), ("company_group_id", "int"), ("has_contract", "string"),
+    ("first_company_id", "bigint"), ("first_company_inn", "string"), ("first_company_order_dt", "date"),
+    ("finance_expense", "bigint"), ("branch_count", "int"), ("activity_code", "int"), ("activity_name", "string"),
+    ("activity_chapter", "string"), ("segment", "string"), ("subsegment", "string"), ("region", "string"),
+    # where the user's company came from
+    ("traffic_source", "string"), ("traffic_source_plus", "string"), ("utm_source", "string"), ("utm", "string"),
+    ("partner_flg", "int"), ("group_fraud_flg", "int"),
     # manager
     ("manager_id", "bigint"), ("first_manager_id", "bigint"), ("date_start", "date"), ("date_end", "date"),
-    ("assigned_manager_id", "bigint"),
+    ("assigned_manager_id", "bigint"), ("department", "string"), ("subdepartment", "string"),
     # money
     ("customer_total", "double"), ("payment_total", "double"),
     ("gmv_goods_net_promo", "double"), ("gmv_service_fee_net_promo", "double"),
     ("gmv_sales_net_promo", "double"), ("gross_profit", "double"),
     ("picking_costs", "double"), ("drive_costs", "double"), ("taxi_costs", "double"),
     ("delivery_cost", "double"), ("cp1", "double"),
+    ("acquiring_costs", "double"), ("packing_costs", "double"), ("direct_fulfilment", "double"), ("gmv_expired_certificates", "double"),
+    ("b2b_certificates", "double"), ("b2b_certificate_profit", "double"), ("bb_certificate", "bigint"), ("goods_house", "double"),
+    ("gmv_goods", "double"), ("gmv_service_fee", "double"), ("gmv_advertising", "double"),
+    # promo
+    ("goods_promo", "double"), ("goods_promo_total", "double"), ("service_promo_total", "double"), ("promo_total_with_service", "double"),
+    ("promo_total", "double"), ("promo_code", "string"), ("bonus_promo", "double"), ("bonus_adjustment", "bigint"),
     # classification
     ("order_type", "string"), ("new_or_repeat", "string"), ("new_or_repeat_company", "string"),
     ("new_or_repeat_group", "string"),
@@ -224,30 +234,39 @@ MART_SCHEMA = [
     ("group_ret_14d", "int"), *[(f"group_ret_{m}", "int") for m in RET_MONTHS],
 ]
 
-MART_DEFAULTS = {"company_group_id": 0, "company_fraud_flg": 0, "assigned_manager_id": 0,
+MART_DEFAULTS = {"company_group_id": 0, "company_fraud_flg": 0, "assigned_manager_id": 0, "has_contract": "No", "partner_flg": 0,
+                 "group_fraud_flg": 0, "initiative_flg": 0, "bonus_adjustment": 0,
                  **{n: 0 for n, _ in MART_SCHEMA if n.startswith(("ret_", "group_ret_"))}}
 
 
 def conform(df: DataFrame, schema=MART_SCHEMA, defaults=MART_DEFAULTS) -> DataFrame:
     """Cast, order and default the output columns. A value that its column's
     type cannot hold stops the refresh with an error that names the column
-    (``failed_casts`` counts them all); it never becomes a default."""
-    cols = []
-    for name, typ in schema:
-        c = F.col(name)
-        if name.startswith(("ret_", "group_ret_")):
-            c = c.cast("int")
-        c = _checked_cast(name, c, typ)
-        if name in defaults:
-            c = F.coalesce(c, F.lit(defaults[name]).cast(typ))
-        cols.append(c.alias(name))
-    return df.select(*cols)
-
-
-def _checked_cast(name: str, c, typ: str):
-    bad = c.isNotNull() & c.try_cast(typ).isNull()
-    message = F.concat(F.lit(f"column {name} does not fit {typ}: "), c.cast("string"))
-    return F.when(bad, F.raise_error(message).cast(typ)).otherwise(c.try_cast(typ))
+    (``failed_casts`` counts them all, ``quarantine`` sets their rows apart); it never
+    becomes a default. Columns that have their type already are passed on, so the plan
+    holds a test for those alone that need one."""
+    types = dict(df.dtypes)
+    return df.selectExpr(*[f"{_conformed(name, types[name], typ, defaults)} AS `{name}`" for name, typ in schema])
+
+
+def _conformed(name: str, has: str, typ: str, defaults) -> str:
+    text = f"`{name}`"
+    if has == "boolean" and typ == "int":
+        text = f"CAST({text} AS INT)"
+    elif has != typ:
+        cast = f"TRY_CAST({text} AS {typ})"
+        message = f"concat('column {name} does not fit {typ}: ', CAST({text} AS STRING))"
+        text = f"CASE WHEN {text} IS NOT NULL AND {cast} IS NULL THEN CAST(raise_error({message}) AS {typ}) ELSE {cast} END"
+    return f"coalesce({text}, CAST({defaults[name]!r} AS {typ}))" if name in defaults else text
+
+
+def quarantine(df: DataFrame, schema=MART_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """Rows that ``conform`` takes, and those that it would stop at, with the
+    names of the columns that do not fit (``misfits``)."""
+    types = dict(df.dtypes)
+    tests = [f"CASE WHEN `{n}` IS NOT NULL AND TRY_CAST(`{n}` AS {t}) IS NULL THEN '{n}' END" for n, t in schema if n in types and types[n] != t]
+    marked = df.withColumn("misfits", F.expr(f"array_compact(array({', '.join(tests)}))") if tests else F.array().cast("array<string>"))
+    return marked.where(F.size("misfits") == 0).drop("misfits"), marked.where(F.size("misfits") > 0)
 
 
 def failed_casts(df: DataFrame, schema=MART_SCHEMA) -> DataFrame:

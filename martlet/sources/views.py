@@ -123,6 +123,74 @@ select l_suppkey as seller_id, l_partkey as item_id, cast(date_trunc('month', l_
 from {lineitem}""",
 }
 
+# The mart's fact: a shipment with all that the mart passes on or adds up.
+_WIDE = """,
+  o_orderdate - interval '1' hour * (o_orderkey % 5) as created_at,
+  concat('R', cast(cast(floor(o_orderkey/2) as bigint) as string)) as order_number,
+  case o_orderkey % 4 when 0 then 'none' when 1 then 'gold' else 'silver' end as prime_lvl,
+  o_custkey % 1000 as ship_address_id,
+  case when o_orderkey % 3 = 0 then 'pickup' else 'courier' end as type_delivery,
+  cast(o_custkey % 25 as int) as city_id, concat('City ', cast(o_custkey % 25 as string)) as city_name,
+  concat('Retailer ', cast(o_orderkey % 10 as string)) as retailer_name, concat('Store ', cast(o_orderkey % 50 as string)) as store_name,
+  case o_orderkey % 6 when 1 then 'ios' when 3 then 'android' when 5 then 'android' end as os,
+  case when o_orderkey % 15 = 0 then floor(o_totalprice * 10) / 100 else 0.0 end as b2b_certificates,
+  case when o_orderkey % 9 = 0 then floor(o_totalprice * 3) / 100 else 0.0 end as b2b_certificate_profit,
+  cast(o_orderkey % 4 * 100 as bigint) as bb_certificate, floor(o_totalprice * 80) / 100 as goods_house,
+  floor(o_totalprice * 95) / 100 as gmv_goods, floor(o_totalprice * 4) / 100 as goods_promo, floor(o_totalprice * 5) / 100 as goods_promo_total,
+  floor(o_totalprice) / 100 as service_promo_total, floor(o_totalprice * 2) / 100 as gmv_advertising, floor(o_totalprice * 3) / 100 as gmv_service_fee,
+  floor(o_totalprice * 1.5) / 100 as acquiring_costs, floor(o_totalprice * 0.7) / 100 as packing_costs,
+  floor(o_totalprice * 0.9) / 100 as picking_fee, floor(o_totalprice * 1.1) / 100 as delivery_fee,
+  case when o_orderkey % 8 = 0 then concat('PROMO', cast(o_custkey % 12 as string)) end as promo_code,
+  floor(o_totalprice * 0.3) / 100 as bonus_promo, floor(o_totalprice * 6) / 100 as promo_total, cast(o_orderkey % 3 * 50 as int) as surge_sum,
+  cast(1 + o_orderkey % 60 as int) as item_count, cast(o_orderkey % 5 as int) as replaced_items_cnt, cast(o_orderkey % 4 as int) as canceled_items_cnt,
+  o_orderkey % 500 as total_quantity
+from {orders}"""
+
+# The mart's feeds. Several rows per key are the rule.
+VIEWS |= {
+    "v_shipment_wide": VIEWS["v_shipment"].replace("\nfrom {orders}", _WIDE),
+    "v_adjustment": """
+select l_orderkey as shipment_id, case l_linenumber when 1 then 'bonus_thanks' when 2 then 'bonus_loyalty' when 3 then 'bonus_thanks' else 'coupon' end as adjustment_type,
+  cast(floor(l_discount * 1000) as bigint) as amount
+from {lineitem}""",
+    "v_initiative": """
+select l_orderkey as shipment_id, concat('Initiative ', cast(l_linenumber as string)) as type_of_initiative
+from {lineitem} where l_orderkey % 35 = 0 and l_linenumber > 1""",
+    "v_sales_contract": """
+select o_custkey as company_id, case when o_orderkey % 48 = 0 then o_orderdate end as archived_at
+from {orders} where o_orderkey % 16 = 0""",
+    "v_manager_info": """
+select s_suppkey % 10 as manager_id, concat('Department ', cast(s_nationkey % 3 as string)) as department,
+  concat('Unit ', cast(s_nationkey % 7 as string)) as subdepartment
+from {supplier}""",
+    "v_group_company": """
+select c_nationkey as company_group_id, c_custkey as company_id from {customer}""",
+    "v_company_reg": """
+select c_custkey as company_id, lpad(cast(c_custkey as string), 10, '0') as inn,
+  timestamp '1992-01-01 00:00:00' + interval '1' day * (c_custkey * 37 % 90) as created_at
+from {customer}""",
+    "v_firm": """
+select lpad(cast(c_custkey as string), 10, '0') as inn, concat(lpad(cast(c_custkey % 7 as string), 2, '0'), cast(c_custkey as string)) as registration_no,
+  cast(floor(c_acctbal * 200000) as bigint) as finance_expense, cast(c_custkey % 6 as int) as branch_count,
+  case when c_custkey % 19 = 0 then null else cast(c_custkey % 30 as int) end as activity_code
+from {customer}""",
+    "v_activity": """
+select n_nationkey as activity_code, concat('Activity ', n_name) as activity_name, concat('Chapter ', cast(n_regionkey as string)) as activity_chapter,
+  concat('Segment ', cast(n_nationkey % 4 as string)) as segment, case when n_nationkey % 3 = 0 then null else concat('Part ', cast(n_nationkey % 8 as string)) end as subsegment
+from {nation}""",
+    "v_region_city": """
+select lpad(cast(r_regionkey as string), 2, '0') as region_key, r_name as region from {region}""",
+    "v_employee_period": """
+select o_custkey as user_id, o_custkey + o_orderkey % 3 as company_id, o_orderdate as created_at from {orders}""",
+    "v_company_source": """
+select lpad(cast(c_custkey as string), 10, '0') as company_inn,
+  case c_custkey % 5 when 0 then 'partner_site' when 1 then 'search' when 2 then 'partner_lead' else 'direct' end as traffic_source,
+  case when c_custkey % 10 = 0 then null else concat('plus', cast(c_custkey % 5 as string)) end as traffic_source_plus,
+  case c_custkey % 8 when 0 then 'partner' when 1 then 'partner_story' when 2 then null else 'other' end as utm_source,
+  concat('m', cast(c_custkey % 3 as string)) as utm_medium, case when c_custkey % 9 = 0 then null else concat('t', cast(c_custkey % 4 as string)) end as utm_term
+from {customer}""",
+}
+
 # Spark forms of the views that repeat each row k times: a generator
 # (``explode(sequence(..))``) instead of a join with a constant list, so no
 # nested-loop join appears in the plans. Same rows as the texts above.
@@ -148,6 +216,21 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
+class Views:
+    """The views of one job: a base table is opened once, however many views of
+    the job read it (its file list is that of the job's start)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str) -> DataFrame:
+        text = SPARK_VIEWS.get(name, VIEWS[name])
+        for t in set(_PLACEHOLDER.findall(text)) - set(self._tables):
+            self._tables[t] = table(self.spark, self.sf_dir, t)
+        return self.spark.sql(text, **{t: self._tables[t] for t in _PLACEHOLDER.findall(text)})
+
+
 def duck_text(name: str) -> str:
     """The same view for DuckDB: placeholders become the registered tables."""
     return _PLACEHOLDER.sub(lambda m: m.group(1), VIEWS[name])

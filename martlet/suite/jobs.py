@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -598,7 +599,8 @@ _MART_CTES = _ASOF_CTES + [
      from gbase group by company_group_id"""),
 ]
 
-_COSTS = "(coalesce(oc.picking_costs, 0) + coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0))"
+_ASSIGNED_A = re.sub(r"\b(manager_id|first_manager_id|shipped_at|date_start|date_end)\b", r"a.\1", _ASSIGNED)
+_EXPIRED = "case when a.b2b_measure = 2 and a.shipment_state = 'shipped' then a.b2b_certificate_profit else 0 end"
 # Oracle expression per mart column (default: the column of the as-of'd fact `a`).
 _MART_EXPR = {
     "company_id": "c.company_id", "company_name": "c.company_name", "finance_income": "c.finance_income",
@@ -607,11 +609,23 @@ _MART_EXPR = {
     "company_type": _COMPANY_TYPE_SQL.replace("s.b2b_measure", "a.b2b_measure").replace("c.name", "c.company_name"),
     "company_group_id": "case when a.b2b_measure = 2 then a.company_group_id end",
     "date_start": "cast(a.date_start as date)", "date_end": "a.end_period",
-    "assigned_manager_id": _ASSIGNED, "customer_total": "a.total",
-    "gmv_sales_net_promo": "a.gmv_goods_net_promo + a.gmv_service_fee_net_promo",
+    "assigned_manager_id": _ASSIGNED_A, "customer_total": "a.total",
+    "gmv_sales_net_promo": f"a.gmv_goods_net_promo + a.gmv_service_fee_net_promo + a.bb_certificate - {_EXPIRED}",
+    "gmv_expired_certificates": _EXPIRED, "promo_total_with_service": "a.service_promo_total + a.goods_promo_total",
+    "direct_fulfilment": "a.packing_costs + coalesce(oc.picking_costs, 0) + a.acquiring_costs",
+    "has_contract": "case when ct.company_id is not null then 'Yes' else 'No' end",
+    "department": "mi.department", "subdepartment": "mi.subdepartment", "bonus_adjustment": "ad.amount",
+    "initiative": "ini.initiative", "initiative_flg": "case when ini.shipment_id is not null then 1 end",
+    "first_company_id": "fc.company_id", "first_company_inn": "fc.inn", "first_company_order_dt": "fo.company_first_order_dt",
+    **{c: f"fi.{c}" for c in ("finance_expense", "branch_count", "activity_code")},
+    **{c: f"act.{c}" for c in ("activity_name", "activity_chapter", "segment", "subsegment")}, "region": "rg.region",
+    **{c: f"us.{c}" for c in ("traffic_source", "traffic_source_plus", "utm_source", "utm", "partner_flg", "group_fraud_flg")},
     "picking_costs": "coalesce(oc.picking_costs, 0)", "drive_costs": "coalesce(oc.drive_costs, 0)",
     "taxi_costs": "coalesce(oc.taxi_costs, 0)", "delivery_cost": "coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0)",
-    "cp1": f"case when a.shipment_state = 'shipped' then a.gross_profit else 0 end - {_COSTS}",
+    "cp1": f"""case when a.shipment_state = 'shipped' then a.gross_profit else 0 end
+      - ((coalesce(oc.picking_costs, 0) - case when a.shipment_state = 'shipped' then a.picking_fee else 0 end)
+         + (coalesce(oc.drive_costs, 0) + coalesce(oc.taxi_costs, 0) - case when a.shipment_state = 'shipped' then a.delivery_fee else 0 end)
+         + case when a.shipment_state = 'shipped' then a.acquiring_costs + a.packing_costs else 0 end)""",
     "order_type": channel_sql("a"),
     "new_or_repeat": "case when pv.first_order_shipment_id_phone = a.shipment_id then 'new' else 'repeat' end",
     "new_or_repeat_company": "case when cf.first_id = a.shipment_id then 'new' else 'repeat' end",
@@ -636,10 +650,12 @@ _DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double
 def _mart_col(name: str, typ: str) -> str:
     e = f"try_cast(({_MART_EXPR.get(name, 'a.' + name)}) as {_DUCK_TYPE[typ]})"
     if name in mart.MART_DEFAULTS:
-        e = f"coalesce({e}, {mart.MART_DEFAULTS[name]})"
+        e = f"coalesce({e}, {mart.MART_DEFAULTS[name]!r})"
     return f"{e} as {name}"
 
 
+_FEED_VIEWS = ("v_adjustment", "v_initiative", "v_sales_contract", "v_manager_info", "v_group_company", "v_company_reg", "v_firm", "v_activity",
+               "v_region_city", "v_employee_period", "v_company_source")
 _MART_SELECT = ("select " + ",\n  ".join(_mart_col(n, t) for n, t in mart.MART_SCHEMA) + f"""
 from a left join comp c on c.company_inn = a.company_inn
 left join pv on pv.phone = a.phone left join pret pr on pr.phone = a.phone
@@ -650,11 +666,31 @@ left join (select c2.company_id, min({ld('a2.shipped_at')}) as company_first_ord
              arg_min(a2.shipment_id, (a2.shipped_at, a2.shipment_id)) as first_id
            from a a2 join comp c2 on c2.company_inn = a2.company_inn
            where a2.shipment_state = 'shipped' and a2.shipped_at is not null and c2.company_id is not null group by c2.company_id) cf
-  on cf.company_id = c.company_id""")
-
-
-@register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_certificate", "v_user_group", "v_manager_period", "v_company",
-                                 "v_order_cost", extra=_MART_CTES))
+  on cf.company_id = c.company_id
+left join (select distinct company_id from v_sales_contract where archived_at is null) ct on ct.company_id = c.company_id
+left join (select distinct on (manager_id) * from v_manager_info where manager_id <> 0 order by manager_id, department, subdepartment) mi
+  on mi.manager_id = """ + _ASSIGNED_A + """
+left join (select user_id, s.*, case when utm_source in ('partner', 'partner_story')
+             or traffic_source in ('partner_site', 'partner_landing', 'partner_lead') then 1 else 0 end as partner_flg,
+             utm_source || '_' || utm_medium || '_' || utm_term as utm,
+             case when regexp_matches(lower(coalesce(c3.manager_comment, '')), 'test|fraud|физик|фрод|тест|ликвид') then 1 else 0 end as group_fraud_flg
+           from (select p.user_id, arg_min(r.company_id, (p.created_at, r.company_id)) as company_id, arg_min(r.inn, (p.created_at, r.company_id)) as inn
+                 from v_employee_period p join v_company_reg r using (company_id) group by p.user_id) f
+           left join v_company_source s on s.company_inn = f.inn left join v_company c3 on c3.company_id = f.company_id) us on us.user_id = a.user_id
+left join (select gc.company_group_id, arg_min(r.company_id, (r.created_at, r.company_id)) as company_id, arg_min(r.inn, (r.created_at, r.company_id)) as inn
+           from v_group_company gc join v_company_reg r using (company_id) group by gc.company_group_id) fc on fc.company_group_id = a.company_group_id
+left join (select c2.company_id, min(""" + ld("a2.shipped_at") + """) as company_first_order_dt
+           from a a2 join comp c2 on c2.company_inn = a2.company_inn where a2.shipment_state = 'shipped' group by c2.company_id) fo on fo.company_id = fc.company_id
+left join v_firm fi on fi.inn = fc.inn left join v_activity act on act.activity_code = fi.activity_code
+left join v_region_city rg on rg.region_key = substr(fi.registration_no, 1, 2)
+left join (select shipment_id, sum(amount) as amount from v_adjustment where adjustment_type in ('bonus_thanks', 'bonus_loyalty') group by shipment_id) ad
+  on ad.shipment_id = a.shipment_id
+left join (select shipment_id, min(type_of_initiative) as initiative from v_initiative group by shipment_id) ini on ini.shipment_id = a.shipment_id""")
+
+
+@register("b2b_mart", with_views(_MART_SELECT, "v_shipment", "v_shipment_wide", "v_certificate", "v_user_group", "v_manager_period", "v_company",
+                                 "v_order_cost", *_FEED_VIEWS, extra=[
+                                     (n, q.replace("from v_shipment", "from v_shipment_wide") if n == "s" else q) for n, q in _MART_CTES]))
 def b2b_mart(spark, sf):
     return mart.b2b_mart(spark, sf)
 

@@ -105,6 +105,42 @@ def test_refresh_keeps_the_old_version_on_failure(spark):
     assert sio.current(spark, target).count() == 7
 
 
+def test_mart_keeps_its_fact_under_repeated_rows(spark, monkeypatch):
+    """Every dimension and feed holds each row twice, some with other values: the
+    mart has the fact's shipments once each, and the same money."""
+    sf = "/root/testdata/sf0.001"
+    once = mart.b2b_mart(spark, sf).agg(F.count("*"), F.count_distinct("shipment_id"), F.round(F.sum("gmv_goods_net_promo"), 2)).first()
+
+    class Doubled(mart.Views):
+        def __call__(self, name):
+            df = super().__call__(name)
+            if name.startswith("v_shipment"):
+                return df
+            other = df.withColumn("department", F.lit("Other")) if name == "v_manager_info" else df
+            if name == "v_user_group":
+                other = df.withColumn("company_group_id", F.col("company_group_id") + 1)
+            return df.unionByName(other)
+
+    monkeypatch.setattr(mart, "Views", Doubled)
+    assert mart.b2b_mart(spark, sf).agg(F.count("*"), F.count_distinct("shipment_id"), F.round(F.sum("gmv_goods_net_promo"), 2)).first() == once
+
+
+def test_flagship_counts_a_shipment_once(spark, monkeypatch):
+    """A second group for a user must not repeat the user's shipments."""
+    sf = "/root/testdata/sf0.001"
+    kept = mart.view
+    n = mart.manager_gmv(spark, sf).agg(F.sum("n_shipments")).first()[0]
+    monkeypatch.setattr(mart, "view", lambda *a: (lambda df: df.unionByName(df.withColumn("company_group_id", F.col("company_group_id") + 1)))(kept(*a)))
+    assert mart.manager_gmv(spark, sf).agg(F.sum("n_shipments")).first()[0] == n
+
+
+def test_quarantine_sets_misfits_apart(spark):
+    df = spark.createDataFrame([(1, 2**40, "7"), (2, 5, "x"), (3, None, "8"), (4, 2**41, "y")], "id long, big long, text string")
+    good, bad = mart.quarantine(df, [("id", "bigint"), ("big", "int"), ("text", "int")])
+    assert [r["id"] for r in good.collect()] == [3] and good.columns == df.columns
+    assert {r["id"]: r["misfits"] for r in bad.collect()} == {1: ["big"], 2: ["text"], 4: ["big", "text"]}
+
+
 def test_order_channel_table(spark):
     rows = [("tenant_b2b", "web", 2, None), ("tenant_main", "web", 2, 1), ("tenant_main", "web", 2, None), ("tenant_wl", "web", 0, 1),
             ("tenant_wl", "web", 1, 0), ("tenant_x", "app", 2, 0), ("tenant_x", "web", 1, 0), (None, None, 3, None), (None, None, None, None)]
