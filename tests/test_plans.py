@@ -19,10 +19,10 @@ def test_no_cross_join_no_python(spark, key):
 
 
 def test_flagship_shuffles_the_fact_once(spark):
-    """One exchange for the final group-by, one for the first manager of each
-    group (a dimension, formerly hidden in a job of its own)."""
+    """One exchange for the final group-by; one each for the first manager of a
+    group and the one group of a user, which are dimensions."""
     s = summarise(QUERIES["b2b_manager_gmv"](spark, SF))
-    assert s["shuffles"] <= 2 and s["smj"] == 0
+    assert s["shuffles"] <= 3 and s["smj"] == 0
 
 
 def test_scan_pushdown_and_pruning(spark):
