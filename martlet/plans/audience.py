@@ -207,6 +207,12 @@ def last_phone(phones: DataFrame) -> DataFrame:
     return phones.groupBy("user_id").agg(aggs.arg_max("value", F.struct("created_at", "value")).alias("phone_number"))
 
 
+def last_segment(segments: DataFrame) -> DataFrame:
+    """The marketing segment that a user was put into last (of several at one
+    time the last by name)."""
+    return segments.groupBy("user_id").agg(aggs.arg_max("name", F.struct("update_date", "name")).alias("segment"))
+
+
 def user_email(users: DataFrame, excluded_domains: tuple[str, ...] = ("%corp.example%",),
                temp_pattern: str = "%@temp.temp%") -> DataFrame:
     """Mail, or the pending mail when the mail is a temporary one; staff
@@ -232,7 +238,7 @@ def month_orders(shipments: DataFrame, spec: AudienceSpec) -> DataFrame:
 
 OUTPUT = ["user_id", "platform", "first_name", "last_name", "phone_number", "user_email", "is_b2b", "orders_period",
           "address_count", "min_month_orders", "new_or_old", "use_duration", "bank_id_use", "shipment_states",
-          "retailer_names", "major_share", "orders_food_category", "orders_nonfood_category"]
+          "retailer_names", "major_share", "orders_food_category", "orders_nonfood_category", "segment"]
 
 
 def audience_extract(spark: SparkSession, sf_dir: str, spec: AudienceSpec) -> DataFrame:
@@ -244,7 +250,8 @@ def audience_extract(spark: SparkSession, sf_dir: str, spec: AudienceSpec) -> Da
              .join(bank_id_use(v("v_user_auth"), spec), "user_id")
              .join(last_phone(v("v_phone")), "user_id")
              .join(user_email(v("v_user")), "user_id")
-             .join(month_orders(ship, spec), "user_id"))
+             .join(month_orders(ship, spec), "user_id")
+             .join(last_segment(v("v_user_segment")), "user_id", "left"))
     if spec.major_shop_size:
         total = total.where(F.col("major_share") >= 0.5)
     total = total.select(*OUTPUT)

@@ -149,6 +149,9 @@ from {orders}"""
 # The mart's feeds. Several rows per key are the rule.
 VIEWS |= {
     "v_shipment_wide": VIEWS["v_shipment"].replace("\nfrom {orders}", _WIDE),
+    "v_user_segment": """
+select o_custkey as user_id, concat('Segment ', cast(o_orderkey % 6 as string)) as name, o_orderdate as update_date
+from {orders} where o_orderkey % 3 <> 1""",
     "v_adjustment": """
 select l_orderkey as shipment_id, case l_linenumber when 1 then 'bonus_thanks' when 2 then 'bonus_loyalty' when 3 then 'bonus_thanks' else 'coupon' end as adjustment_type,
   cast(floor(l_discount * 1000) as bigint) as amount

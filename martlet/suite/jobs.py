@@ -443,12 +443,13 @@ _AUD_CTES = [
 @register("audience_extract", with_views(f"""
 select us.user_id, us.platform, em.first_name, em.last_name, ph.phone_number, em.user_email, us.is_b2b,
   us.orders_period, us.address_count, mo.min_month_orders, fu.new_or_old, fu.use_duration, sb.bank_id_use,
-  us.shipment_states, us.retailer_names, us.major_share, us.orders_food_category, us.orders_nonfood_category
+  us.shipment_states, us.retailer_names, us.major_share, us.orders_food_category, us.orders_nonfood_category, sg.segment
 from us join fu using (user_id) join sb using (user_id) join ph using (user_id) join em using (user_id)
 join mo using (user_id)
+left join (select user_id, arg_max(name, (update_date, name)) as segment from v_user_segment group by user_id) sg using (user_id)
 where us.major_share >= 0.5
 order by us.user_id, us.platform limit 40""", "v_shipment", "v_funnel_web", "v_funnel_app", "v_user_auth", "v_phone",
-                                         "v_user", "v_line_item", "v_category", extra=_AUD_CTES))
+                                         "v_user", "v_line_item", "v_category", "v_user_segment", extra=_AUD_CTES))
 def audience_extract(spark, sf):
     return aud.audience_extract(spark, sf, AUDIENCE)
 

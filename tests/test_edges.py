@@ -208,6 +208,15 @@ def test_stream_logs_reported_shipments_only(spark):
     assert sorted(got) == [(0, "a"), (1, "b")]
 
 
+def test_last_segment_of_a_user(spark):
+    from martlet.plans.audience import last_segment
+
+    rows = [(1, "a", dt.datetime(2000, 1, 2)), (1, "z", dt.datetime(2000, 1, 1)), (2, "b", dt.datetime(2000, 1, 1)), (2, "c", dt.datetime(2000, 1, 1)),
+            (2, "d", None), (3, None, dt.datetime(2000, 1, 1))]
+    got = last_segment(spark.createDataFrame(rows, "user_id long, name string, update_date timestamp_ntz")).collect()
+    assert {r["user_id"]: r["segment"] for r in got} == {1: "a", 2: "c", 3: None}
+
+
 def test_typed_list():
     from martlet.plans.audience import typed_list
 
