@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from martlet.functions import rules
 from martlet.functions import time as tf
+from martlet.functions.text import full_name
 from martlet.operators import joins, windows
 from martlet.plans.directory import Fallback, manager_directory
-from martlet.session import AS_OF
+from martlet.session import AS_OF, cut_lineage
 from martlet.sources.views import view
 
 
@@ -40,6 +41,9 @@ class PulseConfig:
     ledger_names: tuple[str, ...] = ()  # ledgers read for the anti join (default: own)
     scan_ledger: str | None = None  # over-limit: first-stage ledger of scanned shipments
     exclude_store_ids: tuple[int, ...] = ()  # e.g. "two retailers minus one store"
+    zones: tuple[str, ...] = ()  # only stores of these operational zones
+    exclude_zones: tuple[str, ...] = ()  # only stores of a known zone that is none of these
+    slot_day: str = "utc"  # K3: the slot's day as stored ("utc") or in the report zone ("local")
     lines_by: str = "shipment_id"  # "order_id" reproduces the reference's join of lines by order (Q8)
     gate: str = "pay"  # which orders are alerted or listed, see ``payable``
     trigger: str = "12 minutes"
@@ -57,6 +61,7 @@ class Sources:
     ledger: DataFrame
     directory: DataFrame
     limits: DataFrame | None = None
+    stores: DataFrame | None = None  # (store_id, zone), read where a pulse names zones
 
     @staticmethod
     def fixture(spark: SparkSession, sf_dir: str, fb: Fallback = Fallback()) -> "Sources":
@@ -64,7 +69,7 @@ class Sources:
         directory = manager_directory(v("v_company"), v("v_company_manager"), v("v_user"), v("v_phone"), fb)
         return Sources(v("v_shipment"), v("v_line_item"), v("v_offer"), v("v_delivery_window"),
                        v("v_company_order"), v("v_locked_order"), v("v_ledger"), directory,
-                       v("v_offer_limit"))
+                       v("v_offer_limit"), v("v_store"))
 
 
 def _scope(s: DataFrame, cfg: PulseConfig) -> DataFrame:
@@ -82,11 +87,25 @@ def _scope(s: DataFrame, cfg: PulseConfig) -> DataFrame:
     return s
 
 
+def _scoped(src: Sources, cfg: PulseConfig) -> DataFrame:
+    """Shipments of the scope, those of its stores' zones too (P5 nested in J4).
+    A store without a zone is in none, whether zones are listed or excluded."""
+    s = _scope(src.shipments, cfg)
+    if not (cfg.zones or cfg.exclude_zones):
+        return s
+    stores = src.stores.where(F.col("zone").isNotNull())
+    if cfg.zones:
+        stores = stores.where(F.col("zone").isin(*cfg.zones))
+    if cfg.exclude_zones:
+        stores = stores.where(~F.col("zone").isin(*cfg.exclude_zones))
+    return joins.semi(s, stores.select("store_id"), "store_id")
+
+
 def candidates(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """Shipments of the scope inside the look-back window, with slot,
     company and local times. Slot dates are compared as dates with the
     as-of date minus N days, inclusive."""
-    s = _scope(src.shipments, cfg)
+    s = _scoped(src, cfg)
     w = src.windows.select(F.col("id").alias("shipment_id"), F.col("starts_at").alias("slot_start"),
                            F.col("ends_at").alias("slot_end"))
     s = s.join(w, "shipment_id", "inner")
@@ -185,15 +204,28 @@ def payable(df: DataFrame, src: Sources, cfg: PulseConfig) -> DataFrame:
     return df.where(F.coalesce(gate, F.lit(False))).drop("_bal_ok", "_postpay")
 
 
-def _next_day_base(src: Sources, cfg: PulseConfig, as_of: str) -> DataFrame:
-    """Shipments of the scope with a slot on the next business day that are
-    ``payable``."""
-    asof = tf.ts_lit(as_of)
-    s = _scope(src.shipments, cfg)
+def next_day_candidates(src: Sources, cfg: PulseConfig, as_of: str) -> DataFrame:
+    """Shipments of the scope with a slot on the next business day, with slot and
+    company. The range on the stored time reaches the scan; with ``slot_day``
+    "local" it is a day wider on both sides and the exact day in the zone follows."""
+    if cfg.slot_day not in ("utc", "local"):
+        raise ValueError(f"slot_day is 'utc' or 'local', not {cfg.slot_day!r}")
+    day = tf.next_business_day(tf.ts_lit(as_of))
+    around = int(cfg.slot_day == "local")
     w = src.windows.select(F.col("id").alias("shipment_id"), F.col("starts_at").alias("slot_start"))
-    s = s.join(w, "shipment_id").where(F.to_date("slot_start") == tf.next_business_day(asof))
-    s = s.join(src.company_orders, "order_id", "left")
-    return payable(s, src, cfg)
+    w = w.where((F.col("slot_start") >= F.date_sub(day, around).cast("timestamp_ntz"))
+                & (F.col("slot_start") < F.date_add(day, 1 + around).cast("timestamp_ntz")))
+    if around:
+        w = w.where(tf.local_date("slot_start") == day)
+    return _scoped(src, cfg).join(w, "shipment_id").join(src.company_orders, "order_id", "left")
+
+
+def _next_day_base(src: Sources, cfg: PulseConfig, as_of: str) -> DataFrame:
+    """The next business day's candidates that are ``payable``. They are a day's
+    slots out of the whole history and are used for the orders that owe, for those
+    orders' gaps and for the result: written once, read from there."""
+    s = next_day_candidates(src, cfg, as_of)
+    return payable(cut_lineage(s, "next-day") if cfg.gate == "pay" else s, src, cfg)
 
 
 def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
@@ -209,26 +241,58 @@ def next_day(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
 
 def consignees(src: Sources, cfg: PulseConfig, companies: DataFrame, as_of: str = AS_OF,
                min_qty: float = 240, categories: tuple[str, ...] = ("%paper%",),
-               special_store: int | None = None) -> DataFrame:
+               special_store: int | None = None, category_ids: tuple[int, ...] = (),
+               clients: DataFrame | None = None) -> DataFrame:
     """K3: consignee list for paper documents. Next-day shipments (same gate)
     with a line of at least ``min_qty`` units of an offer in the listed
-    categories, with the company's tax id and name; rows of
-    ``special_store`` go to their own file (T7 route, column ``route``)."""
+    categories, by id where ``category_ids`` are given, else by pattern, with the
+    company's tax id and name; rows of ``special_store`` go to their own file (T7
+    route, column ``route``). ``cfg.lines_by`` says whether the shipment's or the
+    whole order's lines count. With ``clients`` (a row per user) the list has the
+    contact's name and mail, the pending one first."""
     from martlet.operators.reshape import route
 
     s = _next_day_base(src, cfg, as_of)
     li = (src.line_items.where(F.col("deleted_at").isNull() & (F.col("quantity") >= min_qty))
-          .select("shipment_id", "offer_id", "quantity"))
-    o = (src.offers.where(rules.like_any("category", categories, fold_case=True))
-         .select(F.col("id").alias("offer_id"), F.col("name").alias("offer_name")))
-    c = companies.select("company_id", "inn", F.col("name").alias("company_name"))
-    rows = (s.join(li, "shipment_id").join(o, "offer_id").join(c, "company_id", "inner")
-            .select("inn", "company_name", "shipment_number", "offer_name", "quantity", "store_id").distinct())
+          .select(cfg.lines_by, "offer_id", "quantity"))
+    listed = F.col("category_id").isin(*category_ids) if category_ids else rules.like_any("category", categories, fold_case=True)
+    o = src.offers.where(listed).select(F.col("id").alias("offer_id"), F.col("name").alias("offer_name"))
+    c = companies.select("company_id", "inn", F.col("name").alias("company_name"), *_if_there(companies, "kpp"))
+    rows = s.join(li, cfg.lines_by).join(o, "offer_id").join(c, "company_id", "inner")
+    contact: list[str] = []
+    if clients is not None:
+        rows, contact = _with_contact(rows, clients)
+    rows = rows.select("inn", *_if_there(companies, "kpp"), "company_name", "shipment_number", *contact, "offer_name",
+                       "quantity", "store_id").distinct()
     special, other = route(rows, F.col("store_id") == F.lit(special_store))
     return (special.withColumn("route", F.lit("special_store"))
             .unionByName(other.withColumn("route", F.lit("other"))).drop("store_id"))
 
 
+def _if_there(df: DataFrame, *names: str) -> list[str]:
+    return [n for n in names if n in df.columns]
+
+
+def _with_contact(rows: DataFrame, clients: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The ordering user's full name and mail (left: an unknown user has neither)."""
+    c = clients.select("user_id", full_name("firstname", "lastname").alias("contact_name"),
+                       F.coalesce("pending_email", "email").alias("contact_email"))
+    return rows.join(c, "user_id", "left"), ["contact_name", "contact_email"]
+
+
+def promo_consignees(src: Sources, cfg: PulseConfig, order_promos: DataFrame, companies: DataFrame,
+                     clients: DataFrame, codes: tuple[str, ...], as_of: str = AS_OF) -> DataFrame:
+    """K3: consignees of the next business day's ``payable`` shipments whose order
+    used one of the promo ``codes`` (given for large orders with paper documents),
+    without regard to lines. ``order_promos`` holds (order_id, promo_code), any
+    number per order; a code is compared as written."""
+    coded = order_promos.where(F.col("promo_code").isin(*codes)).select("order_id")
+    s = joins.semi(_next_day_base(src, cfg, as_of), coded, "order_id")
+    c = companies.select("company_id", "inn", F.col("name").alias("company_name"), *_if_there(companies, "kpp"))
+    rows, contact = _with_contact(s.join(c, "company_id", "inner"), clients)
+    return rows.select("inn", *_if_there(companies, "kpp"), "company_name", "shipment_number", *contact).distinct()
+
+
 def big_orders(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K4: lines of unreported shipments over the thresholds (``and``: line
     and shipment both; ``or``: either), of ``payable`` orders."""
@@ -315,7 +379,7 @@ def hourly(src: Sources, cfg: PulseConfig, as_of: str = AS_OF) -> DataFrame:
     """K6: shipments completed (or canceled) since the hourly look-back start
     (49 h on Monday just after midnight), no ledger."""
     asof = tf.ts_lit(as_of)
-    s = _scope(src.shipments, cfg)
+    s = _scoped(src, cfg)
     s = s.where((F.col("completed_at") > tf.hourly_lookback(asof)) & (F.col("completed_at") <= asof))
     s = s.join(src.company_orders, "order_id", "left")
     s = s.withColumn("completed_local", tf.local_ts("completed_at"))

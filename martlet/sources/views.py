@@ -194,6 +194,24 @@ select lpad(cast(c_custkey as string), 10, '0') as company_inn,
 from {customer}""",
 }
 
+# What the next-day jobs read besides: stores' zones, orders' promo codes, clients.
+VIEWS |= {
+    "v_store": """
+select distinct cast(o_orderkey % 50 as int) as store_id,
+  case when o_orderkey % 50 % 11 = 10 then null else concat('Zone ', cast(o_orderkey % 50 % 4 as string)) end as zone
+from {orders}""",
+    "v_order_promo": """
+select cast(floor(o_orderkey/2) as bigint) as order_id, concat('PROMO', cast(o_custkey % 12 as string)) as promo_code
+from {orders} where o_orderkey % 3 <> 0""",
+    "v_client": """
+select c_custkey as user_id, concat('N', cast(c_custkey as string)) as firstname, concat('S', cast(c_nationkey as string)) as lastname,
+  concat('c', cast(c_custkey as string), '@example.org') as email,
+  case when c_custkey % 5 = 0 then concat('n', cast(c_custkey as string), '@example.org') end as pending_email
+from {customer}""",
+    "v_company_tax": VIEWS["v_company"].replace("c_name as name,", "lpad(cast(c_nationkey as string), 9, '7') as kpp, c_name as name,"),
+    "v_offer_filed": VIEWS["v_offer"].replace("p_type as category,", "p_type as category, p_size as category_id,"),
+}
+
 # Spark forms of the views that repeat each row k times: a generator
 # (``explode(sequence(..))``) instead of a join with a constant list, so no
 # nested-loop join appears in the plans. Same rows as the texts above.

@@ -910,6 +910,81 @@ def pulse_next_day_state(spark, sf):
     return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY_STATE, as_of=ND_AS_OF)
 
 
+# The two jobs of a retailer that is split by zone, slots by the zone's day.
+NEXT_DAY_ZONE = replace(NEXT_DAY, exclude_zones=("Zone 1",), slot_day="local")
+
+
+def _zone_sql(body: str, zone: str, day: str) -> str:
+    """A next-day text with the slot's day as ``day`` and stores whose zone fits."""
+    return body.replace("cast(w.starts_at as date) =", f"{day} =").replace(
+        "where s.retailer_id", f"where s.store_id in (select store_id from v_store where zone {zone}) and s.retailer_id")
+
+
+_ZONED = dict(zone="<> 'Zone 1'", day=ld("w.starts_at"))
+
+
+@register("pulse_next_day_zone", with_views("select * from nd", *_PULSE_VIEWS, "v_locked_order", "v_store", extra=[
+    ("dir", _DIRECTORY), ("bal", _zone_sql(_BAL_SQL, **_ZONED)), ("nd", _zone_sql(_NEXT_DAY_SQL, **_ZONED))]))
+def pulse_next_day_zone(spark, sf):
+    """K3 for stores of a known zone but one, by the slot's day in the report zone."""
+    return pulse.next_day(pulse.Sources.fixture(spark, sf), NEXT_DAY_ZONE, as_of=ND_AS_OF)
+
+
+_CONTACT = "cl.firstname || ' ' || cl.lastname as contact_name, coalesce(cl.pending_email, cl.email) as contact_email"
+_IN_ZONE = dict(zone="<> 'Zone 1'", day="cast(w.starts_at as date)")
+_ZONE_BASE = [("dir", _DIRECTORY), ("bal", _zone_sql(_BAL_SQL, **_IN_ZONE)),
+              ("cb", _zone_sql(_CONSIGNEE_BASE.replace("s.store_id, co", "s.store_id, s.order_id, s.user_id, co"), **_IN_ZONE))]
+
+
+@register("pulse_consignees_filed", with_views(f"""
+select distinct c.inn, c.kpp, c.name as company_name, b.shipment_number, {_CONTACT}, o.name as offer_name, li.quantity,
+  case when b.store_id = 42 then 'special_store' else 'other' end as route
+from cb b join v_line_item li on li.order_id = b.order_id and li.deleted_at is null and li.quantity >= 2
+join v_offer_filed o on o.id = li.offer_id and o.category_id between 1 and 40
+join v_company_tax c on c.company_id = b.company_id left join v_client cl on cl.user_id = b.user_id""",
+                                               *_PULSE_VIEWS, "v_locked_order", "v_store", "v_company_tax", "v_offer_filed", "v_client", extra=_ZONE_BASE))
+def pulse_consignees_filed(spark, sf):
+    """K3's consignees of the zones but one: categories by id, the whole order's lines, contacts."""
+    v = lambda n: view(spark, sf, n)
+    src = replace(pulse.Sources.fixture(spark, sf), offers=v("v_offer_filed"))
+    cfg = replace(NEXT_DAY, exclude_zones=("Zone 1",), lines_by="order_id")
+    return pulse.consignees(src, cfg, v("v_company_tax"), as_of=ND_AS_OF, min_qty=2, special_store=42,
+                            category_ids=tuple(range(1, 41)), clients=v("v_client"))
+
+
+@register("pulse_consignees_promo", with_views(f"""
+select distinct c.inn, c.kpp, c.name as company_name, b.shipment_number, {_CONTACT}
+from (select distinct s.shipment_number, s.order_id, s.user_id, co.company_id
+      from v_shipment s join v_delivery_window w on w.id = s.shipment_id left join v_company_order co on co.order_id = s.order_id
+      where s.retailer_id in ({_ND_RET}) and s.shipment_state in ('complete', 'shipped') and cast(w.starts_at as date) = {_ND_DATE}
+        and {_gate_sql('s', 'co.company_id')}) b
+join v_company_tax c on c.company_id = b.company_id left join v_client cl on cl.user_id = b.user_id
+where b.order_id in (select order_id from v_order_promo where promo_code in ('PROMO1', 'PROMO4', 'PROMO5', 'PROMO8'))""",
+                                               *_PULSE_VIEWS, "v_locked_order", "v_order_promo", "v_company_tax", "v_client",
+                                               extra=[("dir", _DIRECTORY), ("bal", _BAL_SQL)]))
+def pulse_consignees_promo(spark, sf):
+    """K3's consignees of orders with one of some promo codes."""
+    v = lambda n: view(spark, sf, n)
+    return pulse.promo_consignees(pulse.Sources.fixture(spark, sf), NEXT_DAY, v("v_order_promo"), v("v_company_tax"), v("v_client"),
+                                  ("PROMO1", "PROMO4", "PROMO5", "PROMO8"), as_of=ND_AS_OF)
+
+
+@register("manager_directory_tax", with_views("select * from dir", "v_company_tax", "v_company_manager", "v_user", "v_phone", extra=[
+    ("dir", _DIRECTORY.replace("c.inn,", "c.inn, c.kpp,").replace("company_id, inn,", "company_id, inn, kpp,").replace("v_company)", "v_company_tax)"))]))
+def manager_directory_tax(spark, sf):
+    """K11 with the registration reason code."""
+    v = lambda n: view(spark, sf, n)
+    return dirs.manager_directory(v("v_company_tax"), v("v_company_manager"), v("v_user"), v("v_phone"))
+
+
+@register("manager_mails", with_views(f"""
+select distinct cm.company_id, coalesce(u.email, '{_FB.email}') as manager_email
+from v_company_manager cm left join v_user u on u.id = cm.user_id where cm.deleted_at is null""", "v_company_manager", "v_user"))
+def manager_mails(spark, sf):
+    """K11, mail only."""
+    return dirs.manager_mails(view(spark, sf, "v_company_manager"), view(spark, sf, "v_user"))
+
+
 @register("pulse_over_limit_contacts", with_views(f"""
 select distinct c.shipment_number, c.store_id, o.retailer_sku, li.quantity, lim.max_qty, ds.director_email as contact
 from c join v_line_item li on li.shipment_id = c.shipment_id and li.deleted_at is null

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions import rules
 from martlet.functions import time as tf
-from martlet.operators import aggs, joins
+from martlet.operators import aggs, joins, windows
 from martlet.plans import history, mart, pulse
 from martlet.sources import io as sio
 
@@ -47,6 +47,46 @@ def test_scope_without_states(spark):
     assert pulse._scope(df, pulse.PulseConfig("p")).count() == 0
 
 
+def test_scope_by_zone(spark):
+    ship = spark.createDataFrame([(i, 1, i, "complete") for i in range(5)], "shipment_id long, retailer_id int, store_id int, shipment_state string")
+    stores = spark.createDataFrame([(0, "north"), (1, "south"), (2, None), (3, "south"), (3, "south")], "store_id int, zone string")
+    src = pulse.Sources(ship, None, None, None, None, None, None, None, stores=stores)
+
+    def got(**kw):
+        return sorted(r["shipment_id"] for r in pulse._scoped(src, pulse.PulseConfig("p", **kw)).collect())
+
+    assert got() == [0, 1, 2, 3, 4]  # no zones named: stores are not looked at
+    assert got(zones=("south",)) == [1, 3]  # a store that is listed twice keeps its shipments single
+    assert got(exclude_zones=("south",)) == [0]  # unknown zones and stores are in none
+    assert got(zones=("south", "north"), exclude_zones=("south",)) == [0]
+
+
+@pytest.mark.parametrize("day,want", [("utc", [1, 2]), ("local", [0, 1])])
+def test_next_day_slots_by_day_rule(spark, day, want):
+    """Friday's slots: the zone's Friday begins at 21 hours UTC on Thursday."""
+    ship = spark.createDataFrame([(i, i, 1, 1, "complete") for i in range(4)],
+                                 "shipment_id long, order_id long, retailer_id int, store_id int, shipment_state string")
+    at = [dt.datetime(2000, 1, 6, 22), dt.datetime(2000, 1, 7, 5), dt.datetime(2000, 1, 7, 22), dt.datetime(2000, 1, 8, 12)]
+    slots = spark.createDataFrame(list(enumerate(at)), "id long, starts_at timestamp_ntz")
+    orders = spark.createDataFrame([(0, 7)], "order_id long, company_id long")
+    src = pulse.Sources(ship, None, None, slots, orders, None, None, None)
+    rows = pulse.next_day_candidates(src, pulse.PulseConfig("p", slot_day=day), "2000-01-06 09:00:00").collect()
+    assert sorted(r["shipment_id"] for r in rows) == want
+    with pytest.raises(ValueError, match="slot_day"):
+        pulse.next_day_candidates(src, pulse.PulseConfig("p", slot_day="zone"), "2000-01-06 09:00:00")
+
+
+def test_gap_of_orders_with_missing_payments(spark):
+    rows = [(1, 500.0, 800.0), (1, 500.0, 600.0),  # one payment, copied: 1400 - 500
+            (2, 500.0, 900.0), (2, 600.0, 1300.0),  # two payments: 2200 - 1100
+            (3, None, 700.0), (3, None, 100.0),  # none at all: no gap
+            (4, None, 600.0), (4, 10.0, 400.0),  # a missing one counts as another
+            (None, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "order_id long, paid double, total double")
+    got = {r["order_id"] for r in windows.balance_due_window(df, "order_id", "paid", "total").collect()}
+    assert got == {1, 4, None}
+
+
 def test_conform_reports_bad_values(spark):
     df = spark.createDataFrame([(1, 2**40, "7"), (2, None, "x")], "id long, big long, text string")
     schema = [("id", "bigint"), ("big", "int"), ("text", "int")]
