@@ -67,6 +67,31 @@ class TestQualityRules:
         kept = {r["doc_id"]: r["kept"] for r in profile_rules.judge(df).collect()}
         assert all(kept[i] for i in range(good)) and not any(kept[i] for i in range(good, len(rows)))
 
+    def test_verdicts_follow_shares_and_the_sql(self, spark):
+        """Labels moved to stray languages: code and SQL agree, and a table held
+        three times over gets the same verdicts."""
+        import duckdb
+
+        docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+        stray = docs.withColumn("lang", F.expr("""CASE WHEN doc_id % 10 = 0 THEN 'und' WHEN doc_id % 40 = 3 THEN concat('x', doc_id)
+            WHEN doc_id % 50 = 7 THEN NULL WHEN text RLIKE '[#*$%&|<>]{3}' OR contains(text, ' | ') THEN 'junk' ELSE lang END""")).toPandas()
+        df = spark.createDataFrame(stray)
+        got = {r["doc_id"]: r["kept"] for r in profile_rules.judge(df).collect()}
+        con = duckdb.connect()
+        con.register("documents", stray)
+        assert got == {r[0]: r[-1] for r in con.execute(profile_rules._oracle()).fetchall()}
+        thrice = df.crossJoin(spark.range(3).select(F.col("id").alias("copy")))
+        again = profile_rules.judge(thrice).select("doc_id", "kept").distinct().collect()
+        assert len(again) == len(got) and {r["doc_id"]: r["kept"] for r in again} == got
+
+    def test_many_labels_stay_a_table(self, spark):
+        """Thousands of dirty labels neither reach the driver nor the plan."""
+        prose = " ".join(f"the {a}{b}n of {b}{a}rt" for a in ("ca", "do", "ho", "bi") for b in ("le", "mi", "sa", "tu"))
+        rows = [(i, f"{prose} number{i} and so on", f"l{i}") for i in range(3000)]
+        profiles = profile_rules.cut_lineage(profile_rules.measured(spark.createDataFrame(rows, "doc_id long, text string, lang string")), "test")
+        solid, other = profile_rules.references(profiles)
+        assert list(solid) == ["l0"] and other.count() == 2999
+
     def test_tables_go_and_clean_text_stays(self, spark):
         """Labelled rows of another table than the one that gave the limits."""
         sf = SF.replace("0.001", "0.01")
