@@ -184,7 +184,9 @@ def _with_ticks(spark: SparkSession, stream: DataFrame) -> DataFrame:
 # Fixed value: an order whose open rest is this small counts as paid.
 TOLERANCE = 1000.0
 
-ORDER_STATE = "total double, paid double, shipments string, payments string, deadline long, done boolean"
+#: Orders are dealt to so many groups of the stateful operator, whatever their number.
+ORDER_BUCKETS = 4096
+ORDER_STATE = "orders binary"
 PAY_RESULT = "order_id long, status string, order_total double, paid double, n_payments int, decided_ms long"
 
 
@@ -202,7 +204,8 @@ def order_events(orders: DataFrame, payments: DataFrame) -> DataFrame:
     return both.where("item is not null and at is not null")
 
 
-def accumulate_payments(events: DataFrame, delay: str, max_wait: str, tolerance: float = TOLERANCE) -> DataFrame:
+def accumulate_payments(events: DataFrame, delay: str, max_wait: str, tolerance: float = TOLERANCE,
+                        buckets: int = ORDER_BUCKETS) -> DataFrame:
     """R6 + P15 + A17 with payments in parts: an order waits until its distinct
     payments reach the sum of its shipments but for ``tolerance``. Events
     (``order_events``) change the order's state in the order of their times, the gate
@@ -212,49 +215,64 @@ def accumulate_payments(events: DataFrame, delay: str, max_wait: str, tolerance:
     or a shipment that comes twice counts once; payments alone are no order. Rows
     later than the watermark are dropped.
 
-    An order's state holds its own shipments' and payments' numbers, a handful, and
-    goes with its timer: what is kept is bounded by the orders of ``max_wait`` and
-    ``delay``."""
+    A call of the operator costs some milliseconds whatever it holds, so an order is
+    not a group of its own: orders are dealt to ``buckets`` groups by a hash of their
+    number. A group's state holds its open orders, packed, each with its own
+    shipments' and payments' numbers, a handful, and its timer is that of the order
+    that ends first. What is kept is bounded by the orders of ``max_wait`` and
+    ``delay``, and a group without open orders is not kept. A checkpoint keeps the
+    number of ``buckets`` that it was begun with: go on from it with the same."""
     import json
+    import zlib
 
     import pandas as pd
 
     wait = int(pd.Timedelta(max_wait).total_seconds() * 1000)
     names = [c.split()[0] for c in PAY_RESULT.split(", ")]
 
-    def decide(key, frames, state):
-        def told(status, at):
-            return pd.DataFrame([(key[0], status, total, paid, len(payments), at)], columns=names)
-
-        if state.exists:
-            total, paid, shipments, payments, deadline, done = state.get
-            shipments, payments = json.loads(shipments), json.loads(payments)
-        if state.hasTimedOut:
+    def by_order(frames):
+        rows = {}
+        for f in frames:
+            for order, *event in zip(f["order"].tolist(), f["ms"].tolist(), (f["kind"] == "payment").tolist(), f["item"].tolist(), f["amount"].tolist()):
+                rows.setdefault(order, []).append(event)
+        return rows
+
+    def decide(_, frames, state):
+        told = []
+
+        def tell(order, status, at):
+            total, paid, _, payments, _, _ = opened[order]
+            told.append((None if order == "" else int(order), status, total, paid, len(payments), at))
+
+        opened = json.loads(zlib.decompress(state.get[0])) if state.exists else {}
+        for order, rows in ({} if state.hasTimedOut else by_order(frames)).items():
+            rows.sort()
+            now = opened.setdefault(order, [0.0, 0.0, [], [], rows[0][0] + wait, False])
+            for at, is_payment, item, amount in rows:
+                seen = now[3] if is_payment else now[2]
+                if now[5] or at > now[4] or item in seen:
+                    continue
+                seen.append(item)
+                now[1 if is_payment else 0] += amount
+                if now[2] and now[0] - now[1] <= tolerance:
+                    now[5] = True
+                    tell(order, "paid", at)
+        watermark = state.getCurrentWatermarkMs()
+        for order in [o for o, now in opened.items() if now[4] < watermark]:
+            if opened[order][2] and not opened[order][5]:
+                tell(order, "given up", opened[order][4])
+            del opened[order]
+        if opened:
+            state.update((zlib.compress(json.dumps(opened).encode(), 1),))
+            state.setTimeoutTimestamp(min(now[4] for now in opened.values()) + 1)
+        elif state.exists:
             state.remove()
-            if shipments and not done:
-                yield told("given up", deadline)
-            return
-        rows = sorted(r for f in frames for r in zip(f["ms"].tolist(), (f["kind"] == "payment").tolist(), f["item"].tolist(), f["amount"].tolist()))
-        if not state.exists:
-            total, paid, shipments, payments, deadline, done = 0.0, 0.0, [], [], rows[0][0] + wait, False
-        for at, is_payment, item, amount in rows:
-            seen = payments if is_payment else shipments
-            if done or at > deadline or item in seen:
-                continue
-            seen.append(item)
-            total, paid = (total, paid + amount) if is_payment else (total + amount, paid)
-            if shipments and total - paid <= tolerance:
-                done = True
-                yield told("paid", at)
-        if deadline < state.getCurrentWatermarkMs():  # too late for a timer
-            if shipments and not done:
-                yield told("given up", deadline)
-            if state.exists:
-                state.remove()
-            return
-        state.update((total, paid, json.dumps(shipments), json.dumps(payments), deadline, done))
-        state.setTimeoutTimestamp(deadline + 1)
-
-    out = (events.withWatermark("at", delay).withColumn("ms", F.unix_millis("at")).groupBy("order_id")
-           .applyInPandasWithState(decide, PAY_RESULT, ORDER_STATE, "append", "EventTimeTimeout"))
+        if told:
+            yield pd.DataFrame({n: pd.Series(c, dtype=object) if n == "order_id" else c for n, c in zip(names, zip(*told))})
+
+    # Numbers go as text, an unknown one as an empty text: a column of numbers with gaps would lose digits.
+    keyed = events.withWatermark("at", delay).select(
+        F.pmod(F.xxhash64("order_id"), F.lit(buckets)).alias("bucket"), F.coalesce(F.col("order_id").cast("string"), F.lit("")).alias("order"),
+        "kind", "item", "amount", "at", F.unix_millis("at").alias("ms"))
+    out = keyed.groupBy("bucket").applyInPandasWithState(decide, PAY_RESULT, ORDER_STATE, "append", "EventTimeTimeout")
     return out.withColumn("decided_at", F.timestamp_millis("decided_ms")).drop("decided_ms")

@@ -14,6 +14,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from martlet.plans import pulse
+from martlet.session import cut_lineage
 from martlet.sources.views import view, with_views
 from martlet.streaming import stream as st
 from martlet.suite import jobs
@@ -176,6 +177,7 @@ def stream_pay_gate_partial(spark, sf):
     when the query has been started anew from its checkpoint."""
     tables = {t: spark.read.parquet(f"{sf}/{t}.parquet") for t in ("orders", "lineitem")}
     events = st.order_events(spark.sql(_PAY_SHIPMENTS, orders=tables["orders"]), spark.sql(_PAY_PARTS, **tables))
+    events = cut_lineage(events, "order-events")  # read once for each landing
     again = events.where((F.col("kind") == "payment") & (F.xxhash64("item") % 5 == 0))
     land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
     _stage_in_order(events.unionByName(again), land, 4, "at")

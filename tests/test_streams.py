@@ -76,6 +76,32 @@ def test_payments_in_parts_equal_brute_force(spark):
     assert spark.read.parquet(out).count() == len(want)
 
 
+def test_orders_share_groups(spark):
+    """However many orders there are, the operator is called for, and keeps, a
+    bounded number of groups; an order's result does not depend on what shares its
+    group, large and unknown numbers included."""
+    rng = random.Random(5)
+    hours = lambda h: T0 + dt.timedelta(hours=h)
+    events = []
+    for order in [*range(300), 2**53 + 1, 2**53, -7, None]:
+        start = rng.randint(0, 200)
+        events += [(order, "shipment", f"s{order}-{n}", 5000.0, hours(start + 5 * n)) for n in range(rng.randint(0, 2))]
+        events += [(order, "payment", f"p{order}-{n}", rng.choice([2000.0, 5000.0]), hours(start + rng.randint(0, 60))) for n in range(rng.randint(0, 3))]
+    events += [(None, "shipment", "s", 9.0, hours(3)), (999, "shipment", "end", 5000.0, hours(400))]
+    land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
+    for lo in range(0, 401, 200):
+        spark.createDataFrame([e for e in events if hours(lo) <= e[4] < hours(lo + 200)], EVENTS).coalesce(1).write.mode("append").parquet(land)
+    s = st.accumulate_payments(st.read_stream(spark, land, spark.read.parquet(land).schema, 1), "10 hours", "2 days", buckets=8)
+    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+    assert max(kept) == 8 and kept[-1] == 1
+    got = {tuple(r) for r in spark.read.parquet(out).select("order_id", "status", "order_total", "paid", "n_payments", "decided_at").collect()}
+    assert got == set(decided(events, dt.timedelta(days=2), st.TOLERANCE, hours(390)).values()) and {None, 2**53 + 1} <= {r[0] for r in got}
+
+
 def _sink(spark, lines, **options):
     paths = {n: st.scratch(spark, n) for n in ("out", "ledger", "pending")}
     sink = st.pulse_batch_sink(spark, paths["out"], paths["ledger"], "p",
