@@ -9,12 +9,14 @@ each case, so each is compared with SQL.
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from martlet.plans import pulse
 from martlet.session import cut_lineage
+from martlet.sources import publish
 from martlet.sources.views import view, with_views
 from martlet.streaming import stream as st
 from martlet.suite import jobs
@@ -38,6 +40,14 @@ def _stage_in_order(df, path, n_files, col):
     return path
 
 
+def _files_of(spark, path, landings, of):
+    """Files of so many landings out of ``of`` that ``path`` holds. A landing has
+    the more files the larger it is, so a trigger that counts files alone would run
+    the more batches, each of which meets the whole tables."""
+    n = sum(name.endswith(".parquet") for name in publish.children(spark, path))
+    return max(1, math.ceil(n * landings / of))
+
+
 @register("stream_new_only", """select event_id, ts, user_id, event_type, value from events""")
 def stream_new_only(spark, sf):
     ev = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -96,7 +106,8 @@ def stream_pulse(spark, sf):
     are re-polled (each lands twice); the ledger makes each report once."""
     cfg = jobs.NEW_ORDERS
     src = pulse.Sources.fixture(spark, sf)
-    cand = pulse.candidates(src, cfg)
+    src = replace(src, directory=cut_lineage(src.directory, "directory"))  # read by every batch
+    cand = cut_lineage(pulse.candidates(src, cfg), "candidates")  # read once for each landing
     land, out, ck = st.scratch(spark, "land"), st.scratch(spark, "out"), st.scratch(spark, "ck")
     ledger = st.scratch(spark, "ledger")
     (src.ledger.where(F.col("process_name") == cfg.process_name).withColumn("batch_id", F.lit(-1).cast("long"))
@@ -104,7 +115,7 @@ def stream_pulse(spark, sf):
     cand = cand.drop("shipped_at", "starts_at")
     _stage_in_order(cand, land, 3, "slot_start")
     _stage_in_order(cand, land, 2, "slot_start")
-    st.run_pulse_stream(spark, cfg, src, land, out, ledger, ck, files_per_trigger=2,
+    st.run_pulse_stream(spark, cfg, src, land, out, ledger, ck, files_per_trigger=_files_of(spark, land, 2, of=5),
                         trigger={"availableNow": True})
     return spark.read.parquet(out).drop("batch_id")
 

@@ -159,6 +159,19 @@ def test_sources_are_bound_in_every_batch(spark):
     assert seen == [1, 2, 3] and sorted(r["n"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
+def test_batches_do_not_grow_with_the_files_of_a_landing(spark):
+    """A trigger takes so many landings, however many files each of them has."""
+    from martlet.suite.streams import _files_of
+
+    for files in (1, 4):
+        land, ck, batches = st.scratch(spark, "land"), st.scratch(spark, "ck"), []
+        for n in range(5):
+            spark.range(100 * n, 100 * n + 40).repartition(files).write.mode("append").parquet(land)
+        stream = st.read_stream(spark, land, "id long", _files_of(spark, land, 2, of=5))
+        st.run_to_end(stream.writeStream.foreachBatch(lambda df, n: batches.append(df.count())), ck)
+        assert len(batches) == 3 and sum(batches) == 200
+
+
 def test_ticks_keep_a_schedule_going(spark):
     """On the schedule, batches run without new candidates and add no rows."""
     schema = "shipment_number string"
