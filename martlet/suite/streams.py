@@ -213,7 +213,7 @@ def stream_pulse_late_lines(spark, sf):
     are bound anew in every batch, and unreported candidates are tried again."""
     cfg = jobs.NEW_ORDERS
     src = pulse.Sources.fixture(spark, sf)
-    cand = pulse.candidates(src, cfg).drop("shipped_at", "starts_at")
+    cand = cut_lineage(pulse.candidates(src, cfg).drop("shipped_at", "starts_at"), "candidates")
     names = ("land", "out", "ck", "ledger", "lines", "pending")
     land, out, ck, ledger, lines, pending = (st.scratch(spark, n) for n in names)
     (src.ledger.where(F.col("process_name") == cfg.process_name).withColumn("batch_id", F.lit(-1).cast("long"))
@@ -226,10 +226,11 @@ def stream_pulse_late_lines(spark, sf):
         return replace(every, line_items=spark.read.parquet(lines))
 
     def run():
-        st.run_pulse_stream(spark, cfg, sources, land, out, ledger, ck, schema=cand.schema, files_per_trigger=2,
+        st.run_pulse_stream(spark, cfg, sources, land, out, ledger, ck, schema=cand.schema, files_per_trigger=per_trigger,
                             trigger={"availableNow": True}, pending=pending)
 
     _stage_in_order(cand, land, 3, "slot_start")
+    per_trigger = _files_of(spark, land, 2, of=3)
     run()
     src.line_items.where(~third).write.mode("append").parquet(lines)
     cand.limit(1).write.mode("append").parquet(land)  # some poll, with nothing new in it
