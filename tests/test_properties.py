@@ -12,8 +12,10 @@ from martlet.operators import aggs, joins
 from martlet.plans import mart, pulse
 from martlet.sources.views import view
 from martlet.suite import jobs
+from martlet.suite.registry import QUERIES, load_all
 
 SF = "/root/testdata/sf0.001"
+load_all()
 
 
 def test_mart_keeps_fact_rows(spark):
@@ -164,3 +166,20 @@ def test_append_ledger_makes_rerun_empty(spark):
     sio.append_ledger(first, ledger, cfg.process_name, "2000-01-07 09:00:00")
     src.ledger = spark.read.parquet(ledger)
     assert pulse.new_orders(src, cfg).count() == 0
+
+
+def test_sketches_are_by_store_alone(spark, tmp_path):
+    """The exact count's aggregate by store and user holds no sketch a user; stores
+    and users that are unknown count as before."""
+    rows = [(i, i % 7 or None, "O", float(i), dt.datetime(1997, 1, 1), "5-LOW") for i in range(200)] + [(None, 3, "O", 1.0, dt.datetime(1997, 1, 1), "5-LOW"), (4, None, "O", 1.0, dt.datetime(1997, 1, 1), "5-LOW")] * 2
+    cols = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(rows, cols).write.parquet(f"{tmp_path}/orders.parquet")
+    df = QUERIES["approx_distinct"](spark, str(tmp_path))
+    want = {}
+    for key, user, *_ in rows:
+        want.setdefault(None if key is None else key % 50, set()).update([] if user is None else [user])
+    got = {r["store_id"]: (r["n_users"], r["within_bound"]) for r in df.collect()}
+    assert got == {k: (len(v), True) for k, v in want.items()}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    sketches = [line for line in plan.splitlines() if "approx_count_distinct" in line and "keys=" in line]
+    assert sketches and not [line for line in sketches if "," in line.split("keys=[")[1].split("]")[0]]
