@@ -7,6 +7,9 @@ so the fact's row count never changes (asserted in the tests).
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,6 +138,20 @@ def costs_and_margin(df: DataFrame, costs: DataFrame) -> DataFrame:
     return j.withColumn("cp1", cp1)
 
 
+def with_known(fact: DataFrame, sides: dict[str, DataFrame], who: DataFrame) -> DataFrame:
+    """The fact with what is known by each of several keys (``sides``: a frame
+    unique on its key). The sides meet the distinct combinations of the keys in
+    ``who``, a few narrow columns, and what comes of that meets the fact: the wide
+    rows move once, not once a key (sort-merge at scale, AQE splits what a hot
+    combination holds). A NULL key is part of a combination and knows nothing."""
+    known = who.select(*sides).distinct()
+    for key, side in sides.items():
+        known = known.join(side, key, "left")
+    known = known.withColumnsRenamed({key: f"_known_{key}" for key in sides})
+    same = functools.reduce(operator.and_, [fact[key].eqNullSafe(known[f"_known_{key}"]) for key in sides])
+    return fact.join(known, same, "left").drop(*[f"_known_{key}" for key in sides])
+
+
 def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     """The wide table: fact + company + manager + first orders + retention x2
     + value metrics + feeds + money + classification, conformed to a typed schema.
@@ -157,15 +174,12 @@ def b2b_mart(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     group = feeds.firms(v).onto(feeds.first_companies(v, company_first).frame, "first_company_inn")
     group = group.join(group_metrics(v("v_shipment"), user_group), "company_group_id", "full_outer")
     user = user_group.join(group, "company_group_id", "left").join(feeds.user_sources(v).frame, "user_id", "full_outer")
-    s = ship.join(company, "company_inn", "left").join(user, "user_id", "left")
+    s = with_known(feeds.per_shipment(v).onto(ship), {"company_inn": company, "user_id": user, "phone": phone_metrics(v("v_shipment"))},
+                   who=ship)
     a = joins.asof_left(s, managers(spark, sf_dir, v), by="company_group_id", left_ts="shipped_at",
                         right_ts="date_end", payload=["date_start", "manager_id", "first_manager_id"],
                         bounds=shipping_months(as_of=as_of))
-    s = feeds.departments(v).onto(joins.assigned_manager(a), "assigned_manager_id")
-    # Per-phone metrics and shipments' feeds grow with the fact: plain joins
-    # (sort-merge at scale, AQE splits a hot phone's partition).
-    s = s.join(phone_metrics(v("v_shipment")), "phone", "left")
-    s = feeds.with_money(feeds.per_shipment(v).onto(s))
+    s = feeds.with_money(feeds.departments(v).onto(joins.assigned_manager(a), "assigned_manager_id"))
     s = s.withColumns({
         "company_type": rules.company_type("b2b_measure", F.coalesce("category_type", F.lit("")), "company_name", "finance_income", "employee_count"),
         "order_type": rules.order_channel("tenant_id", "platform", "b2b_measure", "b2b_order_company_flg"),

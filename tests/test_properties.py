@@ -183,3 +183,45 @@ def test_sketches_are_by_store_alone(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     sketches = [line for line in plan.splitlines() if "approx_count_distinct" in line and "keys=" in line]
     assert sketches and not [line for line in sketches if "," in line.split("keys=[")[1].split("]")[0]]
+
+
+def test_known_sides_keep_the_facts_rows(spark):
+    """Sides by several keys, repeated and NULL keys among them: the same rows as
+    a left join a key."""
+    facts = [(i, i % 5 or None, i % 3 or None, f"wide {i}") for i in range(60)] * 2
+    fact = spark.createDataFrame(facts, "id int, a int, b int, wide string").repartition(3)
+    sides = {"a": spark.createDataFrame([(1, "x"), (2, None), (None, "never")], "a int, of_a string"),
+             "b": spark.createDataFrame([(1, 10), (None, 9)], "b int, of_b int")}
+    got = mart.with_known(fact, sides, who=fact)
+    want = fact.join(sides["a"], "a", "left").join(sides["b"], "b", "left").select(got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 120
+
+
+def test_mart_moves_its_wide_rows_once_by_what_is_known(spark):
+    """One exchange of the mart's plan has the fact's text columns by the keys of
+    company, user and phone; no other has them."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = mart.b2b_mart(spark, SF)
+        plan = df._jdf.queryExecution().executedPlan()
+        wide = [x for x in exchanges(plan) if "store_name" in x[1] and "order_number" in x[1]]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    by = [x[0] for x in wide]
+    assert sum("company_inn" in x and "phone" in x for x in by) == 1
+    assert not [x for x in by if ("company_inn" in x) != ("phone" in x)]
+
+
+def exchanges(plan):
+    """(text, output columns) of the shuffles in a plan."""
+    found, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            todo.append(p.initialPlan())
+            continue
+        if p.nodeName() == "Exchange":
+            found.append((p.simpleString(1000).split("ENSURE")[0], p.output().mkString(",")))
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return found
